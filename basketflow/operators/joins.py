@@ -1,0 +1,20 @@
+"""Join helpers: a size-checked broadcast for dimension-like inputs."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest dimension (rows) hinted for broadcast; above it the join is left to the planner
+# (sort-merge, or a broadcast chosen by AQE from measured stage sizes).
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def small_dimension(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Hint ``df`` for broadcast only after checking it has at most ``max_rows`` rows.
+
+    The check is a bounded job (it stops counting past the limit), so it costs little even when
+    the table turns out to be large; in that case no hint is given.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
