@@ -206,6 +206,47 @@ blend AS (
   SELECT a.order_id, a.product_id, a.prediction * 0.7 + b.prediction * 0.3 AS prediction
   FROM score_a a JOIN score_b b ON a.order_id = b.order_id AND a.product_id = b.product_id)"""
 
+# True-count distributions of the top k (prefix) and of the rest (suffix), folded one
+# score at a time by recursion, then the expected F1 of every (k, with/without None).
+CTE["select_f1"] = """sel_in AS (SELECT order_id, product_id, prediction AS p FROM blend WHERE prediction > 0.01),
+ranked AS (
+  SELECT order_id, product_id, p,
+         row_number() OVER (PARTITION BY order_id ORDER BY p DESC, product_id) AS i,
+         count(*) OVER (PARTITION BY order_id) AS n
+  FROM sel_in),
+heads AS (SELECT DISTINCT order_id, n FROM ranked),
+pre AS (
+  SELECT order_id, 0 AS k, [1.0]::DOUBLE[] AS v FROM heads
+  UNION ALL
+  SELECT pre.order_id, pre.k + 1,
+         list_transform(range(1, len(pre.v) + 2),
+                        lambda j: coalesce(pre.v[j], 0) * (1 - r.p) + coalesce(CASE WHEN j > 1 THEN pre.v[j - 1] END, 0) * r.p)
+  FROM pre JOIN ranked r ON r.order_id = pre.order_id AND r.i = pre.k + 1),
+suf AS (
+  SELECT order_id, n AS k, [1.0]::DOUBLE[] AS v FROM heads
+  UNION ALL
+  SELECT suf.order_id, suf.k - 1,
+         list_transform(range(1, len(suf.v) + 2),
+                        lambda j: coalesce(suf.v[j], 0) * (1 - r.p) + coalesce(CASE WHEN j > 1 THEN suf.v[j - 1] END, 0) * r.p)
+  FROM suf JOIN ranked r ON r.order_id = suf.order_id AND r.i = suf.k),
+p_none AS (SELECT order_id, v[1] AS pn FROM suf WHERE k = 0),
+pre_rows AS (SELECT order_id, k, unnest(range(len(v))) AS a, unnest(v) AS ca FROM pre),
+suf_rows AS (SELECT order_id, k, unnest(range(len(v))) AS b, unnest(v) AS rb FROM suf),
+f1_tab AS (
+  SELECT x.order_id, x.k,
+         sum(CASE WHEN x.k + x.a + y.b = 0 THEN 0.0 ELSE x.ca * y.rb * 2.0 * x.a / (x.k + x.a + y.b) END) AS f1,
+         sum(x.ca * y.rb * 2.0 * x.a / (x.k + x.a + y.b + 1)) AS f1n
+  FROM pre_rows x JOIN suf_rows y ON x.order_id = y.order_id AND x.k = y.k GROUP BY 1, 2),
+choices AS (
+  SELECT t.order_id, t.k, 0 AS flag, t.f1n + 2.0 * pn.pn / (2 + t.k) AS val
+  FROM f1_tab t JOIN p_none pn ON t.order_id = pn.order_id
+  UNION ALL
+  SELECT order_id, k, 1 AS flag, f1 AS val FROM f1_tab),
+best AS (
+  SELECT order_id, k, flag, val FROM (
+    SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY val DESC, flag, k) AS pick FROM choices)
+  WHERE pick = 1)"""
+
 VIEW = ["o_base", "r_orders", "l_base", "r_lines", "r_products"]
 PRIOR = VIEW + ["prior_l"]
 USERS = PRIOR + ["pairs", "users_f"]
@@ -219,7 +260,8 @@ def with_ctes(names: list[str], body: str) -> str:
         if n not in seen:
             seen.add(n)
             parts.append(CTE[n])
-    return "WITH " + ",\n".join(parts) + "\n" + body
+    head = "WITH RECURSIVE " if "select_f1" in seen else "WITH "
+    return head + ",\n".join(parts) + "\n" + body
 
 
 def rounded(body: str, doubles: list[str]) -> str:
@@ -357,6 +399,50 @@ FROM r_lines WHERE eval_set IN ('prior', 'train') GROUP BY 1""")
     q["s_csv_sink_roundtrip"] = truth_train
     q["m_blend_scores"] = rounded(with_ctes(PRIOR + ["pairs", "cand", "blend"],
                                             "SELECT order_id, product_id, prediction FROM blend"), ["prediction"])
+    q["e_select_f1"] = rounded(with_ctes(PRIOR + ["pairs", "cand", "blend", "select_f1"], """
+SELECT b.order_id,
+       concat_ws(' ', CASE WHEN b.flag = 0 THEN 'None' END,
+                 (SELECT string_agg(CAST(r.product_id AS VARCHAR), ' ' ORDER BY r.i)
+                  FROM ranked r WHERE r.order_id = b.order_id AND r.i <= b.k)) AS products,
+       CAST(b.k AS INTEGER) AS best_k, b.flag = 0 AS pred_none, b.val AS expected_f1
+FROM best b"""), ["expected_f1"])
+    q["f_feature_matrix"] = rounded(with_ctes(
+        USERS + ["train_l", "orders_da", "orders_ratio", "lines_da", "gaps", "freq", "prod_f", "up_f", "intervals",
+                 "streak"], """
+SELECT t.order_id, up.user_id, up.product_id, t.eval_set,
+       CASE WHEN lb.user_id IS NULL THEN 0 ELSE 1 END AS label,
+       u.user_total_orders, u.user_total_items, u.total_distinct_items, u.user_average_days_between_orders,
+       u.user_average_basket, u.user_median_basket, u.user_reorder_ratio, u.user_period, u.user_nb_aisles,
+       u.user_nb_departments,
+       t.order_hour_of_day, t.days_since_prior_order, t.days_since_ratio,
+       p.aisle_id, p.department_id, p.product_orders, p.product_reorders, p.product_reorder_rate,
+       p.product_reorder_probability, p.product_nb_users, p.product_mean_add_to_cart_position,
+       p.prod_buy_second_time_total_cnt, f.frequency_mean, f.frequency_std,
+       up.UP_orders,
+       CAST(up.UP_orders AS DOUBLE) / nullif(CAST(u.user_total_orders AS DOUBLE), 0) AS UP_orders_ratio,
+       CAST(up.UP_sum_pos_in_cart AS DOUBLE) / nullif(CAST(up.UP_orders AS DOUBLE), 0) AS UP_average_pos_in_cart,
+       u.user_total_orders - up.UP_last_order AS UP_orders_since_last,
+       least(abs(t.order_hour_of_day - up.UP_last_order_hour), 24 - abs(t.order_hour_of_day - up.UP_last_order_hour))
+         AS UP_delta_hour_vs_last,
+       up.UP_first_order, up.UP_last_order, up.UP_order_rate_since_first_order,
+       up.UP_recency, up.UP_recency_day, up.UP_recency_exp,
+       iv.UP_interval_distance, iv.UP_interval_mean, iv.UP_interval_std, iv.UP_order_number_skew,
+       sk.UP_order_streak
+FROM up_f up
+JOIN orders_ratio t ON t.user_id = up.user_id AND t.eval_set <> 'prior'
+JOIN users_f u ON u.user_id = up.user_id
+LEFT JOIN prod_f p ON p.product_id = up.product_id
+LEFT JOIN freq f ON f.product_id = up.product_id
+LEFT JOIN intervals iv ON iv.user_id = up.user_id AND iv.product_id = up.product_id
+LEFT JOIN streak sk ON sk.user_id = up.user_id AND sk.product_id = up.product_id
+LEFT JOIN (SELECT DISTINCT user_id, product_id FROM train_l) lb
+       ON lb.user_id = up.user_id AND lb.product_id = up.product_id"""),
+        ["user_average_days_between_orders", "user_average_basket", "user_median_basket", "user_reorder_ratio",
+         "user_period", "days_since_prior_order", "days_since_ratio", "product_reorder_rate",
+         "product_reorder_probability", "product_mean_add_to_cart_position", "frequency_mean", "frequency_std",
+         "UP_orders_ratio", "UP_average_pos_in_cart", "UP_order_rate_since_first_order", "UP_recency",
+         "UP_recency_day", "UP_recency_exp", "UP_interval_distance", "UP_interval_mean", "UP_interval_std",
+         "UP_order_number_skew"])
     q["e_mean_f1"] = rounded(with_ctes(
         BASELINE + ["b1", "b2", "test_l", "truth_test"],
         f1_body("b1", "truth_test", "repeat_last_order") + "\nUNION ALL\n"
