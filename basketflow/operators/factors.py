@@ -25,3 +25,128 @@ def reordered_history(r: Retail) -> DataFrame:
     x = targets.join(counts, "user_id")
     return x.withColumn("num_products_reordered",
                         F.sum("n_times").over(Window.partitionBy("order_id")).cast("long"))
+
+
+# ---------------------------------------------------------------- M3 / M4: non-negative factors
+
+# Fixed values of the factorisation: number of components, random seed.
+N_COMPONENTS = 100
+SEED = 42
+EPS = 1e-10
+
+
+def reorder_counts(r: Retail) -> DataFrame:
+    """The user x product matrix X in coordinates: (user_id, product_id, cnt) of reordered prior lines,
+    for every user with a target order."""
+    h = reordered_history(r)
+    return h.select("user_id", "product_id", F.col("n_times").cast("double").alias("cnt"))
+
+
+def _gram_partials(k: int):
+    """Per-partition partial Gram matrix W'W, emitted as one flattened row per partition."""
+    import numpy as np
+    import pandas as pd
+
+    def fn(batches):
+        acc = np.zeros((k, k))
+        for pdf in batches:
+            if len(pdf):
+                w = np.stack(pdf["w"].to_numpy())
+                acc += w.T @ w
+        yield pd.DataFrame({"g": [acc.ravel().tolist()]})
+    return fn
+
+
+def _w_update(hht):
+    """W <- W * (XH') / (W HH'), batch-wise with numpy; HH' is k x k and shipped in the closure."""
+    import numpy as np
+    import pandas as pd
+
+    def fn(batches):
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            w = np.stack(pdf["w"].to_numpy())
+            xh = np.stack(pdf["xh"].to_numpy())
+            w = w * xh / (w @ hht + EPS)
+            yield pd.DataFrame({"user_id": pdf["user_id"].to_numpy(), "w": list(w)})
+    return fn
+
+
+def user_factors(x: DataFrame, k: int = N_COMPONENTS, iterations: int = 30, seed: int = SEED,
+                 checkpoint_every: int = 5):
+    """M3: X ~ W H with W, H >= 0 by Lee-Seung multiplicative updates (Frobenius loss).
+
+    X is a coordinate DataFrame; W (users x k) stays distributed as one array per user; H
+    (k x products) is small - bounded by the catalogue - and lives on the driver between
+    iterations. Per iteration: W'X by product and X H' by user are vector sums over the nonzeros
+    (Summarizer, partial aggregation), W'W is summed from per-partition partial Gram matrices,
+    and the W update runs batch-wise in Arrow. W is checkpointed to the shared folder every
+    ``checkpoint_every`` iterations to cut the lineage. Returns (W DataFrame, H numpy array, errors)
+    where errors holds ||X - WH||^2 per iteration.
+    """
+    import numpy as np
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    from basketflow.session import checkpoint_dir
+
+    spark = x.sparkSession
+    checkpoint_dir(spark)
+    # X is read many times per iteration: materialise it once in the shared folder.
+    x = x.select("user_id", "product_id", "cnt").checkpoint()
+    products = [r[0] for r in x.select("product_id").distinct().orderBy("product_id").collect()]
+    col_of = {p: i for i, p in enumerate(products)}
+    n_prod = len(products)
+    stats = x.agg(F.avg("cnt"), F.count_distinct("user_id"), F.sum(F.col("cnt") * F.col("cnt"))).first()
+    n_users, x_sq = stats[1], stats[2]
+    # Random init as in common NMF practice: scale sqrt(mean(X) / k), X's mean over the full matrix.
+    scale = float(np.sqrt((stats[0] * x.count() / (n_users * n_prod)) / k))
+    rng = np.random.default_rng(seed)
+    h = np.abs(rng.standard_normal((k, n_prod))) * scale
+    # W initialised from a hash of (user, component): reproducible wherever a partition is recomputed.
+    comp = F.sequence(F.lit(0), F.lit(k - 1))
+    w = (x.select("user_id").distinct()
+         .select("user_id", F.transform(comp, lambda j: (F.xxhash64(F.col("user_id"), j, F.lit(seed)) % 1000000)
+                                        .cast("double") / 1000000.0 * scale * 2 + 1e-3 * scale).alias("w")))
+    w = w.withColumn("w", F.transform("w", lambda v: F.abs(v)))
+    w = w.checkpoint()
+    errors = []
+    for it in range(iterations):
+        # --- H update: H <- H * (W'X) / (W'W H)
+        wx = (x.join(w, "user_id")
+              .select("product_id", array_to_vector(F.transform("w", lambda v: v * F.col("cnt"))).alias("v"))
+              .groupBy("product_id").agg(Summarizer.sum(F.col("v")).alias("s"))
+              .select("product_id", vector_to_array("s").alias("s")).collect())
+        wtx = np.zeros((k, n_prod))
+        for row in wx:
+            wtx[:, col_of[row["product_id"]]] = row["s"]
+        parts = w.select("w").mapInPandas(_gram_partials(k), "g array<double>").collect()
+        wtw = np.sum([np.asarray(p["g"]).reshape(k, k) for p in parts], axis=0)
+        h = h * wtx / (wtw @ h + EPS)
+        # --- W update: W <- W * (X H') / (W H H')
+        hdf = spark.createDataFrame([(p, h[:, i].tolist()) for p, i in col_of.items()],
+                                    "product_id int, h array<double>")
+        xh = (x.join(F.broadcast(hdf), "product_id")
+              .select("user_id", array_to_vector(F.transform("h", lambda v: v * F.col("cnt"))).alias("v"))
+              .groupBy("user_id").agg(Summarizer.sum(F.col("v")).alias("s"))
+              .select("user_id", vector_to_array("s").alias("xh")))
+        w = w.join(xh, "user_id").mapInPandas(_w_update(h @ h.T), "user_id long, w array<double>")
+        if (it + 1) % checkpoint_every == 0 or it == iterations - 1:
+            w = w.checkpoint()
+            # ||X - WH||^2 = ||X||^2 - 2 <X, WH> + <W'W, HH'>, all from small reductions.
+            cross = (x.join(w, "user_id").join(F.broadcast(hdf), "product_id")
+                     .select((F.col("cnt") * F.aggregate(F.zip_with("w", "h", lambda a, b: a * b), F.lit(0.0),
+                                                         lambda acc, v: acc + v)).alias("c"))
+                     .agg(F.sum("c")).first()[0]) or 0.0
+            parts = w.select("w").mapInPandas(_gram_partials(k), "g array<double>").collect()
+            wtw = np.sum([np.asarray(p["g"]).reshape(k, k) for p in parts], axis=0)
+            errors.append(float(x_sq - 2 * cross + np.sum(wtw * (h @ h.T))))
+    return w, h, errors
+
+
+def normalize_rows(w: DataFrame) -> DataFrame:
+    """M4: L2-normalise each user's factor row; an all-zero row stays zero."""
+    norm = F.sqrt(F.aggregate("w", F.lit(0.0), lambda acc, v: acc + v * v))
+    return w.select("user_id", F.when(norm > 0, F.transform("w", lambda v: v / norm))
+                    .otherwise(F.col("w")).alias("factors"))

@@ -1 +1,103 @@
-"""Learned-operator queries (M1-M7, M9); registered into the catalogue on import."""
+"""Learned-operator queries (M1-M7, M9 and the model-driven decisions); registered on import.
+
+These have no SQL oracle (training is iterative and seeded); the checks are row counts plus the
+invariants in tests/test_models.py. Local runs use light variants of the two presets (fewer
+rounds, shallower trees, fewer factorisation iterations); the full presets are in
+basketflow.operators.model and are meant for a cluster.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from basketflow.operators import decisions as dc
+from basketflow.operators import embeddings as em
+from basketflow.operators import factors as fa
+from basketflow.operators import matrix as mx
+from basketflow.operators import model as md
+from basketflow.plans.catalog import query
+from basketflow.sources.retail_view import Retail, load_retail
+
+# Light presets for local runs (same parameters as the full ones but rounds and depth).
+LOCAL_A = md.quick(md.PRESET_A, max_iter=20, max_depth=6)
+LOCAL_B = md.quick(md.PRESET_B, max_iter=20)
+LOCAL_NMF_ITERATIONS = 10
+
+
+def _sentences(r: Retail):
+    return em.basket_sentences(r.prior, r.train)
+
+
+def _vectors(r: Retail):
+    return em.item_vectors(_sentences(r))[1]
+
+
+def _matrix(spark, sf_dir):
+    r = load_retail(spark, sf_dir)
+    pv = em.item_pca(_vectors(r), r.products)
+    # The matrix feeds several passes of training: cut its lineage once.
+    return mx.feature_matrix(r, product_vectors=pv).checkpoint()
+
+
+@query("m_item_vectors")
+def m_item_vectors(spark, sf_dir):
+    from pyspark.ml.functions import vector_to_array
+    v = _vectors(load_retail(spark, sf_dir))
+    return v.select("product_id", vector_to_array("vector").alias("vector"))
+
+
+@query("m_item_pca")
+def m_item_pca(spark, sf_dir):
+    r = load_retail(spark, sf_dir)
+    return em.item_pca(_vectors(r), r.products)
+
+
+@query("m_user_factors")
+def m_user_factors(spark, sf_dir):
+    w, _, _ = fa.user_factors(fa.reorder_counts(load_retail(spark, sf_dir)), iterations=LOCAL_NMF_ITERATIONS)
+    return fa.normalize_rows(w)
+
+
+def _scores(spark, sf_dir, preset):
+    m = _matrix(spark, sf_dir)
+    model = md.train(m, preset)
+    return md.score(model, m.where(F.col("eval_set") == "test"))
+
+
+@query("m_train_score_a")
+def m_train_score_a(spark, sf_dir):
+    return _scores(spark, sf_dir, LOCAL_A)
+
+
+@query("m_train_score_b")
+def m_train_score_b(spark, sf_dir):
+    return _scores(spark, sf_dir, LOCAL_B)
+
+
+def _holdout(m):
+    """Held-out users for M9: a fixed fifth of the train users chosen by a hash of user_id."""
+    is_valid = (F.abs(F.xxhash64("user_id")) % 5) == 0
+    train = m.where(F.col("eval_set") == "train")
+    return train.where(~is_valid), train.where(is_valid)
+
+
+@query("m_metrics")
+def m_metrics(spark, sf_dir):
+    m = _matrix(spark, sf_dir)
+    fit_rows, valid_rows = _holdout(m)
+    out = None
+    for preset in (LOCAL_A, LOCAL_B):
+        model = md.train(fit_rows, preset)
+        row = md.metrics(model, valid_rows).withColumn("model", F.lit(preset.name))
+        out = row if out is None else out.unionByName(row)
+    return out.select("model", "auc", "logloss")
+
+
+@query("e_model_decisions")
+def e_model_decisions(spark, sf_dir):
+    """The full path: two trainers, blended 0.7 / 0.3, floor, expected-F1 selection per test order."""
+    m = _matrix(spark, sf_dir)
+    test = m.where(F.col("eval_set") == "test")
+    a = md.score(md.train(m, LOCAL_A), test)
+    b = md.score(md.train(m, LOCAL_B), test)
+    return dc.select_max_f1(dc.blend_scores(a, b))
