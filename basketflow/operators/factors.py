@@ -6,11 +6,18 @@ per-user lists and CSR matrix are only a container for these coordinates.
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketflow.sources.retail_view import Retail
 
+# The grouped / batch functions of this module run in Python workers: ship them by value so the
+# workers need no installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def reordered_history(r: Retail) -> DataFrame:
     """For each target order, the products its user reordered in prior orders, with multiplicity.

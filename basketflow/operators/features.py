@@ -23,7 +23,6 @@ from basketflow.functions.exprs import (
     circular_hour_distance,
     day_weight,
     exp_weight,
-    order_weight,
     ratio,
 )
 from basketflow.operators.joins import small_dimension
@@ -98,20 +97,20 @@ def user_features(orders: DataFrame, lines: DataFrame, products: DataFrame,
         F.count(F.lit(1)).alias("user_total_orders"),
         F.sum("days_since_prior_order").alias("user_period"),
     )
-    by_pairs = pairs.groupBy("user_id").agg(
+    # Aisles and departments come from a catalogue-bounded dimension; their distinct counts are
+    # sets bounded by the number of aisles / departments, so one aggregate covers everything.
+    attrs = small_dimension(products.select("product_id", "aisle_id", "department_id"))
+    by_pairs = pairs.join(attrs, "product_id", "left").groupBy("user_id").agg(
         F.sum("n").alias("user_total_items"),
         F.count(F.lit(1)).alias("total_distinct_items"),
         ratio(F.sum("r"), F.sum("nf")).alias("user_reorder_ratio"),
+        F.size(F.collect_set("aisle_id")).cast("long").alias("user_nb_aisles"),
+        F.size(F.collect_set("department_id")).cast("long").alias("user_nb_departments"),
     )
     median_basket = (basket_sizes_by_user(lines).groupBy("user_id")
                      .agg(F.median("basket_size").alias("user_median_basket")))
-    attrs = small_dimension(products.select("product_id", "aisle_id", "department_id"))
-    spread = (pairs.select("user_id", "product_id").join(attrs, "product_id", "left")
-              .groupBy("user_id").agg(F.count_distinct("aisle_id").alias("user_nb_aisles"),
-                                      F.count_distinct("department_id").alias("user_nb_departments")))
     return (by_orders.join(by_pairs, "user_id", "left")
             .join(median_basket, "user_id", "left")
-            .join(spread, "user_id", "left")
             .withColumn("user_average_basket", ratio("user_total_items", "user_total_orders")))
 
 
@@ -178,53 +177,70 @@ def product_gaps(lines_da: DataFrame) -> DataFrame:
     )
 
 
-def pair_intervals(lines_da: DataFrame) -> DataFrame:
-    """A16-A18 per (user, product).
+def pair_history(lines_da: DataFrame) -> DataFrame:
+    """One pass over each (user, product) purchase sequence: the accumulators of A13 and the
+    gap statistics of A16-A18 share the lag window and a single aggregation."""
+    g = _pair_gaps(lines_da)
+    return g.groupBy("user_id", "product_id").agg(
+        F.count(F.lit(1)).alias("UP_orders"),
+        F.max(F.struct("order_number", "order_id", "order_hour_of_day", "days_ago_since_last")).alias("_last"),
+        F.sum("add_to_cart_order").alias("UP_sum_pos_in_cart"),
+        F.min("order_number").alias("UP_first_order"),
+        F.max("order_number").alias("UP_last_order"),
+        F.sum("order_number").alias("_sum_on"),
+        F.sum(day_weight("days_ago_since_last")).alias("UP_recency_day"),
+        F.sum(exp_weight("days_ago_since_last")).alias("UP_recency_exp"),
+        F.avg("gap").alias("UP_interval_mean"),
+        F.stddev_pop("gap").alias("UP_interval_std"),
+    ).select(
+        "*",
+        F.col("_last.order_id").alias("UP_last_order_id"),
+        F.col("_last.order_hour_of_day").alias("UP_last_order_hour"),
+        F.col("_last.days_ago_since_last").alias("_last_days_ago"),
+    ).drop("_last")
+
+
+def pair_intervals(history: DataFrame) -> DataFrame:
+    """A16-A18 per (user, product), from :func:`pair_history`.
 
     UP_interval_mean / _std: mean and population std of the gaps (NULL when bought once);
     UP_interval_distance: days_ago of the only purchase, else |days_ago of the latest - mean gap|;
     UP_order_number_skew: mean(order_number) / latest order_number.
     """
-    g = _pair_gaps(lines_da)
-    agg = g.groupBy("user_id", "product_id").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.avg("gap").alias("UP_interval_mean"),
-        F.stddev_pop("gap").alias("UP_interval_std"),
-        F.max_by("days_ago_since_last", "order_number").alias("_last_days_ago"),
-        F.avg("order_number").alias("_mean_on"),
-        F.max("order_number").alias("_max_on"),
-    )
-    return agg.select(
-        "user_id", "product_id", "UP_interval_mean", "UP_interval_std",
-        F.when(F.col("_n") == 1, F.col("_last_days_ago").cast("double"))
+    return history.select("user_id", "product_id", "UP_interval_mean", "UP_interval_std", *distance_and_skew())
+
+
+def distance_and_skew() -> list:
+    """UP_interval_distance and UP_order_number_skew as expressions over pair_history columns."""
+    return [
+        F.when(F.col("UP_orders") == 1, F.col("_last_days_ago").cast("double"))
         .otherwise(F.abs(F.col("_last_days_ago") - F.col("UP_interval_mean")))
         .alias("UP_interval_distance"),
-        ratio("_mean_on", "_max_on").alias("UP_order_number_skew"),
-    )
+        ratio(F.col("_sum_on") / F.col("UP_orders"), "UP_last_order").alias("UP_order_number_skew"),
+    ]
 
 
 # ---------------------------------------------------------------- user x product
 
-def user_product_features(lines_da: DataFrame, users: DataFrame) -> DataFrame:
-    """Accumulators per (user, product) with the user's order count looked up."""
-    nb = users.select("user_id", F.col("user_total_orders").alias("_nb"))
-    x = lines_da.join(nb, "user_id", "left")
-    agg = x.groupBy("user_id", "product_id").agg(
-        F.count(F.lit(1)).alias("UP_orders"),
-        F.max(F.struct("order_number", "order_id", "order_hour_of_day")).alias("_last"),
-        F.sum("add_to_cart_order").alias("UP_sum_pos_in_cart"),
-        F.min("order_number").alias("UP_first_order"),
-        F.max("order_number").alias("UP_last_order"),
-        F.first("_nb").alias("_nb"),
-        F.sum(order_weight("order_number", "_nb")).alias("UP_recency"),
-        F.sum(day_weight("days_ago_since_last")).alias("UP_recency_day"),
-        F.sum(exp_weight("days_ago_since_last")).alias("UP_recency_exp"),
-    )
-    return (agg.withColumn("UP_last_order_id", F.col("_last.order_id"))
-            .withColumn("UP_last_order_hour", F.col("_last.order_hour_of_day"))
+UP_COLUMNS = ["UP_orders", "UP_last_order_id", "UP_sum_pos_in_cart", "UP_first_order", "UP_last_order",
+              "UP_recency", "UP_recency_day", "UP_recency_exp", "UP_order_rate_since_first_order"]
+
+
+def with_user_order_count(history: DataFrame, user_orders) -> DataFrame:
+    """A13 / A15 terms that need the user's order count (J13), applied at pair level:
+    sum(1 + order_number / nb) = count + sum(order_number) / nb, and count / (nb - first + 1)."""
+    nb = F.col(user_orders) if isinstance(user_orders, str) else user_orders
+    return (history
+            .withColumn("UP_recency", F.col("UP_orders") + ratio("_sum_on", nb))
             .withColumn("UP_order_rate_since_first_order",
-                        ratio("UP_orders", F.col("_nb") - F.col("UP_first_order") + 1))
-            .drop("_nb", "_last"))
+                        ratio("UP_orders", nb - F.col("UP_first_order") + 1)))
+
+
+def user_product_features(history: DataFrame, users: DataFrame) -> DataFrame:
+    """A13-A15 per (user, product), from :func:`pair_history` and the user table."""
+    nb = users.select("user_id", F.col("user_total_orders").alias("_nb"))
+    x = with_user_order_count(history.join(nb, "user_id", "left"), "_nb")
+    return x.select("user_id", "product_id", *UP_COLUMNS, "UP_last_order_hour")
 
 
 # ---------------------------------------------------------------- streak

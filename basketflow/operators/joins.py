@@ -10,11 +10,17 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-def small_dimension(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (a bounded counting job)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def small_dimension(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, bounded_by: DataFrame | None = None) -> DataFrame:
     """Hint ``df`` for broadcast only after checking it has at most ``max_rows`` rows.
 
     The check is a bounded job (it stops counting past the limit), so it costs little even when
-    the table turns out to be large; in that case no hint is given.
+    the table turns out to be large; in that case no hint is given. ``bounded_by`` names a
+    cheaper table whose row count bounds ``df``'s (a catalogue for a per-product statistic), so
+    the check does not have to run the job that derives ``df``.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if is_small(bounded_by if bounded_by is not None else df, max_rows) else df

@@ -15,8 +15,8 @@ from basketflow.operators import embeddings as em
 from basketflow.operators import factors as fa
 from basketflow.operators import matrix as mx
 from basketflow.operators import model as md
-from basketflow.plans.catalog import query
-from basketflow.sources.retail_view import Retail, load_retail
+from basketflow.plans.catalog import _retail, query
+from basketflow.sources.retail_view import Retail
 
 # Light presets for local runs (same parameters as the full ones but rounds and depth).
 LOCAL_A = md.quick(md.PRESET_A, max_iter=20, max_depth=6)
@@ -33,7 +33,7 @@ def _vectors(r: Retail):
 
 
 def _matrix(spark, sf_dir):
-    r = load_retail(spark, sf_dir)
+    r = _retail(spark, sf_dir)
     pv = em.item_pca(_vectors(r), r.products)
     # The matrix feeds several passes of training: cut its lineage once.
     return mx.feature_matrix(r, product_vectors=pv).checkpoint()
@@ -42,26 +42,34 @@ def _matrix(spark, sf_dir):
 @query("m_item_vectors")
 def m_item_vectors(spark, sf_dir):
     from pyspark.ml.functions import vector_to_array
-    v = _vectors(load_retail(spark, sf_dir))
+    v = _vectors(_retail(spark, sf_dir))
     return v.select("product_id", vector_to_array("vector").alias("vector"))
 
 
 @query("m_item_pca")
 def m_item_pca(spark, sf_dir):
-    r = load_retail(spark, sf_dir)
+    r = _retail(spark, sf_dir)
     return em.item_pca(_vectors(r), r.products)
 
 
 @query("m_user_factors")
 def m_user_factors(spark, sf_dir):
-    w, _, _ = fa.user_factors(fa.reorder_counts(load_retail(spark, sf_dir)), iterations=LOCAL_NMF_ITERATIONS)
+    w, _, _ = fa.user_factors(fa.reorder_counts(_retail(spark, sf_dir)), iterations=LOCAL_NMF_ITERATIONS)
     return fa.normalize_rows(w)
 
 
 def _scores(spark, sf_dir, preset):
+    """Train, persist the fitted pipeline (S8), load it back and score the test rows with it."""
+    import uuid
+
+    from pyspark.ml import PipelineModel
+
+    from basketflow.session import stage_path
+    from basketflow.sources.stage import save_model
     m = _matrix(spark, sf_dir)
-    model = md.train(m, preset)
-    return md.score(model, m.where(F.col("eval_set") == "test"))
+    path = stage_path(spark, "models", f"gbt-{preset.name}-{uuid.uuid4().hex[:8]}")
+    save_model(md.train(m, preset), path)
+    return md.score(PipelineModel.load(path), m.where(F.col("eval_set") == "test"))
 
 
 @query("m_train_score_a")

@@ -301,6 +301,7 @@ def _q() -> dict[str, str]:
                          "SELECT order_id, user_id, order_number, days_ago_since_last FROM orders_da")
     q["w_days_ago"] = days_ago
     q["s_roundtrip_stage"] = days_ago
+    q["s_csv_typed_scan"] = q["s_scan_orders"]
     q["p_eval_set_filter"] = with_ctes(VIEW, f"SELECT {ORD_COLS} FROM r_orders WHERE eval_set <> 'prior'")
     q["p_user_history"] = with_ctes(VIEW, f"SELECT {ORD_COLS} FROM r_orders WHERE user_id = 1")
 
