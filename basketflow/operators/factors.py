@@ -81,7 +81,7 @@ def _w_update(hht):
 
 
 def user_factors(x: DataFrame, k: int = N_COMPONENTS, iterations: int = 30, seed: int = SEED,
-                 checkpoint_every: int = 5):
+                 checkpoint_every: int = 5, w_init: DataFrame | None = None, h_init=None):
     """M3: X ~ W H with W, H >= 0 by Lee-Seung multiplicative updates (Frobenius loss).
 
     X is a coordinate DataFrame; W (users x k) stays distributed as one array per user; H
@@ -90,7 +90,8 @@ def user_factors(x: DataFrame, k: int = N_COMPONENTS, iterations: int = 30, seed
     (Summarizer, partial aggregation), W'W is summed from per-partition partial Gram matrices,
     and the W update runs batch-wise in Arrow. W is checkpointed to the shared folder every
     ``checkpoint_every`` iterations to cut the lineage. Returns (W DataFrame, H numpy array, errors)
-    where errors holds ||X - WH||^2 per iteration.
+    where errors holds ||X - WH||^2 after each checkpoint. ``w_init`` (user_id, w) and ``h_init``
+    (k x products in ascending product_id order) replace the random start.
     """
     import numpy as np
     from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -110,13 +111,15 @@ def user_factors(x: DataFrame, k: int = N_COMPONENTS, iterations: int = 30, seed
     # Random init as in common NMF practice: scale sqrt(mean(X) / k), X's mean over the full matrix.
     scale = float(np.sqrt((stats[0] * x.count() / (n_users * n_prod)) / k))
     rng = np.random.default_rng(seed)
-    h = np.abs(rng.standard_normal((k, n_prod))) * scale
+    h = np.abs(rng.standard_normal((k, n_prod))) * scale if h_init is None else np.asarray(h_init, dtype=float)
     # W initialised from a hash of (user, component): reproducible wherever a partition is recomputed.
     comp = F.sequence(F.lit(0), F.lit(k - 1))
     w = (x.select("user_id").distinct()
          .select("user_id", F.transform(comp, lambda j: (F.xxhash64(F.col("user_id"), j, F.lit(seed)) % 1000000)
                                         .cast("double") / 1000000.0 * scale * 2 + 1e-3 * scale).alias("w")))
     w = w.withColumn("w", F.transform("w", lambda v: F.abs(v)))
+    if w_init is not None:
+        w = w_init.select("user_id", F.col("w").cast("array<double>").alias("w"))
     w = w.checkpoint()
     errors = []
     for it in range(iterations):
