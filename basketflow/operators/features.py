@@ -8,10 +8,10 @@ and ``products``.
 Shuffle plan. Everything keyed by product goes through one pair-level pre-aggregation
 (:func:`pair_counts`, keyed by (user_id, product_id), combined map-side) and is then reduced by
 product from partial aggregates, so a product bought in a third of all lines never sends its raw
-lines to one task. Sequence operators (running sums, lags, streak ranks) are windows over one
-user's orders or one pair's purchases: their partitions are user histories, sorted and
-spillable; the streak window is cut to the last orders per user before any shuffle
-(WindowGroupLimit).
+lines to one task. Order-dependent scans (running sum of gaps, lag between a pair's purchases)
+are blocked scans (basketflow.operators.sequences): a user or pair with a huge history is cut
+into bounded partitions. The streak window is cut to the last orders per user before any
+shuffle (WindowGroupLimit), the median basket comes from a per-user histogram.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from basketflow.functions.exprs import (
     exp_weight,
     ratio,
 )
+from basketflow.operators import sequences as seq
 from basketflow.operators.joins import small_dimension
 
 # Recent orders kept for the streak (5 plus the target order).
@@ -46,14 +47,13 @@ def days_ago(orders: DataFrame) -> DataFrame:
 
     cum = running sum of days_since_prior_order over the user's orders (NULLs skipped), set to 0
     on a row whose own gap is NULL; days_ago_since_last = max(cum) - cum, truncated to int.
+    Gaps are never negative, so max(cum) is the user's total. The running sum is blocked
+    (basketflow.operators.sequences), so a user with a huge history is not one task.
     """
-    w = Window.partitionBy("user_id").orderBy("order_number")
-    running = F.sum("days_since_prior_order").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    cum = F.when(F.col("days_since_prior_order").isNull(), F.lit(0.0)).otherwise(running)
-    o = orders.withColumn("_cum", cum)
-    return (o.withColumn("days_ago_since_last",
-                         (F.max("_cum").over(Window.partitionBy("user_id")) - F.col("_cum")).cast("int"))
-            .drop("_cum"))
+    o = seq.running_sum(orders, ["user_id"], "order_number", "days_since_prior_order", "_run", total_col="_tot")
+    cum = F.when(F.col("days_since_prior_order").isNull(), F.lit(0.0)).otherwise(F.col("_run"))
+    return (o.withColumn("days_ago_since_last", (F.coalesce("_tot", F.lit(0.0)) - cum).cast("int"))
+            .drop("_run", "_tot"))
 
 
 def basket_sizes(lines: DataFrame) -> DataFrame:
@@ -107,8 +107,8 @@ def user_features(orders: DataFrame, lines: DataFrame, products: DataFrame,
         F.size(F.collect_set("aisle_id")).cast("long").alias("user_nb_aisles"),
         F.size(F.collect_set("department_id")).cast("long").alias("user_nb_departments"),
     )
-    median_basket = (basket_sizes_by_user(lines).groupBy("user_id")
-                     .agg(F.median("basket_size").alias("user_median_basket")))
+    median_basket = seq.median_small_domain(basket_sizes_by_user(lines), ["user_id"], "basket_size",
+                                            "user_median_basket")
     return (by_orders.join(by_pairs, "user_id", "left")
             .join(median_basket, "user_id", "left")
             .withColumn("user_average_basket", ratio("user_total_items", "user_total_orders")))
@@ -156,9 +156,12 @@ def lines_with_days_ago(lines: DataFrame, orders_days_ago: DataFrame) -> DataFra
 
 
 def _pair_gaps(lines_da: DataFrame) -> DataFrame:
-    """Gap in days to the previous purchase of the same pair (NULL on the first one)."""
-    w = Window.partitionBy("user_id", "product_id").orderBy("order_number")
-    return lines_da.withColumn("gap", F.lag("days_ago_since_last").over(w) - F.col("days_ago_since_last"))
+    """Gap in days to the previous purchase of the same pair (NULL on the first one).
+
+    A blocked lag: a (user, product) pair bought in a large share of all orders is still
+    spread over bounded partitions."""
+    x = seq.lag(lines_da, ["user_id", "product_id"], "order_number", "days_ago_since_last", "_prev_da")
+    return x.withColumn("gap", F.col("_prev_da") - F.col("days_ago_since_last")).drop("_prev_da")
 
 
 def product_gaps(lines_da: DataFrame) -> DataFrame:

@@ -63,17 +63,31 @@ class Retail:
 
 
 def build_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
-    by_user = Window.partitionBy("o_custkey")
-    w = by_user.orderBy("o_orderdate", "o_orderkey")
-    o = o.select(
-        F.col("o_orderkey").alias("order_id"),
-        F.col("o_custkey").alias("user_id"),
-        "o_orderdate",
-        F.row_number().over(w).alias("order_number"),
-        F.count(F.lit(1)).over(by_user).alias("n_orders"),
-        F.lag("o_orderdate").over(w).alias("prev_date"),
-    )
+    """Orders numbered per customer by (o_orderdate, o_orderkey).
+
+    Numbering is blocked by calendar day (days are contiguous in that order): a window inside
+    one (customer, day) numbers the day's orders and a window over one summary row per
+    (customer, day) supplies the offset, the customer's total and the previous order date, so a
+    customer with a huge share of all orders is never a single task.
+    """
+    o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"]).select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"), "o_orderdate",
+        F.to_date("o_orderdate").alias("_day"))
+    in_day = Window.partitionBy("user_id", "_day").orderBy("o_orderdate", "order_id")
+    o = (o.withColumn("_rn", F.row_number().over(in_day))
+         .withColumn("_prev_in_day", F.lag("o_orderdate").over(in_day)))
+    days = o.groupBy("user_id", "_day").agg(F.count(F.lit(1)).alias("_c"), F.max("o_orderdate").alias("_last"))
+    by_day = Window.partitionBy("user_id").orderBy("_day")
+    days = days.select(
+        "user_id", "_day",
+        F.coalesce(F.sum("_c").over(by_day.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
+        F.sum("_c").over(Window.partitionBy("user_id")).alias("n_orders"),
+        F.lag("_last").over(by_day).alias("_prev_day_last"))
+    o = o.join(days, ["user_id", "_day"]).select(
+        "order_id", "user_id", "o_orderdate",
+        (F.col("_off") + F.col("_rn")).alias("order_number"),
+        "n_orders",
+        F.when(F.col("_rn") == 1, F.col("_prev_day_last")).otherwise(F.col("_prev_in_day")).alias("prev_date"))
     gap = F.datediff(F.to_date("o_orderdate"), F.to_date("prev_date"))
     return o.select(
         "order_id",
@@ -91,6 +105,9 @@ def build_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def build_lines(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
+    """One line per (order, product); cart position by first line number; ``reordered`` when the
+    customer bought the product in an earlier order (its first order_number is an aggregate, not
+    a window over the pair)."""
     # Several line items of an order may fold onto one product: keep one line per
     # (order, product) at its first line number.
     li = (read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_linenumber"])
@@ -98,14 +115,14 @@ def build_lines(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFram
                    (F.col("l_partkey") % N_PRODUCTS + 1).cast("int").alias("product_id"))
           .agg(F.min("l_linenumber").alias("ln")))
     hdr = orders.select("order_id", "user_id", "order_number", "eval_set")
-    joined = li.join(hdr, "order_id")
     cart = Window.partitionBy("order_id").orderBy("ln", "product_id")
-    seen = Window.partitionBy("user_id", "product_id").orderBy("order_number")
-    return joined.select(
+    joined = li.join(hdr, "order_id").withColumn("add_to_cart_order", F.row_number().over(cart).cast("int"))
+    first = joined.groupBy("user_id", "product_id").agg(F.min("order_number").alias("_first"))
+    return joined.join(first, ["user_id", "product_id"]).select(
         "order_id",
         "product_id",
-        F.row_number().over(cart).cast("int").alias("add_to_cart_order"),
-        F.when(F.row_number().over(seen) > 1, 1).otherwise(0).alias("reordered"),
+        "add_to_cart_order",
+        F.when(F.col("order_number") > F.col("_first"), 1).otherwise(0).alias("reordered"),
         "eval_set",
         "user_id",
         "order_number",
