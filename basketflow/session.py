@@ -50,7 +50,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     name a shared folder, since a machine-local one does not survive the loss of an executor.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    current = configured or sc.getCheckpointDir()
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)

@@ -140,7 +140,7 @@ def build_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stage_root(spark: SparkSession, sf_dir: str) -> str:
-    slug = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
+    slug = hashlib.sha1(f"v2:{sf_dir.rstrip('/')}".encode()).hexdigest()[:12]
     return stage_path(spark, "retail_view", slug)
 
 
@@ -164,5 +164,6 @@ def load_retail(spark: SparkSession, sf_dir: str, stage: bool = False) -> Retail
         return retail
     retail.orders.write.mode("overwrite").parquet(f"{root}/orders")
     retail.products.write.mode("overwrite").parquet(f"{root}/products")
-    retail.lines.write.mode("overwrite").parquet(f"{root}/lines")
+    # Lines are partitioned by eval_set: the prior / train / test filters become partition pruning.
+    retail.lines.write.mode("overwrite").partitionBy("eval_set").parquet(f"{root}/lines")
     return _read_staged(spark, root)
