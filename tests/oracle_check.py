@@ -48,6 +48,19 @@ def rows_of(columns, records):
     return [columns[i] for i in order], sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
+SPARK_CANON = {"IntegerType": "int", "LongType": "bigint", "DoubleType": "double", "StringType": "string",
+               "BooleanType": "boolean", "ShortType": "smallint", "ByteType": "tinyint", "FloatType": "float"}
+DUCK_CANON = {"INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean",
+              "SMALLINT": "smallint", "TINYINT": "tinyint", "FLOAT": "float", "HUGEINT": "hugeint"}
+
+
+def type_mismatches(sdf, res):
+    """Columns whose Spark and DuckDB types differ (after mapping both to one vocabulary)."""
+    s_types = {f.name: SPARK_CANON.get(type(f.dataType).__name__, str(f.dataType)) for f in sdf.schema.fields}
+    d_types = {d[0]: DUCK_CANON.get(str(d[1]), str(d[1])) for d in res.description}
+    return {c: (s_types[c], d_types.get(c)) for c in s_types if s_types[c] != d_types.get(c)}
+
+
 def compare(spark, con, key, fn, sql, sf_dir):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -63,6 +76,9 @@ def compare(spark, con, key, fn, sql, sf_dir):
     problems = []
     if sc != dc:
         problems.append(f"columns differ: spark={sc} duck={dc}")
+    types = type_mismatches(sdf, res)
+    if types:
+        problems.append(f"types differ: {types}")
     if len(sr) != len(dr):
         problems.append(f"rows differ: spark={len(sr)} duck={len(dr)}")
     elif sr != dr:
