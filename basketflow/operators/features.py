@@ -186,7 +186,10 @@ def pair_history(lines_da: DataFrame) -> DataFrame:
     g = _pair_gaps(lines_da)
     return g.groupBy("user_id", "product_id").agg(
         F.count(F.lit(1)).alias("UP_orders"),
-        F.max(F.struct("order_number", "order_id", "order_hour_of_day", "days_ago_since_last")).alias("_last"),
+        # max_by keeps numeric aggregation buffers, so the aggregate stays a HashAggregate.
+        F.max_by("order_id", "order_number").alias("UP_last_order_id"),
+        F.max_by("order_hour_of_day", "order_number").alias("UP_last_order_hour"),
+        F.max_by("days_ago_since_last", "order_number").alias("_last_days_ago"),
         F.sum("add_to_cart_order").alias("UP_sum_pos_in_cart"),
         F.min("order_number").alias("UP_first_order"),
         F.max("order_number").alias("UP_last_order"),
@@ -195,12 +198,7 @@ def pair_history(lines_da: DataFrame) -> DataFrame:
         F.sum(exp_weight("days_ago_since_last")).alias("UP_recency_exp"),
         F.avg("gap").alias("UP_interval_mean"),
         F.stddev_pop("gap").alias("UP_interval_std"),
-    ).select(
-        "*",
-        F.col("_last.order_id").alias("UP_last_order_id"),
-        F.col("_last.order_hour_of_day").alias("UP_last_order_hour"),
-        F.col("_last.days_ago_since_last").alias("_last_days_ago"),
-    ).drop("_last")
+    )
 
 
 def pair_intervals(history: DataFrame) -> DataFrame:

@@ -10,9 +10,19 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
+_checked: dict[tuple, bool] = {}
+
+
 def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (a bounded counting job)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows (a bounded counting job).
+
+    Remembered per (plan, input files, bound) for the session, so a catalogue used by many
+    queries is counted once; new or rewritten input files give a new key.
+    """
+    key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    if key not in _checked:
+        _checked[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _checked[key]
 
 
 def small_dimension(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, bounded_by: DataFrame | None = None) -> DataFrame:
