@@ -71,3 +71,14 @@ def test_gbt_train_score_metrics(spark, retail):
     assert scores.where((F.col("prediction") < 0) | (F.col("prediction") > 1)).count() == 0
     met = md.metrics(model, m.where(F.col("eval_set") == "train")).first()
     assert 0.0 <= met.auc <= 1.0 and np.isfinite(met.logloss)
+
+
+LEARNED = ["m_item_vectors", "m_item_pca", "m_user_factors", "m_train_score_a", "m_train_score_b",
+           "m_metrics", "e_model_decisions"]
+
+
+@pytest.mark.parametrize("key", LEARNED)
+def test_learned_queries_run(spark, key):
+    import __spark_entry__ as entry
+    df = entry.queries()[key](spark, SF001)
+    assert df.count() > 0
