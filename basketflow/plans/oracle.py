@@ -254,12 +254,15 @@ LINES_DA = PRIOR + ["orders_da", "lines_da", "gaps"]
 BASELINE = PRIOR + ["t_orders", "hist"]
 
 
-def with_ctes(names: list[str], body: str) -> str:
+def with_ctes(names: list[str], body: str, extra: str | None = None) -> str:
+    """``body`` preceded by the named CTE fragments (in order) and an optional extra CTE text."""
     seen, parts = set(), []
     for n in names:
         if n not in seen:
             seen.add(n)
             parts.append(CTE[n])
+    if extra:
+        parts.append(extra.strip())
     head = "WITH RECURSIVE " if "select_f1" in seen else "WITH "
     return head + ",\n".join(parts) + "\n" + body
 
@@ -308,13 +311,13 @@ def _q() -> dict[str, str]:
     q["a_product_stats"] = rounded(with_ctes(USERS + ["prod_f"], "SELECT * FROM prod_f"),
                                    ["product_reorder_rate", "product_mean_add_to_cart_position",
                                     "product_reorder_probability"])
-    q["a_purchase_ordinals"] = rounded(with_ctes(PRIOR, """, ords AS (
-  SELECT product_id, row_number() OVER (PARTITION BY user_id, product_id ORDER BY order_number) AS ordinal FROM prior_l)
+    q["a_purchase_ordinals"] = rounded(with_ctes(PRIOR, """
 SELECT product_id, count(*) FILTER (WHERE ordinal = 1) AS prod_buy_first_time_total_cnt,
        count(*) FILTER (WHERE ordinal = 2) AS prod_buy_second_time_total_cnt,
        CAST(count(*) FILTER (WHERE ordinal = 2) AS DOUBLE)
          / nullif(CAST(count(*) FILTER (WHERE ordinal = 1) AS DOUBLE), 0) AS product_reorder_probability
-FROM ords GROUP BY 1""").replace("\n, ords", ",\nords"), ["product_reorder_probability"])
+FROM ords GROUP BY 1""", extra="""ords AS (
+  SELECT product_id, row_number() OVER (PARTITION BY user_id, product_id ORDER BY order_number) AS ordinal FROM prior_l)"""), ["product_reorder_probability"])
     q["a_user_features"] = rounded(with_ctes(USERS, "SELECT * FROM users_f"),
                                    ["user_average_days_between_orders", "user_period", "user_reorder_ratio",
                                     "user_median_basket", "user_average_basket"])
@@ -340,18 +343,18 @@ SELECT eval_set, count(*) AS n_orders, count(DISTINCT user_id) AS n_users FROM r
     q["a_distinct_entities"] = with_ctes(VIEW, """
 SELECT (SELECT count(*) FROM r_orders) AS n_orders, (SELECT count(DISTINCT user_id) FROM r_orders) AS n_users,
        (SELECT count(DISTINCT product_id) FROM r_products) AS n_products""")
-    q["a_history_histogram"] = rounded(with_ctes(VIEW, """, hh AS (
-  SELECT history_len, count(*) AS n_users
-  FROM (SELECT user_id, max(order_number) AS history_len FROM r_orders GROUP BY 1) GROUP BY 1)
+    q["a_history_histogram"] = rounded(with_ctes(VIEW, """
 SELECT history_len, n_users,
        CAST(sum(history_len * n_users) OVER () AS DOUBLE) / sum(n_users) OVER () AS avg_history_len
-FROM hh ORDER BY n_users DESC, history_len LIMIT 80""").replace("\n, hh", ",\nhh"), ["avg_history_len"])
-    q["a_basket_histogram"] = rounded(with_ctes(PRIOR, """, bh AS (
-  SELECT basket_size, count(*) AS n_orders
-  FROM (SELECT order_id, max(add_to_cart_order) AS basket_size FROM prior_l GROUP BY 1) GROUP BY 1)
+FROM hh ORDER BY n_users DESC, history_len LIMIT 80""", extra="""hh AS (
+  SELECT history_len, count(*) AS n_users
+  FROM (SELECT user_id, max(order_number) AS history_len FROM r_orders GROUP BY 1) GROUP BY 1)"""), ["avg_history_len"])
+    q["a_basket_histogram"] = rounded(with_ctes(PRIOR, """
 SELECT basket_size, n_orders,
        CAST(sum(basket_size * n_orders) OVER () AS DOUBLE) / sum(n_orders) OVER () AS avg_basket_size
-FROM bh""").replace("\n, bh", ",\nbh"), ["avg_basket_size"])
+FROM bh""", extra="""bh AS (
+  SELECT basket_size, count(*) AS n_orders
+  FROM (SELECT order_id, max(add_to_cart_order) AS basket_size FROM prior_l GROUP BY 1) GROUP BY 1)"""), ["avg_basket_size"])
     for key, col in (("a_orders_by_hour", "order_hour_of_day"), ("a_orders_by_dow", "order_dow"),
                      ("a_orders_by_gap", "days_since_prior_order")):
         q[key] = with_ctes(VIEW, f"SELECT {col}, count(*) AS n_orders FROM r_orders WHERE {col} IS NOT NULL GROUP BY 1")
@@ -367,29 +370,28 @@ SELECT p.product_name, CAST(sum(c.cnt) AS BIGINT) AS frequency_count
 FROM (SELECT product_id, count(*) AS cnt FROM prior_l GROUP BY 1) c
 LEFT JOIN r_products p ON c.product_id = p.product_id
 GROUP BY 1 ORDER BY frequency_count DESC, p.product_name LIMIT 20""")
-    rates = """, rates AS (
+    rates = """rates AS (
   SELECT s.product_id, s.reordered, s.order_cnt, CAST(s.reordered AS DOUBLE) / s.order_cnt AS reorder_rate, p.product_name
   FROM (SELECT l.product_id, CAST(sum(l.reordered) AS BIGINT) AS reordered, count(*) AS order_cnt
         FROM prior_l l JOIN r_orders o ON l.order_id = o.order_id GROUP BY 1) s
   LEFT JOIN r_products p ON s.product_id = p.product_id
   WHERE s.order_cnt > 100)"""
-    q["a_reorder_rate_rank"] = rounded(with_ctes(PRIOR, rates + """
-SELECT * FROM rates ORDER BY reorder_rate DESC, product_id LIMIT 10""").replace("\n, rates", ",\nrates"),
+    q["a_reorder_rate_rank"] = rounded(with_ctes(PRIOR, """
+SELECT * FROM rates ORDER BY reorder_rate DESC, product_id LIMIT 10""", extra=rates),
         ["reorder_rate"])
-    q["a_reorder_rate_bottom"] = rounded(with_ctes(PRIOR, rates + """
-SELECT * FROM rates ORDER BY reorder_rate ASC, product_id DESC LIMIT 10""").replace("\n, rates", ",\nrates"),
+    q["a_reorder_rate_bottom"] = rounded(with_ctes(PRIOR, """
+SELECT * FROM rates ORDER BY reorder_rate ASC, product_id DESC LIMIT 10""", extra=rates),
         ["reorder_rate"])
     q["a_reorder_by_cart_pos"] = rounded(with_ctes(PRIOR, """
 SELECT least(add_to_cart_order, 60) AS add_to_cart_order_mod, avg(reordered) AS reorder_ratio
 FROM prior_l GROUP BY 1"""), ["reorder_ratio"])
-    q["a_user_reordered_lists"] = with_ctes(PRIOR, """, tg AS (SELECT order_id, user_id, order_number FROM r_orders WHERE eval_set <> 'prior'),
+    q["a_user_reordered_lists"] = with_ctes(PRIOR, """
+SELECT *, CAST(sum(n_times) OVER (PARTITION BY order_id) AS BIGINT) AS num_products_reordered FROM rl""", extra="""tg AS (SELECT order_id, user_id, order_number FROM r_orders WHERE eval_set <> 'prior'),
 rl AS (
   SELECT t.order_id, t.user_id, t.order_number, l.product_id, count(*) AS n_times
   FROM tg t JOIN r_orders o ON o.user_id = t.user_id AND o.eval_set = 'prior'
   JOIN prior_l l ON l.order_id = o.order_id
-  WHERE l.reordered = 1 GROUP BY 1, 2, 3, 4)
-SELECT *, CAST(sum(n_times) OVER (PARTITION BY order_id) AS BIGINT) AS num_products_reordered FROM rl""").replace(
-        "\n, tg", ",\ntg")
+  WHERE l.reordered = 1 GROUP BY 1, 2, 3, 4)""")
     q["u_basket_sentences"] = with_ctes(VIEW, """
 SELECT order_id, string_agg(CAST(product_id AS VARCHAR), ' ' ORDER BY add_to_cart_order) AS sentence, count(*) AS n_tokens
 FROM r_lines WHERE eval_set IN ('prior', 'train') GROUP BY 1""")
