@@ -40,6 +40,8 @@ def reordered_history(r: Retail) -> DataFrame:
 N_COMPONENTS = 100
 SEED = 42
 EPS = 1e-10
+# Largest H (products x k doubles, in bytes) shipped to every task as a broadcast.
+H_BROADCAST_MAX_BYTES = 512 * 1024 * 1024
 
 
 def reorder_counts(r: Retail) -> DataFrame:
@@ -121,6 +123,13 @@ def user_factors(x: DataFrame, k: int = N_COMPONENTS, iterations: int = 30, seed
     if w_init is not None:
         w = w_init.select("user_id", F.col("w").cast("array<double>").alias("w"))
     w = w.checkpoint()
+    # H's size is known exactly (products x k doubles): broadcast it only under the bound,
+    # otherwise leave the join to the planner.
+    h_bytes = n_prod * k * 8
+
+    def h_side(df):
+        return F.broadcast(df) if h_bytes <= H_BROADCAST_MAX_BYTES else df
+
     errors = []
     for it in range(iterations):
         # --- H update: H <- H * (W'X) / (W'W H)
@@ -137,7 +146,7 @@ def user_factors(x: DataFrame, k: int = N_COMPONENTS, iterations: int = 30, seed
         # --- W update: W <- W * (X H') / (W H H')
         hdf = spark.createDataFrame([(p, h[:, i].tolist()) for p, i in col_of.items()],
                                     "product_id int, h array<double>")
-        xh = (x.join(F.broadcast(hdf), "product_id")
+        xh = (x.join(h_side(hdf), "product_id")
               .select("user_id", array_to_vector(F.transform("h", lambda v: v * F.col("cnt"))).alias("v"))
               .groupBy("user_id").agg(Summarizer.sum(F.col("v")).alias("s"))
               .select("user_id", vector_to_array("s").alias("xh")))
@@ -145,7 +154,7 @@ def user_factors(x: DataFrame, k: int = N_COMPONENTS, iterations: int = 30, seed
         if (it + 1) % checkpoint_every == 0 or it == iterations - 1:
             w = w.checkpoint()
             # ||X - WH||^2 = ||X||^2 - 2 <X, WH> + <W'W, HH'>, all from small reductions.
-            cross = (x.join(w, "user_id").join(F.broadcast(hdf), "product_id")
+            cross = (x.join(w, "user_id").join(h_side(hdf), "product_id")
                      .select((F.col("cnt") * F.aggregate(F.zip_with("w", "h", lambda a, b: a * b), F.lit(0.0),
                                                          lambda acc, v: acc + v)).alias("c"))
                      .agg(F.sum("c")).first()[0]) or 0.0

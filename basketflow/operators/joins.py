@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # Largest dimension (rows) hinted for broadcast; above it the join is left to the planner
 # (sort-merge, or a broadcast chosen by AQE from measured stage sizes).
-BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_ROWS = 1_000_000
 
 
 _checked: dict[tuple, bool] = {}
