@@ -130,6 +130,12 @@ def user_factors(x: DataFrame, k: int = N_COMPONENTS, iterations: int = 30, seed
     def h_side(df):
         return F.broadcast(df) if h_bytes <= H_BROADCAST_MAX_BYTES else df
 
+    def gram(wdf):
+        """W'W: per-partition partial Gram matrices, summed on the executors; one k x k row returns."""
+        partial = wdf.select("w").mapInPandas(_gram_partials(k), "g array<double>")
+        total = partial.select(array_to_vector("g").alias("g")).agg(Summarizer.sum(F.col("g")).alias("s")).first()
+        return np.asarray(total["s"].toArray()).reshape(k, k)
+
     errors = []
     for it in range(iterations):
         # --- H update: H <- H * (W'X) / (W'W H)
@@ -140,8 +146,7 @@ def user_factors(x: DataFrame, k: int = N_COMPONENTS, iterations: int = 30, seed
         wtx = np.zeros((k, n_prod))
         for row in wx:
             wtx[:, col_of[row["product_id"]]] = row["s"]
-        parts = w.select("w").mapInPandas(_gram_partials(k), "g array<double>").collect()
-        wtw = np.sum([np.asarray(p["g"]).reshape(k, k) for p in parts], axis=0)
+        wtw = gram(w)
         h = h * wtx / (wtw @ h + EPS)
         # --- W update: W <- W * (X H') / (W H H')
         hdf = spark.createDataFrame([(p, h[:, i].tolist()) for p, i in col_of.items()],
@@ -158,8 +163,7 @@ def user_factors(x: DataFrame, k: int = N_COMPONENTS, iterations: int = 30, seed
                      .select((F.col("cnt") * F.aggregate(F.zip_with("w", "h", lambda a, b: a * b), F.lit(0.0),
                                                          lambda acc, v: acc + v)).alias("c"))
                      .agg(F.sum("c")).first()[0]) or 0.0
-            parts = w.select("w").mapInPandas(_gram_partials(k), "g array<double>").collect()
-            wtw = np.sum([np.asarray(p["g"]).reshape(k, k) for p in parts], axis=0)
+            wtw = gram(w)
             errors.append(float(x_sq - 2 * cross + np.sum(wtw * (h @ h.T))))
     return w, h, errors
 
