@@ -96,6 +96,7 @@ def user_factors(x: DataFrame, k: int = N_COMPONENTS, iterations: int = 30, seed
     (k x products in ascending product_id order) replace the random start.
     """
     import numpy as np
+    from pyspark import StorageLevel
     from pyspark.ml.functions import array_to_vector, vector_to_array
     from pyspark.ml.stat import Summarizer
 
@@ -155,9 +156,17 @@ def user_factors(x: DataFrame, k: int = N_COMPONENTS, iterations: int = 30, seed
               .select("user_id", array_to_vector(F.transform("h", lambda v: v * F.col("cnt"))).alias("v"))
               .groupBy("user_id").agg(Summarizer.sum(F.col("v")).alias("s"))
               .select("user_id", vector_to_array("s").alias("xh")))
-        w = w.join(xh, "user_id").mapInPandas(_w_update(h @ h.T), "user_id long, w array<double>")
+        new_w = w.join(xh, "user_id").mapInPandas(_w_update(h @ h.T), "user_id long, w array<double>")
+        # Each W is computed once: persisted (and materialised) every iteration, written to the
+        # shared folder every ``checkpoint_every`` iterations so the lineage stays short.
+        if (it + 1) % checkpoint_every == 0 or it == iterations - 1:
+            new_w = new_w.checkpoint()
+        else:
+            new_w = new_w.persist(StorageLevel.MEMORY_AND_DISK)
+            new_w.count()
+        w.unpersist()
+        w = new_w
         if (it + 1) % checkpoint_every == 0 or it == iterations - 1:
-            w = w.checkpoint()
             # ||X - WH||^2 = ||X||^2 - 2 <X, WH> + <W'W, HH'>, all from small reductions.
             cross = (x.join(w, "user_id").join(h_side(hdf), "product_id")
                      .select((F.col("cnt") * F.aggregate(F.zip_with("w", "h", lambda a, b: a * b), F.lit(0.0),
