@@ -18,11 +18,6 @@ def ratio(num, den) -> Column:
     return F.try_divide(num.cast("double"), den.cast("double"))
 
 
-def order_weight(order_number, nb_orders) -> Column:
-    """1 + order_number / nb_orders: later orders weigh more."""
-    return F.lit(1.0) + ratio(order_number, nb_orders)
-
-
 def day_weight(days_ago) -> Column:
     """1 / (days_ago + 1)."""
     return F.lit(1.0) / (F.col(days_ago).cast("double") + 1.0)
@@ -44,11 +39,6 @@ def id_list_string(arr: Column) -> Column:
     return F.array_join(F.transform(arr, lambda x: x.cast("string")), " ")
 
 
-def with_none_token(ids: Column, add_none: Column) -> Column:
-    """Prefix the ``None`` token when ``add_none`` is true."""
-    return F.when(add_none, F.concat_ws(" ", F.lit(NONE_TOKEN), ids)).otherwise(ids)
-
-
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every float/double column: results compared across engines carry the same digits."""
     cols = []

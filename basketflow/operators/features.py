@@ -56,11 +56,6 @@ def days_ago(orders: DataFrame) -> DataFrame:
             .drop("_run", "_tot"))
 
 
-def basket_sizes(lines: DataFrame) -> DataFrame:
-    """Basket size of each order with lines = max(add_to_cart_order)."""
-    return lines.groupBy("order_id").agg(F.max("add_to_cart_order").alias("basket_size"))
-
-
 def days_since_ratio(orders: DataFrame, users: DataFrame) -> DataFrame:
     """D1 + P9: days_since_prior_order / the user's mean gap (users computed first)."""
     u = users.select("user_id", "user_average_days_between_orders")
@@ -115,6 +110,7 @@ def user_features(orders: DataFrame, lines: DataFrame, products: DataFrame,
 
 
 def basket_sizes_by_user(lines: DataFrame) -> DataFrame:
+    """Basket size of each order with lines = max(add_to_cart_order), keyed by user."""
     return lines.groupBy("user_id", "order_id").agg(F.max("add_to_cart_order").alias("basket_size"))
 
 

@@ -101,11 +101,31 @@ def m_metrics(spark, sf_dir):
     return out.select("model", "auc", "logloss")
 
 
-@query("e_model_decisions")
-def e_model_decisions(spark, sf_dir):
-    """The full path: two trainers, blended 0.7 / 0.3, floor, expected-F1 selection per test order."""
-    m = _matrix(spark, sf_dir)
+def _model_decisions(m):
     test = m.where(F.col("eval_set") == "test")
     a = md.score(md.train(m, LOCAL_A), test)
     b = md.score(md.train(m, LOCAL_B), test)
     return dc.select_max_f1(dc.blend_scores(a, b))
+
+
+@query("e_model_decisions")
+def e_model_decisions(spark, sf_dir):
+    """The full path: two trainers, blended 0.7 / 0.3, floor, expected-F1 selection per test order."""
+    return _model_decisions(_matrix(spark, sf_dir))
+
+
+@query("e_model_mean_f1")
+def e_model_mean_f1(spark, sf_dir):
+    """E5 on the full path: mean F1 of the model decisions against the hidden test orders,
+    next to the two baselines on the same orders."""
+    r = _retail(spark, sf_dir)
+    test_orders = r.orders.where(F.col("eval_set") == "test")
+    truth = dc.ground_truth(r.test, test_orders)
+    prior = r.lines_of("prior", with_header=True)
+    rows = [dc.mean_f1(_model_decisions(_matrix(spark, sf_dir)), truth).withColumn("method", F.lit("models")),
+            dc.mean_f1(dc.repeat_last_order(prior, r.orders), truth).withColumn("method", F.lit("repeat_last_order")),
+            dc.mean_f1(dc.top_k_products(prior, r.orders), truth).withColumn("method", F.lit("top_k_products"))]
+    out = rows[0]
+    for more in rows[1:]:
+        out = out.unionByName(more)
+    return out.select("method", "mean_f1", "n_orders")

@@ -74,7 +74,7 @@ def test_gbt_train_score_metrics(spark, retail):
 
 
 LEARNED = ["m_item_vectors", "m_item_pca", "m_user_factors", "m_train_score_a", "m_train_score_b",
-           "m_metrics", "e_model_decisions"]
+           "m_metrics", "e_model_decisions", "e_model_mean_f1"]
 
 
 @pytest.mark.parametrize("key", LEARNED)
