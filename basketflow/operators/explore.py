@@ -29,12 +29,16 @@ def eval_set_counts(orders: DataFrame) -> DataFrame:
 
 
 def distinct_entities(orders: DataFrame, products: DataFrame) -> DataFrame:
-    """Scale of the data set, one row."""
-    o = orders.groupBy(F.lit(1).alias("_k")).agg(
-        F.count(F.lit(1)).alias("n_orders"), F.count_distinct("user_id").alias("n_users"))
-    p = products.groupBy(F.lit(1).alias("_k")).agg(F.count_distinct("product_id").alias("n_products"))
-    # Two one-row aggregates matched on a constant key.
-    return o.join(p, "_k").drop("_k")
+    """Scale of the data set, one row: one aggregate over the union of the two
+    projections (an order marker with user_id, and product_id), so no join is needed."""
+    o = orders.select(F.lit(1).alias("_o"), F.col("user_id"), F.lit(None).cast("int").alias("product_id"))
+    p = products.select(F.lit(None).cast("int").alias("_o"), F.lit(None).cast(orders.schema["user_id"].dataType)
+                        .alias("user_id"), F.col("product_id"))
+    return o.unionByName(p).agg(
+        F.count("_o").alias("n_orders"),
+        F.count_distinct("user_id").alias("n_users"),
+        F.count_distinct("product_id").alias("n_products"),
+    )
 
 
 def history_histogram(orders: DataFrame, top: int = HISTORY_TOP) -> DataFrame:
