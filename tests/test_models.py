@@ -82,3 +82,14 @@ def test_learned_queries_run(spark, key):
     import __spark_entry__ as entry
     df = entry.queries()[key](spark, SF001)
     assert df.count() > 0
+
+
+def test_run_all_end_to_end(spark, tmp_path):
+    from basketflow.run import LOCAL_PRESETS, run_all
+    from basketflow.operators import model as md
+    presets = tuple(md.quick(p, max_iter=3, max_depth=3) for p in LOCAL_PRESETS)
+    ev = {r.method: r for r in run_all(spark, SF001, str(tmp_path / "run"), presets, nmf_iterations=2).collect()}
+    assert set(ev) == {"models", "repeat_last_order", "top_k_products"}
+    assert all(0.0 <= r.mean_f1 <= 1.0 and r.n_orders > 0 for r in ev.values())
+    decisions = spark.read.option("header", True).csv(str(tmp_path / "run" / "decisions.csv"))
+    assert decisions.count() > 0
