@@ -140,7 +140,7 @@ def build_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stage_root(spark: SparkSession, sf_dir: str) -> str:
-    slug = hashlib.sha1(f"v2:{sf_dir.rstrip('/')}".encode()).hexdigest()[:12]
+    slug = hashlib.sha1(f"v3:{sf_dir.rstrip('/')}".encode()).hexdigest()[:12]
     return stage_path(spark, "retail_view", slug)
 
 
@@ -159,11 +159,14 @@ def load_retail(spark: SparkSession, sf_dir: str, stage: bool = False) -> Retail
         if got is not None:
             return got
     orders = build_orders(spark, sf_dir)
-    retail = Retail(orders, build_lines(spark, sf_dir, orders), build_products(spark, sf_dir))
     if not stage:
-        return retail
-    retail.orders.write.mode("overwrite").parquet(f"{root}/orders")
-    retail.products.write.mode("overwrite").parquet(f"{root}/products")
+        return Retail(orders, build_lines(spark, sf_dir, orders), build_products(spark, sf_dir))
+    # Orders first: the lines are then built from the staged orders instead of re-deriving the
+    # per-customer numbering inside the lines job.
+    orders.write.mode("overwrite").parquet(f"{root}/orders")
+    orders = spark.read.parquet(f"{root}/orders")
+    build_products(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/products")
     # Lines are partitioned by eval_set: the prior / train / test filters become partition pruning.
-    retail.lines.write.mode("overwrite").partitionBy("eval_set").parquet(f"{root}/lines")
+    (build_lines(spark, sf_dir, orders).write.mode("overwrite")
+     .partitionBy("eval_set").parquet(f"{root}/lines"))
     return _read_staged(spark, root)
