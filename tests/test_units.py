@@ -49,6 +49,13 @@ def test_expected_f1_equals_enumeration(n):
     assert np.allclose(dc.expected_f1_table(p), _enumerate(p))
 
 
+@pytest.mark.parametrize("n", [1, 4, 8])
+def test_expected_f1_loop_path_equals_enumeration(monkeypatch, n):
+    monkeypatch.setattr(dc, "VECTORISED_MAX_N", 0)
+    p = np.sort(np.random.default_rng(100 + n).random(n))[::-1]
+    assert np.allclose(dc.expected_f1_table(p), _enumerate(p))
+
+
 def test_best_choice_prefers_none_row_then_smaller_k():
     table = np.array([[0.5, 0.2], [0.5, 0.5]])
     assert dc.best_choice(table) == (0, True, 0.5)
