@@ -6,7 +6,7 @@ Steps (each writes Parquet stage tables or CSV files under ``--output``, which o
 be a shared folder; by default a folder under ``spark.checkpoint.dir``):
 
   1. retail view                         -> view/ (orders, lines partitioned by eval_set, products)
-  2. feature groups                      -> features/<group>
+  2. feature groups                      -> features/<group> (shared intermediates staged first)
   3. basket sentences, Word2Vec, PCA     -> features/product_vectors, models/word2vec
   4. feature matrix                      -> matrix/ (partitioned by eval_set)
   5. two boosted-tree trainers           -> models/gbt_a, models/gbt_b, predictions/a, predictions/b
@@ -34,7 +34,8 @@ from basketflow.operators import matrix as mx
 from basketflow.operators import model as md
 from basketflow.session import get_spark, stage_path
 from basketflow.sources import stage as st
-from basketflow.sources.retail_view import Retail, load_retail
+from basketflow.sources import retail_view as rv
+from basketflow.sources.retail_view import Retail
 
 LOCAL_PRESETS = (md.quick(md.PRESET_A, max_iter=20, max_depth=6), md.quick(md.PRESET_B, max_iter=20))
 FULL_PRESETS = (md.PRESET_A, md.PRESET_B)
@@ -51,15 +52,21 @@ def run_all(spark: SparkSession, input_dir: str, output_dir: str | None = None,
     out = output_dir or stage_path(spark, "run")
     j = lambda *p: os.path.join(out, *p)
 
-    # 1. view
-    r = load_retail(spark, input_dir)
-    retail = Retail(_staged(spark, r.orders, j("view", "orders")),
-                    _staged(spark, r.lines, j("view", "lines"), ["eval_set"]),
-                    _staged(spark, r.products, j("view", "products")))
+    # 1. view: orders first, lines derived from the staged orders
+    orders = _staged(spark, rv.build_orders(spark, input_dir), j("view", "orders"))
+    retail = Retail(orders,
+                    _staged(spark, rv.build_lines(spark, input_dir, orders), j("view", "lines"), ["eval_set"]),
+                    _staged(spark, rv.build_products(spark, input_dir), j("view", "products")))
 
-    # 2. feature groups
-    t = mx.feature_tables(retail)
-    t = mx.FeatureTables(**{name: _staged(spark, df, j("features", name)) for name, df in vars(t).items()})
+    # 2. feature groups; the intermediates several groups read are staged first
+    staged = set()
+
+    def keep(df, name):
+        staged.add(name)
+        return _staged(spark, df, j("features", name))
+
+    t = mx.feature_tables(retail, materialize=keep)
+    t = mx.FeatureTables(**{name: df if name in staged else keep(df, name) for name, df in vars(t).items()})
 
     # 3. item vectors
     w2v, vectors = em.item_vectors(em.basket_sentences(retail.prior, retail.train))
