@@ -206,3 +206,16 @@ def test_with_header_matches_view_columns(spark):
     a = ft.user_features(r.orders, enriched, r.products)
     b = ft.user_features(r.orders, plain, r.products)
     assert a.exceptAll(b.select(a.columns)).count() == 0
+
+
+def test_view_counts_match_fixture_figures(spark):
+    """The retail view at sf0.01 has the sizes FIXTURES.md states for the mapping."""
+    from basketflow.sources.retail_view import load_retail
+    r = load_retail(spark, SF01)
+    orders = {x[0]: x[1] for x in r.orders.groupBy("eval_set").count().collect()}
+    lines = {x[0]: x[1] for x in r.lines.groupBy("eval_set").count().collect()}
+    reordered = {x[0]: x[1] for x in r.lines.where("reordered = 1").groupBy("eval_set").count().collect()}
+    assert orders == {"prior": 13500, "train": 1000, "test": 500}
+    assert lines == {"prior": 51992, "train": 3803, "test": 1896}
+    assert reordered == {"prior": 14488, "train": 1894, "test": 926}
+    assert r.lines.select("user_id", "product_id").distinct().count() == 40383
