@@ -42,7 +42,13 @@ def with_header(lines: DataFrame, orders: DataFrame, cols=("user_id", "order_num
 
 # ---------------------------------------------------------------- orders
 
-def days_ago(orders: DataFrame) -> DataFrame:
+def order_bound(orders: DataFrame):
+    """Largest order_number: the bound that lets the order scans run as plain windows when no
+    history reaches a second block (see basketflow.operators.sequences)."""
+    return seq.max_value(orders, "order_number")
+
+
+def days_ago(orders: DataFrame, max_order=None) -> DataFrame:
     """W1 + W2 + P10: days between each order and the user's last order.
 
     cum = running sum of days_since_prior_order over the user's orders (NULLs skipped), set to 0
@@ -50,7 +56,8 @@ def days_ago(orders: DataFrame) -> DataFrame:
     Gaps are never negative, so max(cum) is the user's total. The running sum is blocked
     (basketflow.operators.sequences), so a user with a huge history is not one task.
     """
-    o = seq.running_sum(orders, ["user_id"], "order_number", "days_since_prior_order", "_run", total_col="_tot")
+    o = seq.running_sum(orders, ["user_id"], "order_number", "days_since_prior_order", "_run", total_col="_tot",
+                        max_order=max_order)
     cum = F.when(F.col("days_since_prior_order").isNull(), F.lit(0.0)).otherwise(F.col("_run"))
     return (o.withColumn("days_ago_since_last", (F.coalesce("_tot", F.lit(0.0)) - cum).cast("int"))
             .drop("_run", "_tot"))
@@ -151,23 +158,24 @@ def lines_with_days_ago(lines: DataFrame, orders_days_ago: DataFrame) -> DataFra
                       "order_id")
 
 
-def _pair_gaps(lines_da: DataFrame) -> DataFrame:
+def _pair_gaps(lines_da: DataFrame, max_order=None) -> DataFrame:
     """Gap in days to the previous purchase of the same pair (NULL on the first one).
 
     A blocked lag: a (user, product) pair bought in a large share of all orders is still
     spread over bounded partitions."""
-    x = seq.lag(lines_da, ["user_id", "product_id"], "order_number", "days_ago_since_last", "_prev_da")
+    x = seq.lag(lines_da, ["user_id", "product_id"], "order_number", "days_ago_since_last", "_prev_da",
+                max_order=max_order)
     return x.withColumn("gap", F.col("_prev_da") - F.col("days_ago_since_last")).drop("_prev_da")
 
 
-def product_gaps(lines_da: DataFrame) -> DataFrame:
+def product_gaps(lines_da: DataFrame, max_order=None) -> DataFrame:
     """Per product mean, population std, skewness and excess kurtosis of purchase gaps.
 
     The lag runs per (user, product) pair, then the moments are reduced by product from partial
     aggregates. Products without any repeat purchase have no row; zero variance gives NULL
     skewness / kurtosis.
     """
-    g = _pair_gaps(lines_da).where(F.col("gap").isNotNull())
+    g = _pair_gaps(lines_da, max_order).where(F.col("gap").isNotNull())
     return g.groupBy("product_id").agg(
         F.avg("gap").alias("frequency_mean"),
         F.stddev_pop("gap").alias("frequency_std"),
@@ -176,10 +184,10 @@ def product_gaps(lines_da: DataFrame) -> DataFrame:
     )
 
 
-def pair_history(lines_da: DataFrame) -> DataFrame:
+def pair_history(lines_da: DataFrame, max_order=None) -> DataFrame:
     """One pass over each (user, product) purchase sequence: the accumulators of A13 and the
     gap statistics of A16-A18 share the lag window and a single aggregation."""
-    g = _pair_gaps(lines_da)
+    g = _pair_gaps(lines_da, max_order)
     return g.groupBy("user_id", "product_id").agg(
         F.count(F.lit(1)).alias("UP_orders"),
         # max_by keeps numeric aggregation buffers, so the aggregate stays a HashAggregate.

@@ -5,6 +5,10 @@ the ordering column is cut into contiguous blocks: the window runs inside (key,
 most ``block_size`` rows - and a second window runs over one summary row per block, so a key
 with a billion rows becomes many bounded partitions plus a short list of block summaries.
 The big table is shuffled once, by (key, block); only block summaries move afterwards.
+
+When a bound of the ordering column is known and below the block size (``max_order``, from a
+cheap global max over the order table), no key can hold more than one block of rows and the
+plain window is used instead: same result, no summary pass.
 """
 
 from __future__ import annotations
@@ -15,6 +19,23 @@ from pyspark.sql import functions as F
 # Rows of one key per block: a whole history of a typical user fits in block 0.
 BLOCK_SIZE = 1024
 _B = "_blk"
+_max_seen: dict[tuple, object] = {}
+
+
+def max_value(df: DataFrame, col: str):
+    """Global maximum of ``col`` (one small job, remembered per plan and input files).
+
+    Used as a bound: when every value of the ordering column is below ``BLOCK_SIZE`` no key
+    can hold more than one block of rows, and the scans below run as plain windows.
+    """
+    key = (df.semanticHash(), tuple(sorted(df.inputFiles())), col)
+    if key not in _max_seen:
+        _max_seen[key] = df.agg(F.max(col)).first()[0]
+    return _max_seen[key]
+
+
+def _one_block(max_order, block_size: int) -> bool:
+    return max_order is not None and max_order < block_size
 
 
 def _blocked(df: DataFrame, order_col: str, block_size: int) -> DataFrame:
@@ -22,9 +43,16 @@ def _blocked(df: DataFrame, order_col: str, block_size: int) -> DataFrame:
 
 
 def running_sum(df: DataFrame, keys: list[str], order_col: str, value_col: str, out_col: str,
-                total_col: str | None = None, block_size: int = BLOCK_SIZE) -> DataFrame:
+                total_col: str | None = None, block_size: int = BLOCK_SIZE, max_order=None) -> DataFrame:
     """Add ``out_col`` = sum of ``value_col`` over the key's rows up to this one (by ``order_col``),
-    NULLs skipped (NULL while no value has been seen); optionally ``total_col`` = the key's total."""
+    NULLs skipped (NULL while no value has been seen); optionally ``total_col`` = the key's total.
+
+    ``max_order``: a known upper bound of ``order_col`` (see :func:`max_value`); below the block
+    size every key is one block and a plain window is used."""
+    if _one_block(max_order, block_size):
+        w = Window.partitionBy(*keys).orderBy(order_col)
+        x = df.withColumn(out_col, F.sum(value_col).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        return x.withColumn(total_col, F.sum(value_col).over(Window.partitionBy(*keys))) if total_col else x
     x = _blocked(df, order_col, block_size)
     inner = Window.partitionBy(*keys, _B).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
     x = x.withColumn("_in", F.sum(value_col).over(inner))
@@ -42,8 +70,11 @@ def running_sum(df: DataFrame, keys: list[str], order_col: str, value_col: str,
 
 
 def lag(df: DataFrame, keys: list[str], order_col: str, value_col: str, out_col: str,
-        block_size: int = BLOCK_SIZE) -> DataFrame:
-    """Add ``out_col`` = ``value_col`` of the key's previous row by ``order_col`` (NULL on the first)."""
+        block_size: int = BLOCK_SIZE, max_order=None) -> DataFrame:
+    """Add ``out_col`` = ``value_col`` of the key's previous row by ``order_col`` (NULL on the first).
+    ``max_order`` as in :func:`running_sum`."""
+    if _one_block(max_order, block_size):
+        return df.withColumn(out_col, F.lag(value_col).over(Window.partitionBy(*keys).orderBy(order_col)))
     x = _blocked(df, order_col, block_size)
     inner = Window.partitionBy(*keys, _B).orderBy(order_col)
     x = x.withColumn("_lag", F.lag(value_col).over(inner)).withColumn("_first", F.row_number().over(inner) == 1)

@@ -78,7 +78,8 @@ def s_scan_products(spark, sf_dir):
 
 @query("w_days_ago")
 def w_days_ago(spark, sf_dir):
-    return ft.days_ago(_retail(spark, sf_dir).orders).select(
+    r = _retail(spark, sf_dir)
+    return ft.days_ago(r.orders, ft.order_bound(r.orders)).select(
         "order_id", "user_id", "order_number", "days_ago_since_last")
 
 
@@ -150,30 +151,35 @@ def w_days_since_ratio(spark, sf_dir):
 
 
 def _lines_da(r: Retail) -> DataFrame:
-    return ft.lines_with_days_ago(_prior(r), ft.days_ago(r.orders))
+    return ft.lines_with_days_ago(_prior(r), ft.days_ago(r.orders, ft.order_bound(r.orders)))
 
 
 @query("a_product_gaps")
 def a_product_gaps(spark, sf_dir):
-    return _out(ft.product_gaps(_lines_da(_retail(spark, sf_dir))))
+    r = _retail(spark, sf_dir)
+    return _out(ft.product_gaps(_lines_da(r), ft.order_bound(r.orders)))
 
 
 @query("a_user_product")
 def a_user_product(spark, sf_dir):
     r = _retail(spark, sf_dir)
     users = ft.user_features(r.orders, _prior(r), r.products)
-    return _out(ft.user_product_features(ft.pair_history(_lines_da(r)), users).drop("UP_last_order_hour"))
+    hist = ft.pair_history(_lines_da(r), ft.order_bound(r.orders))
+    return _out(ft.user_product_features(hist, users).drop("UP_last_order_hour"))
 
 
 @query("a_pair_intervals")
 def a_pair_intervals(spark, sf_dir):
-    return _out(ft.pair_intervals(ft.pair_history(_lines_da(_retail(spark, sf_dir)))).drop("UP_order_number_skew"))
+    r = _retail(spark, sf_dir)
+    hist = ft.pair_history(_lines_da(r), ft.order_bound(r.orders))
+    return _out(ft.pair_intervals(hist).drop("UP_order_number_skew"))
 
 
 @query("a_pair_skew")
 def a_pair_skew(spark, sf_dir):
-    return _out(ft.pair_intervals(ft.pair_history(_lines_da(_retail(spark, sf_dir))))
-                .select("user_id", "product_id", "UP_order_number_skew"))
+    r = _retail(spark, sf_dir)
+    hist = ft.pair_history(_lines_da(r), ft.order_bound(r.orders))
+    return _out(ft.pair_intervals(hist).select("user_id", "product_id", "UP_order_number_skew"))
 
 
 @query("w_order_streak")

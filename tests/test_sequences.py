@@ -21,16 +21,18 @@ def skewed(spark):
     return spark.createDataFrame(rows, "k long, o long, v double, basket int")
 
 
-@pytest.mark.parametrize("block", [1, 3, 16, 1024])
-def test_running_sum_and_lag(spark, skewed, block):
+@pytest.mark.parametrize("block, bound", [(1, None), (3, None), (16, None), (1024, None), (4096, "max")])
+def test_running_sum_and_lag(spark, skewed, block, bound):
     w = Window.partitionBy("k").orderBy("o")
     want = skewed.select(
         "k", "o",
         F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("run"),
         F.sum("v").over(Window.partitionBy("k")).alias("tot"),
         F.lag("v").over(w).alias("prev"))
-    got = seq.running_sum(skewed, ["k"], "o", "v", "run", total_col="tot", block_size=block)
-    got = seq.lag(got, ["k"], "o", "v", "prev", block_size=block).select("k", "o", "run", "tot", "prev")
+    max_order = seq.max_value(skewed, "o") if bound else None   # "max": plain-window path
+    got = seq.running_sum(skewed, ["k"], "o", "v", "run", total_col="tot", block_size=block, max_order=max_order)
+    got = seq.lag(got, ["k"], "o", "v", "prev", block_size=block, max_order=max_order)
+    got = got.select("k", "o", "run", "tot", "prev")
     assert sorted(want.collect()) == sorted(got.collect())
 
 
