@@ -91,8 +91,12 @@ def pair_counts(lines: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- users
 
 def user_features(orders: DataFrame, lines: DataFrame, products: DataFrame,
-                  pairs: DataFrame | None = None) -> DataFrame:
-    """One row per user with an order; line-based columns NULL for users without prior lines."""
+                  pairs: DataFrame | None = None, max_order=None) -> DataFrame:
+    """One row per user with an order; line-based columns NULL for users without prior lines.
+
+    The median basket: a user has at most ``max_order`` baskets; below the block size Spark's
+    ``median`` (which buffers a group's values) is bounded, otherwise the histogram median is used.
+    """
     pairs = pairs if pairs is not None else pair_counts(lines)
     by_orders = orders.groupBy("user_id").agg(
         F.avg("days_since_prior_order").alias("user_average_days_between_orders"),
@@ -109,8 +113,11 @@ def user_features(orders: DataFrame, lines: DataFrame, products: DataFrame,
         F.size(F.collect_set("aisle_id")).cast("long").alias("user_nb_aisles"),
         F.size(F.collect_set("department_id")).cast("long").alias("user_nb_departments"),
     )
-    median_basket = seq.median_small_domain(basket_sizes_by_user(lines), ["user_id"], "basket_size",
-                                            "user_median_basket")
+    baskets = basket_sizes_by_user(lines)
+    if max_order is not None and max_order < seq.BLOCK_SIZE:
+        median_basket = baskets.groupBy("user_id").agg(F.median("basket_size").alias("user_median_basket"))
+    else:
+        median_basket = seq.median_small_domain(baskets, ["user_id"], "basket_size", "user_median_basket")
     return (by_orders.join(by_pairs, "user_id", "left")
             .join(median_basket, "user_id", "left")
             .withColumn("user_average_basket", ratio("user_total_items", "user_total_orders")))

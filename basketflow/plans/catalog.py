@@ -140,13 +140,13 @@ def a_purchase_ordinals(spark, sf_dir):
 @query("a_user_features")
 def a_user_features(spark, sf_dir):
     r = _retail(spark, sf_dir)
-    return _out(ft.user_features(r.orders, _prior(r), r.products))
+    return _out(ft.user_features(r.orders, _prior(r), r.products, max_order=ft.order_bound(r.orders)))
 
 
 @query("w_days_since_ratio")
 def w_days_since_ratio(spark, sf_dir):
     r = _retail(spark, sf_dir)
-    users = ft.user_features(r.orders, _prior(r), r.products)
+    users = ft.user_features(r.orders, _prior(r), r.products, max_order=ft.order_bound(r.orders))
     return _out(ft.days_since_ratio(r.orders, users).select("order_id", "user_id", "days_since_ratio"))
 
 
@@ -163,7 +163,7 @@ def a_product_gaps(spark, sf_dir):
 @query("a_user_product")
 def a_user_product(spark, sf_dir):
     r = _retail(spark, sf_dir)
-    users = ft.user_features(r.orders, _prior(r), r.products)
+    users = ft.user_features(r.orders, _prior(r), r.products, max_order=ft.order_bound(r.orders))
     hist = ft.pair_history(_lines_da(r), ft.order_bound(r.orders))
     return _out(ft.user_product_features(hist, users).drop("UP_last_order_hour"))
 
