@@ -18,9 +18,15 @@ def ratio(num, den) -> Column:
     return F.try_divide(num.cast("double"), den.cast("double"))
 
 
-def day_weight(days_ago) -> Column:
-    """1 / (days_ago + 1)."""
-    return F.lit(1.0) / (F.col(days_ago).cast("double") + 1.0)
+# Fixed-point scale for summing day weights exactly (see scaled_day_weight).
+WEIGHT_SCALE = 1e12
+
+
+def scaled_day_weight(days_ago) -> Column:
+    """The day weight 1 / (days_ago + 1) (P12) in fixed point: round(1e12 / (days_ago + 1)) as a long: summed as integers the total is exact and does not
+    depend on the order in which partitions add up (a float sum does, by an ulp, which can flip
+    a rounded value); divide the sum by WEIGHT_SCALE. Error per term at most 5e-13."""
+    return F.round(F.lit(WEIGHT_SCALE) / (F.col(days_ago).cast("double") + 1.0), 0).cast("long")
 
 
 def exp_weight(days_ago) -> Column:
@@ -40,11 +46,13 @@ def id_list_string(arr: Column) -> Column:
 
 
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every float/double column: results compared across engines carry the same digits."""
+    """Round every float/double column to ``digits`` places as round(x * 10^d) / 10^d (half away
+    from zero): the same IEEE operations SQL engines use, so one double rounds alike everywhere."""
+    scale = float(10 ** digits)
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(F.round(F.col(f.name).cast("double"), digits).alias(f.name))
+            cols.append((F.round(F.col(f.name).cast("double") * scale, 0) / scale).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)

@@ -20,10 +20,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketflow.functions.exprs import (
+    WEIGHT_SCALE,
     circular_hour_distance,
-    day_weight,
     exp_weight,
     ratio,
+    scaled_day_weight,
 )
 from basketflow.operators import sequences as seq
 from basketflow.operators.joins import small_dimension
@@ -205,7 +206,7 @@ def pair_history(lines_da: DataFrame, max_order=None) -> DataFrame:
         F.min("order_number").alias("UP_first_order"),
         F.max("order_number").alias("UP_last_order"),
         F.sum("order_number").alias("_sum_on"),
-        F.sum(day_weight("days_ago_since_last")).alias("UP_recency_day"),
+        (F.sum(scaled_day_weight("days_ago_since_last")) / WEIGHT_SCALE).alias("UP_recency_day"),
         F.sum(exp_weight("days_ago_since_last")).alias("UP_recency_exp"),
         F.avg("gap").alias("UP_interval_mean"),
         F.stddev_pop("gap").alias("UP_interval_std"),

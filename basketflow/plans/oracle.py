@@ -136,8 +136,9 @@ CTE["up_f"] = """up_f AS (
          arg_max(l.order_id, l.order_number) AS UP_last_order_id,
          CAST(sum(l.add_to_cart_order) AS BIGINT) AS UP_sum_pos_in_cart,
          min(l.order_number) AS UP_first_order, max(l.order_number) AS UP_last_order,
-         sum(1.0 + CAST(l.order_number AS DOUBLE) / CAST(u.user_total_orders AS DOUBLE)) AS UP_recency,
-         sum(1.0 / (CAST(l.days_ago_since_last AS DOUBLE) + 1.0)) AS UP_recency_day,
+         count(*) + CAST(sum(l.order_number) AS DOUBLE) / CAST(max(u.user_total_orders) AS DOUBLE) AS UP_recency,
+         CAST(sum(CAST(round(1e12 / (CAST(l.days_ago_since_last AS DOUBLE) + 1.0)) AS BIGINT)) AS DOUBLE) / 1e12
+           AS UP_recency_day,
          sum(exp(-0.02 * CAST(l.days_ago_since_last AS DOUBLE))) AS UP_recency_exp,
          CAST(count(*) AS DOUBLE)
            / nullif(CAST(max(u.user_total_orders) - min(l.order_number) + 1 AS DOUBLE), 0) AS UP_order_rate_since_first_order,
