@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,13 +15,18 @@ BROADCAST_MAX_ROWS = 1_000_000
 _checked: dict[tuple, bool] = {}
 
 
+def plan_files_key(df: DataFrame) -> str:
+    """A short digest of the input files behind ``df`` (a large table may have many thousands)."""
+    return hashlib.sha1("\n".join(sorted(df.inputFiles())).encode()).hexdigest()
+
+
 def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (a bounded counting job).
 
     Remembered per (plan, input files, bound) for the session, so a catalogue used by many
     queries is counted once; new or rewritten input files give a new key.
     """
-    key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    key = (df.semanticHash(), plan_files_key(df), max_rows)
     if key not in _checked:
         _checked[key] = df.limit(max_rows + 1).count() <= max_rows
     return _checked[key]

@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketflow.operators.joins import plan_files_key
+
 # Rows of one key per block: a whole history of a typical user fits in block 0.
 BLOCK_SIZE = 1024
 _B = "_blk"
@@ -28,7 +30,7 @@ def max_value(df: DataFrame, col: str):
     Used as a bound: when every value of the ordering column is below ``BLOCK_SIZE`` no key
     can hold more than one block of rows, and the scans below run as plain windows.
     """
-    key = (df.semanticHash(), tuple(sorted(df.inputFiles())), col)
+    key = (df.semanticHash(), plan_files_key(df), col)
     if key not in _max_seen:
         _max_seen[key] = df.agg(F.max(col)).first()[0]
     return _max_seen[key]
