@@ -33,6 +33,8 @@ def _vectors(r: Retail):
 
 
 def _matrix(spark, sf_dir):
+    from basketflow.session import checkpoint_dir
+    checkpoint_dir(spark)  # the matrix is checkpointed below: make sure a folder is set
     r = _retail(spark, sf_dir)
     pv = em.item_pca(_vectors(r), r.products)
     # The matrix feeds several passes of training: cut its lineage once.
