@@ -104,8 +104,14 @@ def user_factors(x: DataFrame, k: int = N_COMPONENTS, iterations: int = 30, seed
 
     spark = x.sparkSession
     checkpoint_dir(spark)
-    # X is read many times per iteration: materialise it once in the shared folder.
-    x = x.select("user_id", "product_id", "cnt").checkpoint()
+    # X is read many times per iteration: materialise it once in the shared folder (cuts its
+    # lineage), then keep it hash-partitioned by user and persisted. A persisted plan keeps its
+    # partitioning (a checkpointed one does not), so joins with W on user_id shuffle only W,
+    # and X H' aggregates by user without an exchange: X, the largest input, moves once.
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    x = (x.select("user_id", "product_id", "cnt").checkpoint()
+         .repartition(n_parts, "user_id").persist(StorageLevel.MEMORY_AND_DISK))
+    x.count()
     products = [r[0] for r in x.select("product_id").distinct().orderBy("product_id").collect()]
     col_of = {p: i for i, p in enumerate(products)}
     n_prod = len(products)
@@ -174,6 +180,7 @@ def user_factors(x: DataFrame, k: int = N_COMPONENTS, iterations: int = 30, seed
                      .agg(F.sum("c")).first()[0]) or 0.0
             wtw = gram(w)
             errors.append(float(x_sq - 2 * cross + np.sum(wtw * (h @ h.T))))
+    x.unpersist()  # the returned W is checkpointed and no longer depends on X
     return w, h, errors
 
 
