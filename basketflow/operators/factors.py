@@ -100,7 +100,7 @@ def user_factors(x: DataFrame, k: int = N_COMPONENTS, iterations: int = 30, seed
     from pyspark.ml.functions import array_to_vector, vector_to_array
     from pyspark.ml.stat import Summarizer
 
-    from basketflow.session import checkpoint_dir
+    from basketflow.session import checkpoint_dir, shuffle_partitions
 
     spark = x.sparkSession
     checkpoint_dir(spark)
@@ -108,7 +108,7 @@ def user_factors(x: DataFrame, k: int = N_COMPONENTS, iterations: int = 30, seed
     # lineage), then keep it hash-partitioned by user and persisted. A persisted plan keeps its
     # partitioning (a checkpointed one does not), so joins with W on user_id shuffle only W,
     # and X H' aggregates by user without an exchange: X, the largest input, moves once.
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = shuffle_partitions(spark)
     x = (x.select("user_id", "product_id", "cnt").checkpoint()
          .repartition(n_parts, "user_id").persist(StorageLevel.MEMORY_AND_DISK))
     x.count()

@@ -43,6 +43,14 @@ def get_spark(master: str | None = None, app: str = "basketflow",
     return spark
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    """The session's shuffle partition count; the default parallelism when it is not a number."""
+    try:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    except (TypeError, ValueError):
+        return max(1, spark.sparkContext.defaultParallelism)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and stage tables.
 
