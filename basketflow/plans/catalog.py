@@ -7,7 +7,6 @@ the given tables through the retail view and runs over all of it.
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Callable
 
