@@ -36,6 +36,18 @@ def max_value(df: DataFrame, col: str):
     return _max_seen[key]
 
 
+_max_group: dict[tuple, object] = {}
+
+
+def max_group_size(df: DataFrame, keys: list[str]):
+    """Rows of the largest group of ``keys`` (a grouped count, combined map-side; remembered per
+    plan and input files). The bound for choosing plain windows over blocked ones."""
+    key = (df.semanticHash(), plan_files_key(df), tuple(keys))
+    if key not in _max_group:
+        _max_group[key] = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
+    return _max_group[key]
+
+
 def _one_block(max_order, block_size: int) -> bool:
     return max_order is not None and max_order < block_size
 

@@ -40,3 +40,16 @@ def test_median_small_domain(spark, skewed):
     want = skewed.groupBy("k").agg(F.median("basket").alias("m"))
     got = seq.median_small_domain(skewed, ["k"], "basket", "m")
     assert sorted(want.collect()) == sorted(got.collect())
+
+
+def test_view_blocked_numbering_equals_plain(spark, monkeypatch):
+    """With a block size below the largest customer's order count the view takes its blocked
+    paths (day-blocked numbering, aggregated first purchase); the tables must not change."""
+    from basketflow.sources import retail_view as rv
+    sf = "/root/testdata/sf0.01"
+    plain = rv.load_retail(spark, sf)
+    plain_orders, plain_lines = plain.orders.collect(), plain.lines.collect()
+    monkeypatch.setattr(seq, "BLOCK_SIZE", 2)
+    blocked = rv.load_retail(spark, sf)
+    assert sorted(blocked.orders.collect()) == sorted(plain_orders)
+    assert sorted(blocked.lines.collect()) == sorted(plain_lines)
