@@ -219,3 +219,30 @@ def test_view_counts_match_fixture_figures(spark):
     assert lines == {"prior": 51992, "train": 3803, "test": 1896}
     assert reordered == {"prior": 14488, "train": 1894, "test": 926}
     assert r.lines.select("user_id", "product_id").distinct().count() == 40383
+
+
+def test_selection_random_orders_against_enumeration(spark):
+    """Spark's per-order selection equals a plain-Python argmax over full enumeration, on random
+    orders with tied scores and scores under the floor."""
+    rng = np.random.default_rng(11)
+    rows, expected = [], {}
+    for oid in range(1, 301):
+        n = int(rng.integers(1, 7))
+        probs = rng.choice([0.005, 0.05, 0.2, 0.5, 0.5, 0.7, 0.9, 0.95], size=n)
+        pids = rng.choice(np.arange(1, 60), size=n, replace=False)
+        rows += [(oid, int(pid), float(p)) for pid, p in zip(pids, probs)]
+        kept = sorted([(-p, int(pid)) for pid, p in zip(pids, probs) if p > dc.MIN_PROB])
+        if not kept:
+            continue
+        p_sorted = np.array([-q for q, _ in kept])
+        table = _enumerate(p_sorted)
+        flat = int(np.argmax(table))
+        row, k = divmod(flat, table.shape[1])
+        tokens = (["None"] if row == 0 else []) + [str(pid) for _, pid in kept[:k]]
+        expected[oid] = (" ".join(tokens), float(table[row, k]))
+    got = dc.select_max_f1(spark.createDataFrame(rows, "order_id long, product_id long, prediction double"))
+    got = {r.order_id: (r.products, r.expected_f1) for r in got.collect()}
+    assert set(got) == set(expected)
+    for oid, (products, value) in expected.items():
+        assert got[oid][0] == products, oid
+        assert got[oid][1] == pytest.approx(value, abs=1e-9), oid
