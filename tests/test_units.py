@@ -246,3 +246,79 @@ def test_selection_random_orders_against_enumeration(spark):
     for oid, (products, value) in expected.items():
         assert got[oid][0] == products, oid
         assert got[oid][1] == pytest.approx(value, abs=1e-9), oid
+
+
+def _random_histories(seed=5, users=40, products=8):
+    """Random order histories: (user, product, order_id, order_number, days_ago, cart, hour) rows
+    with days_ago non-increasing in order_number, and each user's order count (incl. a target)."""
+    rng = np.random.default_rng(seed)
+    rows, n_orders, oid = [], {}, 0
+    for u in range(1, users + 1):
+        n = int(rng.integers(1, 13))
+        n_orders[u] = n + 1
+        gaps = rng.integers(0, 31, size=n)
+        days = np.cumsum(gaps[::-1])[::-1] - gaps[-1]          # days before the last prior order
+        for on in range(1, n + 1):
+            oid += 1
+            basket = rng.choice(np.arange(1, products + 1), size=int(rng.integers(1, 5)), replace=False)
+            for pos, p in enumerate(basket, start=1):
+                rows.append((u, int(p), oid, on, int(days[on - 1]), pos, int(oid % 24)))
+    return rows, n_orders
+
+
+def test_sequence_features_against_reference_loops(spark):
+    """A12, A13-A15 and A16-A18 equal a literal re-statement of the reference's loops."""
+    import math
+    from collections import defaultdict
+    rows, n_orders = _random_histories()
+    df = spark.createDataFrame(rows, "user_id long, product_id int, order_id long, order_number int, "
+                                     "days_ago_since_last int, add_to_cart_order int, order_hour_of_day int")
+    users = spark.createDataFrame(list(n_orders.items()), "user_id long, user_total_orders long")
+    by_pair = defaultdict(list)
+    for r in sorted(rows, key=lambda r: (r[1], r[0], r[3])):
+        by_pair[(r[0], r[1])].append(r)
+    # Intervals per product, only between purchases of the same user
+    gaps = defaultdict(list)
+    for (u, p), rs in by_pair.items():
+        gaps[p] += [a[4] - b[4] for a, b in zip(rs, rs[1:])]
+    for bound in (None, 12):
+        got = {r.product_id: r for r in ft.product_gaps(df, bound).collect()}
+        assert set(got) == {p for p, g in gaps.items() if g}
+        for p, g in gaps.items():
+            if not g:
+                continue
+            g = np.array(g, dtype=float)
+            m2 = ((g - g.mean()) ** 2).mean()
+            assert got[p].frequency_mean == pytest.approx(g.mean())
+            assert got[p].frequency_std == pytest.approx(g.std(), abs=1e-12)
+            if m2 == 0:
+                assert got[p].frequency_skew is None and got[p].frequency_kurtosis is None
+            else:
+                assert got[p].frequency_skew == pytest.approx(((g - g.mean()) ** 3).mean() / m2 ** 1.5)
+                assert got[p].frequency_kurtosis == pytest.approx(((g - g.mean()) ** 4).mean() / m2 ** 2 - 3)
+        hist = ft.pair_history(df, bound)
+        up = {(r.user_id, r.product_id): r for r in ft.user_product_features(hist, users).collect()}
+        iv = {(r.user_id, r.product_id): r for r in ft.pair_intervals(hist).collect()}
+        assert set(up) == set(by_pair) == set(iv)
+        for (u, p), rs in by_pair.items():
+            nb = n_orders[u]
+            days = [r[4] for r in rs]
+            last = max(rs, key=lambda r: (r[3], r[2]))
+            first_on = min(r[3] for r in rs)
+            a = up[(u, p)]
+            assert (a.UP_orders, a.UP_last_order_id, a.UP_sum_pos_in_cart, a.UP_first_order, a.UP_last_order) == \
+                   (len(rs), last[2], sum(r[5] for r in rs), first_on, max(r[3] for r in rs))
+            assert a.UP_recency == pytest.approx(sum(1 + r[3] / nb for r in rs))
+            assert a.UP_recency_day == pytest.approx(sum(1 / (d + 1) for d in days), abs=1e-11)
+            assert a.UP_recency_exp == pytest.approx(sum(math.exp(-0.02 * d) for d in days))
+            assert a.UP_order_rate_since_first_order == pytest.approx(len(rs) / (nb - first_on + 1))
+            dif = [x - y for x, y in zip(days, days[1:])]
+            b = iv[(u, p)]
+            if dif:
+                assert b.UP_interval_mean == pytest.approx(np.mean(dif))
+                assert b.UP_interval_std == pytest.approx(np.std(dif), abs=1e-12)
+                assert b.UP_interval_distance == pytest.approx(abs(days[-1] - np.mean(dif)))
+            else:
+                assert b.UP_interval_mean is None and b.UP_interval_std is None
+                assert b.UP_interval_distance == days[0]
+            assert b.UP_order_number_skew == pytest.approx(np.mean([r[3] for r in rs]) / rs[-1][3])
