@@ -322,3 +322,25 @@ def test_sequence_features_against_reference_loops(spark):
                 assert b.UP_interval_mean is None and b.UP_interval_std is None
                 assert b.UP_interval_distance == days[0]
             assert b.UP_order_number_skew == pytest.approx(np.mean([r[3] for r in rs]) / rs[-1][3])
+
+
+def test_days_ago_against_pandas_idiom(spark):
+    """W1 / W2 / P10 equal the pandas formulation: cumsum per user (NaN skipped), NaN -> 0,
+    group max minus the value, truncated to int - on random histories with NaN gaps."""
+    import pandas as pd
+    rng = np.random.default_rng(21)
+    recs, oid = [], 0
+    for u in range(1, 60):
+        for on in range(1, int(rng.integers(1, 15)) + 1):
+            oid += 1
+            gap = None if on == 1 or rng.random() < 0.1 else float(rng.integers(0, 31))
+            recs.append((oid, u, "prior", on, 0, 0, gap))
+    o = spark.createDataFrame(recs, ORDERS_DDL)
+    pdf = pd.DataFrame(recs, columns=["order_id", "user_id", "eval_set", "order_number", "order_dow",
+                                      "order_hour_of_day", "days_since_prior_order"]).sort_values(["user_id", "order_number"])
+    pdf["cum"] = pdf.groupby("user_id")["days_since_prior_order"].cumsum().fillna(0)
+    pdf["want"] = (pdf.groupby("user_id")["cum"].transform("max") - pdf["cum"]).astype(int)
+    want = dict(zip(pdf.order_id, pdf.want))
+    for bound in (None, 14):
+        got = {r.order_id: r.days_ago_since_last for r in ft.days_ago(o, bound).collect()}
+        assert got == want
