@@ -402,3 +402,30 @@ def test_product_features_against_pandas(spark):
         for pid, value in series.items():
             assert getattr(got[pid], name) == pytest.approx(float(value)), (name, pid)
         assert all(getattr(got[p], name) is None for p in got if p not in series.index), name
+
+
+def test_baselines_and_truth_against_pandas(spark):
+    """B1, B2 and E6 equal the notebook / ground-truth pandas formulations on the sf0.001 view
+    (set order made deterministic: ascending ids for B1, ties by product_id for B2, cart order for E6)."""
+    from basketflow.sources.retail_view import load_retail
+    r = load_retail(spark, "/root/testdata/sf0.001")
+    orders = r.orders.toPandas()
+    prior = r.lines_of("prior", with_header=True).toPandas()
+    test_orders = orders[orders.eval_set == "test"]
+    hist = prior[prior.user_id.isin(test_orders.user_id)]
+    last = hist.groupby("user_id")["order_number"].max().reset_index()
+    left = last.merge(hist, on=["user_id", "order_number"])[["user_id", "product_id"]]
+    t = left.merge(test_orders[["user_id", "order_id"]], on="user_id", how="left")
+    b1 = t.groupby("order_id")["product_id"].apply(lambda x: " ".join(str(e) for e in sorted(set(x)))).to_dict()
+    cnt = hist.groupby(["user_id", "product_id"]).size().reset_index(name="cnt")
+    cnt = cnt.sort_values(["user_id", "cnt", "product_id"], ascending=[True, False, True])
+    top = cnt.groupby("user_id").head(dc.TOP_K).groupby("user_id")["product_id"].apply(
+        lambda x: " ".join(str(e) for e in x))
+    b2 = {o: top[u] for o, u in zip(test_orders.order_id, test_orders.user_id) if u in top.index}
+    train = r.train.toPandas().sort_values(["order_id", "add_to_cart_order"])
+    e6 = train.groupby("order_id").apply(
+        lambda g: " ".join(str(p) for p in g.product_id[g.reordered == 1]) or "None", include_groups=False).to_dict()
+    prior_spark = r.lines_of("prior", with_header=True)
+    assert {x.order_id: x.products for x in dc.repeat_last_order(prior_spark, r.orders).collect()} == b1
+    assert {x.order_id: x.products for x in dc.top_k_products(prior_spark, r.orders).collect()} == b2
+    assert {x.order_id: x.products for x in dc.ground_truth(r.train).collect()} == e6
