@@ -10,8 +10,10 @@ Shuffle plan. Everything keyed by product goes through one pair-level pre-aggreg
 product from partial aggregates, so a product bought in a third of all lines never sends its raw
 lines to one task. Order-dependent scans (running sum of gaps, lag between a pair's purchases)
 are blocked scans (basketflow.operators.sequences): a user or pair with a huge history is cut
-into bounded partitions. The streak window is cut to the last orders per user before any
-shuffle (WindowGroupLimit), the median basket comes from a per-user histogram.
+into bounded partitions; they fall back to plain windows only when ``max_order`` (the largest
+order_number, see :func:`order_bound`) proves no key can exceed one block. The streak window is
+cut to the last orders per user before any shuffle (WindowGroupLimit); the median basket uses
+Spark's median under the same bound and a per-user histogram beyond it.
 """
 
 from __future__ import annotations
@@ -55,7 +57,8 @@ def days_ago(orders: DataFrame, max_order=None) -> DataFrame:
     cum = running sum of days_since_prior_order over the user's orders (NULLs skipped), set to 0
     on a row whose own gap is NULL; days_ago_since_last = max(cum) - cum, truncated to int.
     Gaps are never negative, so max(cum) is the user's total. The running sum is blocked
-    (basketflow.operators.sequences), so a user with a huge history is not one task.
+    (basketflow.operators.sequences) unless ``max_order`` shows every history fits one block,
+    so a user with a huge history is not one task.
     """
     o = seq.running_sum(orders, ["user_id"], "order_number", "days_since_prior_order", "_run", total_col="_tot",
                         max_order=max_order)
@@ -169,8 +172,8 @@ def lines_with_days_ago(lines: DataFrame, orders_days_ago: DataFrame) -> DataFra
 def _pair_gaps(lines_da: DataFrame, max_order=None) -> DataFrame:
     """Gap in days to the previous purchase of the same pair (NULL on the first one).
 
-    A blocked lag: a (user, product) pair bought in a large share of all orders is still
-    spread over bounded partitions."""
+    A blocked lag (a plain one when ``max_order`` fits one block): a (user, product) pair bought
+    in a large share of all orders is still spread over bounded partitions."""
     x = seq.lag(lines_da, ["user_id", "product_id"], "order_number", "days_ago_since_last", "_prev_da",
                 max_order=max_order)
     return x.withColumn("gap", F.col("_prev_da") - F.col("days_ago_since_last")).drop("_prev_da")
