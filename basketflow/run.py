@@ -116,10 +116,12 @@ def main(argv=None) -> None:
     ap.add_argument("--input", required=True, help="folder with the given parquet tables")
     ap.add_argument("--output", default=None, help="shared output folder (default: under spark.checkpoint.dir)")
     ap.add_argument("--full-presets", action="store_true", help="the trainers' full parameters (cluster)")
+    ap.add_argument("--nmf-iterations", type=int, default=10, help="multiplicative-update rounds for the user factors")
     ap.add_argument("--master", default=None, help="e.g. local[8]; leave unset under spark-submit")
     a = ap.parse_args(argv)
     spark = get_spark(a.master)
-    ev = run_all(spark, a.input, a.output, FULL_PRESETS if a.full_presets else LOCAL_PRESETS)
+    ev = run_all(spark, a.input, a.output, FULL_PRESETS if a.full_presets else LOCAL_PRESETS,
+                 nmf_iterations=a.nmf_iterations)
     for row in ev.collect():
         print(f"{row.method:20s} mean F1 {row.mean_f1:.4f} over {row.n_orders} orders")
 
