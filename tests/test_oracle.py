@@ -32,3 +32,13 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert df.columns == ["product_id", "reordered", "order_cnt", "reorder_rate", "product_name"]
     assert all(r.order_cnt > 100 for r in rows)
+
+
+def test_query_columns_are_unique_and_named(spark):
+    """The driver sorts columns by name before hashing: every relational query must expose
+    unique, non-empty, alias-free column names (no generated names like ``sum(x)``)."""
+    from tests.conftest import SF001
+    for key in SQL:
+        cols = entry.queries()[key](spark, SF001).columns
+        assert len(cols) == len(set(cols)), key
+        assert all(c and "(" not in c and not c.startswith("_") for c in cols), (key, cols)
