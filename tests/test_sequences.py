@@ -53,3 +53,34 @@ def test_view_blocked_numbering_equals_plain(spark, monkeypatch):
     blocked = rv.load_retail(spark, sf)
     assert sorted(blocked.orders.collect()) == sorted(plain_orders)
     assert sorted(blocked.lines.collect()) == sorted(plain_lines)
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_rows = st.lists(st.tuples(st.integers(1, 3), st.integers(0, 40), st.one_of(st.none(), st.integers(0, 9))),
+                 min_size=1, max_size=40, unique_by=lambda t: (t[0], t[1]))
+
+
+@settings(max_examples=15, deadline=None)
+@given(rows=_rows, block=st.integers(1, 8))
+def test_blocked_scans_property(spark, rows, block):
+    """Running sum (NULLs skipped, NULL until a value is seen), key total and lag equal their
+    definitions for any keyed sequence and any block size."""
+    df = spark.createDataFrame([(k, o, None if v is None else float(v)) for k, o, v in rows],
+                               "k long, o long, v double")
+    got = seq.running_sum(df, ["k"], "o", "v", "run", total_col="tot", block_size=block)
+    got = seq.lag(got, ["k"], "o", "v", "prev", block_size=block)
+    got = {(r.k, r.o): (r.run, r.tot, r.prev) for r in got.collect()}
+    want = {}
+    for key in {k for k, _, _ in rows}:
+        seq_rows = sorted((o, v) for k, o, v in rows if k == key)
+        vals = [v for _, v in seq_rows if v is not None]
+        total = float(sum(vals)) if vals else None
+        run, seen = 0.0, False
+        for i, (o, v) in enumerate(seq_rows):
+            if v is not None:
+                run, seen = run + v, True
+            prev = seq_rows[i - 1][1] if i else None
+            want[(key, o)] = (run if seen else None, total, None if prev is None else float(prev))
+    assert got == want
