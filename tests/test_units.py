@@ -429,3 +429,21 @@ def test_baselines_and_truth_against_pandas(spark):
     assert {x.order_id: x.products for x in dc.repeat_last_order(prior_spark, r.orders).collect()} == b1
     assert {x.order_id: x.products for x in dc.top_k_products(prior_spark, r.orders).collect()} == b2
     assert {x.order_id: x.products for x in dc.ground_truth(r.train).collect()} == e6
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as hst  # noqa: E402
+
+
+@settings(max_examples=60, deadline=None)
+@given(p=hst.lists(hst.sampled_from([0.0, 0.01, 0.1, 0.25, 0.5, 0.5, 0.75, 0.9, 1.0]), min_size=1, max_size=7),
+       loop=hst.booleans())
+def test_expected_f1_property(p, loop):
+    """Any probability list (ties, zeros, ones): both code paths equal full enumeration."""
+    p = np.sort(np.array(p))[::-1]
+    old = dc.VECTORISED_MAX_N
+    try:
+        dc.VECTORISED_MAX_N = 0 if loop else old
+        assert np.allclose(dc.expected_f1_table(p), _enumerate(p))
+    finally:
+        dc.VECTORISED_MAX_N = old
