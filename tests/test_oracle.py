@@ -42,3 +42,20 @@ def test_query_columns_are_unique_and_named(spark):
         cols = entry.queries()[key](spark, SF001).columns
         assert len(cols) == len(set(cols)), key
         assert all(c and "(" not in c and not c.startswith("_") for c in cols), (key, cols)
+
+
+def test_bench_prints_one_json_line():
+    """bench.py as the driver runs it: one JSON line with metric, value, unit, queries, sf."""
+    import json
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, BENCH_SF_DIR="/root/testdata/sf0.001", BENCH_CPUS="2")
+    out = subprocess.run([sys.executable, os.path.join(root, "bench.py")], env=env, cwd=root,
+                         capture_output=True, text=True, timeout=900)
+    lines = [ln for ln in out.stdout.splitlines() if ln.strip()]
+    assert out.returncode == 0 and len(lines) == 1, out.stderr[-2000:]
+    d = json.loads(lines[0])
+    assert {"metric", "value", "unit", "queries", "sf"} <= set(d) and d["unit"] == "sec"
+    assert "errors" not in d and d["value"] > 0 and len(d["queries"]) > 30
