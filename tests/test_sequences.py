@@ -84,3 +84,37 @@ def test_blocked_scans_property(spark, rows, block):
             prev = seq_rows[i - 1][1] if i else None
             want[(key, o)] = (run if seen else None, total, None if prev is None else float(prev))
     assert got == want
+
+
+def test_hot_user_and_pair_default_blocks(spark):
+    """A user with 3,000 orders (three default-size blocks) next to small users: days-ago and the
+    hot pair's gaps through the blocked path equal the pandas / loop definitions."""
+    import numpy as np
+    import pandas as pd
+    from basketflow.operators import features as ft
+    rng = np.random.default_rng(3)
+    orders, oid = [], 0
+    for u, n in [(1, 3000)] + [(u, int(rng.integers(1, 20))) for u in range(2, 40)]:
+        for on in range(1, n + 1):
+            oid += 1
+            gap = None if on == 1 else float(rng.integers(0, 31))
+            orders.append((oid, u, "prior", on, 0, int(oid % 24), gap))
+    o = spark.createDataFrame(orders, "order_id long, user_id long, eval_set string, order_number int, "
+                                      "order_dow int, order_hour_of_day int, days_since_prior_order double")
+    assert seq.max_value(o, "order_number") >= 2 * seq.BLOCK_SIZE
+    pdf = pd.DataFrame(orders, columns=o.columns).sort_values(["user_id", "order_number"])
+    pdf["cum"] = pdf.groupby("user_id")["days_since_prior_order"].cumsum().fillna(0)
+    pdf["want"] = (pdf.groupby("user_id")["cum"].transform("max") - pdf["cum"]).astype(int)
+    da = ft.days_ago(o, ft.order_bound(o))           # bound too large: blocked path
+    got = {r.order_id: r.days_ago_since_last for r in da.collect()}
+    assert got == dict(zip(pdf.order_id, pdf.want))
+    # the hot pair: user 1 buys product 7 in every order
+    lines = (da.where("user_id = 1").select("order_id", "user_id", "order_number", "days_ago_since_last",
+                                             "order_hour_of_day")
+             .withColumn("product_id", F.lit(7)).withColumn("add_to_cart_order", F.lit(1)))
+    iv = ft.pair_intervals(ft.pair_history(lines, ft.order_bound(o))).first()
+    days = pdf[pdf.user_id == 1].sort_values("order_number").want.to_numpy()
+    dif = days[:-1] - days[1:]
+    assert iv.UP_interval_mean == pytest.approx(dif.mean())
+    assert iv.UP_interval_std == pytest.approx(dif.std())
+    assert iv.UP_interval_distance == pytest.approx(abs(days[-1] - dif.mean()))
