@@ -93,3 +93,12 @@ def test_run_all_end_to_end(spark, tmp_path):
     assert all(0.0 <= r.mean_f1 <= 1.0 and r.n_orders > 0 for r in ev.values())
     decisions = spark.read.option("header", True).csv(str(tmp_path / "run" / "decisions.csv"))
     assert decisions.count() > 0
+    run = tmp_path / "run"
+    for csv in ("baseline_repeat_last_order.csv", "baseline_top_k_products.csv", "order_streaks.csv",
+                "user_factors.csv"):
+        assert spark.read.option("header", True).csv(str(run / csv)).count() > 0, csv
+    for table in ("view/orders", "view/lines", "features/users", "features/lines_days_ago", "matrix",
+                  "predictions/blend", "evaluation"):
+        assert spark.read.parquet(str(run / table)).count() > 0, table
+    for model in ("models/word2vec", "models/gbt_a", "models/gbt_b"):
+        assert (run / model).is_dir(), model
