@@ -27,6 +27,30 @@ def _sha(col):
     return F.sha2(F.coalesce(col, F.lit("")).cast("binary"), 256)
 
 
+_OP1 = r"""
+with w as (select doc_id, case when len(coalesce(text, '')) = 0 then []::varchar[]
+             else regexp_extract_all(text, '[^\x20\x09-\x0D]+') end ws from documents),
+at as (select doc_id, ws, unnest(range(1, len(ws) - 48)) i from w where len(ws) >= 50),
+win as (select doc_id, i, array_to_string(ws[i : i + 49], ' ') k from at),
+lowest as (select k, min(doc_id) d from win group by k),
+starts as (select win.doc_id, list(win.i) starts from win join lowest using (k) where win.doc_id > lowest.d group by 1),
+covered as (select doc_id, list(distinct p) gone from (select doc_id, unnest(range(s, s + 50)) p from
+              (select doc_id, unnest(starts) s from starts)) group by 1),
+kept as (select w.doc_id, len(ws) n_words, coalesce(len(gone), 0) n_removed,
+           array_to_string(case when gone is null then ws
+             else [ws[p] for p in range(1, len(ws) + 1) if not list_contains(gone, p)] end, ' ') t
+         from w left join covered using (doc_id))
+select doc_id, n_words::bigint n_words, n_removed::bigint n_removed, sha256(t) kept_sha256 from kept
+"""
+
+
+@query("op1_substring_dedup", _OP1)
+def op1_substring_dedup(spark, sf_dir):
+    from basketflow.llm import substring_dedup as sd
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sd.dedup(docs, Stages(spark, "op1")).drop("spans")
+
+
 @query("op2_secret_scan")
 def op2_secret_scan(spark, sf_dir):
     from basketflow.llm import secrets as sc
@@ -42,6 +66,13 @@ def op2_secret_scan(spark, sf_dir):
                         of("hex").alias("n_hex"), _sha(spans).alias("base_sha256"), spans.alias("spans"))
 
 
+@query("op6_simhash_vp")
+def op6_simhash_vp(spark, sf_dir):
+    from basketflow.llm import simhash_vp as sv
+    found = sv.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"), Stages(spark, "op6"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 _SIZES = r"""
 sizes as (select doc_id, source, text,
             len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint size from documents),
@@ -79,6 +110,27 @@ def op7_curriculum_mix(spark, sf_dir):
     return planned.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+_OP8 = """
+with recursive v as (
+  select vec_id, embedding::double[] e, sqrt(list_sum([x * x for x in embedding::double[]])) n from embeddings
+  where embedding is not null and len([1 for x in embedding if x is null or not isfinite(x)]) = 0),
+unit as (select vec_id, e, n from v where n > 0),
+link as (select a.vec_id a, b.vec_id b from unit a join unit b on a.vec_id <> b.vec_id
+         where list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.9),
+reach(v, r) as (select vec_id, vec_id from embeddings union select reach.v, link.b from reach join link on link.a = reach.r),
+comp as (select v, min(r) c from reach group by v),
+n as (select a, count(*) n from link group by a)
+select vec_id, coalesce(n.n, 0)::bigint n_links, c::bigint component_id, vec_id = c kept
+from embeddings left join n on n.a = vec_id join comp on comp.v = vec_id
+"""
+
+
+@query("op8_inverted_multi_index", _OP8)
+def op8_inverted_multi_index(spark, sf_dir):
+    from basketflow.llm import imi
+    return imi.near_duplicates(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), Stages(spark, "op8"))
+
+
 @query("op9_byte_bpe")
 def op9_byte_bpe(spark, sf_dir, vocab_path: str | None = None, pattern: str | None = None):
     import public_tokenizers
