@@ -30,8 +30,8 @@ def _sha(col):
 _OP1 = r"""
 with w as (select doc_id, case when len(coalesce(text, '')) = 0 then []::varchar[]
              else regexp_extract_all(text, '[^\x20\x09-\x0D]+') end ws from documents),
-at as (select doc_id, ws, unnest(range(1, len(ws) - 48)) i from w where len(ws) >= 50),
-win as (select doc_id, i, array_to_string(ws[i : i + 49], ' ') k from at),
+starts_at as (select doc_id, ws, unnest(range(1, len(ws) - 48)) i from w where len(ws) >= 50),
+win as (select doc_id, i, array_to_string(ws[i : i + 49], ' ') k from starts_at),
 lowest as (select k, min(doc_id) d from win group by k),
 starts as (select win.doc_id, list(win.i) starts from win join lowest using (k) where win.doc_id > lowest.d group by 1),
 covered as (select doc_id, list(distinct p) gone from (select doc_id, unnest(range(s, s + 50)) p from
@@ -66,6 +66,14 @@ def op2_secret_scan(spark, sf_dir):
                         of("hex").alias("n_hex"), _sha(spans).alias("base_sha256"), spans.alias("spans"))
 
 
+@query("op4_quality_llr")
+def op4_quality_llr(spark, sf_dir):
+    from basketflow.llm import quality as ql
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = ql.judge(docs, ql.fit(docs, _table(spark, sf_dir, "labels")))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept")
+
+
 @query("op6_simhash_vp")
 def op6_simhash_vp(spark, sf_dir):
     from basketflow.llm import simhash_vp as sv
@@ -143,3 +151,26 @@ def op9_byte_bpe(spark, sf_dir, vocab_path: str | None = None, pattern: str | No
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+
+
+_OP10 = r"""
+with l as (select doc_id, text, string_split(text, chr(10)) l from documents),
+line as (select doc_id, unnest(range(1, len(l) + 1)) i, unnest(l) x from l),
+v as (select *, ('0x' || substr(md5(x), 1, 7))::bigint v from line),
+roll as (select *, (v + 31 * coalesce(lag(v, 1) over d, 0) + 961 * coalesce(lag(v, 2) over d, 0)) % 4 = 0 stop
+         from v window d as (partition by doc_id order by i)),
+part as (select *, coalesce(sum(stop::int) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0) c from roll),
+chunk as (select doc_id, c, min(i) a, count(*) n, count(*) filter (regexp_matches(x, '[^\x20\x09-\x0D]')) worded,
+            string_agg(x, chr(10) order by i) bytes from part group by doc_id, c),
+judged as (select *, n >= 2 and worded >= 2 and row_number() over (partition by bytes order by doc_id, a) > 1 gone from chunk),
+kept as (select doc_id, string_agg(bytes, chr(10) order by a) filter (not gone) t, sum(n) n, coalesce(sum(n) filter (gone), 0) r
+         from judged group by doc_id)
+select doc_id, case when text is not null then coalesce(t, '') end as text, coalesce(n, 0)::bigint n_lines, coalesce(r, 0)::bigint n_removed
+from documents left join kept using (doc_id)
+"""
+
+
+@query("op10_line_chunks", _OP10)
+def op10_line_chunks(spark, sf_dir):
+    from basketflow.llm import line_dedup as ld
+    return ld.dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"), Stages(spark, "op10"))

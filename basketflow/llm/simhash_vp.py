@@ -61,14 +61,15 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(counts * 2 > len(h)).view(">i8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fp) of every row."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, doc_id: str = "doc_id", text: str = "text", row_key=None) -> DataFrame:
+    """(doc_id, row_key, fp) of every row; ``row_key`` is any long column (null if not given)."""
     def run(batches):
         for batch in batches:
-            fps = [fingerprint(t.as_py(), shingle) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
+            fps = [fingerprint(t.as_py(), shingle) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps, pa.int64())], names=["doc_id", "row_key", "fp"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary")).mapInArrow(run, "doc_id long, fp long")
+    key = (F.lit(None) if row_key is None else row_key).cast("long").alias("row_key")
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), key, F.col(text).cast("binary")).mapInArrow(run, "doc_id long, row_key long, fp long")
 
 
 class Tree:
@@ -170,12 +171,15 @@ def links(fps: DataFrame, stages: Stages, max_bits: int = MAX_BITS, leaf_target:
     return query.union(resident).groupBy("leaf", "block").applyInArrow(pairs, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, stages: Stages, shingle: int = SHINGLE, max_bits: int = MAX_BITS, **options) -> DataFrame:
-    """(doc_id, fp, component_id) of every row: the smallest id reachable by links."""
-    prints = stages.write(fingerprints(docs, shingle), "prints")
+def near_duplicates(docs: DataFrame, stages: Stages, shingle: int = SHINGLE, max_bits: int = MAX_BITS, row_key=None, **options) -> DataFrame:
+    """(doc_id, row_key, fp, root, component_id) of every row.
+
+    ``component_id`` is the smallest id reachable by links, ``root`` the smallest fingerprint.
+    """
+    prints = stages.write(fingerprints(docs, shingle, row_key=row_key), "prints")
     distinct = stages.write(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     joined = components(links(distinct, stages, max_bits, **options), stages)
     rooted = distinct.join(joined.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     names = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(names, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = rooted.join(names, "root").select("fp", "root", "component_id")
+    return prints.join(named, "fp").select("doc_id", "row_key", "fp", "root", "component_id")

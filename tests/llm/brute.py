@@ -91,3 +91,64 @@ def cosine_links(rows, threshold=0.9):
     links = [sum(linked(i, j) for j in range(n) if j != i) for i in range(n)]
     comps = components([d for d, _ in rows], linked)
     return [(d, k, c, d is not None and d == c) for (d, _), k, c in zip(rows, links, comps)]
+
+
+def quality_measures(text):
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed."""
+    t, ws = text or "", words_of(text)
+    seen: set = set()
+    dup = 0
+    for line in t.split("\n"):
+        if words_of(line):
+            dup += line in seen
+            seen.add(line)
+    grams = [tuple(ws[i:i + 3]) for i in range(len(ws) - 2)]
+    count: dict = {}
+    for g in grams:
+        count[g] = count.get(g, 0) + 1
+    covered = {i + k for i, g in enumerate(grams) if count[g] > 1 for k in range(3)}
+    n = len(ws)
+    return (n, sum(map(len, ws)), sum(c in "#*$%&|<>" for c in t), dup, len(covered), n < 50 or 100 * len(covered) > 50 * n)
+
+
+def _spark_hash(*values) -> int:
+    """XXH64 as chained over columns with seed 42: strings by their bytes, longs as eight bytes."""
+    import xxhash
+    seed = 42
+    for v in values:
+        if v is not None:
+            data = v.encode() if isinstance(v, str) else (v % 2 ** 64).to_bytes(8, "little")
+            seed = xxhash.xxh64_intdigest(data, seed=seed)
+    return seed - 2 ** 64 if seed >= 2 ** 63 else seed
+
+
+def quality_buckets(text, buckets):
+    hs = [_spark_hash(w) for w in words_of(text)]
+    return [h % buckets for h in hs] + [_spark_hash(h, n) % buckets for h, n in zip(hs, [*hs[1:], None])]
+
+
+def line_dedup(rows, every=4, min_lines=2):
+    """rows of (doc_id, text) -> list of (doc_id, text, n_lines, n_removed); ids distinct."""
+    seen: set = set()
+    out = []
+    for d, t in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
+        if t is None:
+            out.append((d, None, 0, 0))
+            continue
+        lines = t.split("\n")
+        v = [int(hashlib.md5(x.encode()).hexdigest()[:7], 16) for x in lines]
+        kept, start, removed = [], 0, 0
+        for i in range(len(lines)):
+            roll = v[i] + 31 * (v[i - 1] if i > 0 else 0) + 961 * (v[i - 2] if i > 1 else 0)
+            if roll % every == 0 or i == len(lines) - 1:
+                part = lines[start:i + 1]
+                key = tuple(part)
+                if len(part) >= min_lines and sum(bool(words_of(x)) for x in part) >= min_lines:
+                    if key in seen:
+                        removed += len(part)
+                        part = []
+                    seen.add(key)
+                kept += part
+                start = i + 1
+        out.append((d, "\n".join(kept), len(lines), removed))
+    return out
