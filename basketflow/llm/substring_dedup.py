@@ -8,8 +8,9 @@ sequence also starts in a document with a smaller id goes. Windows are judged on
    hold the same sample at the same offset. About one suffix in twenty is kept.
 2. *Pruning by prefix.* Suffixes are counted by the hash of their first PREFIX words (combined
    map-side). A prefix seen in one document only has no deep node and is dropped.
+   Later copies of a whole document lose all words and take no further part.
 3. *Contexts.* What decides about a sampled suffix are the words up to a window's length to both sides.
-   Occurrences with the same context are one leaf with its smallest id; thousands of copies make one leaf.
+   Occurrences with the same context are one leaf with its smallest id.
    A prefix with one leaf needs no tree: later documents lose its windows, the first keeps them.
 4. *Subtrees.* The leaves of the other prefixes are dealt out by prefix and built in memory-sized
    batches: leaves sorted by the words to the right, with the LCP of neighbours (the suffix tree as leaf
@@ -129,7 +130,7 @@ def _sample_rows(window: int, k: int):
 def _contexts(window: int, k: int, with_text: bool):
     """(h, ctx, ord, dk, pos[, left, words]) of the listed positions; ctx is a digest of the context."""
     import xxhash
-    types = {"h": pa.int64(), "ctx": pa.binary(), "ord": pa.int64(), "dk": pa.int64(), "pos": pa.int32()}
+    types = {"h": pa.int64(), "ctx": pa.int64(), "ord": pa.int64(), "dk": pa.int64(), "pos": pa.int32()}
     if with_text:
         types |= {"left": pa.int32(), "words": pa.binary()}
 
@@ -145,7 +146,7 @@ def _contexts(window: int, k: int, with_text: bool):
                     for p, h in zip(at, grams):
                         left = min(p, window - k)
                         ctx = b" ".join(words[p - left:p + window])
-                        row = (h, xxhash.xxh3_128_digest(ctx + left.to_bytes(4, "little")), o, d, p, left, ctx)
+                        row = (h, xxhash.xxh3_64_intdigest(ctx, left) - 2 ** 63, o, d, p, left, ctx)
                         for c, v in zip(cols, row):
                             c.append(v)
                 yield _batch(cols, types)
@@ -200,7 +201,7 @@ def repeated_windows(contexts: list[bytes], left: np.ndarray, first: np.ndarray,
 
 def _subtrees(window: int, k: int, batch_leaves: int):
     """Over rows sorted by h: builds whole subtrees in batches; returns (h, ctx, mask)."""
-    types = {"h": pa.int64(), "ctx": pa.binary(), "mask": pa.int64()}
+    types = {"h": pa.int64(), "ctx": pa.int64(), "mask": pa.int64()}
 
     def build(parts):
         t = pa.Table.from_batches(parts)
@@ -237,7 +238,7 @@ def _subtrees(window: int, k: int, batch_leaves: int):
 def _whole_prefixes(window: int):
     """All windows of a context, each under its whole word sequence: (key, h, ctx, o, ord)."""
     import xxhash
-    types = {"key": pa.binary(), "h": pa.int64(), "ctx": pa.binary(), "o": pa.int32(), "ord": pa.int64()}
+    types = {"key": pa.binary(), "h": pa.int64(), "ctx": pa.int64(), "o": pa.int32(), "ord": pa.int64()}
 
     def run(batches):
         for batch in batches:
@@ -297,20 +298,25 @@ def dedup(docs: DataFrame, stages: Stages, window: int = MIN_WORDS, prefix: int
     rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST)).alias("ord"), text_digest(F.col(text)).alias("dk"),
                        F.col(text).cast("binary").alias("text"))
     sampled = stages.write(rows.mapInArrow(_sample_rows(window, prefix), "h long, ord long, dk long, pos int, sha binary"), "samples")
+    every = sampled.where("pos < 0").select("ord", "dk", F.col("h").alias("n_words"), F.col("sha").alias("whole"))
+    # All words of a later copy go, and a copy is never the first to have a window: copies need no tree.
+    copies = (every.join(every.groupBy("whole").agg(F.min("ord").alias("lowest")), "whole")
+              .where((F.col("ord") > F.col("lowest")) & (F.col("n_words") >= window)).select("ord", "dk"))
+    copies = stages.write(copies, "copies")
     suffixes = sampled.where("pos >= 0").select("h", "ord", "dk", "pos")
-    shared = suffixes.groupBy("h").agg(F.min("ord").alias("a"), F.max("ord").alias("b")).where("a < b").select("h")
+    shared = suffixes.groupBy("h").agg(F.min("dk").alias("a"), F.max("dk").alias("b")).where("a < b").select("h")
     listed = (suffixes.join(shared, "h", "left_semi").groupBy("ord", "dk")
-              .agg(F.sort_array(F.collect_set("pos")).alias("positions")))
+              .agg(F.sort_array(F.collect_set("pos")).alias("positions")).join(copies, ["ord", "dk"], "left_anti"))
     # Only documents with a shared prefix take their text along from here.
     hit_docs = stages.write(rows.dropna(subset=["text"]).join(listed, ["ord", "dk"]), "hit_docs")
 
-    contexts = stages.write(hit_docs.mapInArrow(_contexts(window, prefix, False), "h long, ctx binary, ord long, dk long, pos int"), "contexts")
+    contexts = stages.write(hit_docs.mapInArrow(_contexts(window, prefix, False), "h long, ctx long, ord long, dk long, pos int"), "contexts")
     leaves = stages.write(contexts.groupBy("h", "ctx").agg(F.min(F.struct("ord", "dk", "pos")).alias("one")).select("h", "ctx", "one.*"), "leaves")
     per_prefix = leaves.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     branching = leaves.join(per_prefix, "h")
     wanted = branching.groupBy("ord", "dk").agg(F.collect_list("pos").alias("positions"))
     texts = (hit_docs.select("ord", "dk", "text").join(wanted, ["ord", "dk"])
-             .mapInArrow(_contexts(window, prefix, True), "h long, ctx binary, ord long, dk long, pos int, left int, words binary")
+             .mapInArrow(_contexts(window, prefix, True), "h long, ctx long, ord long, dk long, pos int, left int, words binary")
              .select("h", "ctx", "ord", "left", "words"))
     large = [r.h for r in per_prefix.where(F.col("n") > max_leaves).select("h").limit(1).collect()]
     small = texts
@@ -318,10 +324,10 @@ def dedup(docs: DataFrame, stages: Stages, window: int = MIN_WORDS, prefix: int
         texts = stages.write(texts, "texts")
         many = per_prefix.where(F.col("n") > max_leaves).select("h")
         small = texts.join(many, "h", "left_anti")
-    masks = small.repartition("h").sortWithinPartitions("h").mapInArrow(_subtrees(window, prefix, batch_leaves), "h long, ctx binary, mask long")
+    masks = small.repartition("h").sortWithinPartitions("h").mapInArrow(_subtrees(window, prefix, batch_leaves), "h long, ctx long, mask long")
     if large:
         windows = stages.write(texts.join(many, "h", "left_semi")
-                               .mapInArrow(_whole_prefixes(window), "key binary, h long, ctx binary, o int, ord long"), "windows")
+                               .mapInArrow(_whole_prefixes(window), "key binary, h long, ctx long, o int, ord long"), "windows")
         lowest = windows.groupBy("key").agg(F.min("ord").alias("lowest"))
         later = windows.join(lowest, "key").where("ord > lowest")
         masks = masks.unionByName(later.groupBy("h", "ctx").agg(F.expr("bit_or(shiftleft(1L, o))").alias("mask")))
@@ -332,10 +338,12 @@ def dedup(docs: DataFrame, stages: Stages, window: int = MIN_WORDS, prefix: int
                .where("mask is not null").groupBy("ord", "dk").agg(F.collect_set(F.struct("pos", "mask")).alias("removed")))
     cut = hit_docs.select("ord", "dk", "text").join(removed, ["ord", "dk"]).mapInArrow(_cut(window, prefix), _CUT)
     cut = (cut if with_text else cut.drop("kept")).dropDuplicates(["ord", "dk"])
-    every = sampled.where("pos < 0").select("ord", "dk", F.col("h").alias("n_words"), F.col("sha").alias("whole"))
     no_spans = F.array().cast("array<struct<start:long,end:long>>")
-    out = every.join(cut, ["ord", "dk"], "left").select(
-        F.when(F.col("ord") < _LAST, F.col("ord")).alias("doc_id"), "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
-        F.lower(F.hex(F.coalesce("sha", "whole"))).alias("kept_sha256"), F.coalesce("spans", no_spans).alias("spans"),
-        *([F.col("kept").cast("string").alias("kept")] if with_text else []))
-    return out
+    whole_span = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_words").alias("end")))
+    copy = F.col("copy").isNotNull()
+    return (every.join(cut, ["ord", "dk"], "left").join(copies.distinct().withColumn("copy", F.lit(True)), ["ord", "dk"], "left").select(
+        F.when(F.col("ord") < _LAST, F.col("ord")).alias("doc_id"), "n_words",
+        F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0).cast("long"))).alias("n_removed"),
+        F.lower(F.hex(F.when(copy, F.lit(_sha([]))).otherwise(F.coalesce("sha", "whole")))).alias("kept_sha256"),
+        F.when(copy, whole_span).otherwise(F.coalesce("spans", no_spans)).alias("spans"),
+        *([F.when(copy, F.lit("")).otherwise(F.col("kept").cast("string")).alias("kept")] if with_text else [])))
