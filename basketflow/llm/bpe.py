@@ -2,8 +2,8 @@
 
 Encoding splits a text by a pattern and merges the bytes of each piece: always the adjacent pair of
 lowest rank, leftmost first. The pairs wait in a *hierarchical-bitmap rank queue*: one bucket of
-linked-list positions per rank, and a three-level bitmap (64-way at each level) over the ranks whose
-bucket is not empty. Find-first-set on three words gives the next rank whatever the length of the
+linked-list positions per rank, and a two-level bitmap (256 ranks to a word) over the ranks whose
+bucket is not empty. Find-first-set on two words gives the next rank whatever the length of the
 piece; entries whose pair has changed since they were queued are skipped when they come up. A piece
 of n bytes costs O(n log n) at worst (the log is the order of positions inside one bucket), so a
 piece of a million bytes without white space is no problem.
@@ -18,7 +18,7 @@ are, repeated rows give repeated results; other columns pass through unchanged.
 from __future__ import annotations
 
 import base64
-import heapq
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +32,9 @@ _WHITE = r"\t-\r \x85\xa0  -     　"
 
 # Rank files and patterns are read on the driver and broadcast: refuse anything beyond this size.
 MAX_VOCAB_BYTES = 64 << 20
-CACHE_PIECES = 400_000
+CACHE_PIECES = 1_200_000
 CACHE_PIECE_BYTES = 64
+_SHIFT = 20  # bits for a rank in a pair's key
 
 
 def read_vocab(path: str) -> dict[bytes, int]:
@@ -52,81 +53,83 @@ def compile_pattern(pattern: str):
                          .replace(r"\s", f"[{_WHITE}]"))
 
 
-class RankQueue:
-    """Positions by rank; ``pop`` returns the lowest rank's smallest position."""
-
-    def __init__(self, n_ranks: int):
-        self.low = [0] * ((n_ranks >> 6) + 1)
-        self.mid = [0] * ((n_ranks >> 12) + 1)
-        self.top = 0
-        self.buckets: dict[int, list[int]] = {}
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket:
-            heapq.heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        self.low[rank >> 6] |= 1 << (rank & 63)
-        self.mid[rank >> 12] |= 1 << ((rank >> 6) & 63)
-        self.top |= 1 << (rank >> 12)
-
-    def pop(self) -> tuple[int, int] | None:
-        if not self.top:
-            return None
-        t = (self.top & -self.top).bit_length() - 1
-        m = (t << 6) | ((self.mid[t] & -self.mid[t]).bit_length() - 1)
-        rank = (m << 6) | ((self.low[m] & -self.low[m]).bit_length() - 1)
-        bucket = self.buckets[rank]
-        position = heapq.heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            self.low[m] &= ~(1 << (rank & 63))
-            if not self.low[m]:
-                self.mid[t] &= ~(1 << (m & 63))
-                if not self.mid[t]:
-                    self.top &= ~(1 << t)
-        return rank, position
-
-
 class Encoder(dict):
-    """Encodes texts; as a mapping, a piece and its ids as little-endian 32-bit numbers."""
+    """Encodes texts; as a mapping, a piece and its ids as little-endian 32-bit numbers.
+
+    The rank queue is ``buckets`` (rank to a heap of positions) under a two-level bitmap: ``low`` has a
+    256-bit word for each run of 256 ranks, ``top`` a bit for each word that is not zero. The queue is empty
+    between pieces, so its words are allocated once.
+    """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         super().__init__()
+        if len(ranks) > 1 << _SHIFT:
+            raise ValueError(f"more than {1 << _SHIFT} ranks")
         self.ranks = ranks
-        self.queue = RankQueue(max(ranks.values(), default=0) + 1)
+        self.bytes = [ranks.get(bytes([b])) for b in range(256)]
+        #: The rank of what two tokens give, for all splits of all tokens.
+        self.pairs = {(x << _SHIFT) | y: r for token, r in ranks.items() for i in range(1, len(token))
+                      if (x := ranks.get(token[:i])) is not None and (y := ranks.get(token[i:])) is not None}
+        self.low = [0] * ((max(ranks.values(), default=0) >> 8) + 1)
+        self.buckets: dict[int, list[int]] = {}
         self.find = compile_pattern(pattern).findall
         self.old: dict[str, bytes] = {}
 
     def merge(self, piece: bytes) -> list[int]:
-        """The ids of one piece."""
-        ranks, n = self.ranks, len(piece)
-        if piece in ranks:
-            return [ranks[piece]]
-        queue, after, before = self.queue, list(range(1, n + 2)), list(range(-1, n))
-        pair = [-1] * (n + 1)  # rank of the pair that starts at a live position, or -1
+        """The ids of one piece. The queue is written out in place: this is the inner loop."""
+        if (whole := self.ranks.get(piece)) is not None:
+            return [whole]
+        get, low, buckets, n = self.pairs.get, self.low, self.buckets, len(piece)
+        token: list = [self.bytes[b] for b in piece]
+        token.append(-1)  # the end; no pair has it
+        top, after, before = 0, list(range(1, n + 2)), list(range(-1, n))
+        pair: list = []  # rank of the pair that starts at a live position
         for i in range(n - 1):
-            r = ranks.get(piece[i:i + 2], -1)
-            pair[i] = r
-            if r >= 0:
-                queue.push(r, i)
-        while (got := queue.pop()) is not None:
-            r, i = got
+            r = get((token[i] << _SHIFT) | token[i + 1])
+            pair.append(r)
+            if r is not None:
+                if r in buckets:
+                    buckets[r].append(i)
+                else:
+                    buckets[r] = [i]
+                    low[r >> 8] |= 1 << (r & 255)
+                    top |= 1 << (r >> 8)
+        pair += [None, None]
+        while top:
+            t = (top & -top).bit_length() - 1
+            word = low[t]
+            first = word & -word
+            r = (t << 8) + first.bit_length() - 1
+            bucket = buckets[r]
+            if len(bucket) > 1:
+                i = heappop(bucket)
+            else:
+                i = bucket[0]
+                del buckets[r]
+                low[t] = word = word ^ first
+                if not word:
+                    top ^= 1 << t
             if pair[i] != r:
                 continue  # stale: the pair at i has changed, or i has been merged away
             j = after[i]
             end = after[j]
-            after[i], before[end], pair[j] = end, i, -1
-            for start in ((before[i], i) if i else (i,)):
-                mid = after[start]
-                r = ranks.get(piece[start:after[mid]], -1) if mid < n else -1
-                pair[start] = r
-                if r >= 0:
-                    queue.push(r, start)
+            after[i], before[end], pair[j], token[i] = end, i, None, r
+            start = before[i] if i else i
+            while True:  # the pairs to the left and to the right of the merged token
+                pair[start] = r = get((token[start] << _SHIFT) | token[after[start]])
+                if r is not None:
+                    if r in buckets:
+                        heappush(buckets[r], start)
+                    else:
+                        buckets[r] = [start]
+                        low[r >> 8] |= 1 << (r & 255)
+                        top |= 1 << (r >> 8)
+                if start == i:
+                    break
+                start = i
         out, i = [], 0
         while i < n:
-            out.append(ranks[piece[i:after[i]]])
+            out.append(token[i])
             i = after[i]
         return out
 
