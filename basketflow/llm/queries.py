@@ -66,6 +66,15 @@ def op2_secret_scan(spark, sf_dir):
                         of("hex").alias("n_hex"), _sha(spans).alias("base_sha256"), spans.alias("spans"))
 
 
+@query("op3_language_filters")
+def op3_language_filters(spark, sf_dir):
+    from basketflow.llm import langid
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(F.col("doc_id").isNotNull() & ~langid.held_out(F.col("doc_id"))), Stages(spark, "op3"))
+    rows = docs.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "text")
+    return langid.predict(rows, model).drop("text")
+
+
 @query("op4_quality_llr")
 def op4_quality_llr(spark, sf_dir):
     from basketflow.llm import quality as ql
@@ -74,6 +83,33 @@ def op4_quality_llr(spark, sf_dir):
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept")
 
 
+_OP5 = """
+with m as (select distinct conv_id, turn, role, text from conversations),
+who as (select distinct conv_id, role perspective from m where role is not null and role <> 'system'),
+seen as (select m.conv_id, perspective, turn, coalesce(role = perspective, false) own,
+           md5(concat_ws(chr(31), coalesce(role, chr(30)), coalesce(text, chr(30)))) tie,
+           case when role = perspective then '<|assistant|>' || chr(10) when role = 'system' then '<|system|>' || chr(10)
+             else '<|user:' || replace(coalesce(role, ''), '<|', '< |') || '|>' || chr(10) end head,
+           replace(coalesce(text, ''), '<|', '< |') || '<|end|>' body
+         from m join who using (conv_id)),
+placed as (select *, coalesce(sum(len(head) + len(body) + 1) over (partition by conv_id, perspective order by turn nulls first, tie
+         rows between unbounded preceding and 1 preceding), 0)::bigint before from seen)
+-- One block: no conversation here reaches 64 turns.
+select conv_id, perspective, 0::bigint block, 0::bigint "start", count(*)::bigint n_messages,
+  string_agg(head || body || chr(10), '' order by turn nulls first, tie) as text,
+  string_agg((before + len(head))::varchar || '-' || (before + len(head) + len(body))::varchar, ',' order by turn nulls first, tie)
+    filter (own) mask
+from placed group by conv_id, perspective
+"""
+
+
+@query("op5_perspectives", _OP5)
+def op5_perspectives(spark, sf_dir):
+    from basketflow.llm import perspectives as pv
+    out = pv.rotate(_table(spark, sf_dir, "conversations"))
+    return out.withColumn("mask", F.array_join(F.transform("mask", lambda m: F.concat_ws("-", m["start"], m["end"])), ","))
+
+
 @query("op6_simhash_vp")
 def op6_simhash_vp(spark, sf_dir):
     from basketflow.llm import simhash_vp as sv
