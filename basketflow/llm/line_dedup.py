@@ -68,8 +68,11 @@ def dedup(docs: DataFrame, stages: Stages, every: int = EVERY, min_lines: int =
     later = (found.join(firsts, "digest").where(F.struct("ord", "dk", "start", "end") != F.col("first"))
              .select("digest", "ord", "dk", "start", "end"))
     wanted = (firsts.select("digest", "first.*").groupBy("ord", "dk").agg(F.collect_list(F.struct("digest", "start", "end")).alias("wanted")))
-    texts = (rows.select("ord", "dk", "text").join(wanted, ["ord", "dk"])
-             .select(_lines(F.col("text")).alias("l"), F.explode("wanted").alias("w"))
+    # The condition on "rest" always holds. It makes this side ask for the same columns as the join at the
+    # end, so that both read one shuffle of the documents (the planner reuses equal exchanges).
+    r, w = rows.alias("r"), wanted.alias("w")
+    texts = (r.join(w, (F.col("r.ord") == F.col("w.ord")) & (F.col("r.dk") == F.col("w.dk")) & (F.pmod(F.xxhash64("rest", "wanted"), F.lit(1)) == 0))
+             .select("text", "wanted").select(_lines(F.col("text")).alias("l"), F.explode("wanted").alias("w"))
              .select("w.digest", _part(F.col("l"), F.col("w.start"), F.col("w.end")).alias("bytes")).dropDuplicates(["digest"]))
     marks = (later.join(texts, "digest").groupBy("ord", "dk").agg(F.sort_array(F.collect_set(F.struct("start", "end", "bytes"))).alias("marks")))
     marked = rows.join(marks, ["ord", "dk"], "left").withColumn("l", _lines(F.col("text")))
