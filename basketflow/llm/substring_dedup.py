@@ -29,6 +29,7 @@ an empty table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import hashlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -175,9 +176,12 @@ def repeated_windows(contexts: list[bytes], left: np.ndarray, first: np.ndarray,
     """
     n, reach = len(contexts), window - k
     ids: dict[bytes, int] = {}
-    split = [c.split() for c in contexts]
-    flat = np.array([ids.setdefault(w, len(ids)) for ws in split for w in ws], np.int32)
-    size = np.array([len(ws) for ws in split])
+    numbers, size = array("i"), np.zeros(n, np.int64)
+    for i, c in enumerate(contexts):
+        words = c.split()
+        size[i] = len(words)
+        numbers.extend([ids.setdefault(w, len(ids)) for w in words])
+    flat = np.frombuffer(numbers, np.int32)
     begin = np.concatenate([[0], np.cumsum(size)[:-1]])
     own = -1 - np.arange(n, dtype=np.int32)[:, None]  # past the end of a document: equal to nothing
 
@@ -314,19 +318,17 @@ def dedup(docs: DataFrame, stages: Stages, window: int = MIN_WORDS, prefix: int
     leaves = stages.write(contexts.groupBy("h", "ctx").agg(F.min(F.struct("ord", "dk", "pos")).alias("one")).select("h", "ctx", "one.*"), "leaves")
     per_prefix = leaves.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     branching = leaves.join(per_prefix, "h")
-    wanted = branching.groupBy("ord", "dk").agg(F.collect_list("pos").alias("positions"))
-    texts = (hit_docs.select("ord", "dk", "text").join(wanted, ["ord", "dk"])
-             .mapInArrow(_contexts(window, prefix, True), "h long, ctx long, ord long, dk long, pos int, left int, words binary")
-             .select("h", "ctx", "ord", "left", "words"))
-    large = [r.h for r in per_prefix.where(F.col("n") > max_leaves).select("h").limit(1).collect()]
-    small = texts
-    if large:
-        texts = stages.write(texts, "texts")
-        many = per_prefix.where(F.col("n") > max_leaves).select("h")
-        small = texts.join(many, "h", "left_anti")
-    masks = small.repartition("h").sortWithinPartitions("h").mapInArrow(_subtrees(window, prefix, batch_leaves), "h long, ctx long, mask long")
-    if large:
-        windows = stages.write(texts.join(many, "h", "left_semi")
+
+    def with_words(some):
+        wanted = some.groupBy("ord", "dk").agg(F.collect_list("pos").alias("positions"))
+        return (hit_docs.select("ord", "dk", "text").join(wanted, ["ord", "dk"])
+                .mapInArrow(_contexts(window, prefix, True), "h long, ctx long, ord long, dk long, pos int, left int, words binary")
+                .select("h", "ctx", "ord", "left", "words"))
+
+    masks = (with_words(branching.where(F.col("n") <= max_leaves)).repartition("h").sortWithinPartitions("h")
+             .mapInArrow(_subtrees(window, prefix, batch_leaves), "h long, ctx long, mask long"))
+    if per_prefix.where(F.col("n") > max_leaves).limit(1).collect():
+        windows = stages.write(with_words(branching.where(F.col("n") > max_leaves))
                                .mapInArrow(_whole_prefixes(window), "key binary, h long, ctx long, o int, ord long"), "windows")
         lowest = windows.groupBy("key").agg(F.min("ord").alias("lowest"))
         later = windows.join(lowest, "key").where("ord > lowest")
