@@ -32,8 +32,10 @@ CTE["r_orders"] = """r_orders AS (
   FROM o_base)"""
 
 CTE["l_base"] = """l_base AS (
-  SELECT l_orderkey AS order_id, CAST(l_partkey % 50 + 1 AS INTEGER) AS product_id, min(l_linenumber) AS ln
-  FROM lineitem GROUP BY 1, 2)"""
+  SELECT l_orderkey AS order_id,
+         CAST(((CASE WHEN o_custkey % 2 = 0 THEN 0 ELSE o_custkey * 37 END) + l_partkey % 50)
+              % (SELECT count(*) FROM part) + 1 AS INTEGER) AS product_id, min(l_linenumber) AS ln
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2)"""
 
 CTE["r_lines"] = """r_lines AS (
   SELECT l.order_id, l.product_id,
@@ -46,7 +48,7 @@ CTE["r_lines"] = """r_lines AS (
 CTE["r_products"] = """r_products AS (
   SELECT CAST(p_partkey + 1 AS INTEGER) AS product_id, p_name AS product_name,
          CAST(replace(p_brand, 'Brand#', '') AS INTEGER) AS aisle_id, CAST(p_size % 7 + 1 AS INTEGER) AS department_id
-  FROM part WHERE p_partkey < 50)"""
+  FROM part)"""
 
 CTE["prior_l"] = "prior_l AS (SELECT * FROM r_lines WHERE eval_set = 'prior')"
 CTE["train_l"] = "train_l AS (SELECT * FROM r_lines WHERE eval_set = 'train')"
@@ -136,9 +138,8 @@ CTE["up_f"] = """up_f AS (
          arg_max(l.order_id, l.order_number) AS UP_last_order_id,
          CAST(sum(l.add_to_cart_order) AS BIGINT) AS UP_sum_pos_in_cart,
          min(l.order_number) AS UP_first_order, max(l.order_number) AS UP_last_order,
-         count(*) + CAST(sum(l.order_number) AS DOUBLE) / CAST(max(u.user_total_orders) AS DOUBLE) AS UP_recency,
-         CAST(sum(CAST(round(1e12 / (CAST(l.days_ago_since_last AS DOUBLE) + 1.0)) AS BIGINT)) AS DOUBLE) / 1e12
-           AS UP_recency_day,
+         sum(1 + CAST(l.order_number AS DOUBLE) / CAST(u.user_total_orders AS DOUBLE)) AS UP_recency,
+         CAST(sum(CAST(1.0::DOUBLE / (l.days_ago_since_last + 1) AS DECIMAL(28, 18))) AS DOUBLE) AS UP_recency_day,
          sum(exp(-0.02 * CAST(l.days_ago_since_last AS DOUBLE))) AS UP_recency_exp,
          CAST(count(*) AS DOUBLE)
            / nullif(CAST(max(u.user_total_orders) - min(l.order_number) + 1 AS DOUBLE), 0) AS UP_order_rate_since_first_order,
@@ -191,10 +192,11 @@ CTE["truth_test"] = """truth_test AS (
                              ORDER BY l.add_to_cart_order), 'None') AS products
   FROM t_orders o LEFT JOIN test_l l ON o.order_id = l.order_id GROUP BY 1)"""
 CTE["truth_train"] = """truth_train AS (
-  SELECT order_id,
-         coalesce(string_agg(CASE WHEN reordered = 1 THEN CAST(product_id AS VARCHAR) END, ' '
-                             ORDER BY add_to_cart_order), 'None') AS products
-  FROM train_l GROUP BY 1)"""
+  SELECT o.order_id,
+         coalesce(string_agg(CASE WHEN l.reordered = 1 THEN CAST(l.product_id AS VARCHAR) END, ' '
+                             ORDER BY l.add_to_cart_order), 'None') AS products
+  FROM (SELECT order_id FROM r_orders WHERE eval_set = 'train') o LEFT JOIN train_l l ON o.order_id = l.order_id
+  GROUP BY 1)"""
 
 CTE["cand"] = """tgt AS (SELECT order_id, user_id, eval_set, order_hour_of_day FROM r_orders WHERE eval_set <> 'prior'),
 cand AS (
@@ -403,6 +405,24 @@ FROM r_lines WHERE eval_set IN ('prior', 'train') GROUP BY 1""")
     q["s_csv_sink_roundtrip"] = truth_train
     q["m_blend_scores"] = rounded(with_ctes(PRIOR + ["pairs", "cand", "blend"],
                                             "SELECT order_id, product_id, prediction FROM blend"), ["prediction"])
+    q["s_prediction_store"] = with_ctes(PRIOR + ["pairs", "cand", "blend"], """
+SELECT order_id, product_id, prediction, 'a' AS model FROM score_a
+UNION ALL SELECT order_id, product_id, prediction, 'b' AS model FROM score_b""")
+    # AUC as the rank statistic: ties count half.
+    q["m_formula_metrics"] = rounded(with_ctes(PRIOR + ["train_l", "pairs", "cand", "blend"], """
+SELECT (sum(rk) FILTER (WHERE y = 1) - (count(*) FILTER (WHERE y = 1)) * (count(*) FILTER (WHERE y = 1) + 1) / 2.0)
+         / ((count(*) FILTER (WHERE y = 1)) * (count(*) FILTER (WHERE y = 0))) AS auc,
+       avg(CASE WHEN y = 1 THEN -ln(least(greatest(p, 1e-15), 1 - 1e-15)) ELSE -ln(1 - least(greatest(p, 1e-15), 1 - 1e-15)) END) AS logloss
+FROM (SELECT y, p, (rank() OVER (ORDER BY p) + count(*) OVER (ORDER BY p) ) / 2.0 AS rk FROM scored)""", extra="""scored AS (
+  SELECT s.prediction AS p, CASE WHEN l.product_id IS NULL THEN 0 ELSE 1 END AS y
+  FROM score_a s JOIN r_orders o ON s.order_id = o.order_id AND o.eval_set = 'train'
+  LEFT JOIN (SELECT DISTINCT order_id, product_id FROM train_l) l ON l.order_id = s.order_id AND l.product_id = s.product_id)"""),
+        ["auc", "logloss"])
+    f = [f"CAST((user_id * {j + 3}) % 7 AS DOUBLE)" for j in range(4)]
+    norm = "sqrt(" + " + ".join(f"{x} * {x}" for x in f) + ")"
+    q["m_normalised_rows"] = rounded(with_ctes(VIEW, "SELECT user_id, " + ", ".join(
+        f"coalesce({x} / nullif({norm}, 0), 0.0) AS f{j}" for j, x in enumerate(f))
+        + " FROM (SELECT DISTINCT user_id FROM r_orders)"), ["f0", "f1", "f2", "f3"])
     q["e_select_f1"] = rounded(with_ctes(PRIOR + ["pairs", "cand", "blend", "select_f1"], """
 SELECT b.order_id,
        concat_ws(' ', CASE WHEN b.flag = 0 THEN 'None' END,

@@ -27,9 +27,12 @@ from basketflow.operators import sequences as seq
 from basketflow.session import stage_path
 from basketflow.sources.tables import read_table
 
-# Fixed values of the mapping (FIXTURES.md): number of folded products, day bucket width,
-# cap of the day gap, hours per day, test-user modulus.
-N_PRODUCTS = 50
+# Fixed values of the mapping (FIXTURES.md): products a customer chooses from, every how many
+# customers share the first of these windows, step between the others, day bucket width, cap of the
+# day gap, hours per day, test-user modulus.
+WINDOW = 50
+COMMON = 2
+STEP = 37
 DAY_BUCKET = 8.0
 MAX_GAP = 30.0
 HOURS = 24
@@ -132,15 +135,19 @@ def build_lines(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFram
     The pair's first order_number is a window over (user, product) when no customer reaches
     ``BLOCK_SIZE`` orders (a pair then has fewer lines); otherwise an aggregate joined back, so a
     hot pair is reduced map-side (at the cost of reading the joined lines twice)."""
-    # Several line items of an order may fold onto one product: keep one line per
+    # A customer chooses from a window of the whole catalogue (repeats need few products per
+    # customer). Several line items of an order may fall on one product: keep one line per
     # (order, product) at its first line number.
+    n_parts = read_table(spark, sf_dir, "part", ["p_partkey"]).agg(F.count(F.lit(1))).scalar()
+    first_part = F.when(F.col("user_id") % COMMON == 0, 0).otherwise(F.col("user_id") * STEP)
+    hdr = orders.select("order_id", "user_id", "order_number", "eval_set")
     li = (read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_linenumber"])
-          .groupBy(F.col("l_orderkey").alias("order_id"),
-                   (F.col("l_partkey") % N_PRODUCTS + 1).cast("int").alias("product_id"))
+          .withColumnRenamed("l_orderkey", "order_id").join(hdr, "order_id")
+          .withColumn("product_id", ((first_part + F.col("l_partkey") % WINDOW) % n_parts + 1).cast("int"))
+          .groupBy("order_id", "user_id", "order_number", "eval_set", "product_id")
           .agg(F.min("l_linenumber").alias("ln")))
-    hdr = orders.select("order_id", "user_id", "order_number", "eval_set")
     cart = Window.partitionBy("order_id").orderBy("ln", "product_id")
-    joined = li.join(hdr, "order_id").withColumn("add_to_cart_order", F.row_number().over(cart).cast("int"))
+    joined = li.withColumn("add_to_cart_order", F.row_number().over(cart).cast("int"))
     if seq._one_block(max_orders_per_customer(spark, sf_dir), seq.BLOCK_SIZE):
         with_first = joined.withColumn(
             "_first", F.min("order_number").over(Window.partitionBy("user_id", "product_id")))
@@ -160,7 +167,7 @@ def build_lines(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFram
 
 def build_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_brand", "p_size"])
-    return p.where(F.col("p_partkey") < N_PRODUCTS).select(
+    return p.select(
         (F.col("p_partkey") + 1).cast("int").alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.regexp_replace("p_brand", "Brand#", "").cast("int").alias("aisle_id"),
@@ -168,12 +175,30 @@ def build_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) of a Hadoop path."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def _stage_root(spark: SparkSession, sf_dir: str) -> str:
-    slug = hashlib.sha1(f"v4:{sf_dir.rstrip('/')}".encode()).hexdigest()[:12]
+    """A folder per version of the input: names, sizes and modification times of its files."""
+    files = []
+    for table in ("orders", "lineitem", "part"):
+        fs, path = _hadoop(spark, f"{sf_dir.rstrip('/')}/{table}.parquet")
+        found = fs.listFiles(path, True)
+        while found.hasNext():
+            f = found.next()
+            files.append(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}")
+    slug = hashlib.sha1("\n".join(["v5", *sorted(files)]).encode()).hexdigest()[:12]
     return stage_path(spark, "retail_view", slug)
 
 
 def _read_staged(spark: SparkSession, root: str) -> Retail | None:
+    for table in ("orders", "lines", "products"):
+        fs, done = _hadoop(spark, f"{root}/{table}/_SUCCESS")
+        if not fs.exists(done):
+            return None  # absent, or left by a write that did not end
     try:
         return Retail(*(spark.read.parquet(f"{root}/{n}") for n in ("orders", "lines", "products")))
     except AnalysisException:
