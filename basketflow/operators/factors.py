@@ -9,7 +9,7 @@ from __future__ import annotations
 import sys
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketflow.sources.retail_view import Retail
@@ -30,8 +30,8 @@ def reordered_history(r: Retail) -> DataFrame:
     counts = (r.lines_of("prior", with_header=True).where(F.col("reordered") == 1)
               .groupBy("user_id", "product_id").agg(F.count(F.lit(1)).alias("n_times")))
     x = targets.join(counts, "user_id")
-    return x.withColumn("num_products_reordered",
-                        F.sum("n_times").over(Window.partitionBy("order_id")).cast("long"))
+    total = counts.groupBy("user_id").agg(F.sum("n_times").cast("long").alias("num_products_reordered"))
+    return x.join(total, "user_id").select("order_id", "user_id", "order_number", "product_id", "n_times", "num_products_reordered")
 
 
 # ---------------------------------------------------------------- M3 / M4: non-negative factors
@@ -40,8 +40,9 @@ def reordered_history(r: Retail) -> DataFrame:
 N_COMPONENTS = 100
 SEED = 42
 EPS = 1e-10
-# Largest H (products x k doubles, in bytes) shipped to every task as a broadcast.
-H_BROADCAST_MAX_BYTES = 512 * 1024 * 1024
+# The loss has converged when a round takes less than this share of the first loss off it.
+TOLERANCE = 5e-4
+MAX_ITERATIONS = 200
 
 
 def reorder_counts(r: Retail) -> DataFrame:
@@ -51,137 +52,152 @@ def reorder_counts(r: Retail) -> DataFrame:
     return h.select("user_id", "product_id", F.col("n_times").cast("double").alias("cnt"))
 
 
+def _matrix(column) -> "np.ndarray":
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
+
+
 def _gram_partials(k: int):
-    """Per-partition partial Gram matrix W'W, emitted as one flattened row per partition."""
+    """V'V of each partition's vectors (column 0)."""
     import numpy as np
-    import pandas as pd
+    import pyarrow as pa
 
     def fn(batches):
-        acc = np.zeros((k, k))
-        for pdf in batches:
-            if len(pdf):
-                w = np.stack(pdf["w"].to_numpy())
-                acc += w.T @ w
-        yield pd.DataFrame({"g": [acc.ravel().tolist()]})
+        total = np.zeros((k, k))
+        for batch in batches:
+            if batch.num_rows:
+                v = _matrix(batch.column(0))
+                total += v.T @ v
+        yield pa.RecordBatch.from_arrays([pa.array([total.ravel()])], names=["g"])
+
     return fn
 
 
-def _w_update(hht):
-    """W <- W * (XH') / (W HH'), batch-wise with numpy; HH' is k x k and shipped in the closure."""
+def _weighted_sums(k: int, hold: int = 20_000):
+    """Rows (key, cnt, vector) -> (key, sum of cnt * vector), combined inside a partition.
+
+    At most about ``hold`` keys are kept; a partition with more emits a key more than once.
+    """
     import numpy as np
-    import pandas as pd
+    import pyarrow as pa
+
+    def combine(keys, sums):
+        keys, at = np.unique(np.concatenate(keys), return_inverse=True)
+        out = np.zeros((len(keys), k))
+        np.add.at(out, at, np.concatenate(sums))
+        return keys, out
+
+    def emit(keys, out):
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(0, out.size + 1, k, dtype="int32")), pa.array(out.ravel()))
+        return pa.RecordBatch.from_arrays([pa.array(keys), lists], names=["key", "v"])
 
     def fn(batches):
-        for pdf in batches:
-            if not len(pdf):
+        keys, sums, size = [], [], 0
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            w = np.stack(pdf["w"].to_numpy())
-            xh = np.stack(pdf["xh"].to_numpy())
-            w = w * xh / (w @ hht + EPS)
-            yield pd.DataFrame({"user_id": pdf["user_id"].to_numpy(), "w": list(w)})
+            got, part = combine([batch.column(0).to_numpy()], [batch.column(1).to_numpy()[:, None] * _matrix(batch.column(2))])
+            keys.append(got)
+            sums.append(part)
+            size += len(got)
+            if size > hold:
+                got, part = combine(keys, sums)
+                keys, sums, size = [got], [part], len(got)
+                if size > hold // 2:
+                    yield emit(got, part)
+                    keys, sums, size = [], [], 0
+        if keys:
+            yield emit(*combine(keys, sums))
+
+    return fn
+
+
+def _updated(gram, eps: float):
+    """Rows (key, v, numerator): v <- v * numerator / (v gram + eps)."""
+    import pyarrow as pa
+
+    def fn(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            v, n = _matrix(batch.column(1)), _matrix(batch.column(2))
+            new = v * n / (v @ gram + eps)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(new), pa.list_(pa.float64())), batch.column(2)], names=["key", "v", "n"])
+
     return fn
 
 
-def user_factors(x: DataFrame, k: int = N_COMPONENTS, iterations: int = 30, seed: int = SEED,
-                 checkpoint_every: int = 5, w_init: DataFrame | None = None, h_init=None):
+def user_factors(x: DataFrame, k: int = N_COMPONENTS, iterations: int = MAX_ITERATIONS, seed: int = SEED, tolerance: float = TOLERANCE,
+                 w_init: DataFrame | None = None, h_init: DataFrame | None = None):
     """M3: X ~ W H with W, H >= 0 by Lee-Seung multiplicative updates (Frobenius loss).
 
-    X is a coordinate DataFrame; W (users x k) stays distributed as one array per user; H
-    (k x products) is small - bounded by the catalogue - and lives on the driver between
-    iterations. Per iteration: W'X by product and X H' by user are vector sums over the nonzeros
-    (Summarizer, partial aggregation), W'W is summed from per-partition partial Gram matrices,
-    and the W update runs batch-wise in Arrow. W is checkpointed to the shared folder every
-    ``checkpoint_every`` iterations to cut the lineage. Returns (W DataFrame, H numpy array, errors)
-    where errors holds ||X - WH||^2 after each checkpoint. ``w_init`` (user_id, w) and ``h_init``
-    (k x products in ascending product_id order) replace the random start.
+    X is a coordinate DataFrame (user_id, product_id, cnt); W (user_id, w) and H (product_id, h) are
+    DataFrames with one array of k per row. X is kept twice, partitioned by user and by product, so
+    it moves once; a half-step joins it to the side with the same partitioning, sums inside the
+    partitions in numpy and shuffles vectors only. The driver sees k x k Gram matrices. W and H
+    are checkpointed to the shared folder in each round. Rounds end when the loss falls by less
+    than ``tolerance`` of its first value, or after ``iterations``. Returns (W, H, losses);
+    ``w_init`` and ``h_init`` replace the start, which is a hash of (key, component).
     """
     import numpy as np
     from pyspark import StorageLevel
-    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.functions import array_to_vector
     from pyspark.ml.stat import Summarizer
 
     from basketflow.session import checkpoint_dir, shuffle_partitions
 
     spark = x.sparkSession
     checkpoint_dir(spark)
-    # X is read many times per iteration: materialise it once in the shared folder (cuts its
-    # lineage), then keep it hash-partitioned by user and persisted. A persisted plan keeps its
-    # partitioning (a checkpointed one does not), so joins with W on user_id shuffle only W,
-    # and X H' aggregates by user without an exchange: X, the largest input, moves once.
     n_parts = shuffle_partitions(spark)
-    x = (x.select("user_id", "product_id", "cnt").checkpoint()
-         .repartition(n_parts, "user_id").persist(StorageLevel.MEMORY_AND_DISK))
-    x.count()
-    products = [r[0] for r in x.select("product_id").distinct().orderBy("product_id").collect()]
-    col_of = {p: i for i, p in enumerate(products)}
-    n_prod = len(products)
-    stats = x.agg(F.avg("cnt"), F.count_distinct("user_id"), F.sum(F.col("cnt") * F.col("cnt"))).first()
-    n_users, x_sq = stats[1], stats[2]
-    # Random init as in common NMF practice: scale sqrt(mean(X) / k), X's mean over the full matrix.
-    scale = float(np.sqrt((stats[0] * x.count() / (n_users * n_prod)) / k))
-    rng = np.random.default_rng(seed)
-    h = np.abs(rng.standard_normal((k, n_prod))) * scale if h_init is None else np.asarray(h_init, dtype=float)
-    # W initialised from a hash of (user, component): reproducible wherever a partition is recomputed.
-    comp = F.sequence(F.lit(0), F.lit(k - 1))
-    w = (x.select("user_id").distinct()
-         .select("user_id", F.transform(comp, lambda j: (F.xxhash64(F.col("user_id"), j, F.lit(seed)) % 1000000)
-                                        .cast("double") / 1000000.0 * scale * 2 + 1e-3 * scale).alias("w")))
-    w = w.withColumn("w", F.transform("w", lambda v: F.abs(v)))
-    if w_init is not None:
-        w = w_init.select("user_id", F.col("w").cast("array<double>").alias("w"))
-    w = w.checkpoint()
-    # H's size is known exactly (products x k doubles): broadcast it only under the bound,
-    # otherwise leave the join to the planner.
-    h_bytes = n_prod * k * 8
-
-    def h_side(df):
-        return F.broadcast(df) if h_bytes <= H_BROADCAST_MAX_BYTES else df
-
-    def gram(wdf):
-        """W'W: per-partition partial Gram matrices, summed on the executors; one k x k row returns."""
-        partial = wdf.select("w").mapInPandas(_gram_partials(k), "g array<double>")
+    x = x.select("user_id", "product_id", F.col("cnt").cast("double").alias("cnt")).checkpoint()
+    by_user = x.repartition(n_parts, "user_id").persist(StorageLevel.MEMORY_AND_DISK)
+    by_product = x.repartition(n_parts, "product_id").persist(StorageLevel.MEMORY_AND_DISK)
+    count, mean, x_sq = x.agg(F.count(F.lit(1)), F.avg("cnt"), F.sum(F.col("cnt") * F.col("cnt"))).first()
+
+    def start(column: str, scale: float, salt: int) -> DataFrame:
+        part = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda j: F.pmod(
+            F.xxhash64(F.col("key"), j, F.lit(salt)), F.lit(1_000_000)).cast("double") / 1e6 * 2 * scale + 1e-3 * scale)
+        return x.select(F.col(column).alias("key")).distinct().withColumn("v", part)
+
+    if not count:
+        empty = "array<double>"
+        return (spark.createDataFrame([], f"user_id long, w {empty}"), spark.createDataFrame([], f"product_id int, h {empty}"), [])
+    n_users, n_products = (x.select(c).distinct().count() for c in ("user_id", "product_id"))
+    # Random start as in common practice: scale sqrt(mean(X) / k), the mean over the full matrix.
+    scale = float(np.sqrt(mean * count / (n_users * n_products) / k))
+    key_types = {"w": x.schema["user_id"].dataType.simpleString(), "h": x.schema["product_id"].dataType.simpleString()}
+    w = (start("user_id", scale, seed) if w_init is None else w_init.toDF("key", "v")).checkpoint()
+    h = (start("product_id", scale, seed + 1) if h_init is None else h_init.toDF("key", "v")).checkpoint()
+
+    def gram(side: DataFrame):
+        partial = side.select("v").mapInArrow(_gram_partials(k), "g array<double>")
         total = partial.select(array_to_vector("g").alias("g")).agg(Summarizer.sum(F.col("g")).alias("s")).first()
         return np.asarray(total["s"].toArray()).reshape(k, k)
 
-    errors = []
-    for it in range(iterations):
-        # --- H update: H <- H * (W'X) / (W'W H)
-        wx = (x.join(w, "user_id")
-              .select("product_id", array_to_vector(F.transform("w", lambda v: v * F.col("cnt"))).alias("v"))
-              .groupBy("product_id").agg(Summarizer.sum(F.col("v")).alias("s"))
-              .select("product_id", vector_to_array("s").alias("s")).collect())
-        wtx = np.zeros((k, n_prod))
-        for row in wx:
-            wtx[:, col_of[row["product_id"]]] = row["s"]
-        wtw = gram(w)
-        h = h * wtx / (wtw @ h + EPS)
-        # --- W update: W <- W * (X H') / (W H H')
-        hdf = spark.createDataFrame([(p, h[:, i].tolist()) for p, i in col_of.items()],
-                                    "product_id int, h array<double>")
-        xh = (x.join(h_side(hdf), "product_id")
-              .select("user_id", array_to_vector(F.transform("h", lambda v: v * F.col("cnt"))).alias("v"))
-              .groupBy("user_id").agg(Summarizer.sum(F.col("v")).alias("s"))
-              .select("user_id", vector_to_array("s").alias("xh")))
-        new_w = w.join(xh, "user_id").mapInPandas(_w_update(h @ h.T), "user_id long, w array<double>")
-        # Each W is computed once: persisted (and materialised) every iteration, written to the
-        # shared folder every ``checkpoint_every`` iterations so the lineage stays short.
-        if (it + 1) % checkpoint_every == 0 or it == iterations - 1:
-            new_w = new_w.checkpoint()
-        else:
-            new_w = new_w.persist(StorageLevel.MEMORY_AND_DISK)
-            new_w.count()
-        w.unpersist()
-        w = new_w
-        if (it + 1) % checkpoint_every == 0 or it == iterations - 1:
-            # ||X - WH||^2 = ||X||^2 - 2 <X, WH> + <W'W, HH'>, all from small reductions.
-            cross = (x.join(w, "user_id").join(h_side(hdf), "product_id")
-                     .select((F.col("cnt") * F.aggregate(F.zip_with("w", "h", lambda a, b: a * b), F.lit(0.0),
-                                                         lambda acc, v: acc + v)).alias("c"))
-                     .agg(F.sum("c")).first()[0]) or 0.0
-            wtw = gram(w)
-            errors.append(float(x_sq - 2 * cross + np.sum(wtw * (h @ h.T))))
-    x.unpersist()  # the returned W is checkpointed and no longer depends on X
-    return w, h, errors
+    def half_step(target: DataFrame, kind: str, other: DataFrame, coordinates: DataFrame, on: str, to: str, g):
+        """(key, v, n) of the updated side; n is its row of X times the other side."""
+        joined = coordinates.join(other.withColumnRenamed("key", on), on).select(to, "cnt", "v")
+        partial = joined.mapInArrow(_weighted_sums(k), f"key {key_types[kind]}, v array<double>")
+        sums = partial.groupBy("key").agg(*[F.sum(F.col("v")[i]).alias(f"s{i}") for i in range(k)])
+        numerators = sums.select("key", F.array(*[F.col(f"s{i}") for i in range(k)]).alias("n"))
+        return (target.select("key", "v").join(numerators, "key")
+                .mapInArrow(_updated(g, EPS), f"key {key_types[kind]}, v array<double>, n array<double>").checkpoint())
+
+    losses: list[float] = []
+    for _ in range(iterations):
+        h = half_step(h, "h", w, by_user, "user_id", "product_id", gram(w))
+        hht = gram(h)
+        w = half_step(w, "w", h.select("key", "v"), by_product, "product_id", "user_id", hht)
+        # ||X - WH||^2 = ||X||^2 - 2 <W, X H'> + <W'W, HH'>
+        dot = F.aggregate(F.zip_with("v", "n", lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
+        cross = w.agg(F.sum(dot)).first()[0] or 0.0
+        losses.append(float(x_sq - 2 * cross + np.sum(gram(w) * hht)))
+        if len(losses) > 1 and losses[-2] - losses[-1] < tolerance * losses[0]:
+            break
+    by_user.unpersist()
+    by_product.unpersist()
+    return (w.select(F.col("key").alias("user_id"), F.col("v").alias("w")),
+            h.select(F.col("key").alias("product_id"), F.col("v").alias("h")), losses)
 
 
 def normalize_rows(w: DataFrame) -> DataFrame:

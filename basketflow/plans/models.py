@@ -21,7 +21,6 @@ from basketflow.sources.retail_view import Retail
 # Light presets for local runs (same parameters as the full ones but rounds and depth).
 LOCAL_A = md.quick(md.PRESET_A, max_iter=20, max_depth=6)
 LOCAL_B = md.quick(md.PRESET_B, max_iter=20)
-LOCAL_NMF_ITERATIONS = 10
 
 
 def _sentences(r: Retail):
@@ -56,7 +55,7 @@ def m_item_pca(spark, sf_dir):
 
 @query("m_user_factors")
 def m_user_factors(spark, sf_dir):
-    w, _, _ = fa.user_factors(fa.reorder_counts(_retail(spark, sf_dir)), iterations=LOCAL_NMF_ITERATIONS)
+    w, _, _ = fa.user_factors(fa.reorder_counts(_retail(spark, sf_dir)))
     return fa.normalize_rows(w)
 
 

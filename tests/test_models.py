@@ -33,8 +33,8 @@ def test_item_vectors_and_pca(spark, retail):
 
 def test_nmf_invariants(spark, retail):
     x = fa.reorder_counts(retail)
-    w, h, errors = fa.user_factors(x, k=8, iterations=6, checkpoint_every=2)
-    assert (h >= 0).all()
+    w, h, errors = fa.user_factors(x, k=8, iterations=6)
+    assert all(v >= 0 for r in h.collect() for v in r.h) and len(errors) == 6
     assert all(b <= a * (1 + 1e-9) for a, b in zip(errors, errors[1:]))
     norm = fa.normalize_rows(w)
     rows = norm.collect()
@@ -51,13 +51,15 @@ def test_nmf_one_iteration_matches_numpy(spark):
     rng = np.random.default_rng(0)
     w0, h0 = rng.random((3, 2)) + 0.1, rng.random((2, 3)) + 0.1
     w_init = spark.createDataFrame([(u + 1, w0[u].tolist()) for u in range(3)], "user_id long, w array<double>")
-    w, h, _ = fa.user_factors(x, k=2, iterations=1, w_init=w_init, h_init=h0)
+    h_init = spark.createDataFrame([(p + 1, h0[:, p].tolist()) for p in range(3)], "product_id int, h array<double>")
+    w, h, _ = fa.user_factors(x, k=2, iterations=1, w_init=w_init, h_init=h_init)
     X = np.zeros((3, 3))
     for u, p, c in xs:
         X[u - 1, p - 1] = c
     h1 = h0 * (w0.T @ X) / (w0.T @ w0 @ h0 + fa.EPS)
     w1 = w0 * (X @ h1.T) / (w0 @ h1 @ h1.T + fa.EPS)
-    assert np.allclose(h, h1)
+    got_h = {r.product_id: r.h for r in h.collect()}
+    assert np.allclose(np.array([got_h[p] for p in (1, 2, 3)]).T, h1)
     got = {r.user_id: r.w for r in w.collect()}
     assert np.allclose(np.array([got[u] for u in (1, 2, 3)]), w1)
 
@@ -73,6 +75,23 @@ def test_gbt_train_score_metrics(spark, retail):
     assert 0.0 <= met.auc <= 1.0 and np.isfinite(met.logloss)
 
 
+def test_trees_with_many_categories_find_a_planted_signal(spark):
+    """134 aisles (more than the presets' bins) train, and a label set by a feature is learned."""
+    from basketflow.operators.matrix import FEATURE_COLUMNS
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(3000):
+        values = [float(x) for x in rng.random(len(FEATURE_COLUMNS))]
+        values[FEATURE_COLUMNS.index("aisle_id")] = float(i % 134 + 1)
+        values[FEATURE_COLUMNS.index("department_id")] = float(i % 21)
+        ratio = values[FEATURE_COLUMNS.index("UP_orders_ratio")]
+        rows.append((i, i, i, "train" if i % 3 else "test", int(ratio + rng.normal(0, .05) > .6), *values))
+    names = ", ".join(f"{c} double" for c in FEATURE_COLUMNS)
+    m = spark.createDataFrame(rows, f"order_id long, user_id long, product_id long, eval_set string, label int, {names}")
+    model = md.train(m, md.quick(md.PRESET_A, max_iter=5, max_depth=4))
+    assert md.metrics(model, m.where("eval_set = 'test'")).first().auc > 0.9
+
+
 LEARNED = ["m_item_vectors", "m_item_pca", "m_user_factors", "m_train_score_a", "m_train_score_b",
            "m_metrics", "e_model_decisions", "e_model_mean_f1"]
 
@@ -85,9 +104,9 @@ def test_learned_queries_run(spark, key):
 
 
 def test_run_all_end_to_end(spark, tmp_path):
-    from basketflow.run import LOCAL_PRESETS, run_all
+    from basketflow.run import PRESETS, run_all
     from basketflow.operators import model as md
-    presets = tuple(md.quick(p, max_iter=3, max_depth=3) for p in LOCAL_PRESETS)
+    presets = tuple(md.quick(p, max_iter=3, max_depth=3) for p in PRESETS)
     ev = {r.method: r for r in run_all(spark, SF001, str(tmp_path / "run"), presets, nmf_iterations=2).collect()}
     assert set(ev) == {"models", "repeat_last_order", "top_k_products"}
     assert all(0.0 <= r.mean_f1 <= 1.0 and r.n_orders > 0 for r in ev.values())
