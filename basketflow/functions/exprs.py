@@ -18,15 +18,10 @@ def ratio(num, den) -> Column:
     return F.try_divide(num.cast("double"), den.cast("double"))
 
 
-# Fixed-point scale for summing day weights exactly (see scaled_day_weight).
-WEIGHT_SCALE = 1e12
-
-
-def scaled_day_weight(days_ago) -> Column:
-    """The day weight 1 / (days_ago + 1) (P12) in fixed point: round(1e12 / (days_ago + 1)) as a long: summed as integers the total is exact and does not
-    depend on the order in which partitions add up (a float sum does, by an ulp, which can flip
-    a rounded value); divide the sum by WEIGHT_SCALE. Error per term at most 5e-13."""
-    return F.round(F.lit(WEIGHT_SCALE) / (F.col(days_ago).cast("double") + 1.0), 0).cast("long")
+def day_weight(days_ago) -> Column:
+    """The day weight 1 / (days_ago + 1) (P12) as a decimal: a sum of decimals is exact, so it does not
+    depend on the order in which partitions add up, and has room for 10^20 purchases."""
+    return (F.lit(1.0) / (F.col(days_ago).cast("double") + 1.0)).cast("decimal(28,18)")
 
 
 def exp_weight(days_ago) -> Column:

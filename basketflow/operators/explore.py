@@ -7,11 +7,10 @@ tie-break so their rows are deterministic.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketflow.functions.exprs import ratio
-from basketflow.operators.joins import small_dimension
 
 # Fixed values of the notebook: histogram cut-off, cart-position clip, support threshold,
 # report lengths.
@@ -29,16 +28,11 @@ def eval_set_counts(orders: DataFrame) -> DataFrame:
 
 
 def distinct_entities(orders: DataFrame, products: DataFrame) -> DataFrame:
-    """Scale of the data set, one row: one aggregate over the union of the two
-    projections (an order marker with user_id, and product_id), so no join is needed."""
-    o = orders.select(F.lit(1).alias("_o"), F.col("user_id"), F.lit(None).cast("int").alias("product_id"))
-    p = products.select(F.lit(None).cast("int").alias("_o"), F.lit(None).cast(orders.schema["user_id"].dataType)
-                        .alias("user_id"), F.col("product_id"))
-    return o.unionByName(p).agg(
-        F.count("_o").alias("n_orders"),
-        F.count_distinct("user_id").alias("n_users"),
-        F.count_distinct("product_id").alias("n_products"),
-    )
+    """Scale of the data set, one row: an aggregate per table (one distinct count each, so no
+    row is expanded), the second as a scalar."""
+    n_products = products.agg(F.count_distinct("product_id")).scalar()
+    return (orders.agg(F.count(F.lit(1)).alias("n_orders"), F.count_distinct("user_id").alias("n_users"))
+            .select("n_orders", "n_users", n_products.alias("n_products")))
 
 
 def history_histogram(orders: DataFrame, top: int = HISTORY_TOP) -> DataFrame:
@@ -46,11 +40,8 @@ def history_histogram(orders: DataFrame, top: int = HISTORY_TOP) -> DataFrame:
     ``avg_history_len`` is the mean over all users."""
     per_user = orders.groupBy("user_id").agg(F.max("order_number").alias("history_len"))
     hist = per_user.groupBy("history_len").agg(F.count(F.lit(1)).alias("n_users"))
-    # The histogram has one row per distinct length: a global window over it is small.
-    whole = Window.partitionBy()
-    hist = hist.withColumn(
-        "avg_history_len",
-        F.sum(F.col("history_len") * F.col("n_users")).over(whole) / F.sum("n_users").over(whole))
+    mean = hist.agg(F.sum(F.col("history_len") * F.col("n_users")) / F.sum("n_users")).scalar()
+    hist = hist.select("history_len", "n_users", mean.alias("avg_history_len"))
     return hist.orderBy(F.col("n_users").desc(), F.col("history_len")).limit(top)
 
 
@@ -58,10 +49,8 @@ def basket_histogram(lines: DataFrame) -> DataFrame:
     """Orders per basket size (max add_to_cart_order), with the mean basket size."""
     per_order = lines.groupBy("order_id").agg(F.max("add_to_cart_order").alias("basket_size"))
     hist = per_order.groupBy("basket_size").agg(F.count(F.lit(1)).alias("n_orders"))
-    whole = Window.partitionBy()
-    return hist.withColumn(
-        "avg_basket_size",
-        F.sum(F.col("basket_size") * F.col("n_orders")).over(whole) / F.sum("n_orders").over(whole))
+    mean = hist.agg(F.sum(F.col("basket_size") * F.col("n_orders")) / F.sum("n_orders")).scalar()
+    return hist.select("basket_size", "n_orders", mean.alias("avg_basket_size"))
 
 
 def orders_by(orders: DataFrame, column: str) -> DataFrame:
@@ -88,7 +77,7 @@ def reorder_pivot(lines: DataFrame, orders: DataFrame) -> DataFrame:
 def top_products(lines: DataFrame, products: DataFrame, top: int = TOP_NAMES) -> DataFrame:
     """The ``top`` product names by number of lines (ties by name)."""
     counts = lines.groupBy("product_id").agg(F.count(F.lit(1)).alias("frequency_count"))
-    named = counts.join(small_dimension(products.select("product_id", "product_name")), "product_id", "left")
+    named = counts.join(products.select("product_id", "product_name"), "product_id", "left")
     by_name = named.groupBy("product_name").agg(F.sum("frequency_count").alias("frequency_count"))
     return by_name.orderBy(F.col("frequency_count").desc(), F.col("product_name")).limit(top)
 
@@ -102,7 +91,7 @@ def product_reorder_rates(lines: DataFrame, orders: DataFrame, products: DataFra
                                         F.count(F.lit(1)).alias("order_cnt"))
     stats = stats.where(F.col("order_cnt") > min_support).withColumn(
         "reorder_rate", ratio("reordered", "order_cnt"))
-    return stats.join(small_dimension(products.select("product_id", "product_name")), "product_id", "left")
+    return stats.join(products.select("product_id", "product_name"), "product_id", "left")
 
 
 def reorder_rate_top(rates: DataFrame, top: int = TOP_RATES) -> DataFrame:

@@ -22,14 +22,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketflow.functions.exprs import (
-    WEIGHT_SCALE,
     circular_hour_distance,
     exp_weight,
     ratio,
-    scaled_day_weight,
+    day_weight,
 )
 from basketflow.operators import sequences as seq
-from basketflow.operators.joins import small_dimension
 
 # Recent orders kept for the streak (5 plus the target order).
 STREAK_ORDERS = 5
@@ -109,7 +107,7 @@ def user_features(orders: DataFrame, lines: DataFrame, products: DataFrame,
     )
     # Aisles and departments come from a catalogue-bounded dimension; their distinct counts are
     # sets bounded by the number of aisles / departments, so one aggregate covers everything.
-    attrs = small_dimension(products.select("product_id", "aisle_id", "department_id"))
+    attrs = products.select("product_id", "aisle_id", "department_id")
     by_pairs = pairs.join(attrs, "product_id", "left").groupBy("user_id").agg(
         F.sum("n").alias("user_total_items"),
         F.count(F.lit(1)).alias("total_distinct_items"),
@@ -209,7 +207,7 @@ def pair_history(lines_da: DataFrame, max_order=None) -> DataFrame:
         F.min("order_number").alias("UP_first_order"),
         F.max("order_number").alias("UP_last_order"),
         F.sum("order_number").alias("_sum_on"),
-        (F.sum(scaled_day_weight("days_ago_since_last")) / WEIGHT_SCALE).alias("UP_recency_day"),
+        F.sum(day_weight("days_ago_since_last")).cast("double").alias("UP_recency_day"),
         F.sum(exp_weight("days_ago_since_last")).alias("UP_recency_exp"),
         F.avg("gap").alias("UP_interval_mean"),
         F.stddev_pop("gap").alias("UP_interval_std"),

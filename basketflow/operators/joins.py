@@ -1,43 +1,12 @@
-"""Join helpers: a size-checked broadcast for dimension-like inputs."""
+"""A digest of the input files behind a plan."""
 
 from __future__ import annotations
 
 import hashlib
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Largest dimension (rows) hinted for broadcast; above it the join is left to the planner
-# (sort-merge, or a broadcast chosen by AQE from measured stage sizes).
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-_checked: dict[tuple, bool] = {}
 
 
 def plan_files_key(df: DataFrame) -> str:
     """A short digest of the input files behind ``df`` (a large table may have many thousands)."""
     return hashlib.sha1("\n".join(sorted(df.inputFiles())).encode()).hexdigest()
-
-
-def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (a bounded counting job).
-
-    Remembered per (plan, input files, bound) for the session, so a catalogue used by many
-    queries is counted once; new or rewritten input files give a new key.
-    """
-    key = (df.semanticHash(), plan_files_key(df), max_rows)
-    if key not in _checked:
-        _checked[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _checked[key]
-
-
-def small_dimension(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, bounded_by: DataFrame | None = None) -> DataFrame:
-    """Hint ``df`` for broadcast only after checking it has at most ``max_rows`` rows.
-
-    The check is a bounded job (it stops counting past the limit), so it costs little even when
-    the table turns out to be large; in that case no hint is given. ``bounded_by`` names a
-    cheaper table whose row count bounds ``df``'s (a catalogue for a per-product statistic), so
-    the check does not have to run the job that derives ``df``.
-    """
-    return F.broadcast(df) if is_small(bounded_by if bounded_by is not None else df, max_rows) else df

@@ -297,7 +297,8 @@ def b_top_k_products(spark, sf_dir):
 
 @query("e_ground_truth")
 def e_ground_truth(spark, sf_dir):
-    return dc.ground_truth(_retail(spark, sf_dir).train)
+    r = _retail(spark, sf_dir)
+    return dc.ground_truth(r.train, r.orders.where(F.col("eval_set") == "train"))
 
 
 def _formula(coef: tuple[int, int, int]):
@@ -316,28 +317,50 @@ def candidates(r: Retail) -> DataFrame:
     return pairs.join(tgt, "user_id")
 
 
-def _blend(r: Retail) -> DataFrame:
-    c = candidates(r)
-    return dc.blend_scores(formula_scores(c, FORMULA_A), formula_scores(c, FORMULA_B))
+def _stored_scores(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two score tables in the prediction store, written and read back by path."""
+    root = stage_path(spark, "predictions", uuid.uuid4().hex[:8])
+    st.save(candidates(_retail(spark, sf_dir)), f"{root}/candidates")
+    c = st.load(spark, f"{root}/candidates")
+    for name, coef in (("a", FORMULA_A), ("b", FORMULA_B)):
+        st.save(formula_scores(c, coef), f"{root}/{name}")
+    return st.load(spark, f"{root}/a"), st.load(spark, f"{root}/b")
 
 
-@query("m_blend_scores")
-def m_blend_scores(spark, sf_dir):
-    return _out(_blend(_retail(spark, sf_dir)))
+@query("s_prediction_store")
+def s_prediction_store(spark, sf_dir):
+    a, b = _stored_scores(spark, sf_dir)
+    return a.withColumn("model", F.lit("a")).unionByName(b.withColumn("model", F.lit("b")))
 
 
-def _blend_one_pass(r: Retail) -> DataFrame:
-    """The same blended scores as :func:`_blend`, computed in one projection: both formula scores
-    are defined on the same candidate rows, so no join of two score tables is needed."""
-    c = candidates(r)
-    score = (F.col("_a") * dc.WEIGHT_A + F.col("_b") * dc.WEIGHT_B).cast("double")
-    return (c.select("order_id", "product_id", _formula(FORMULA_A).alias("_a"), _formula(FORMULA_B).alias("_b"))
-            .select("order_id", "product_id", score.alias("prediction")))
+@query("m_blend_scores")
+def m_blend_scores(spark, sf_dir):
+    return _out(dc.blend_scores(*_stored_scores(spark, sf_dir)))
 
 
 @query("e_select_f1")
 def e_select_f1(spark, sf_dir):
-    return _out(dc.select_max_f1(_blend_one_pass(_retail(spark, sf_dir))))
+    return _out(dc.select_max_f1(dc.blend_scores(*_stored_scores(spark, sf_dir))))
+
+
+@query("m_formula_metrics")
+def m_formula_metrics(spark, sf_dir):
+    """M9 on the formula scores of the train candidates against their lines."""
+    from basketflow.operators.model import metrics_of
+    r = _retail(spark, sf_dir)
+    bought = r.train.select("order_id", "product_id").distinct().withColumn("label", F.lit(1))
+    train = r.orders.where(F.col("eval_set") == "train").select("order_id")
+    scored = formula_scores(candidates(r).join(train, "order_id", "left_semi"), FORMULA_A)
+    return _out(metrics_of(scored.join(bought, ["order_id", "product_id"], "left").withColumn("label", F.coalesce("label", F.lit(0)))))
+
+
+@query("m_normalised_rows")
+def m_normalised_rows(spark, sf_dir):
+    """M4 on formula factors of every user; every seventh user has an all-zero row."""
+    from basketflow.operators.factors import normalize_rows
+    users = _retail(spark, sf_dir).orders.select("user_id").distinct()
+    w = users.select("user_id", F.array(*[((F.col("user_id") * (j + 3)) % 7).cast("double") for j in range(4)]).alias("w"))
+    return _out(normalize_rows(w).select("user_id", *[F.col("factors")[j].alias(f"f{j}") for j in range(4)]))
 
 
 @query("e_mean_f1")

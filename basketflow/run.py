@@ -37,8 +37,7 @@ from basketflow.sources import stage as st
 from basketflow.sources import retail_view as rv
 from basketflow.sources.retail_view import Retail
 
-LOCAL_PRESETS = (md.quick(md.PRESET_A, max_iter=20, max_depth=6), md.quick(md.PRESET_B, max_iter=20))
-FULL_PRESETS = (md.PRESET_A, md.PRESET_B)
+PRESETS = (md.PRESET_A, md.PRESET_B)
 
 
 def _staged(spark: SparkSession, df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -47,7 +46,7 @@ def _staged(spark: SparkSession, df: DataFrame, path: str, partition_by: list[st
 
 
 def run_all(spark: SparkSession, input_dir: str, output_dir: str | None = None,
-            presets=LOCAL_PRESETS, nmf_iterations: int = 10) -> DataFrame:
+            presets=PRESETS, nmf_iterations: int = fa.MAX_ITERATIONS) -> DataFrame:
     """Run every step; returns the evaluation table (method, mean_f1, n_orders)."""
     out = output_dir or stage_path(spark, "run")
     j = lambda *p: os.path.join(out, *p)
@@ -115,13 +114,10 @@ def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     ap.add_argument("--input", required=True, help="folder with the given parquet tables")
     ap.add_argument("--output", default=None, help="shared output folder (default: under spark.checkpoint.dir)")
-    ap.add_argument("--full-presets", action="store_true", help="the trainers' full parameters (cluster)")
-    ap.add_argument("--nmf-iterations", type=int, default=10, help="multiplicative-update rounds for the user factors")
     ap.add_argument("--master", default=None, help="e.g. local[8]; leave unset under spark-submit")
     a = ap.parse_args(argv)
     spark = get_spark(a.master)
-    ev = run_all(spark, a.input, a.output, FULL_PRESETS if a.full_presets else LOCAL_PRESETS,
-                 nmf_iterations=a.nmf_iterations)
+    ev = run_all(spark, a.input, a.output)
     for row in ev.collect():
         print(f"{row.method:20s} mean F1 {row.mean_f1:.4f} over {row.n_orders} orders")
 
