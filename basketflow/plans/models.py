@@ -1,13 +1,15 @@
-"""Learned-operator queries (M1-M7, M9 and the model-driven decisions); registered on import.
+"""Learned-operator queries (M1-M3, M5-M7, M9 and the model-driven decisions); registered on import.
 
-These have no SQL oracle (training is iterative and seeded); the checks are row counts plus the
-invariants in tests/test_models.py. Local runs use light variants of the two presets (fewer
-rounds, shallower trees, fewer factorisation iterations); the full presets are in
-basketflow.operators.model and are meant for a cluster.
+Training is iterative and seeded, so these have no SQL; tests/test_models.py checks invariants and a
+planted signal. Item vectors, feature matrix and fitted pipelines are written once per input (keyed
+like the staged view by the input files) and read by all queries here. The registered queries use light
+variants of the two tree presets (fewer rounds, shallower trees); ``basketflow.run`` uses the presets.
 """
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from basketflow.operators import decisions as dc
@@ -16,6 +18,8 @@ from basketflow.operators import factors as fa
 from basketflow.operators import matrix as mx
 from basketflow.operators import model as md
 from basketflow.plans.catalog import _retail, query
+from basketflow.session import stage_path
+from basketflow.sources import stage as st
 from basketflow.sources.retail_view import Retail
 
 # Light presets for local runs (same parameters as the full ones but rounds and depth).
@@ -31,26 +35,54 @@ def _vectors(r: Retail):
     return em.item_vectors(_sentences(r))[1]
 
 
+def _path(spark, sf_dir, name):
+    """A folder for a learned table or model of this input."""
+    from basketflow.sources import retail_view as rv
+    return stage_path(spark, "learned", os.path.basename(rv._stage_root(spark, sf_dir)), f"v1-{name}")
+
+
+def _once(spark, sf_dir, name, build):
+    """The table ``name`` of this input: written on first use, then read."""
+    from basketflow.sources import retail_view as rv
+    path = _path(spark, sf_dir, name)
+    fs, done = rv._hadoop(spark, f"{path}/_SUCCESS")
+    if not fs.exists(done):
+        st.save(build(), path)
+    return st.load(spark, path)
+
+
+def _item_vectors(spark, sf_dir):
+    return _once(spark, sf_dir, "vectors", lambda: _vectors(_retail(spark, sf_dir)))
+
+
 def _matrix(spark, sf_dir):
-    from basketflow.session import checkpoint_dir
-    checkpoint_dir(spark)  # the matrix is checkpointed below: make sure a folder is set
     r = _retail(spark, sf_dir)
-    pv = em.item_pca(_vectors(r), r.products)
-    # The matrix feeds several passes of training: cut its lineage once.
-    return mx.feature_matrix(r, product_vectors=pv).checkpoint()
+    return _once(spark, sf_dir, "matrix", lambda: mx.feature_matrix(r, product_vectors=em.item_pca(_item_vectors(spark, sf_dir), r.products)))
+
+
+def _model(spark, sf_dir, preset, rows=None, part="all"):
+    """The fitted pipeline of a preset (S8): saved on first use, then loaded."""
+    from pyspark.ml import PipelineModel
+
+    from basketflow.sources import retail_view as rv
+    path = _path(spark, sf_dir, f"gbt-{preset.name}-{preset.max_iter}-{preset.max_depth}-{part}")
+    fs, done = rv._hadoop(spark, f"{path}/metadata/_SUCCESS")
+    if not fs.exists(done):
+        st.save_model(md.train(_matrix(spark, sf_dir) if rows is None else rows, preset), path)
+    return PipelineModel.load(path)
 
 
 @query("m_item_vectors")
 def m_item_vectors(spark, sf_dir):
     from pyspark.ml.functions import vector_to_array
-    v = _vectors(_retail(spark, sf_dir))
+    v = _item_vectors(spark, sf_dir)
     return v.select("product_id", vector_to_array("vector").alias("vector"))
 
 
 @query("m_item_pca")
 def m_item_pca(spark, sf_dir):
     r = _retail(spark, sf_dir)
-    return em.item_pca(_vectors(r), r.products)
+    return em.item_pca(_item_vectors(spark, sf_dir), r.products)
 
 
 @query("m_user_factors")
@@ -60,17 +92,8 @@ def m_user_factors(spark, sf_dir):
 
 
 def _scores(spark, sf_dir, preset):
-    """Train, persist the fitted pipeline (S8), load it back and score the test rows with it."""
-    import uuid
-
-    from pyspark.ml import PipelineModel
-
-    from basketflow.session import stage_path
-    from basketflow.sources.stage import save_model
-    m = _matrix(spark, sf_dir)
-    path = stage_path(spark, "models", f"gbt-{preset.name}-{uuid.uuid4().hex[:8]}")
-    save_model(md.train(m, preset), path)
-    return md.score(PipelineModel.load(path), m.where(F.col("eval_set") == "test"))
+    """Scores of the test rows with the saved and loaded pipeline."""
+    return md.score(_model(spark, sf_dir, preset), _matrix(spark, sf_dir).where(F.col("eval_set") == "test"))
 
 
 @query("m_train_score_a")
@@ -96,23 +119,20 @@ def m_metrics(spark, sf_dir):
     fit_rows, valid_rows = _holdout(m)
     out = None
     for preset in (LOCAL_A, LOCAL_B):
-        model = md.train(fit_rows, preset)
+        model = _model(spark, sf_dir, preset, fit_rows, "fit")
         row = md.metrics(model, valid_rows).withColumn("model", F.lit(preset.name))
         out = row if out is None else out.unionByName(row)
     return out.select("model", "auc", "logloss")
 
 
-def _model_decisions(m):
-    test = m.where(F.col("eval_set") == "test")
-    a = md.score(md.train(m, LOCAL_A), test)
-    b = md.score(md.train(m, LOCAL_B), test)
-    return dc.select_max_f1(dc.blend_scores(a, b))
+def _model_decisions(spark, sf_dir):
+    return dc.select_max_f1(dc.blend_scores(_scores(spark, sf_dir, LOCAL_A), _scores(spark, sf_dir, LOCAL_B)))
 
 
 @query("e_model_decisions")
 def e_model_decisions(spark, sf_dir):
     """The full path: two trainers, blended 0.7 / 0.3, floor, expected-F1 selection per test order."""
-    return _model_decisions(_matrix(spark, sf_dir))
+    return _model_decisions(spark, sf_dir)
 
 
 @query("e_model_mean_f1")
@@ -123,7 +143,7 @@ def e_model_mean_f1(spark, sf_dir):
     test_orders = r.orders.where(F.col("eval_set") == "test")
     truth = dc.ground_truth(r.test, test_orders)
     prior = r.lines_of("prior", with_header=True)
-    rows = [dc.mean_f1(_model_decisions(_matrix(spark, sf_dir)), truth).withColumn("method", F.lit("models")),
+    rows = [dc.mean_f1(_model_decisions(spark, sf_dir), truth).withColumn("method", F.lit("models")),
             dc.mean_f1(dc.repeat_last_order(prior, r.orders), truth).withColumn("method", F.lit("repeat_last_order")),
             dc.mean_f1(dc.top_k_products(prior, r.orders), truth).withColumn("method", F.lit("top_k_products"))]
     out = rows[0]
