@@ -10,10 +10,8 @@ Shuffle plan. Everything keyed by product goes through one pair-level pre-aggreg
 product from partial aggregates, so a product bought in a third of all lines never sends its raw
 lines to one task. Order-dependent scans (running sum of gaps, lag between a pair's purchases)
 are blocked scans (basketflow.operators.sequences): a user or pair with a huge history is cut
-into bounded partitions; they fall back to plain windows only when ``max_order`` (the largest
-order_number, see :func:`order_bound`) proves no key can exceed one block. The streak window is
-cut to the last orders per user before any shuffle (WindowGroupLimit); the median basket uses
-Spark's median under the same bound and a per-user histogram beyond it.
+into bounded partitions. The streak window is cut to the last orders per user before any shuffle
+(WindowGroupLimit); the median basket comes from a per-user histogram.
 """
 
 from __future__ import annotations
@@ -43,23 +41,16 @@ def with_header(lines: DataFrame, orders: DataFrame, cols=("user_id", "order_num
 
 # ---------------------------------------------------------------- orders
 
-def order_bound(orders: DataFrame):
-    """Largest order_number: the bound that lets the order scans run as plain windows when no
-    history reaches a second block (see basketflow.operators.sequences)."""
-    return seq.max_value(orders, "order_number")
-
-
-def days_ago(orders: DataFrame, max_order=None) -> DataFrame:
+def days_ago(orders: DataFrame) -> DataFrame:
     """W1 + W2 + P10: days between each order and the user's last order.
 
     cum = running sum of days_since_prior_order over the user's orders (NULLs skipped), set to 0
     on a row whose own gap is NULL; days_ago_since_last = max(cum) - cum, truncated to int.
     Gaps are never negative, so max(cum) is the user's total. The running sum is blocked
-    (basketflow.operators.sequences) unless ``max_order`` shows every history fits one block,
+    (basketflow.operators.sequences),
     so a user with a huge history is not one task.
     """
-    o = seq.running_sum(orders, ["user_id"], "order_number", "days_since_prior_order", "_run", total_col="_tot",
-                        max_order=max_order)
+    o = seq.running_sum(orders, ["user_id"], "order_number", "days_since_prior_order", "_run", total_col="_tot")
     cum = F.when(F.col("days_since_prior_order").isNull(), F.lit(0.0)).otherwise(F.col("_run"))
     return (o.withColumn("days_ago_since_last", (F.coalesce("_tot", F.lit(0.0)) - cum).cast("int"))
             .drop("_run", "_tot"))
@@ -93,11 +84,10 @@ def pair_counts(lines: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- users
 
 def user_features(orders: DataFrame, lines: DataFrame, products: DataFrame,
-                  pairs: DataFrame | None = None, max_order=None) -> DataFrame:
+                  pairs: DataFrame | None = None) -> DataFrame:
     """One row per user with an order; line-based columns NULL for users without prior lines.
 
-    The median basket: a user has at most ``max_order`` baskets; below the block size Spark's
-    ``median`` (which buffers a group's values) is bounded, otherwise the histogram median is used.
+    The median basket comes from a histogram per user, whatever the length of the history.
     """
     pairs = pairs if pairs is not None else pair_counts(lines)
     by_orders = orders.groupBy("user_id").agg(
@@ -116,10 +106,7 @@ def user_features(orders: DataFrame, lines: DataFrame, products: DataFrame,
         F.size(F.collect_set("department_id")).cast("long").alias("user_nb_departments"),
     )
     baskets = basket_sizes_by_user(lines)
-    if max_order is not None and max_order < seq.BLOCK_SIZE:
-        median_basket = baskets.groupBy("user_id").agg(F.median("basket_size").alias("user_median_basket"))
-    else:
-        median_basket = seq.median_small_domain(baskets, ["user_id"], "basket_size", "user_median_basket")
+    median_basket = seq.median_small_domain(baskets, ["user_id"], "basket_size", "user_median_basket")
     return (by_orders.join(by_pairs, "user_id", "left")
             .join(median_basket, "user_id", "left")
             .withColumn("user_average_basket", ratio("user_total_items", "user_total_orders")))
@@ -167,24 +154,23 @@ def lines_with_days_ago(lines: DataFrame, orders_days_ago: DataFrame) -> DataFra
                       "order_id")
 
 
-def _pair_gaps(lines_da: DataFrame, max_order=None) -> DataFrame:
+def _pair_gaps(lines_da: DataFrame) -> DataFrame:
     """Gap in days to the previous purchase of the same pair (NULL on the first one).
 
-    A blocked lag (a plain one when ``max_order`` fits one block): a (user, product) pair bought
+    A blocked lag: a (user, product) pair bought
     in a large share of all orders is still spread over bounded partitions."""
-    x = seq.lag(lines_da, ["user_id", "product_id"], "order_number", "days_ago_since_last", "_prev_da",
-                max_order=max_order)
+    x = seq.lag(lines_da, ["user_id", "product_id"], "order_number", "days_ago_since_last", "_prev_da")
     return x.withColumn("gap", F.col("_prev_da") - F.col("days_ago_since_last")).drop("_prev_da")
 
 
-def product_gaps(lines_da: DataFrame, max_order=None) -> DataFrame:
+def product_gaps(lines_da: DataFrame) -> DataFrame:
     """Per product mean, population std, skewness and excess kurtosis of purchase gaps.
 
     The lag runs per (user, product) pair, then the moments are reduced by product from partial
     aggregates. Products without any repeat purchase have no row; zero variance gives NULL
     skewness / kurtosis.
     """
-    g = _pair_gaps(lines_da, max_order).where(F.col("gap").isNotNull())
+    g = _pair_gaps(lines_da).where(F.col("gap").isNotNull())
     return g.groupBy("product_id").agg(
         F.avg("gap").alias("frequency_mean"),
         F.stddev_pop("gap").alias("frequency_std"),
@@ -193,10 +179,10 @@ def product_gaps(lines_da: DataFrame, max_order=None) -> DataFrame:
     )
 
 
-def pair_history(lines_da: DataFrame, max_order=None) -> DataFrame:
+def pair_history(lines_da: DataFrame) -> DataFrame:
     """One pass over each (user, product) purchase sequence: the accumulators of A13 and the
     gap statistics of A16-A18 share the lag window and a single aggregation."""
-    g = _pair_gaps(lines_da, max_order)
+    g = _pair_gaps(lines_da)
     return g.groupBy("user_id", "product_id").agg(
         F.count(F.lit(1)).alias("UP_orders"),
         # max_by keeps numeric aggregation buffers, so the aggregate stays a HashAggregate.

@@ -78,7 +78,7 @@ def s_scan_products(spark, sf_dir):
 @query("w_days_ago")
 def w_days_ago(spark, sf_dir):
     r = _retail(spark, sf_dir)
-    return ft.days_ago(r.orders, ft.order_bound(r.orders)).select(
+    return ft.days_ago(r.orders).select(
         "order_id", "user_id", "order_number", "days_ago_since_last")
 
 
@@ -139,45 +139,45 @@ def a_purchase_ordinals(spark, sf_dir):
 @query("a_user_features")
 def a_user_features(spark, sf_dir):
     r = _retail(spark, sf_dir)
-    return _out(ft.user_features(r.orders, _prior(r), r.products, max_order=ft.order_bound(r.orders)))
+    return _out(ft.user_features(r.orders, _prior(r), r.products))
 
 
 @query("w_days_since_ratio")
 def w_days_since_ratio(spark, sf_dir):
     r = _retail(spark, sf_dir)
-    users = ft.user_features(r.orders, _prior(r), r.products, max_order=ft.order_bound(r.orders))
+    users = ft.user_features(r.orders, _prior(r), r.products)
     return _out(ft.days_since_ratio(r.orders, users).select("order_id", "user_id", "days_since_ratio"))
 
 
 def _lines_da(r: Retail) -> DataFrame:
-    return ft.lines_with_days_ago(_prior(r), ft.days_ago(r.orders, ft.order_bound(r.orders)))
+    return ft.lines_with_days_ago(_prior(r), ft.days_ago(r.orders))
 
 
 @query("a_product_gaps")
 def a_product_gaps(spark, sf_dir):
     r = _retail(spark, sf_dir)
-    return _out(ft.product_gaps(_lines_da(r), ft.order_bound(r.orders)))
+    return _out(ft.product_gaps(_lines_da(r)))
 
 
 @query("a_user_product")
 def a_user_product(spark, sf_dir):
     r = _retail(spark, sf_dir)
-    users = ft.user_features(r.orders, _prior(r), r.products, max_order=ft.order_bound(r.orders))
-    hist = ft.pair_history(_lines_da(r), ft.order_bound(r.orders))
+    users = ft.user_features(r.orders, _prior(r), r.products)
+    hist = ft.pair_history(_lines_da(r))
     return _out(ft.user_product_features(hist, users).drop("UP_last_order_hour"))
 
 
 @query("a_pair_intervals")
 def a_pair_intervals(spark, sf_dir):
     r = _retail(spark, sf_dir)
-    hist = ft.pair_history(_lines_da(r), ft.order_bound(r.orders))
+    hist = ft.pair_history(_lines_da(r))
     return _out(ft.pair_intervals(hist).drop("UP_order_number_skew"))
 
 
 @query("a_pair_skew")
 def a_pair_skew(spark, sf_dir):
     r = _retail(spark, sf_dir)
-    hist = ft.pair_history(_lines_da(r), ft.order_bound(r.orders))
+    hist = ft.pair_history(_lines_da(r))
     return _out(ft.pair_intervals(hist).select("user_id", "product_id", "UP_order_number_skew"))
 
 

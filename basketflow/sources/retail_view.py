@@ -23,13 +23,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from basketflow.operators import sequences as seq
 from basketflow.session import stage_path
 from basketflow.sources.tables import read_table
 
-# Fixed values of the mapping (FIXTURES.md): products a customer chooses from, every how many
+# Width of a run of order keys in the numbering; then fixed values of the mapping (FIXTURES.md): products a customer chooses from, every how many
 # customers share the first of these windows, step between the others, day bucket width, cap of the
 # day gap, hours per day, test-user modulus.
+KEYS_PER_RUN = 65_536
 WINDOW = 50
 COMMON = 2
 STEP = 37
@@ -70,48 +70,29 @@ def _raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
 
 
-def max_orders_per_customer(spark: SparkSession, sf_dir: str):
-    """The largest customer's order count (one grouped count, remembered): the bound that
-    decides between plain per-customer windows and blocked ones."""
-    return seq.max_group_size(_raw_orders(spark, sf_dir), ["o_custkey"])
-
-
 def build_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders numbered per customer by (o_orderdate, o_orderkey).
 
-    When no customer reaches ``BLOCK_SIZE`` orders, plain per-customer windows number them.
-    Otherwise numbering is blocked by calendar day (days are contiguous in that order): a
-    window inside one (customer, day) numbers the day's orders and a window over one summary
-    row per (customer, day) supplies the offset, the customer's total and the previous order
-    date, so a customer with a huge share of all orders is never a single task.
+    Numbering is blocked by order date and run of order keys (both contiguous in that order): a
+    window inside one (customer, date, run) numbers its orders and a window over one summary row per
+    block supplies the offset, the customer's total and the previous order date, so a customer
+    with a huge share of all orders, even at one date, is never a single task.
     """
     o = _raw_orders(spark, sf_dir).select(
-        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"), "o_orderdate",
-        F.to_date("o_orderdate").alias("_day"))
-    if seq._one_block(max_orders_per_customer(spark, sf_dir), seq.BLOCK_SIZE):
-        by_user = Window.partitionBy("user_id")
-        w = by_user.orderBy("o_orderdate", "order_id")
-        o = o.select("order_id", "user_id", "o_orderdate",
-                     F.row_number().over(w).alias("order_number"),
-                     F.count(F.lit(1)).over(by_user).alias("n_orders"),
-                     F.lag("o_orderdate").over(w).alias("prev_date"))
-    else:
-        in_day = Window.partitionBy("user_id", "_day").orderBy("o_orderdate", "order_id")
-        o = (o.withColumn("_rn", F.row_number().over(in_day))
-             .withColumn("_prev_in_day", F.lag("o_orderdate").over(in_day)))
-        days = o.groupBy("user_id", "_day").agg(F.count(F.lit(1)).alias("_c"),
-                                                F.max("o_orderdate").alias("_last"))
-        by_day = Window.partitionBy("user_id").orderBy("_day")
-        days = days.select(
-            "user_id", "_day",
-            F.coalesce(F.sum("_c").over(by_day.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
-            F.sum("_c").over(Window.partitionBy("user_id")).alias("n_orders"),
-            F.lag("_last").over(by_day).alias("_prev_day_last"))
-        o = o.join(days, ["user_id", "_day"]).select(
-            "order_id", "user_id", "o_orderdate",
-            (F.col("_off") + F.col("_rn")).alias("order_number"),
-            "n_orders",
-            F.when(F.col("_rn") == 1, F.col("_prev_day_last")).otherwise(F.col("_prev_in_day")).alias("prev_date"))
+        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"), "o_orderdate")
+    o = o.withColumn("_run", F.floor(F.col("order_id") / KEYS_PER_RUN))
+    block = ["user_id", "o_orderdate", "_run"]
+    inside = Window.partitionBy(*block).orderBy("order_id")
+    o = o.withColumn("_rn", F.row_number().over(inside))
+    blocks = o.groupBy(*block).agg(F.count(F.lit(1)).alias("_c"))
+    by_block = Window.partitionBy("user_id").orderBy("o_orderdate", "_run")
+    blocks = blocks.select(
+        *block, F.coalesce(F.sum("_c").over(by_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
+        F.sum("_c").over(Window.partitionBy("user_id")).alias("n_orders"),
+        F.lag("o_orderdate").over(by_block).alias("_prev"))
+    o = o.join(blocks, block).select(
+        "order_id", "user_id", "o_orderdate", (F.col("_off") + F.col("_rn")).alias("order_number"), "n_orders",
+        F.when(F.col("_rn") == 1, F.col("_prev")).otherwise(F.col("o_orderdate")).alias("prev_date"))
     gap = F.datediff(F.to_date("o_orderdate"), F.to_date("prev_date"))
     return o.select(
         "order_id",
@@ -132,9 +113,7 @@ def build_lines(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFram
     """One line per (order, product); cart position by first line number; ``reordered`` when the
     customer bought the product in an earlier order.
 
-    The pair's first order_number is a window over (user, product) when no customer reaches
-    ``BLOCK_SIZE`` orders (a pair then has fewer lines); otherwise an aggregate joined back, so a
-    hot pair is reduced map-side (at the cost of reading the joined lines twice)."""
+    The pair's first order_number is an aggregate joined back, so a hot pair is reduced map-side."""
     # A customer chooses from a window of the whole catalogue (repeats need few products per
     # customer). Several line items of an order may fall on one product: keep one line per
     # (order, product) at its first line number.
@@ -148,12 +127,8 @@ def build_lines(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFram
           .agg(F.min("l_linenumber").alias("ln")))
     cart = Window.partitionBy("order_id").orderBy("ln", "product_id")
     joined = li.withColumn("add_to_cart_order", F.row_number().over(cart).cast("int"))
-    if seq._one_block(max_orders_per_customer(spark, sf_dir), seq.BLOCK_SIZE):
-        with_first = joined.withColumn(
-            "_first", F.min("order_number").over(Window.partitionBy("user_id", "product_id")))
-    else:
-        first = joined.groupBy("user_id", "product_id").agg(F.min("order_number").alias("_first"))
-        with_first = joined.join(first, ["user_id", "product_id"])
+    first = joined.groupBy("user_id", "product_id").agg(F.min("order_number").alias("_first"))
+    with_first = joined.join(first, ["user_id", "product_id"])
     return with_first.select(
         "order_id",
         "product_id",

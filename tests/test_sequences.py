@@ -21,17 +21,16 @@ def skewed(spark):
     return spark.createDataFrame(rows, "k long, o long, v double, basket int")
 
 
-@pytest.mark.parametrize("block, bound", [(1, None), (3, None), (16, None), (1024, None), (4096, "max")])
-def test_running_sum_and_lag(spark, skewed, block, bound):
+@pytest.mark.parametrize("block", [1, 3, 1024])
+def test_running_sum_and_lag(spark, skewed, block):
     w = Window.partitionBy("k").orderBy("o")
     want = skewed.select(
         "k", "o",
         F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("run"),
         F.sum("v").over(Window.partitionBy("k")).alias("tot"),
         F.lag("v").over(w).alias("prev"))
-    max_order = seq.max_value(skewed, "o") if bound else None   # "max": plain-window path
-    got = seq.running_sum(skewed, ["k"], "o", "v", "run", total_col="tot", block_size=block, max_order=max_order)
-    got = seq.lag(got, ["k"], "o", "v", "prev", block_size=block, max_order=max_order)
+    got = seq.running_sum(skewed, ["k"], "o", "v", "run", total_col="tot", block_size=block)
+    got = seq.lag(got, ["k"], "o", "v", "prev", block_size=block)
     got = got.select("k", "o", "run", "tot", "prev")
     assert sorted(want.collect()) == sorted(got.collect())
 
@@ -42,17 +41,21 @@ def test_median_small_domain(spark, skewed):
     assert sorted(want.collect()) == sorted(got.collect())
 
 
-def test_view_blocked_numbering_equals_plain(spark, monkeypatch):
-    """With a block size below the largest customer's order count the view takes its blocked
-    paths (day-blocked numbering, aggregated first purchase); the tables must not change."""
+def test_view_numbering_does_not_depend_on_the_blocks(spark, monkeypatch):
+    """Runs of two order keys and of all keys number the orders alike, as plain windows do."""
+    from pyspark.sql import Window
+
     from basketflow.sources import retail_view as rv
     sf = "/root/testdata/sf0.01"
-    plain = rv.load_retail(spark, sf)
-    plain_orders, plain_lines = plain.orders.collect(), plain.lines.collect()
-    monkeypatch.setattr(seq, "BLOCK_SIZE", 2)
-    blocked = rv.load_retail(spark, sf)
-    assert sorted(blocked.orders.collect()) == sorted(plain_orders)
-    assert sorted(blocked.lines.collect()) == sorted(plain_lines)
+    wide = rv.load_retail(spark, sf)
+    wide_orders, wide_lines = wide.orders.collect(), wide.lines.collect()
+    monkeypatch.setattr(rv, "KEYS_PER_RUN", 2)
+    narrow = rv.load_retail(spark, sf)
+    assert sorted(narrow.orders.collect(), key=str) == sorted(wide_orders, key=str)
+    assert sorted(narrow.lines.collect()) == sorted(wide_lines)
+    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    plain = spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey", F.row_number().over(w).alias("n"))
+    assert {r.order_id: r.order_number for r in wide_orders} == {r.o_orderkey: r.n for r in plain.collect()}
 
 
 from hypothesis import given, settings  # noqa: E402
@@ -87,34 +90,30 @@ def test_blocked_scans_property(spark, rows, block):
 
 
 def test_hot_user_and_pair_default_blocks(spark):
-    """A user with 3,000 orders (three default-size blocks) next to small users: days-ago and the
-    hot pair's gaps through the blocked path equal the pandas / loop definitions."""
+    """A user with 3,000 orders (three default-size blocks) next to small users: days-ago, and the gaps
+    of a product bought in every order, equal sums over the history, order by order."""
     import numpy as np
-    import pandas as pd
+
     from basketflow.operators import features as ft
     rng = np.random.default_rng(3)
-    orders, oid = [], 0
-    for u, n in [(1, 3000)] + [(u, int(rng.integers(1, 20))) for u in range(2, 40)]:
-        for on in range(1, n + 1):
-            oid += 1
-            gap = None if on == 1 else float(rng.integers(0, 31))
-            orders.append((oid, u, "prior", on, 0, int(oid % 24), gap))
+    orders, want = [], {}
+    for user, n in [(1, 3000)] + [(u, int(rng.integers(1, 20))) for u in range(2, 40)]:
+        gaps = [0, *(int(g) for g in rng.integers(0, 31, n - 1))]
+        for number in range(1, n + 1):
+            orders.append((user * 10_000 + number, user, "prior", number, 0, number % 24, None if number == 1 else float(gaps[number - 1])))
+            want[user * 10_000 + number] = sum(gaps) if number == 1 else sum(gaps[number:])
     o = spark.createDataFrame(orders, "order_id long, user_id long, eval_set string, order_number int, "
                                       "order_dow int, order_hour_of_day int, days_since_prior_order double")
-    assert seq.max_value(o, "order_number") >= 2 * seq.BLOCK_SIZE
-    pdf = pd.DataFrame(orders, columns=o.columns).sort_values(["user_id", "order_number"])
-    pdf["cum"] = pdf.groupby("user_id")["days_since_prior_order"].cumsum().fillna(0)
-    pdf["want"] = (pdf.groupby("user_id")["cum"].transform("max") - pdf["cum"]).astype(int)
-    da = ft.days_ago(o, ft.order_bound(o))           # bound too large: blocked path
-    got = {r.order_id: r.days_ago_since_last for r in da.collect()}
-    assert got == dict(zip(pdf.order_id, pdf.want))
+    da = ft.days_ago(o)
+    assert {r.order_id: r.days_ago_since_last for r in da.collect()} == want
     # the hot pair: user 1 buys product 7 in every order
     lines = (da.where("user_id = 1").select("order_id", "user_id", "order_number", "days_ago_since_last",
                                              "order_hour_of_day")
              .withColumn("product_id", F.lit(7)).withColumn("add_to_cart_order", F.lit(1)))
-    iv = ft.pair_intervals(ft.pair_history(lines, ft.order_bound(o))).first()
-    days = pdf[pdf.user_id == 1].sort_values("order_number").want.to_numpy()
-    dif = days[:-1] - days[1:]
-    assert iv.UP_interval_mean == pytest.approx(dif.mean())
-    assert iv.UP_interval_std == pytest.approx(dif.std())
-    assert iv.UP_interval_distance == pytest.approx(abs(days[-1] - dif.mean()))
+    iv = ft.pair_intervals(ft.pair_history(lines)).first()
+    days = [want[10_000 + number] for number in range(1, 3001)]
+    between = [a - b for a, b in zip(days, days[1:])]
+    mean = sum(between) / len(between)
+    assert iv.UP_interval_mean == pytest.approx(mean)
+    assert iv.UP_interval_std == pytest.approx((sum((g - mean) ** 2 for g in between) / len(between)) ** .5)
+    assert iv.UP_interval_distance == pytest.approx(abs(days[-1] - mean))

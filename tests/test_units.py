@@ -49,13 +49,6 @@ def test_expected_f1_equals_enumeration(n):
     assert np.allclose(dc.expected_f1_table(p), _enumerate(p))
 
 
-@pytest.mark.parametrize("n", [1, 4, 8])
-def test_expected_f1_loop_path_equals_enumeration(monkeypatch, n):
-    monkeypatch.setattr(dc, "VECTORISED_MAX_N", 0)
-    p = np.sort(np.random.default_rng(100 + n).random(n))[::-1]
-    assert np.allclose(dc.expected_f1_table(p), _enumerate(p))
-
-
 def test_best_choice_prefers_none_row_then_smaller_k():
     table = np.array([[0.5, 0.2], [0.5, 0.5]])
     assert dc.best_choice(table) == (0, True, 0.5)
@@ -299,47 +292,46 @@ def test_sequence_features_row_by_row(spark):
     gaps = defaultdict(list)
     for (u, p), rs in by_pair.items():
         gaps[p] += [a[4] - b[4] for a, b in zip(rs, rs[1:])]
-    for bound in (None, 12):
-        got = {r.product_id: r for r in ft.product_gaps(df, bound).collect()}
-        assert set(got) == {p for p, g in gaps.items() if g}
-        for p, g in gaps.items():
-            if not g:
-                continue
-            g = np.array(g, dtype=float)
-            m2 = ((g - g.mean()) ** 2).mean()
-            assert got[p].frequency_mean == pytest.approx(g.mean())
-            assert got[p].frequency_std == pytest.approx(g.std(), abs=1e-12)
-            if m2 == 0:
-                assert got[p].frequency_skew is None and got[p].frequency_kurtosis is None
-            else:
-                assert got[p].frequency_skew == pytest.approx(((g - g.mean()) ** 3).mean() / m2 ** 1.5)
-                assert got[p].frequency_kurtosis == pytest.approx(((g - g.mean()) ** 4).mean() / m2 ** 2 - 3)
-        hist = ft.pair_history(df, bound)
-        up = {(r.user_id, r.product_id): r for r in ft.user_product_features(hist, users).collect()}
-        iv = {(r.user_id, r.product_id): r for r in ft.pair_intervals(hist).collect()}
-        assert set(up) == set(by_pair) == set(iv)
-        for (u, p), rs in by_pair.items():
-            nb = n_orders[u]
-            days = [r[4] for r in rs]
-            last = max(rs, key=lambda r: (r[3], r[2]))
-            first_on = min(r[3] for r in rs)
-            a = up[(u, p)]
-            assert (a.UP_orders, a.UP_last_order_id, a.UP_sum_pos_in_cart, a.UP_first_order, a.UP_last_order) == \
-                   (len(rs), last[2], sum(r[5] for r in rs), first_on, max(r[3] for r in rs))
-            assert a.UP_recency == pytest.approx(sum(1 + r[3] / nb for r in rs))
-            assert a.UP_recency_day == pytest.approx(sum(1 / (d + 1) for d in days), abs=1e-11)
-            assert a.UP_recency_exp == pytest.approx(sum(math.exp(-0.02 * d) for d in days))
-            assert a.UP_order_rate_since_first_order == pytest.approx(len(rs) / (nb - first_on + 1))
-            dif = [x - y for x, y in zip(days, days[1:])]
-            b = iv[(u, p)]
-            if dif:
-                assert b.UP_interval_mean == pytest.approx(np.mean(dif))
-                assert b.UP_interval_std == pytest.approx(np.std(dif), abs=1e-12)
-                assert b.UP_interval_distance == pytest.approx(abs(days[-1] - np.mean(dif)))
-            else:
-                assert b.UP_interval_mean is None and b.UP_interval_std is None
-                assert b.UP_interval_distance == days[0]
-            assert b.UP_order_number_skew == pytest.approx(np.mean([r[3] for r in rs]) / rs[-1][3])
+    got = {r.product_id: r for r in ft.product_gaps(df).collect()}
+    assert set(got) == {p for p, g in gaps.items() if g}
+    for p, g in gaps.items():
+        if not g:
+            continue
+        g = np.array(g, dtype=float)
+        m2 = ((g - g.mean()) ** 2).mean()
+        assert got[p].frequency_mean == pytest.approx(g.mean())
+        assert got[p].frequency_std == pytest.approx(g.std(), abs=1e-12)
+        if m2 == 0:
+            assert got[p].frequency_skew is None and got[p].frequency_kurtosis is None
+        else:
+            assert got[p].frequency_skew == pytest.approx(((g - g.mean()) ** 3).mean() / m2 ** 1.5)
+            assert got[p].frequency_kurtosis == pytest.approx(((g - g.mean()) ** 4).mean() / m2 ** 2 - 3)
+    hist = ft.pair_history(df)
+    up = {(r.user_id, r.product_id): r for r in ft.user_product_features(hist, users).collect()}
+    iv = {(r.user_id, r.product_id): r for r in ft.pair_intervals(hist).collect()}
+    assert set(up) == set(by_pair) == set(iv)
+    for (u, p), rs in by_pair.items():
+        nb = n_orders[u]
+        days = [r[4] for r in rs]
+        last = max(rs, key=lambda r: (r[3], r[2]))
+        first_on = min(r[3] for r in rs)
+        a = up[(u, p)]
+        assert (a.UP_orders, a.UP_last_order_id, a.UP_sum_pos_in_cart, a.UP_first_order, a.UP_last_order) == \
+               (len(rs), last[2], sum(r[5] for r in rs), first_on, max(r[3] for r in rs))
+        assert a.UP_recency == pytest.approx(sum(1 + r[3] / nb for r in rs))
+        assert a.UP_recency_day == pytest.approx(sum(1 / (d + 1) for d in days), abs=1e-11)
+        assert a.UP_recency_exp == pytest.approx(sum(math.exp(-0.02 * d) for d in days))
+        assert a.UP_order_rate_since_first_order == pytest.approx(len(rs) / (nb - first_on + 1))
+        dif = [x - y for x, y in zip(days, days[1:])]
+        b = iv[(u, p)]
+        if dif:
+            assert b.UP_interval_mean == pytest.approx(np.mean(dif))
+            assert b.UP_interval_std == pytest.approx(np.std(dif), abs=1e-12)
+            assert b.UP_interval_distance == pytest.approx(abs(days[-1] - np.mean(dif)))
+        else:
+            assert b.UP_interval_mean is None and b.UP_interval_std is None
+            assert b.UP_interval_distance == days[0]
+        assert b.UP_order_number_skew == pytest.approx(np.mean([r[3] for r in rs]) / rs[-1][3])
 
 
 def test_days_ago_with_unknown_gaps(spark):
@@ -358,8 +350,7 @@ def test_days_ago_with_unknown_gaps(spark):
         latest = max(at.values())
         want.update({oid: int(latest - d) for oid, d in at.items()})
     o = spark.createDataFrame(recs, ORDERS_DDL)
-    for bound in (None, 14):
-        assert {r.order_id: r.days_ago_since_last for r in ft.days_ago(o, bound).collect()} == want
+    assert {r.order_id: r.days_ago_since_last for r in ft.days_ago(o).collect()} == want
 
 
 from hypothesis import given, settings  # noqa: E402
@@ -367,14 +358,8 @@ from hypothesis import strategies as hst  # noqa: E402
 
 
 @settings(max_examples=60, deadline=None)
-@given(p=hst.lists(hst.sampled_from([0.0, 0.01, 0.1, 0.25, 0.5, 0.5, 0.75, 0.9, 1.0]), min_size=1, max_size=7),
-       loop=hst.booleans())
-def test_expected_f1_property(p, loop):
-    """Any probability list (ties, zeros, ones): both code paths equal full enumeration."""
+@given(p=hst.lists(hst.sampled_from([0.0, 0.01, 0.1, 0.25, 0.5, 0.5, 0.75, 0.9, 1.0]), min_size=1, max_size=7))
+def test_expected_f1_property(p):
+    """Any probability list (ties, zeros, ones) equals full enumeration."""
     p = np.sort(np.array(p))[::-1]
-    old = dc.VECTORISED_MAX_N
-    try:
-        dc.VECTORISED_MAX_N = 0 if loop else old
-        assert np.allclose(dc.expected_f1_table(p), _enumerate(p))
-    finally:
-        dc.VECTORISED_MAX_N = old
+    assert np.allclose(dc.expected_f1_table(p), _enumerate(p))
