@@ -363,6 +363,34 @@ def m_normalised_rows(spark, sf_dir):
     return _out(normalize_rows(w).select("user_id", *[F.col("factors")[j].alias(f"f{j}") for j in range(4)]))
 
 
+@query("m_formula_pca")
+def m_formula_pca(spark, sf_dir):
+    """M2 on two-dimensional formula vectors of every product."""
+    from pyspark.ml.functions import array_to_vector
+
+    from basketflow.operators.embeddings import item_pca
+    products = _retail(spark, sf_dir).products
+    x = ((F.col("product_id") * 37) % 101).cast("double") / 10
+    y = ((F.col("product_id") * 11) % 53).cast("double") / 10 + x / 2
+    return _out(item_pca(products.select("product_id", array_to_vector(F.array(x, y)).alias("vector")), products))
+
+
+@query("m_nmf_round")
+def m_nmf_round(spark, sf_dir):
+    """M3: one round of updates from formula factors (k = 2) on the reordered counts; rows of both sides."""
+    from basketflow.operators import factors as fa
+    x = fa.reorder_counts(_retail(spark, sf_dir)).checkpoint()
+
+    def start(key: str, a: tuple[int, int], b: tuple[int, int]) -> DataFrame:
+        part = [((F.col(key) * m) % q + 1).cast("double") / 10 for m, q in (a, b)]
+        return x.select(key).distinct().select(key, F.array(*part).alias("v"))
+
+    w, h, _ = fa.user_factors(x, k=2, iterations=1, w_init=start("user_id", (7, 13), (5, 11)), h_init=start("product_id", (3, 17), (11, 7)))
+    rows = [df.select(F.lit(side).alias("side"), F.col(key).cast("long").alias("id"), F.col(v)[0].alias("f0"), F.col(v)[1].alias("f1"))
+            for df, side, key, v in ((w, "user", "user_id", "w"), (h, "product", "product_id", "h"))]
+    return _out(rows[0].unionByName(rows[1]))
+
+
 @query("e_mean_f1")
 def e_mean_f1(spark, sf_dir):
     r = _retail(spark, sf_dir)

@@ -2,8 +2,9 @@
 
 Training is iterative and seeded, so these have no SQL; tests/test_models.py checks invariants and a
 planted signal. Item vectors, feature matrix and fitted pipelines are written once per input (keyed
-like the staged view by the input files) and read by all queries here. The registered queries use light
-variants of the two tree presets (fewer rounds, shallower trees); ``basketflow.run`` uses the presets.
+like the staged view by the input files) and read by all queries here. Trees train with the full presets
+(400 rounds of depth 12, 151 of depth 6), factors run to their tolerance. The ``_coverage`` queries say of
+every expected key whether the learned result has it, complete and in range; SQL gives the keys.
 """
 
 from __future__ import annotations
@@ -22,9 +23,7 @@ from basketflow.session import stage_path
 from basketflow.sources import stage as st
 from basketflow.sources.retail_view import Retail
 
-# Light presets for local runs (same parameters as the full ones but rounds and depth).
-LOCAL_A = md.quick(md.PRESET_A, max_iter=20, max_depth=6)
-LOCAL_B = md.quick(md.PRESET_B, max_iter=20)
+PRESETS = {"a": md.PRESET_A, "b": md.PRESET_B}
 
 
 def _sentences(r: Retail):
@@ -60,15 +59,18 @@ def _matrix(spark, sf_dir):
     return _once(spark, sf_dir, "matrix", lambda: mx.feature_matrix(r, product_vectors=em.item_pca(_item_vectors(spark, sf_dir), r.products)))
 
 
-def _model(spark, sf_dir, preset, rows=None, part="all"):
+def _model(spark, sf_dir, name):
     """The fitted pipeline of a preset (S8): saved on first use, then loaded."""
     from pyspark.ml import PipelineModel
 
     from basketflow.sources import retail_view as rv
-    path = _path(spark, sf_dir, f"gbt-{preset.name}-{preset.max_iter}-{preset.max_depth}-{part}")
-    fs, done = rv._hadoop(spark, f"{path}/metadata/_SUCCESS")
+    preset = PRESETS[name]
+    path = _path(spark, sf_dir, f"gbt-{name}-{preset.max_iter}-{preset.max_depth}")
+    # Stages are saved in order, the trees last.
+    fs, done = rv._hadoop(spark, f"{path}/_SUCCESS")
     if not fs.exists(done):
-        st.save_model(md.train(_matrix(spark, sf_dir) if rows is None else rows, preset), path)
+        st.save_model(md.train(_matrix(spark, sf_dir), preset), path)
+        fs.create(done).close()
     return PipelineModel.load(path)
 
 
@@ -85,48 +87,74 @@ def m_item_pca(spark, sf_dir):
     return em.item_pca(_item_vectors(spark, sf_dir), r.products)
 
 
+@query("m_vector_coverage")
+def m_vector_coverage(spark, sf_dir):
+    """M1: every product, and whether it has a complete finite vector."""
+    from pyspark.ml.functions import vector_to_array
+    v = _item_vectors(spark, sf_dir).select("product_id", vector_to_array("vector").alias("v"))
+    whole = (F.size("v") == em.VECTOR_SIZE) & F.forall("v", lambda x: ~F.isnan(x) & (F.abs(x) < float("inf")))
+    products = _retail(spark, sf_dir).products.select("product_id")
+    return products.join(v.select("product_id", whole.alias("has_vector")), "product_id", "left").select(
+        "product_id", F.coalesce("has_vector", F.lit(False)).alias("has_vector"))
+
+
+def _factors(spark, sf_dir):
+    return _once(spark, sf_dir, "factors", lambda: fa.normalize_rows(fa.user_factors(fa.reorder_counts(_retail(spark, sf_dir)))[0]))
+
+
 @query("m_user_factors")
 def m_user_factors(spark, sf_dir):
-    w, _, _ = fa.user_factors(fa.reorder_counts(_retail(spark, sf_dir)))
-    return fa.normalize_rows(w)
+    return _factors(spark, sf_dir)
+
+
+@query("m_factor_coverage")
+def m_factor_coverage(spark, sf_dir):
+    """M3, M4: every user with factors, and whether the row is complete, non-negative and of length one (or zero)."""
+    norm = F.sqrt(F.aggregate("factors", F.lit(0.0), lambda a, x: a + x * x))
+    whole = (F.size("factors") == fa.N_COMPONENTS) & F.forall("factors", lambda x: x >= 0) & ((F.abs(norm - 1) < 1e-6) | (norm == 0))
+    return _factors(spark, sf_dir).select("user_id", whole.alias("unit_row"))
 
 
-def _scores(spark, sf_dir, preset):
+def _scores(spark, sf_dir, name):
     """Scores of the test rows with the saved and loaded pipeline."""
-    return md.score(_model(spark, sf_dir, preset), _matrix(spark, sf_dir).where(F.col("eval_set") == "test"))
+    return md.score(_model(spark, sf_dir, name), _matrix(spark, sf_dir).where(F.col("eval_set") == "test"))
 
 
 @query("m_train_score_a")
 def m_train_score_a(spark, sf_dir):
-    return _scores(spark, sf_dir, LOCAL_A)
+    return _scores(spark, sf_dir, "a")
 
 
 @query("m_train_score_b")
 def m_train_score_b(spark, sf_dir):
-    return _scores(spark, sf_dir, LOCAL_B)
+    return _scores(spark, sf_dir, "b")
 
 
-def _holdout(m):
-    """Held-out users for M9: a fixed fifth of the train users chosen by a hash of user_id."""
-    is_valid = (F.abs(F.xxhash64("user_id")) % 5) == 0
-    train = m.where(F.col("eval_set") == "train")
-    return train.where(~is_valid), train.where(is_valid)
+@query("m_score_coverage")
+def m_score_coverage(spark, sf_dir):
+    """M5-M7: every test candidate, how many models score it and whether all scores are probabilities."""
+    scores = _scores(spark, sf_dir, "a").unionByName(_scores(spark, sf_dir, "b"))
+    return scores.groupBy("order_id", "product_id").agg(
+        F.count(F.lit(1)).alias("n_scores"), F.bool_and(F.col("prediction").between(0, 1)).alias("in_range"))
 
 
 @query("m_metrics")
 def m_metrics(spark, sf_dir):
+    """M9 of both models, on the rows they were fitted to and on the hidden test orders."""
     m = _matrix(spark, sf_dir)
-    fit_rows, valid_rows = _holdout(m)
+    bought = _retail(spark, sf_dir).test.select("order_id", "product_id").distinct().withColumn("label", F.lit(1))
+    test = (m.where(F.col("eval_set") == "test").drop("label").join(bought, ["order_id", "product_id"], "left")
+            .withColumn("label", F.coalesce("label", F.lit(0))))
     out = None
-    for preset in (LOCAL_A, LOCAL_B):
-        model = _model(spark, sf_dir, preset, fit_rows, "fit")
-        row = md.metrics(model, valid_rows).withColumn("model", F.lit(preset.name))
-        out = row if out is None else out.unionByName(row)
-    return out.select("model", "auc", "logloss")
+    for name in PRESETS:
+        for part, rows in (("train", m.where(F.col("eval_set") == "train")), ("test", test)):
+            row = md.metrics(_model(spark, sf_dir, name), rows).select(F.lit(name).alias("model"), F.lit(part).alias("part"), "auc", "logloss")
+            out = row if out is None else out.unionByName(row)
+    return out
 
 
 def _model_decisions(spark, sf_dir):
-    return dc.select_max_f1(dc.blend_scores(_scores(spark, sf_dir, LOCAL_A), _scores(spark, sf_dir, LOCAL_B)))
+    return dc.select_max_f1(dc.blend_scores(_scores(spark, sf_dir, "a"), _scores(spark, sf_dir, "b")))
 
 
 @query("e_model_decisions")

@@ -388,13 +388,52 @@ SELECT * FROM rates ORDER BY reorder_rate ASC, product_id DESC LIMIT 10""", extr
     q["a_reorder_by_cart_pos"] = rounded(with_ctes(PRIOR, """
 SELECT least(add_to_cart_order, 60) AS add_to_cart_order_mod, avg(reordered) AS reorder_ratio
 FROM prior_l GROUP BY 1"""), ["reorder_ratio"])
-    q["a_user_reordered_lists"] = with_ctes(PRIOR, """
-SELECT *, CAST(sum(n_times) OVER (PARTITION BY order_id) AS BIGINT) AS num_products_reordered FROM rl""", extra="""tg AS (SELECT order_id, user_id, order_number FROM r_orders WHERE eval_set <> 'prior'),
+    reordered = """tg AS (SELECT order_id, user_id, order_number FROM r_orders WHERE eval_set <> 'prior'),
 rl AS (
   SELECT t.order_id, t.user_id, t.order_number, l.product_id, count(*) AS n_times
   FROM tg t JOIN r_orders o ON o.user_id = t.user_id AND o.eval_set = 'prior'
   JOIN prior_l l ON l.order_id = o.order_id
-  WHERE l.reordered = 1 GROUP BY 1, 2, 3, 4)""")
+  WHERE l.reordered = 1 GROUP BY 1, 2, 3, 4)"""
+    q["a_user_reordered_lists"] = with_ctes(PRIOR, """
+SELECT *, CAST(sum(n_times) OVER (PARTITION BY order_id) AS BIGINT) AS num_products_reordered FROM rl""", extra=reordered)
+    # One Lee-Seung round at k = 2: H <- H * W'X / (W'W H + eps), then W <- W * XH' / (W HH' + eps).
+    q["m_nmf_round"] = rounded(with_ctes(PRIOR, """
+SELECT 'user' AS side, user_id AS id, f0, f1 FROM w1
+UNION ALL SELECT 'product' AS side, CAST(product_id AS BIGINT) AS id, f0, f1 FROM h1""", extra=reordered + """,
+x AS (SELECT user_id, product_id, CAST(n_times AS DOUBLE) AS cnt FROM rl),
+w0 AS (SELECT user_id, CAST((user_id * 7) % 13 + 1 AS DOUBLE) / 10 AS f0, CAST((user_id * 5) % 11 + 1 AS DOUBLE) / 10 AS f1
+       FROM (SELECT DISTINCT user_id FROM x)),
+h0 AS (SELECT product_id, CAST((product_id * 3) % 17 + 1 AS DOUBLE) / 10 AS f0, CAST((product_id * 11) % 7 + 1 AS DOUBLE) / 10 AS f1
+       FROM (SELECT DISTINCT product_id FROM x)),
+gw AS (SELECT sum(f0 * f0) AS g00, sum(f0 * f1) AS g01, sum(f1 * f1) AS g11 FROM w0),
+nh AS (SELECT product_id, sum(cnt * f0) AS n0, sum(cnt * f1) AS n1 FROM x JOIN w0 USING (user_id) GROUP BY 1),
+h1 AS (SELECT product_id, f0 * n0 / (f0 * g00 + f1 * g01 + 1e-10) AS f0, f1 * n1 / (f0 * g01 + f1 * g11 + 1e-10) AS f1
+       FROM h0 JOIN nh USING (product_id), gw),
+gh AS (SELECT sum(f0 * f0) AS g00, sum(f0 * f1) AS g01, sum(f1 * f1) AS g11 FROM h1),
+nw AS (SELECT user_id, sum(cnt * f0) AS n0, sum(cnt * f1) AS n1 FROM x JOIN h1 USING (product_id) GROUP BY 1),
+w1 AS (SELECT user_id, f0 * n0 / (f0 * g00 + f1 * g01 + 1e-10) AS f0, f1 * n1 / (f0 * g01 + f1 * g11 + 1e-10) AS f1
+       FROM w0 JOIN nw USING (user_id), gh)"""), ["f0", "f1"])
+    # Principal axes of two columns in closed form: (cov, lambda - var x), each made positive in its largest loading.
+    q["m_formula_pca"] = rounded(with_ctes(VIEW, """
+SELECT product_id, s1 * (dx * b + dy * (l1 - a)) / sqrt(b * b + (l1 - a) * (l1 - a)) AS vec1,
+       s2 * (dx * b + dy * (l2 - a)) / sqrt(b * b + (l2 - a) * (l2 - a)) AS vec2
+FROM (SELECT *, sign(CASE WHEN abs(b) >= abs(l1 - a) THEN b ELSE l1 - a END) AS s1,
+             sign(CASE WHEN abs(b) >= abs(l2 - a) THEN b ELSE l2 - a END) AS s2 FROM eig),
+     (SELECT product_id, x - avg(x) OVER () AS dx, y - avg(y) OVER () AS dy FROM v)""", extra="""
+v AS (SELECT product_id, x, CAST((product_id * 11) % 53 AS DOUBLE) / 10 + x / 2 AS y
+      FROM (SELECT product_id, CAST((product_id * 37) % 101 AS DOUBLE) / 10 AS x FROM r_products)),
+cov AS (SELECT var_samp(x) AS a, var_samp(y) AS c, covar_samp(x, y) AS b FROM v),
+eig AS (SELECT a, b, (a + c) / 2 + sqrt((a - c) * (a - c) / 4 + b * b) AS l1,
+               (a + c) / 2 - sqrt((a - c) * (a - c) / 4 + b * b) AS l2 FROM cov)"""), ["vec1", "vec2"])
+    # Keys that the learned results must cover, complete and in range.
+    q["m_score_coverage"] = with_ctes(PRIOR + ["pairs", "cand"], """
+SELECT c.order_id, c.product_id, CAST(2 AS BIGINT) AS n_scores, TRUE AS in_range
+FROM cand c JOIN tgt t ON c.order_id = t.order_id WHERE t.eval_set = 'test'""")
+    q["m_factor_coverage"] = with_ctes(PRIOR, "SELECT DISTINCT user_id, TRUE AS unit_row FROM rl", extra=reordered)
+    q["m_vector_coverage"] = with_ctes(VIEW, """
+SELECT p.product_id, coalesce(s.n >= 5, FALSE) AS has_vector
+FROM r_products p LEFT JOIN (SELECT product_id, count(*) AS n FROM r_lines WHERE eval_set IN ('prior', 'train') GROUP BY 1) s
+  ON s.product_id = p.product_id""")
     q["u_basket_sentences"] = with_ctes(VIEW, """
 SELECT order_id, string_agg(CAST(product_id AS VARCHAR), ' ' ORDER BY add_to_cart_order) AS sentence, count(*) AS n_tokens
 FROM r_lines WHERE eval_set IN ('prior', 'train') GROUP BY 1""")

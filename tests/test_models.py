@@ -96,15 +96,34 @@ LEARNED = ["m_item_vectors", "m_item_pca", "m_user_factors", "m_train_score_a",
            "m_metrics", "e_model_decisions", "e_model_mean_f1"]
 
 
-@pytest.mark.parametrize("key", LEARNED)
-def test_learned_queries_run(spark, key, monkeypatch):
+@pytest.fixture()
+def small(monkeypatch):
+    """A few rounds: the queries' plumbing; learning itself is tested above."""
     import functools
 
-    import __spark_entry__ as entry
-    # A few rounds show that the query runs; the convergence of the factors is tested above.
+    from basketflow.plans import models as pm
     monkeypatch.setattr(fa, "user_factors", functools.partial(fa.user_factors, iterations=3))
-    df = entry.queries()[key](spark, SF001)
-    assert df.count() > 0
+    monkeypatch.setattr(pm, "PRESETS", {"a": md.quick(md.PRESET_A, max_iter=3, max_depth=3), "b": md.quick(md.PRESET_B, max_iter=3, max_depth=3)})
+
+
+@pytest.mark.parametrize("key", LEARNED)
+def test_learned_queries_run(spark, key, small):
+    import __spark_entry__ as entry
+    assert entry.queries()[key](spark, SF001).count() > 0
+
+
+@pytest.mark.parametrize("key", ["m_score_coverage", "m_factor_coverage"])
+def test_learned_results_cover_the_expected_keys(spark, key, small):
+    import __spark_entry__ as entry
+    from tests.oracle_check import compare, duck
+    problems, n, _, _ = compare(spark, duck(SF001), key, entry.queries()[key], entry.oracle_sql()[key], SF001)
+    assert not problems and n > 0, problems
+
+
+def test_registered_queries_train_the_whole_presets():
+    from basketflow.plans import models as pm
+    assert pm.PRESETS == {"a": md.PRESET_A, "b": md.PRESET_B}
+    assert (md.PRESET_A.max_iter, md.PRESET_A.max_depth, md.PRESET_B.max_iter, md.PRESET_B.max_depth) == (400, 12, 151, 6)
 
 
 def test_run_all_end_to_end(spark, tmp_path):

@@ -14,7 +14,11 @@ def con():
     return duck(SF01)
 
 
-@pytest.mark.parametrize("key", sorted(SQL))
+# These need the trees or factors trained whole: minutes. tests/test_models.py runs them with small presets.
+TRAINED = {"m_score_coverage", "m_factor_coverage"}
+
+
+@pytest.mark.parametrize("key", sorted(set(SQL) - TRAINED))
 def test_matches_oracle(spark, con, key):
     problems, n, _, _ = compare(spark, con, key, entry.queries()[key], SQL[key], SF01)
     assert not problems, problems
@@ -22,9 +26,10 @@ def test_matches_oracle(spark, con, key):
 
 
 def test_every_query_has_oracle_or_is_learned():
-    learned = ({k for k in entry.queries() if k.startswith("m_") and k != "m_blend_scores"}
-               | {"e_model_decisions", "e_model_mean_f1"})
-    assert set(entry.queries()) - set(SQL) == learned
+    learned = {"m_item_vectors", "m_item_pca", "m_user_factors", "m_train_score_a", "m_train_score_b", "m_metrics",
+               "e_model_decisions", "e_model_mean_f1"}
+    corpus = {k for k in entry.queries() if k.startswith("op") or k == "pipeline"}
+    assert set(entry.queries()) - set(SQL) - corpus == learned
 
 
 def test_entry_smoke(spark):
@@ -38,7 +43,7 @@ def test_query_columns_are_unique_and_named(spark):
     """The driver sorts columns by name before hashing: every relational query must expose
     unique, non-empty, alias-free column names (no generated names like ``sum(x)``)."""
     from tests.conftest import SF001
-    for key in SQL:
+    for key in set(SQL) - TRAINED:
         cols = entry.queries()[key](spark, SF001).columns
         assert len(cols) == len(set(cols)), key
         assert all(c and "(" not in c and not c.startswith("_") for c in cols), (key, cols)
