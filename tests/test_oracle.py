@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from tests.conftest import SF01
+from tests.conftest import SF001, SF01
 from tests.oracle_check import compare, duck
 
 SQL = entry.oracle_sql()
@@ -33,16 +33,14 @@ def test_every_query_has_oracle_or_is_learned():
 
 
 def test_entry_smoke(spark):
-    df = entry.entry(spark)
-    rows = df.collect()
-    assert df.columns == ["product_id", "reordered", "order_cnt", "reorder_rate", "product_name"]
-    assert all(r.order_cnt > 100 for r in rows)
+    """The flagship at its own folder, row by row against the SQL of its query."""
+    problems, n, _, _ = compare(spark, duck(SF001), "entry", lambda s, _: entry.entry(s), SQL["a_top_products"], SF001)
+    assert not problems and n == 20, problems
 
 
 def test_query_columns_are_unique_and_named(spark):
     """The driver sorts columns by name before hashing: every relational query must expose
     unique, non-empty, alias-free column names (no generated names like ``sum(x)``)."""
-    from tests.conftest import SF001
     for key in set(SQL) - TRAINED:
         cols = entry.queries()[key](spark, SF001).columns
         assert len(cols) == len(set(cols)), key
