@@ -5,7 +5,8 @@ Targets: sources in code-point order (null last) take the given weights in turn
 that leaves is shared again by weight. The water level is found by a few rounds of one small aggregate
 each; only scalars reach the driver.
 
-Order: each source's documents follow a digest of their id, a fixed shuffle. A document's place in the
+Order: each source's documents follow a digest of their id, a fixed shuffle (without an id: of their size and
+further columns, so that many null ids are many blocks). A document's place in the
 source's word stream is a running sum, taken in two steps: inside blocks of the digest (so that a source
 with a third of all rows is many bounded tasks) and over one row per block.
 
@@ -79,7 +80,8 @@ def _position(u: Column) -> Column:
 def plan(sizes: DataFrame, stages: Stages, rows_per_block: int = ROWS_PER_BLOCK, **options) -> DataFrame:
     """Rows (doc_id, source, size, ...) with source_size, target, taken and positions (one per copy)."""
     keep = [c for c in sizes.columns if c not in ("doc_id", "source", "size")]
-    sizes = stages.write(sizes.withColumn("_order", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))), "sizes")
+    shuffled = F.coalesce(F.col("doc_id").cast("string"), F.xxhash64("size", *keep).cast("string"))
+    sizes = stages.write(sizes.withColumn("_order", F.md5(shuffled.cast("binary"))), "sizes")
     goals = stages.write(targets(sizes, **options), "targets")
     digits = max(1, math.ceil(math.log(max(1, sizes.count() / rows_per_block), 16)))
     sizes = sizes.withColumn("_block", F.substring("_order", 1, digits))

@@ -7,6 +7,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from basketflow.llm.common import Stages
 from tests.llm import brute
@@ -249,6 +250,12 @@ def test_curriculum(spark):
     assert abs(early / goal["b"] - (start * .5 + (end - start) * .125) / ((start + end) / 2)) < .05
     mixed = cu.mix(df, Stages(spark, "t"))
     assert mixed.columns == df.columns and mixed.count() == sum(x.copies for x in one)
+    # Null ids do not share one place in the order: the plan is the same for any size of the blocks, and whole.
+    nameless = df.where("source = 'b'").withColumn("doc_id", F.lit(None).cast("long"))
+    keyed = cu.doc_sizes(nameless, F.xxhash64("text").alias("key"))
+    small, large = (cu.plan(keyed, Stages(spark, "t"), rows_per_block=n).collect() for n in (5, 10_000))
+    assert by_text(tuple(r) for r in small) == by_text(tuple(r) for r in large) and len(small) == nameless.count()
+    assert abs(sum(x.taken for x in small) - small[0].target) <= 41
 
 
 def test_byte_bpe(spark):
