@@ -10,6 +10,10 @@ documents is one small row per task). The first occurrence of each repeated dige
 other is removed only where its bytes equal those. The documents are shuffled by row, never by
 chunk, and joins by chunk have one row per digest on one side.
 
+``passages`` does the same with every pair of neighbouring worded lines (and the blank lines between them) as a
+unit instead of every chunk, so each repeated run of two or more worded lines goes, wherever chunks
+would end. A pair that overlaps the first occurrence of its bytes stays.
+
 Everything is DataFrame functions. Results for odd input: a null text stays null, an empty one empty; a null
 id counts as larger than any other; rows that agree in id and text are one document and stay alike; rows
 with one id and different texts are ordered by a digest; an empty table gives an empty result; all
@@ -53,19 +57,39 @@ def chunks(rows: DataFrame, every: int = EVERY, min_lines: int = MIN_LINES) -> D
     return df.where(worded >= min_lines).select("ord", "dk", "start", "end", F.unhex(F.md5(F.array_join("p", "\n").cast("binary"))).alias("digest"))
 
 
+def pairs(rows: DataFrame) -> DataFrame:
+    """(ord, dk, start, end, digest) of all pairs of neighbouring worded lines of rows (ord, dk, text)."""
+    df = rows.select("ord", "dk", _lines(F.col("text")).alias("l"))
+    df = df.withColumn("w", F.filter(F.transform("l", lambda x, i: F.when(F.length(F.translate(x, _BLANKS, "")) > 0, i)), lambda i: i.isNotNull()))
+    df = df.where(F.size("w") > 1)
+    # The digests are taken before the explode, which then copies no lines.
+    unit = lambda a, e: F.struct(a.alias("start"), e.alias("end"), F.unhex(F.md5(_part(F.col("l"), a, e).cast("binary"))).alias("digest"))
+    each = F.transform(F.slice("w", F.lit(1), F.size("w") - 1), lambda a, j: unit(a, F.get("w", j + 1) + 1))
+    return df.select("ord", "dk", F.explode(each).alias("p")).select("ord", "dk", "p.*")
+
+
 def dedup(docs: DataFrame, stages: Stages, every: int = EVERY, min_lines: int = MIN_LINES, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` with the repeated chunks cut from ``text``, n_lines and n_removed (lines).
 
     The two counts replace columns of those names. A document whose lines all go keeps an empty text.
     """
+    return _cut(docs, stages, lambda rows: chunks(rows, every, min_lines), text, doc_id)
+
+
+def passages(docs: DataFrame, stages: Stages, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """Like ``dedup``, with every repeated run of two or more worded lines cut."""
+    return _cut(docs, stages, pairs, text, doc_id)
+
+
+def _cut(docs: DataFrame, stages: Stages, units, text: str, doc_id: str) -> DataFrame:
     columns = [c for c in docs.columns if c not in (text, "n_lines", "n_removed")]
     rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST)).alias("ord"), text_digest(F.col(text)).alias("dk"),
                        F.col(text).alias("text"), F.struct(*[F.col(f"`{c}`") for c in columns]).alias("rest") if columns else F.lit(None).alias("rest"))
-    found = stages.write(chunks(rows.where("text is not null"), every, min_lines), "chunks")
+    found = stages.write(units(rows.where("text is not null")), "chunks")
     firsts = (found.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("ord", "dk", "start", "end")).alias("first"))
               .where("n > 1").select("digest", "first"))
     firsts = stages.write(firsts, "firsts")
-    later = (found.join(firsts, "digest").where(F.struct("ord", "dk", "start", "end") != F.col("first"))
+    later = (found.join(firsts, "digest").where((F.struct("ord", "dk") != F.struct("first.ord", "first.dk")) | (F.col("start") >= F.col("first.end")))
              .select("digest", "ord", "dk", "start", "end"))
     wanted = (firsts.select("digest", "first.*").groupBy("ord", "dk").agg(F.collect_list(F.struct("digest", "start", "end")).alias("wanted")))
     # The condition on "rest" always holds. It makes this side ask for the same columns as the join at the
@@ -80,11 +104,11 @@ def dedup(docs: DataFrame, stages: Stages, every: int = EVERY, min_lines: int =
     marked = marked.withColumn("gone", F.coalesce(F.transform(same, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"))),
                                                   F.array().cast("array<struct<start:int,end:int>>")))
     n, size = F.size("gone"), F.size("l")
-    # The runs of lines between the removed chunks, in order.
-    runs = F.transform(F.sequence(F.lit(0), n), lambda j: F.struct(
-        F.when(j > 0, F.get("gone", F.greatest(j - 1, F.lit(0)))["end"]).otherwise(F.lit(0)).alias("a"), F.coalesce(F.get("gone", j)["start"], size).alias("b")))
-    kept = F.array_join(F.flatten(F.transform(runs, lambda r: F.slice("l", r["a"] + 1, r["b"] - r["a"]))), "\n")
-    removed = F.aggregate("gone", F.lit(0), lambda a, m: a + m["end"] - m["start"])
+    # The runs of lines between the removed units, in order. Units may overlap; later ones then end later.
+    upto = lambda j: F.when(j > 0, F.get("gone", F.greatest(j - 1, F.lit(0)))["end"]).otherwise(F.lit(0))
+    runs = F.transform(F.sequence(F.lit(0), n), lambda j: F.struct(upto(j).alias("a"), F.coalesce(F.get("gone", j)["start"], size).alias("b")))
+    kept = F.array_join(F.flatten(F.transform(runs, lambda r: F.slice("l", r["a"] + 1, F.greatest(r["b"] - r["a"], F.lit(0))))), "\n")
+    removed = F.aggregate(F.transform("gone", lambda m, j: m["end"] - F.greatest(m["start"], upto(j))), F.lit(0), lambda a, x: a + x)
     out = marked.withColumn("kept", F.when(n == 0, F.col("text")).otherwise(kept))
     order = [F.col("kept").alias(c) if c == text else F.col(f"rest.`{c}`").alias(c) for c in docs.columns if c not in ("n_lines", "n_removed")]
     lines = F.when(F.col("text").isNull(), F.lit(0)).otherwise(size)

@@ -210,3 +210,23 @@ from documents left join kept using (doc_id)
 def op10_line_chunks(spark, sf_dir):
     from basketflow.llm import line_dedup as ld
     return ld.dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"), Stages(spark, "op10"))
+
+
+_OP10_PASSAGES = r"""
+with l as (select doc_id, text, string_split(text, chr(10)) l from documents),
+line as (select doc_id, unnest(range(1, len(l) + 1)) i, unnest(l) x from l),
+worded as (select doc_id, i, lead(i) over (partition by doc_id order by i) j from line where regexp_matches(x, '[^\x20\x09-\x0D]')),
+pair as (select doc_id, i, j, array_to_string(l[i : j], chr(10)) bytes from worded join l using (doc_id) where j is not null),
+marked as (select *, first_value(doc_id) over f fd, first_value(j) over f fj from pair window f as (partition by bytes order by doc_id, i)),
+gone as (select distinct doc_id, unnest(range(i, j + 1)) i from marked where doc_id <> fd or i > fj),
+kept as (select line.doc_id, string_agg(x, chr(10) order by line.i) filter (gone.i is null) t, count(*) n, count(gone.i) r
+         from line left join gone on gone.doc_id = line.doc_id and gone.i = line.i group by line.doc_id)
+select doc_id, case when text is not null then coalesce(t, '') end as text, coalesce(n, 0)::bigint n_lines, coalesce(r, 0)::bigint n_removed
+from documents left join kept using (doc_id)
+"""
+
+
+@query("op10_line_passages", _OP10_PASSAGES)
+def op10_line_passages(spark, sf_dir):
+    from basketflow.llm import line_dedup as ld
+    return ld.passages(_table(spark, sf_dir, "documents").select("doc_id", "text"), Stages(spark, "op10p"))

@@ -292,3 +292,33 @@ def test_line_chunks(spark):
         assert sum(w[3] for w in want) > 100
     twice = spark.createDataFrame([rows[0], rows[0]], DOCS)
     assert [r.n_removed for r in ld.dedup(twice, Stages(spark, "t")).collect()] == [0, 0]
+
+
+def test_line_passages(spark):
+    """Passages of 2 to 6 lines planted in different documents: the first stays, every other goes whole."""
+    from basketflow.llm import line_dedup as ld
+    r = random.Random(12)
+    own = lambda d, n: [f"own {d} {k} {r.random()}" for k in range(n)]
+    planted = [[f"passage {p} line {k}" if k != 3 else "" for k in range(2 + p % 5)] for p in range(40)]
+    rows = []
+    for d in range(160):
+        lines = own(d, r.randint(1, 6))
+        for at, p in enumerate([d % 40, (7 * d + d // 40) % 40]):
+            lines += planted[p] + own(f"{d}/{at}", r.randint(1, 5))
+        rows.append((d, "\n".join(lines)))
+    rows += [(None, "\n".join(planted[0])), (500, "a\na\na"), (501, "b\nb\nb\nb"), (502, None), (503, ""), (504, "\n \n")]
+    out = {(x.doc_id, x.n_lines): x for x in ld.passages(spark.createDataFrame(rows, DOCS), Stages(spark, "t")).collect()}
+    seen: set = set()
+    for d, t in rows[:160]:
+        got = next(x for x in out.values() if x.doc_id == d)
+        fresh = []
+        for line in t.split("\n"):
+            if line.startswith("own") or line not in seen and line:
+                fresh.append(line)
+                seen.add(line)
+        assert [x for x in got.text.split("\n") if x] == fresh, d
+        assert got.n_removed == len(t.split("\n")) - len(got.text.split("\n"))
+    assert [(out[k].text, out[k].n_removed) for k in [(None, 2), (500, 3), (501, 4), (502, 0), (503, 1), (504, 3)]] == [
+        ("", 2), ("a\na\na", 0), ("b\nb", 2), (None, 0), ("", 0), ("\n \n", 0)]
+    chunked = ld.dedup(spark.createDataFrame(rows, DOCS), Stages(spark, "t")).collect()
+    assert sum(x.n_removed for x in chunked) < sum(x.n_removed for x in out.values())
