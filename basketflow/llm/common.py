@@ -23,6 +23,14 @@ def text_digest(text: Column) -> Column:
     return F.xxhash64(text, text.isNull())
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """(_row, _n): each row as a struct, so that its columns may have any names, and a number of its own.
+
+    The numbers hold only once written: a recomputed input may deal its rows out otherwise.
+    """
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.monotonically_increasing_id().alias("_n"))
+
+
 class Stages:
     """Parquet stage tables of one run, in a fresh folder under the shared checkpoint folder.
 

@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketflow.llm.common import Stages
 from basketflow.llm.graph import LocalRoots, components
@@ -62,14 +63,15 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, doc_id: str = "doc_id", text: str = "text", row_key=None) -> DataFrame:
-    """(doc_id, row_key, fp) of every row; ``row_key`` is any long column (null if not given)."""
+    """(doc_id, row_key, fp) of every row; ``row_key`` is any column that can be ordered (a null long if not given)."""
     def run(batches):
         for batch in batches:
             fps = [fingerprint(t.as_py(), shingle) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps, pa.int64())], names=["doc_id", "row_key", "fp"])
 
-    key = (F.lit(None) if row_key is None else row_key).cast("long").alias("row_key")
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), key, F.col(text).cast("binary")).mapInArrow(run, "doc_id long, row_key long, fp long")
+    key = (F.lit(None).cast("long") if row_key is None else row_key).alias("row_key")
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), key, F.col(text).cast("binary").alias("text"))
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields[:2], T.StructField("fp", T.LongType())]))
 
 
 class Tree:

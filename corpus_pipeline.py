@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketflow.llm import bpe, curriculum, line_dedup, quality, simhash_vp
-from basketflow.llm.common import Stages, text_digest
+from basketflow.llm.common import Stages, numbered, text_digest
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,17 +27,18 @@ def line_chunks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: of each group the document with the smallest id stays.
 
-    Rows that share an id are told apart by a digest of the text; of equal rows one stays. A group of null ids only
-    is named by its smallest fingerprint and digest.
+    Rows that share an id are told apart by a digest of the text, equal rows and copies without an id by a row number
+    written once; one row stays. A group is named by its smallest fingerprint: two groups may hold the same smallest id.
     """
-    found = simhash_vp.near_duplicates(docs, Stages(spark, "near"), row_key=text_digest(F.col("text")))
+    stages = Stages(spark, "near")
+    rows = stages.write(numbered(docs), "rows")
+    texts = rows.select(F.col("_row.doc_id").alias("doc_id"), F.col("_row.text").alias("text"), "_n")
+    key = F.struct(text_digest(F.col("text")).alias("digest"), F.col("_n").alias("n"))
+    found = simhash_vp.near_duplicates(texts, stages, row_key=key)
     last = F.col("doc_id").isNull()
-    group = F.when(F.col("component_id").isNull(), F.col("root")).otherwise(F.lit(None))
-    first = (found.select(group.alias("g"), "component_id", F.struct(last, "doc_id", "row_key").alias("k"))
-             .groupBy("g", "component_id").agg(F.min("k").alias("k")).select("k.doc_id", "k.row_key"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id", text_digest(F.col("text")).alias("row_key"))
-    kept = rows.alias("r").join(first.alias("f"), F.col("r.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("r.row_key") == F.col("f.row_key")), "left_semi")
-    return kept.select("_row.*")
+    first = (found.select("root", F.struct(last, "doc_id", "row_key").alias("k"))
+             .groupBy("root").agg(F.min("k").alias("k")).select(F.col("k.row_key.n").alias("_n")))
+    return rows.join(first, "_n", "left_semi").select("_row.*")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -114,3 +114,16 @@ def test_the_rest_imports_without_the_subpackage(tmp_path):
     shutil.copy(f"{root}/__spark_entry__.py", tmp_path)
     code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 40 and not any(n.startswith('op') for n in q); e.oracle_sql()"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={**os.environ, "PYTHONPATH": str(tmp_path)})
+
+
+def test_one_of_equal_rows_stays(spark):
+    """Equal rows, copies without an id and one id with two texts: of each group one row, with its own columns."""
+    import corpus_pipeline as p
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(60))
+    rows = [(1, text(1), "a")] * 5 + [(2, text(1), "b")] + [(None, text(2), "a")] * 40 + [(None, text(3), "a"), (None, text(3), "b"), (7, text(3), "c")]
+    rows += [(9, text(4), "a"), (9, text(5), "a"), (9, text(5), "a"), (None, None, "n"), (None, "", "n")]
+    out = p.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7), "").collect()
+    got = sorted(((r.doc_id, r.text) for r in out if r.text), key=str)
+    assert got == sorted([(1, text(1)), (None, text(2)), (7, text(3)), (9, text(4)), (9, text(5))], key=str)
+    assert all(r.source == "c" for r in out if r.doc_id == 7)
+    assert sum(not r.text for r in out) == 1
