@@ -30,7 +30,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketflow.llm.common import Stages, words
+from basketflow.llm.common import Stages, numbered, words
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -114,16 +114,11 @@ def doc_sizes(docs: DataFrame, *more) -> DataFrame:
 def mix(docs: DataFrame, stages: Stages, **options) -> DataFrame:
     """The mixed documents, one row per copy, range-sorted by training position; columns as given.
 
-    Rows without words are not taken. Rows are matched to their plan by a digest of id, source and
-    text; rows that agree in all three are interchangeable and matched one to one.
+    Rows without words are not taken. Rows are matched to their plan one to one by a number written once, so
+    that equal rows and copies without an id are spread like any others.
     """
-    columns = docs.columns
-    mark = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-"))
-    key = F.md5(F.concat_ws("\x1f", mark("doc_id"), mark("source"), F.xxhash64("text")).cast("binary"))
-    planned = plan(doc_sizes(docs, key.alias("_key")), stages, **options)
-    planned = planned.groupBy("_key").agg(F.collect_list("positions").alias("_positions"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"), key.alias("_key"))
-    rows = rows.withColumn("_nth", F.row_number().over(Window.partitionBy("_key").orderBy("_key")))
-    copies = (rows.join(planned, "_key")
-              .select("_row", F.explode(F.element_at("_positions", F.col("_nth"))).alias("_position")))
-    return copies.repartitionByRange("_position").sortWithinPartitions("_position").select("_row.*")
+    rows = stages.write(numbered(docs), "rows")
+    sizes = doc_sizes(rows.select(*[F.col(f"_row.{c}").alias(c) for c in ("doc_id", "source", "text")], "_n"), "_n")
+    copies = plan(sizes, stages, **options).select("_n", F.explode("positions").alias("_position"))
+    return (rows.join(copies, "_n").repartitionByRange("_position", "_n").sortWithinPartitions("_position", "_n")
+            .select("_row.*"))

@@ -322,3 +322,17 @@ def test_line_passages(spark):
         ("", 2), ("a\na\na", 0), ("b\nb", 2), (None, 0), ("", 0), ("\n \n", 0)]
     chunked = ld.dedup(spark.createDataFrame(rows, DOCS), Stages(spark, "t")).collect()
     assert sum(x.n_removed for x in chunked) < sum(x.n_removed for x in out.values())
+
+
+def test_mix_handles_equal_rows_one_by_one(spark):
+    """No row holds the positions of others: n equal rows are n joined rows, also without an id."""
+    from basketflow.llm import curriculum as cu
+    rows = [(1, "one two three", "a")] * 300 + [(None, "four five", "b")] * 300 + [(k, "w " * (k % 9), "c") for k in range(2, 200)] + [(None, None, None)]
+    mixed = cu.mix(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5), Stages(spark, "t"))
+    plan = mixed._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "row_number" not in plan
+    out = mixed.collect()
+    took = {s: sum(len((x.text or "").split()) for x in out if x.source == s) for s in "abc"}
+    share = {s: sum(len((x[1] or "").split()) for x in rows if x[2] == s) for s in "abc"}
+    assert sum(took.values()) == pytest.approx(1.5 * sum(share.values()), abs=10) and all(took[s] <= 2 * share[s] for s in "abc")
+    assert [x for x in out if x.source is None] == []
