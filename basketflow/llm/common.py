@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +32,25 @@ def numbered(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.monotonically_increasing_id().alias("_n"))
 
 
+PLACE_BITS = 33  # of a row within its file
+
+
+def place(df: DataFrame) -> Column:
+    """A long that grows in the order in which the rows of ``df``, read from part files, were written.
+
+    The scan packs splits of files by size, so the order of rows as read says nothing; the number of the part file and
+    the row's index in it do. Where ``df`` is no plain file scan, rows are numbered as they come.
+    """
+    try:
+        meta = df.metadataColumn("_metadata")
+        df.select(meta)
+    except AnalysisException:
+        return F.monotonically_increasing_id()
+    number = lambda pattern: F.coalesce(F.regexp_extract(meta["file_name"], pattern, 1).try_cast("long"), F.lit(0).cast("long"))
+    part, more = number(r"^part-(\d{1,7})"), number(r"-c(\d{1,3})\.")
+    return F.shiftleft(part * 1024 + more, PLACE_BITS) + meta["row_index"]
+
+
 class Stages:
     """Parquet stage tables of one run, in a fresh folder under the shared checkpoint folder.
 

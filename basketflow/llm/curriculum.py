@@ -30,7 +30,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketflow.llm.common import Stages, numbered, words
+from basketflow.llm.common import PLACE_BITS, Stages, numbered, place, words
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -111,6 +111,23 @@ def doc_sizes(docs: DataFrame, *more) -> DataFrame:
     return docs.select("doc_id", "source", F.size(words(F.col("text"))).cast("long").alias("size"), *more)
 
 
+def training_order(sizes: DataFrame, stages: Stages, **options) -> DataFrame:
+    """(doc_id, source, size, copy, position, rank) of every copy that the mix takes; ranks from 0 without gaps.
+
+    The copies are range-sorted and written; a copy's rank is its row in its file plus the rows of the files before.
+    """
+    copies = plan(sizes, stages, **options).select("doc_id", "source", "size", F.posexplode("positions").alias("copy", "position"))
+    order = ("position", "doc_id", "copy")
+    written = stages.write(copies.withColumn("copy", F.col("copy").cast("long")).repartitionByRange(*order).sortWithinPartitions(*order), "order")
+    placed = written.withColumn("_place", place(written))
+    placed = placed.withColumn("_file", F.shiftright("_place", PLACE_BITS))
+    # One row per file, not per copy, bounds this window.
+    before = (placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_rows"))
+              .select("_file", F.coalesce(F.sum("_rows").over(Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before")))
+    rank = F.col("_before") + F.col("_place").bitwiseAND(F.lit(2 ** PLACE_BITS - 1))
+    return placed.join(before, "_file").select("doc_id", "source", "size", "copy", "position", rank.alias("rank"))
+
+
 def mix(docs: DataFrame, stages: Stages, **options) -> DataFrame:
     """The mixed documents, one row per copy, range-sorted by training position; columns as given.
 

@@ -154,6 +154,28 @@ def op7_curriculum_mix(spark, sf_dir):
     return planned.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+_OP7_ORDER = f"""
+with {_SIZES},
+placed as (select s.doc_id, s.size, s.source, g.source_size, g.target, g.a, g.b,
+             sum(s.size) over (partition by s.source order by md5(s.doc_id::varchar), s.size
+                               rows between unbounded preceding and current row)::bigint - s.size / 2.0 middle
+           from sizes s join goals g on s.source is not distinct from g.source),
+taken as (select *, case when size = 0 then 0 else floor(target / source_size)::bigint
+            + (middle < target - floor(target / source_size) * source_size)::bigint end copies from placed),
+each as (select *, unnest(range(0, copies)) "copy" from taken),
+share as (select *, least(1.0::double, ("copy" * source_size + middle) / target) u from each),
+timed as (select *, case when a = b then u else (sqrt(a * a + (b - a) * (a + b) * u) - a) / (b - a) end "position" from share)
+select doc_id, source, size, "copy"::bigint "copy", "position"::double "position",
+  (row_number() over (order by "position", doc_id, "copy") - 1)::bigint "rank" from timed
+"""
+
+
+@query("op7_training_order", _OP7_ORDER)
+def op7_training_order(spark, sf_dir):
+    from basketflow.llm import curriculum as cu
+    return cu.training_order(cu.doc_sizes(_table(spark, sf_dir, "documents")), Stages(spark, "op7o"))
+
+
 _OP8 = """
 with recursive v as (
   select vec_id, embedding::double[] e, sqrt(list_sum([x * x for x in embedding::double[]])) n from embeddings

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketflow.llm import bpe, curriculum, line_dedup, quality, simhash_vp
-from basketflow.llm.common import Stages, numbered, text_digest
+from basketflow.llm.common import Stages, numbered, place, text_digest
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,13 +47,16 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 9: doc_id, source, n_tokens, ids and whether the ids decode to the text, in the given order."""
+    """Operator 9: doc_id, source, n_tokens, ids, whether the ids decode to the text, and position.
+
+    The position grows in the order of the rows in the files of ``docs``, which is the training order of the mix.
+    """
     import public_tokenizers
     ranks = bpe.read_vocab(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    coded = bpe.encode(docs.select("doc_id", "source", "text"), ranks, public_tokenizers.PATTERN)
+    coded = bpe.encode(docs.select("doc_id", "source", "text", place(docs).alias("position")), ranks, public_tokenizers.PATTERN)
     back = bpe.decode(coded, ranks)
     same = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    return back.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
+    return back.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"), "position")
 
 
 STAGES = [("quality rules", quality_rules), ("line dedup", line_chunks), ("SimHash near-dedup", near_duplicates),

@@ -127,3 +127,30 @@ def test_one_of_equal_rows_stays(spark):
     assert got == sorted([(1, text(1)), (None, text(2)), (7, text(3)), (9, text(4)), (9, text(5))], key=str)
     assert all(r.source == "c" for r in out if r.doc_id == 7)
     assert sum(not r.text for r in out) == 1
+
+
+def test_training_order_reaches_the_result(spark, tmp_path):
+    """Ranks follow the schedules, and encode's position is the mix's order though the files are read out of order."""
+    import corpus_pipeline as p
+
+    from basketflow.llm import curriculum as cu
+    from basketflow.llm.common import Stages
+    rows = [(d, f"w{d} " * (1 + d % 30), "abc"[d % 3]) for d in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    # Every source with one schedule rising from 0.1 to 3, but the first, which falls: its copies come early.
+    turned = dict(schedules=((3.0, .1), (.1, 3.0), (.1, 3.0)))
+    order = {}
+    for name, options in (("given", {}), ("turned", turned)):
+        out = cu.training_order(cu.doc_sizes(docs), Stages(spark, "t"), **options).orderBy("rank").collect()
+        assert [r["rank"] for r in out] == list(range(len(out)))
+        assert [r.position for r in out] == sorted(r.position for r in out) and 0 < out[0].position and out[-1].position <= 1
+        order[name] = out
+    first = lambda out: sum(r.source == "a" for r in out[:len(out) // 4])
+    assert first(order["turned"]) > 1.2 * first(order["given"])
+    mixed = cu.mix(docs, Stages(spark, "t"))
+    folder = str(tmp_path / "mixed")
+    mixed.write.option("maxRecordsPerFile", 40).parquet(folder)
+    coded = p.encode(spark, spark.read.parquet(folder), "").collect()
+    assert len({r.position for r in coded}) == len(coded) > 900
+    assert [r.doc_id for r in sorted(coded, key=lambda r: r.position)] == [r.doc_id for r in order["given"]]
+    assert {r.position for r in p.encode(spark, docs, "").collect()}
