@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -51,6 +52,33 @@ def place(df: DataFrame) -> Column:
     return F.shiftleft(part * 1024 + more, PLACE_BITS) + meta["row_index"]
 
 
+def _numbered_files(df: DataFrame) -> bool:
+    """Whether ``df`` is a plain file scan and ``place`` tells all its files apart (by their names, on the driver)."""
+    try:
+        df.select(df.metadataColumn("_metadata"))
+    except AnalysisException:
+        return False
+    seen = set()
+    for name in (f.rsplit("/", 1)[-1] for f in df.inputFiles()):
+        part, more = re.search(r"^part-(\d{1,7})", name), re.search(r"-c(\d{1,3})\.", name)
+        number = (int(part[1]) if part else 0, int(more[1]) if more else 0)
+        if number in seen:
+            return False
+        seen.add(number)
+    return True
+
+
+def keyed(docs: DataFrame, stages: Stages, table: str = "rows") -> DataFrame:
+    """(_row, _n): each row as a struct and a number of its own that also holds when the rows are read again.
+
+    The rows of a plain file scan are numbered by their place; anything else is written once with a number.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    if _numbered_files(docs):
+        return docs.select(row, place(docs).alias("_n"))
+    return stages.write(numbered(docs), table)
+
+
 class Stages:
     """Parquet stage tables of one run, in a fresh folder under the shared checkpoint folder.
 

@@ -252,3 +252,77 @@ from documents left join kept using (doc_id)
 def op10_line_passages(spark, sf_dir):
     from basketflow.llm import line_dedup as ld
     return ld.passages(_table(spark, sf_dir, "documents").select("doc_id", "text"), Stages(spark, "op10p"))
+
+
+def _op11_sql() -> str:
+    """Votes and spans in SQL: the templates' grams as text, no hashes; slack and need as in the operator."""
+    from basketflow.llm import licenses as li
+    rows = ",\n".join(f"({i}, '{' '.join(t.words)}', '{t.label}', {str(t.base).lower()}, {t.need}, {t.slack}, {t.gram})" for i, t in enumerate(li.templates()))
+    return rf"""
+with t(tid, phrase, label, base, need, slack, g) as (values {rows}),
+tw as (select *, string_split(phrase, ' ') tw from t),
+tg as (select tid, p tpos, array_to_string(tw[p + 1 : p + g], ' ') gram, g, slack from (select *, unnest(range(0, len(tw) - g + 1)) p from tw)),
+d as (select row_number() over () r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w from documents),
+word as (select r, w, unnest(range(0, len(w))) p from d),
+dg as (select r, p, g, array_to_string(w[p + 1 : p + g], ' ') gram from word, (select distinct g from t) where p + g <= len(w)),
+vote as (select r, tid, tpos, p, dg.g, unnest(range(-slack, slack + 1)) shift from dg join tg on dg.gram = tg.gram and dg.g = tg.g),
+seen as (select r, tid, p - tpos + shift diagonal, shift, unnest(range(tpos, tpos + g)) word from vote),
+span as (select r, tid, diagonal, count(distinct word) covered from seen group by all having bool_or(shift = 0)),
+good as (select span.*, label, base, len(tw) n from span join tw using (tid) where covered >= need),
+found as (select r, count(*) filter (base) n_base, min(diagonal) filter (base) first_word, max(diagonal) filter (base) last_word,
+            string_agg(distinct label, ',' order by label) filter (base) base_labels, string_agg(distinct label, ',' order by label) labels,
+            max(covered::double / n) score from good group by r)
+select doc_id, len(w)::bigint n_words, coalesce(n_base, 0)::bigint n_base, first_word::bigint first_word, last_word::bigint last_word,
+  coalesce(base_labels, '') base_labels, coalesce(labels, '') labels, coalesce(score, 0.0)::double score from d left join found using (r)
+"""
+
+
+@query("op11_license_votes", _op11_sql())
+def op11_license_votes(spark, sf_dir):
+    from basketflow.llm import licenses as li
+    rows = li.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"), Stages(spark, "op11"))
+    base = F.filter("spans", lambda s: s["base"])
+    starts = F.transform(base, lambda s: s["start"].cast("long"))
+    names = lambda spans: F.array_join(F.array_sort(F.array_distinct(F.transform(spans, lambda s: s["label"]))), ",")
+    shares = F.transform("spans", lambda s: s["covered"].cast("double") / s["words"])
+    return rows.select(F.col("_row.doc_id").alias("doc_id"), "n_words", F.size(base).cast("long").alias("n_base"),
+                       F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"), names(base).alias("base_labels"),
+                       names(F.col("spans")).alias("labels"), F.coalesce(F.array_max(shares), F.lit(0.0)).alias("score"))
+
+
+def _op12_sql(k: int = 16, rounds: int = 3, dims: int = 64) -> str:
+    """The rounds one after the other, with one row per vector and component."""
+    ctes = [f"""v as materialized (select row_number() over () r, vec_id, [floor(64 * x::double)::bigint for x in embedding] x from embeddings
+        where embedding is not null and len(embedding) = {dims} and len([1 for x in embedding if x is null or not isfinite(x)]) = 0)""",
+            f"c0 as (select row_number() over (order by sha256('1:' || vec_id) nulls last, x) - 1 c, x from v qualify c < {k})",
+            "vx as materialized (select r, unnest(range(1, len(x) + 1)) j, unnest(x) x from v)"]
+    for i in range(rounds + 1):
+        ctes.append(f"c{i}x as materialized (select c, unnest(range(1, len(x) + 1)) j, unnest(x) y from c{i})")
+        ctes.append(f"""a{i} as materialized (select r, arg_min(c, d * {k} + c) c, min(d) d from (
+            select r, c, sum((x - y) * (x - y)) d from vx join c{i}x using (j) group by r, c) group by r)""")
+        if i < rounds:
+            ctes.append(f"""s{i} as (select c, j, sum(x)::hugeint s, count(*)::hugeint n from a{i} join vx using (r) group by c, j),
+            m{i} as (select c, list((s - ((s % n) + n) % n) // n order by j)::bigint[] x from s{i} group by c),
+            c{i + 1} as materialized (select c{i}.c, coalesce(m{i}.x, c{i}.x) x from c{i} left join m{i} using (c))""")
+    return ("with " + ",\n".join(ctes) + f""",
+per as (select c, sum(d) own from a{rounds} group by c)
+select vec_id, a{rounds}.c::int cluster, d::bigint distance, own::bigint cluster_inertia, (select sum(d) from a{rounds})::bigint inertia,
+  sha256(array_to_string(c{rounds}.x, ',')) centroid_sha256
+from v join a{rounds} using (r) join per on per.c = a{rounds}.c join c{rounds} on c{rounds}.c = a{rounds}.c""")
+
+
+@query("op12_centroid_clusters", _op12_sql())
+def op12_centroid_clusters(spark, sf_dir):
+    from basketflow.llm import centroids as ce
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ce.cluster(vectors, Stages(spark, "op12")).drop("centroid")
+
+
+@query("op13_qd_whitening")
+def op13_qd_whitening(spark, sf_dir):
+    from basketflow.llm import whitening as wh
+    rows = wh.whiten(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), Stages(spark, "op13"))
+    each = rows.select("vec_id", "n", "deviation", "explained", "identity_error", F.posexplode("whitened").alias("i", "whitened"))
+    return each.select("vec_id", (F.col("i") + 1).alias("component"), "n", F.col("deviation").cast("long").alias("deviation"), "whitened",
+                       F.get("explained", F.col("i")).alias("explained"), "identity_error")
