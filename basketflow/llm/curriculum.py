@@ -30,7 +30,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketflow.llm.common import PLACE_BITS, Stages, numbered, place, words
+from basketflow.llm.common import PLACE_BITS, Stages, keyed, place, words
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -131,10 +131,10 @@ def training_order(sizes: DataFrame, stages: Stages, **options) -> DataFrame:
 def mix(docs: DataFrame, stages: Stages, **options) -> DataFrame:
     """The mixed documents, one row per copy, range-sorted by training position; columns as given.
 
-    Rows without words are not taken. Rows are matched to their plan one to one by a number written once, so
+    Rows without words are not taken. Rows are matched to their plan one to one by a number of their own, so
     that equal rows and copies without an id are spread like any others.
     """
-    rows = stages.write(numbered(docs), "rows")
+    rows = keyed(docs, stages)
     sizes = doc_sizes(rows.select(*[F.col(f"_row.{c}").alias(c) for c in ("doc_id", "source", "text")], "_n"), "_n")
     copies = plan(sizes, stages, **options).select("_n", F.explode("positions").alias("_position"))
     return (rows.join(copies, "_n").repartitionByRange("_position", "_n").sortWithinPartitions("_position", "_n")
