@@ -11,16 +11,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketflow.llm import bpe, curriculum, line_dedup, quality, simhash_vp
-from basketflow.llm.common import Stages, numbered, place, text_digest
+from basketflow.llm.common import Stages, keyed, place, text_digest
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: rejected documents go."""
+    """Operator 4: rejected documents go.
+
+    A null or empty text is rejected, a null id judged like others; repeated rows share a verdict.
+    """
     return quality.keep(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def line_chunks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 10: repeated line chunks are cut from the texts; documents stay, if need be with an empty text."""
+    """Operator 10: repeated line chunks are cut from the texts; documents stay, if need be with an empty text.
+
+    A null text stays null; a null id counts as larger than any other.
+    """
     return line_dedup.dedup(docs, Stages(spark, "lines")).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
@@ -28,10 +34,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Operator 6: of each group the document with the smallest id stays.
 
     Rows that share an id are told apart by a digest of the text, equal rows and copies without an id by a row number
-    written once; one row stays. A group is named by its smallest fingerprint: two groups may hold the same smallest id.
+    (their place in the stage table); one row stays. A group is named by its smallest fingerprint: two groups may hold
+    the same smallest id. Null and empty texts are one group; a null id loses to any other.
     """
     stages = Stages(spark, "near")
-    rows = stages.write(numbered(docs), "rows")
+    rows = keyed(docs, stages)
     texts = rows.select(F.col("_row.doc_id").alias("doc_id"), F.col("_row.text").alias("text"), "_n")
     key = F.struct(text_digest(F.col("text")).alias("digest"), F.col("_n").alias("n"))
     found = simhash_vp.near_duplicates(texts, stages, row_key=key)
@@ -42,7 +49,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7: documents as often as the mix takes them, in training order."""
+    """Operator 7: documents as often as the mix takes them, in training order.
+
+    A null or empty text has no words and is not taken; a null source is a source; equal rows are placed each.
+    """
     return curriculum.mix(docs, Stages(spark, "mix"))
 
 
