@@ -1,24 +1,32 @@
 """Learned-operator queries (M1-M3, M5-M7, M9 and the model-driven decisions); registered on import.
 
-Training is iterative and seeded, so these have no SQL; tests/test_models.py checks invariants and a
-planted signal. Item vectors, feature matrix and fitted pipelines are written once per input (keyed
-like the staged view by the input files) and read by all queries here. Trees train with the full presets
-(400 rounds of depth 12, 151 of depth 6), factors run to their tolerance. The ``_coverage`` queries say of
-every expected key whether the learned result has it, complete and in range; SQL gives the keys.
+Item vectors, feature matrix and node tables are written once per input (keyed like the staged view by the input files)
+and set of parameters, and read by all queries here. Trees train with the full presets (400 rounds of depth 12, 151 of
+depth 6), factors run to their tolerance. What training as a whole gives has no SQL; its parts have: the bins, the
+first tree's upper splits, the walk of a node table, AUC and log-loss. The ``_coverage`` queries say of every expected
+key whether the learned result has it, complete and in range.
 """
 
 from __future__ import annotations
 
+import hashlib
 import os
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
+from basketflow.functions.exprs import round_doubles
+from basketflow.operators import boosting as bo
+from basketflow.operators import cooccurrence as co
 from basketflow.operators import decisions as dc
 from basketflow.operators import embeddings as em
 from basketflow.operators import factors as fa
 from basketflow.operators import matrix as mx
 from basketflow.operators import model as md
-from basketflow.plans.catalog import _retail, query
+from basketflow.operators import ranking as rk
+from basketflow.plans.catalog import FORMULA_A, FORMULA_B, _out, _retail, candidates, formula_scores, query
 from basketflow.session import stage_path
 from basketflow.sources import stage as st
 from basketflow.sources.retail_view import Retail
@@ -26,72 +34,84 @@ from basketflow.sources.retail_view import Retail
 PRESETS = {"a": md.PRESET_A, "b": md.PRESET_B}
 
 
-def _sentences(r: Retail):
-    return em.basket_sentences(r.prior, r.train)
-
-
-def _vectors(r: Retail):
-    return em.item_vectors(_sentences(r))[1]
+def _path(spark, sf_dir, name, parameters):
+    """A folder for a learned table of this input and these parameters."""
+    from basketflow.sources import retail_view as rv
+    digest = hashlib.sha1(repr(parameters).encode()).hexdigest()[:10]
+    return stage_path(spark, "learned", os.path.basename(rv._stage_root(spark, sf_dir)), f"v2-{name}-{digest}")
 
 
-def _path(spark, sf_dir, name):
-    """A folder for a learned table or model of this input."""
+def _written(spark, path) -> bool:
     from basketflow.sources import retail_view as rv
-    return stage_path(spark, "learned", os.path.basename(rv._stage_root(spark, sf_dir)), f"v1-{name}")
+    fs, done = rv._hadoop(spark, f"{path}/_SUCCESS")
+    return fs.exists(done)
 
 
-def _once(spark, sf_dir, name, build):
+def _once(spark, sf_dir, name, build, parameters=()):
     """The table ``name`` of this input: written on first use, then read."""
-    from basketflow.sources import retail_view as rv
-    path = _path(spark, sf_dir, name)
-    fs, done = rv._hadoop(spark, f"{path}/_SUCCESS")
-    if not fs.exists(done):
+    path = _path(spark, sf_dir, name, parameters)
+    if not _written(spark, path):
         st.save(build(), path)
     return st.load(spark, path)
 
 
+VECTORS = {"size": em.VECTOR_SIZE, "window": em.WINDOW, "min_count": em.MIN_COUNT, "shift": co.SHIFT}
+FACTORS = {"k": fa.N_COMPONENTS, "iterations": fa.MAX_ITERATIONS, "tolerance": fa.TOLERANCE, "seed": fa.SEED}
+
+
 def _item_vectors(spark, sf_dir):
-    return _once(spark, sf_dir, "vectors", lambda: _vectors(_retail(spark, sf_dir)))
+    def build():
+        r = _retail(spark, sf_dir)
+        return co.item_vectors(r.prior, r.train, **VECTORS)
+    return _once(spark, sf_dir, "vectors", build, VECTORS)
+
+
+def _item_pca(spark, sf_dir):
+    from pyspark.ml.functions import array_to_vector
+    v = _item_vectors(spark, sf_dir)
+    return em.item_pca(v.select("product_id", array_to_vector("vector").alias("vector")), _retail(spark, sf_dir).products)
 
 
 def _matrix(spark, sf_dir):
     r = _retail(spark, sf_dir)
-    return _once(spark, sf_dir, "matrix", lambda: mx.feature_matrix(r, product_vectors=em.item_pca(_item_vectors(spark, sf_dir), r.products)))
+    return _once(spark, sf_dir, "matrix", lambda: mx.feature_matrix(r, product_vectors=_item_pca(spark, sf_dir)), VECTORS)
 
 
-def _model(spark, sf_dir, name):
-    """The fitted pipeline of a preset (S8): saved on first use, then loaded."""
-    from pyspark.ml import PipelineModel
+def _models(spark, sf_dir, names=None):
+    """name -> node table (S8); those that are not yet written are trained side by side."""
+    names = list(names or PRESETS)
+    paths = {n: _path(spark, sf_dir, f"trees-{n}", (VECTORS, PRESETS[n], bo.SEED, bo.MAX_BINS)) for n in names}
+    missing = [n for n in names if not _written(spark, paths[n])]
+    if missing:
+        matrix = _matrix(spark, sf_dir)
+        # The jobs of a training wait for each other; two trainings fill each other's gaps.
+        with ThreadPoolExecutor(len(missing)) as pool:
+            list(pool.map(inheritable_thread_target(lambda n: st.save(bo.train(matrix, PRESETS[n]), paths[n])), missing))
+    return {n: st.load(spark, paths[n]) for n in names}
 
-    from basketflow.sources import retail_view as rv
-    preset = PRESETS[name]
-    path = _path(spark, sf_dir, f"gbt-{name}-{preset.max_iter}-{preset.max_depth}")
-    # Stages are saved in order, the trees last.
-    fs, done = rv._hadoop(spark, f"{path}/_SUCCESS")
-    if not fs.exists(done):
-        st.save_model(md.train(_matrix(spark, sf_dir), preset), path)
-        fs.create(done).close()
-    return PipelineModel.load(path)
+
+@query("m_ppmi")
+def m_ppmi(spark, sf_dir):
+    """M1: windowed co-occurrence counts of the products and their positive pointwise mutual information."""
+    r = _retail(spark, sf_dir)
+    counts = _once(spark, sf_dir, "cooccurrence", lambda: co.cooccurrence(co.basket_lines(r.prior, r.train)), (em.WINDOW, em.MIN_COUNT))
+    return _out(counts.join(co.ppmi(counts), ["a", "b"]).select("a", "b", "n", "value"))
 
 
 @query("m_item_vectors")
 def m_item_vectors(spark, sf_dir):
-    from pyspark.ml.functions import vector_to_array
-    v = _item_vectors(spark, sf_dir)
-    return v.select("product_id", vector_to_array("vector").alias("vector"))
+    return _out(_item_vectors(spark, sf_dir))
 
 
 @query("m_item_pca")
 def m_item_pca(spark, sf_dir):
-    r = _retail(spark, sf_dir)
-    return em.item_pca(_item_vectors(spark, sf_dir), r.products)
+    return _item_pca(spark, sf_dir)
 
 
 @query("m_vector_coverage")
 def m_vector_coverage(spark, sf_dir):
     """M1: every product, and whether it has a complete finite vector."""
-    from pyspark.ml.functions import vector_to_array
-    v = _item_vectors(spark, sf_dir).select("product_id", vector_to_array("vector").alias("v"))
+    v = _item_vectors(spark, sf_dir).withColumnRenamed("vector", "v")
     whole = (F.size("v") == em.VECTOR_SIZE) & F.forall("v", lambda x: ~F.isnan(x) & (F.abs(x) < float("inf")))
     products = _retail(spark, sf_dir).products.select("product_id")
     return products.join(v.select("product_id", whole.alias("has_vector")), "product_id", "left").select(
@@ -99,7 +119,7 @@ def m_vector_coverage(spark, sf_dir):
 
 
 def _factors(spark, sf_dir):
-    return _once(spark, sf_dir, "factors", lambda: fa.normalize_rows(fa.user_factors(fa.reorder_counts(_retail(spark, sf_dir)))[0]))
+    return _once(spark, sf_dir, "factors", lambda: fa.normalize_rows(fa.user_factors(fa.reorder_counts(_retail(spark, sf_dir)), **FACTORS)[0]), FACTORS)
 
 
 @query("m_user_factors")
@@ -115,9 +135,10 @@ def m_factor_coverage(spark, sf_dir):
     return _factors(spark, sf_dir).select("user_id", whole.alias("unit_row"))
 
 
-def _scores(spark, sf_dir, name):
-    """Scores of the test rows with the saved and loaded pipeline."""
-    return md.score(_model(spark, sf_dir, name), _matrix(spark, sf_dir).where(F.col("eval_set") == "test"))
+def _scores(spark, sf_dir, name, models=None):
+    """Scores of the test rows by the stored node table."""
+    model = (models or _models(spark, sf_dir, [name]))[name]
+    return bo.score(model, _matrix(spark, sf_dir).where(F.col("eval_set") == "test"))
 
 
 @query("m_train_score_a")
@@ -133,7 +154,8 @@ def m_train_score_b(spark, sf_dir):
 @query("m_score_coverage")
 def m_score_coverage(spark, sf_dir):
     """M5-M7: every test candidate, how many models score it and whether all scores are probabilities."""
-    scores = _scores(spark, sf_dir, "a").unionByName(_scores(spark, sf_dir, "b"))
+    models = _models(spark, sf_dir)
+    scores = _scores(spark, sf_dir, "a", models).unionByName(_scores(spark, sf_dir, "b", models))
     return scores.groupBy("order_id", "product_id").agg(
         F.count(F.lit(1)).alias("n_scores"), F.bool_and(F.col("prediction").between(0, 1)).alias("in_range"))
 
@@ -145,16 +167,95 @@ def m_metrics(spark, sf_dir):
     bought = _retail(spark, sf_dir).test.select("order_id", "product_id").distinct().withColumn("label", F.lit(1))
     test = (m.where(F.col("eval_set") == "test").drop("label").join(bought, ["order_id", "product_id"], "left")
             .withColumn("label", F.coalesce("label", F.lit(0))))
+    parts = m.where(F.col("eval_set") == "train").withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    parts = parts.select("order_id", "product_id", "part", "label", *mx.FEATURE_COLUMNS)
+    out = None
+    for name, model in _models(spark, sf_dir).items():
+        scored = bo.score(model, parts).join(parts.select("order_id", "product_id", "part", "label"), ["order_id", "product_id"])
+        row = rk.auc_logloss(scored, ["part"]).select(F.lit(name).alias("model"), "part", "auc", "logloss")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("m_training_trace")
+def m_training_trace(spark, sf_dir):
+    """M9 while training: AUC and log-loss on the fitted rows after every tenth round of both trainers."""
+    rows = _matrix(spark, sf_dir).where(F.col("eval_set") == "train")
     out = None
-    for name in PRESETS:
-        for part, rows in (("train", m.where(F.col("eval_set") == "train")), ("test", test)):
-            row = md.metrics(_model(spark, sf_dir, name), rows).select(F.lit(name).alias("model"), F.lit(part).alias("part"), "auc", "logloss")
-            out = row if out is None else out.unionByName(row)
+    for name, model in _models(spark, sf_dir).items():
+        row = bo.trace(model, rows).select(F.lit(name).alias("model"), "round", "auc", "logloss")
+        out = row if out is None else out.unionByName(row)
     return out
 
 
+@query("m_margin_metrics")
+def m_margin_metrics(spark, sf_dir):
+    """M9 at formula margins of the train candidates, one row per model."""
+    r = _retail(spark, sf_dir)
+    bought = r.train.select("order_id", "product_id").distinct().withColumn("label", F.lit(1))
+    rows = candidates(r).join(r.orders.where(F.col("eval_set") == "train").select("order_id"), "order_id", "left_semi")
+    both = None
+    for name, coef in (("a", FORMULA_A), ("b", FORMULA_B)):
+        part = formula_scores(rows, coef).withColumn("model", F.lit(name))
+        both = part if both is None else both.unionByName(part)
+    margin = F.round((F.col("prediction") - 0.5) * 40, 0) / 4  # many ties
+    scored = both.withColumn("margin", margin).join(bought, ["order_id", "product_id"], "left").withColumn("label", F.coalesce("label", F.lit(0)))
+    return _out(rk.auc_logloss(scored.withColumn("prediction", bo.probability()), ["model"]))
+
+
+def _plain_matrix(spark, sf_dir):
+    """The 40 relational features, rounded to 6 places, so that SQL has the same values."""
+    return round_doubles(mx.feature_matrix(_retail(spark, sf_dir)).select(*mx.KEY_COLUMNS, *mx.RELATIONAL_COLUMNS), 6)
+
+
+@query("m_feature_bins")
+def m_feature_bins(spark, sf_dir):
+    """M5: the bins of every feature over all train rows; a category is a bin."""
+    train = _plain_matrix(spark, sf_dir).where(F.col("eval_set") == "train")
+    bins = bo.value_bins(train, mx.RELATIONAL_COLUMNS, md.PRESET_A.categorical)
+    return _out(bins.select("feature", F.col("bin").cast("long").alias("bin"), "low", "high"))
+
+
+@query("m_first_splits")
+def m_first_splits(spark, sf_dir):
+    """M5: the upper nodes of trainer A's first tree over all train rows and features, split by Spark's aggregates."""
+    preset = replace(md.PRESET_A, max_iter=1, max_depth=2, subsampling_rate=1.0, feature_subset="1.0")
+    matrix = _once(spark, sf_dir, "plain-matrix", lambda: _plain_matrix(spark, sf_dir))
+    nodes = bo.train(matrix, preset, mx.RELATIONAL_COLUMNS, finish_rows=0).where("tree = 0")
+    cats = F.array_join(F.transform(F.array_sort("categories"), lambda c: c.cast("int").cast("string")), ",")
+    return _out(nodes.select("node", "feature", F.when(F.col("threshold") < float("inf"), F.col("threshold")).alias("threshold"), cats.alias("categories"),
+                             "missing_left", "gain", "value", "hessian", "n_rows"))
+
+
+FORMULA_TREES, FORMULA_DEPTH = 6, 3
+
+
+def formula_trees() -> list[tuple]:
+    """Node rows by formula: numeric splits and, in the last tree's root, categories."""
+    rows = [(-1, 1, None, None, None, None, -0.25, None, None, None)]
+    for t in range(FORMULA_TREES):
+        for n in range(1, 2 ** (FORMULA_DEPTH + 1)):
+            if n >= 2 ** FORMULA_DEPTH:
+                rows.append((t, n, None, None, None, None, ((t * 31 + n * 17) % 101 - 50) / 100.0, None, None, None))
+            elif t == FORMULA_TREES - 1 and n == 1:
+                rows.append((t, n, "aisle_id", None, [float(c) for c in range(11, 60, 3)], False, None, None, None, None))
+            else:
+                rows.append((t, n, mx.RELATIONAL_COLUMNS[(t * 7 + n * 3) % len(mx.RELATIONAL_COLUMNS)], ((t * 13 + n * 5) % 17) / 2.0, None,
+                             (t + n) % 2 == 0, None, None, None, None))
+    return rows
+
+
+@query("m_tree_walk")
+def m_tree_walk(spark, sf_dir):
+    """A node table by formula, written, read back and walked over every candidate."""
+    path = stage_path(spark, "models", f"formula-{hashlib.sha1(repr(formula_trees()).encode()).hexdigest()[:10]}")
+    model = bo.save_model(spark, formula_trees(), path)
+    return _out(bo.score(model, _plain_matrix(spark, sf_dir), mx.RELATIONAL_COLUMNS))
+
+
 def _model_decisions(spark, sf_dir):
-    return dc.select_max_f1(dc.blend_scores(_scores(spark, sf_dir, "a"), _scores(spark, sf_dir, "b")))
+    models = _models(spark, sf_dir)
+    return dc.select_max_f1(dc.blend_scores(_scores(spark, sf_dir, "a", models), _scores(spark, sf_dir, "b", models)))
 
 
 @query("e_model_decisions")

@@ -434,6 +434,15 @@ FROM cand c JOIN tgt t ON c.order_id = t.order_id WHERE t.eval_set = 'test'""")
 SELECT p.product_id, coalesce(s.n >= 5, FALSE) AS has_vector
 FROM r_products p LEFT JOIN (SELECT product_id, count(*) AS n FROM r_lines WHERE eval_set IN ('prior', 'train') GROUP BY 1) s
   ON s.product_id = p.product_id""")
+    q["m_ppmi"] = rounded(with_ctes(VIEW, """
+SELECT c.a, c.b, c.n, ln(c.n * CAST(t.n AS DOUBLE) / (CAST(x.n AS DOUBLE) * CAST(y.n AS DOUBLE))) AS value
+FROM c JOIN marg x ON x.a = c.a JOIN marg y ON y.a = c.b, (SELECT sum(n) AS n FROM c) t
+WHERE ln(c.n * CAST(t.n AS DOUBLE) / (CAST(x.n AS DOUBLE) * CAST(y.n AS DOUBLE))) > 0""", extra="""
+known AS (SELECT product_id FROM r_lines WHERE eval_set IN ('prior', 'train') GROUP BY 1 HAVING count(*) >= 5),
+seen AS (SELECT order_id, product_id, add_to_cart_order AS place FROM r_lines WHERE eval_set IN ('prior', 'train') AND product_id IN (FROM known)),
+c AS (SELECT l.product_id AS a, r.product_id AS b, count(*) AS n FROM seen l JOIN seen r
+  ON l.order_id = r.order_id AND l.place <> r.place AND abs(l.place - r.place) <= 5 GROUP BY 1, 2),
+marg AS (SELECT a, sum(n) AS n FROM c GROUP BY 1)"""), ["value"])
     q["u_basket_sentences"] = with_ctes(VIEW, """
 SELECT order_id, string_agg(CAST(product_id AS VARCHAR), ' ' ORDER BY add_to_cart_order) AS sentence, count(*) AS n_tokens
 FROM r_lines WHERE eval_set IN ('prior', 'train') GROUP BY 1""")
@@ -514,3 +523,13 @@ LEFT JOIN (SELECT DISTINCT user_id, product_id FROM train_l) lb
 
 
 ORACLE_SQL = _q()
+
+
+def _tree_parts() -> dict[str, str]:
+    from basketflow.operators.matrix import RELATIONAL_COLUMNS
+    from basketflow.plans import oracle_trees as ot
+    metrics = rounded(with_ctes(PRIOR + ["train_l", "pairs", "cand", "blend"], ot.MARGIN_METRICS, extra=ot.MARGIN_SCORED), ["auc", "logloss"])
+    return {**ot.tree_sql(ORACLE_SQL["f_feature_matrix"], RELATIONAL_COLUMNS, trees=6, depth=3), "m_margin_metrics": metrics}
+
+
+ORACLE_SQL.update(_tree_parts())

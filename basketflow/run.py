@@ -7,9 +7,9 @@ be a shared folder; by default a folder under ``spark.checkpoint.dir``):
 
   1. retail view                         -> view/ (orders, lines partitioned by eval_set, products)
   2. feature groups                      -> features/<group> (shared intermediates staged first)
-  3. basket sentences, Word2Vec, PCA     -> features/product_vectors, models/word2vec
+  3. co-occurrence vectors, PCA          -> models/item_vectors, features/product_vectors
   4. feature matrix                      -> matrix/ (partitioned by eval_set)
-  5. two boosted-tree trainers           -> models/gbt_a, models/gbt_b, predictions/a, predictions/b
+  5. two boosted-tree trainers           -> models/gbt_a, models/gbt_b (node tables), predictions/a, predictions/b
   6. 0.7 / 0.3 blend                     -> predictions/blend
   7. expected-F1 decisions per order     -> decisions.csv/
   8. baselines, streaks, user factors    -> baseline_*.csv/, order_streaks.csv/, user_factors.csv/
@@ -24,9 +24,12 @@ from __future__ import annotations
 import argparse
 import os
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketflow.operators import boosting as bo
+from basketflow.operators import cooccurrence as co
 from basketflow.operators import decisions as dc
 from basketflow.operators import embeddings as em
 from basketflow.operators import factors as fa
@@ -68,8 +71,8 @@ def run_all(spark: SparkSession, input_dir: str, output_dir: str | None = None,
     t = mx.FeatureTables(**{name: df if name in staged else keep(df, name) for name, df in vars(t).items()})
 
     # 3. item vectors
-    w2v, vectors = em.item_vectors(em.basket_sentences(retail.prior, retail.train))
-    st.save_model(w2v, j("models", "word2vec"))
+    vectors = _staged(spark, co.item_vectors(retail.prior, retail.train), j("models", "item_vectors"))
+    vectors = vectors.select("product_id", array_to_vector("vector").alias("vector"))
     pv = _staged(spark, em.item_pca(vectors, retail.products), j("features", "product_vectors"))
 
     # 4. feature matrix
@@ -79,9 +82,8 @@ def run_all(spark: SparkSession, input_dir: str, output_dir: str | None = None,
     # 5-6. trainers, scores, blend
     preds = []
     for preset in presets:
-        model = md.train(m, preset)
-        st.save_model(model, j("models", f"gbt_{preset.name}"))
-        preds.append(_staged(spark, md.score(model, test), j("predictions", preset.name)))
+        model = _staged(spark, bo.train(m, preset), j("models", f"gbt_{preset.name}"))
+        preds.append(_staged(spark, bo.score(model, test), j("predictions", preset.name)))
     blend = _staged(spark, dc.blend_scores(*preds), j("predictions", "blend"))
 
     # 7. decisions

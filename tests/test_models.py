@@ -93,16 +93,14 @@ def test_trees_with_many_categories_find_a_planted_signal(spark):
 
 
 LEARNED = ["m_item_vectors", "m_item_pca", "m_user_factors", "m_train_score_a", "m_train_score_b",
-           "m_metrics", "e_model_decisions", "e_model_mean_f1"]
+           "m_metrics", "m_training_trace", "e_model_decisions", "e_model_mean_f1"]
 
 
 @pytest.fixture()
 def small(monkeypatch):
     """A few rounds: the queries' plumbing; learning itself is tested above."""
-    import functools
-
     from basketflow.plans import models as pm
-    monkeypatch.setattr(fa, "user_factors", functools.partial(fa.user_factors, iterations=3))
+    monkeypatch.setitem(pm.FACTORS, "iterations", 3)
     monkeypatch.setattr(pm, "PRESETS", {"a": md.quick(md.PRESET_A, max_iter=3, max_depth=3), "b": md.quick(md.PRESET_B, max_iter=3, max_depth=3)})
 
 
@@ -142,5 +140,5 @@ def test_run_all_end_to_end(spark, tmp_path):
     for table in ("view/orders", "view/lines", "features/users", "features/lines_days_ago", "matrix",
                   "predictions/blend", "evaluation"):
         assert spark.read.parquet(str(run / table)).count() > 0, table
-    for model in ("models/word2vec", "models/gbt_a", "models/gbt_b"):
+    for model in ("models/item_vectors", "models/gbt_a", "models/gbt_b"):
         assert (run / model).is_dir(), model
