@@ -108,6 +108,28 @@ def s_csv_typed_scan(spark, sf_dir):
     return read_csv_typed(spark, path, "orders")
 
 
+@query("s_csv_inferred")
+def s_csv_inferred(spark, sf_dir):
+    """The six files of the history as CSV, types inferred over all rows."""
+    from basketflow.sources import csv_source as cs
+    folder = stage_path(spark, "raw_csv", f"history-{uuid.uuid4().hex[:8]}")
+    cs.write_history(_retail(spark, sf_dir), folder)
+    out = None
+    for name, file in cs.FILES.items():
+        part = cs.inferred_types(cs.read_text(spark, f"{folder}/{file}")).select(F.lit(name).alias("file"), "column", "type", "n_values", "n_nulls")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("s_csv_history")
+def s_csv_history(spark, sf_dir):
+    """The lines of a history read from its CSV files, with their order's header."""
+    from basketflow.sources import csv_source as cs
+    folder = stage_path(spark, "raw_csv", f"history-{uuid.uuid4().hex[:8]}")
+    cs.write_history(_retail(spark, sf_dir), folder)
+    return cs.load_csv(spark, folder).lines.select("order_id", "product_id", "add_to_cart_order", "reordered", "eval_set", "user_id", "order_number")
+
+
 # ---------------------------------------------------------------- filters
 
 @query("p_eval_set_filter")
@@ -375,9 +397,8 @@ def m_formula_pca(spark, sf_dir):
     return _out(item_pca(products.select("product_id", array_to_vector(F.array(x, y)).alias("vector")), products))
 
 
-@query("m_nmf_round")
-def m_nmf_round(spark, sf_dir):
-    """M3: one round of updates from formula factors (k = 2) on the reordered counts; rows of both sides."""
+def _formula_factors(spark, sf_dir, solver: str):
+    """M3: one round from formula factors (k = 2) on the reordered counts; rows of both sides."""
     from basketflow.operators import factors as fa
     x = fa.reorder_counts(_retail(spark, sf_dir)).checkpoint()
 
@@ -385,12 +406,24 @@ def m_nmf_round(spark, sf_dir):
         part = [((F.col(key) * m) % q + 1).cast("double") / 10 for m, q in (a, b)]
         return x.select(key).distinct().select(key, F.array(*part).alias("v"))
 
-    w, h, _ = fa.user_factors(x, k=2, iterations=1, w_init=start("user_id", (7, 13), (5, 11)), h_init=start("product_id", (3, 17), (11, 7)))
+    w, h, _ = fa.user_factors(x, k=2, iterations=1, w_init=start("user_id", (7, 13), (5, 11)), h_init=start("product_id", (3, 17), (11, 7)), solver=solver)
     rows = [df.select(F.lit(side).alias("side"), F.col(key).cast("long").alias("id"), F.col(v)[0].alias("f0"), F.col(v)[1].alias("f1"))
             for df, side, key, v in ((w, "user", "user_id", "w"), (h, "product", "product_id", "h"))]
     return _out(rows[0].unionByName(rows[1]))
 
 
+@query("m_nmf_round")
+def m_nmf_round(spark, sf_dir):
+    """M3: one round of multiplicative updates."""
+    return _formula_factors(spark, sf_dir, "mu")
+
+
+@query("m_nmf_sweep")
+def m_nmf_sweep(spark, sf_dir):
+    """M3: one sweep of coordinate descent."""
+    return _formula_factors(spark, sf_dir, "cd")
+
+
 @query("e_mean_f1")
 def e_mean_f1(spark, sf_dir):
     r = _retail(spark, sf_dir)

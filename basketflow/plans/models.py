@@ -56,7 +56,7 @@ def _once(spark, sf_dir, name, build, parameters=()):
 
 
 VECTORS = {"size": em.VECTOR_SIZE, "window": em.WINDOW, "min_count": em.MIN_COUNT, "shift": co.SHIFT}
-FACTORS = {"k": fa.N_COMPONENTS, "iterations": fa.MAX_ITERATIONS, "tolerance": fa.TOLERANCE, "seed": fa.SEED}
+FACTORS = {"k": fa.N_COMPONENTS, "iterations": fa.MAX_ITERATIONS, "tolerance": fa.TOLERANCE, "seed": fa.SEED, "solver": "cd"}
 
 
 def _item_vectors(spark, sf_dir):

@@ -160,17 +160,18 @@ CTE["streak"] = """recent AS (
   WHERE k <= 6),
 recent_lines AS (
   SELECT l.order_id, l.product_id, r.user_id, r.order_number FROM prior_l l JOIN recent r ON l.order_id = r.order_id),
-ranked AS (
-  SELECT order_id, row_number() OVER (PARTITION BY user_id ORDER BY order_number DESC) - 1 AS rk
+kept_orders AS (
+  SELECT user_id, order_id, row_number() OVER (PARTITION BY user_id ORDER BY order_number DESC) AS age
   FROM (SELECT DISTINCT user_id, order_id, order_number FROM recent_lines)),
-streak_x AS (
-  SELECT rl.user_id, rl.product_id, k.rk,
-         k.rk = row_number() OVER (PARTITION BY rl.user_id, rl.product_id ORDER BY k.rk) - 1 AS run
-  FROM recent_lines rl JOIN ranked k ON rl.order_id = k.order_id),
+seen_pairs AS (SELECT DISTINCT user_id, product_id FROM recent_lines),
+marks AS (
+  SELECT p.user_id, p.product_id, k.age, EXISTS (SELECT 1 FROM recent_lines l WHERE l.order_id = k.order_id AND l.product_id = p.product_id) AS bought
+  FROM seen_pairs p JOIN kept_orders k USING (user_id)),
+newest AS (SELECT *, first_value(bought) OVER (PARTITION BY user_id, product_id ORDER BY age) AS state FROM marks),
 streak AS (
   SELECT user_id, product_id,
-         CAST(CASE WHEN min(rk) = 0 THEN count(*) FILTER (WHERE run) ELSE -min(rk) END AS INTEGER) AS UP_order_streak
-  FROM streak_x GROUP BY 1, 2)"""
+         CAST((CASE WHEN any_value(state) THEN 1 ELSE -1 END) * (coalesce(min(age) FILTER (WHERE bought <> state), max(age) + 1) - 1) AS INTEGER) AS UP_order_streak
+  FROM newest GROUP BY 1, 2)"""
 
 CTE["t_orders"] = "t_orders AS (SELECT order_id, user_id FROM r_orders WHERE eval_set = 'test')"
 CTE["hist"] = """hist AS (
@@ -413,6 +414,15 @@ gh AS (SELECT sum(f0 * f0) AS g00, sum(f0 * f1) AS g01, sum(f1 * f1) AS g11 FROM
 nw AS (SELECT user_id, sum(cnt * f0) AS n0, sum(cnt * f1) AS n1 FROM x JOIN h1 USING (product_id) GROUP BY 1),
 w1 AS (SELECT user_id, f0 * n0 / (f0 * g00 + f1 * g01 + 1e-10) AS f0, f1 * n1 / (f0 * g01 + f1 * g11 + 1e-10) AS f1
        FROM w0 JOIN nw USING (user_id), gh)"""), ["f0", "f1"])
+    # One sweep of coordinate descent at k = 2: first component, then the second at the new first; H, then W.
+    sweep = lambda key, old, num, g: f"""SELECT {key}, f0, greatest(0.0, f1 + (n1 - (f0 * g01 + f1 * g11)) / g11) AS f1 FROM (
+  SELECT {key}, greatest(0.0, f0 + (n0 - (f0 * g00 + f1 * g01)) / g00) AS f0, f1, n1, g01, g11 FROM {old} JOIN {num} USING ({key}), {g})"""
+    q["m_nmf_sweep"] = q["m_nmf_round"]
+    for name, key, old, num, g in (("h1", "product_id", "h0", "nh", "gw"), ("w1", "user_id", "w0", "nw", "gh")):
+        text = q["m_nmf_sweep"]
+        start = text.index(f"{name} AS (SELECT {key}, f0 * n0")
+        end = text.index(f"{g})", start) + len(g) + 1
+        q["m_nmf_sweep"] = text[:start] + f"{name} AS ({sweep(key, old, num, g)})" + text[end:]
     # Principal axes of two columns in closed form: (cov, lambda - var x), each made positive in its largest loading.
     q["m_formula_pca"] = rounded(with_ctes(VIEW, """
 SELECT product_id, s1 * (dx * b + dy * (l1 - a)) / sqrt(b * b + (l1 - a) * (l1 - a)) AS vec1,
@@ -434,6 +444,20 @@ FROM cand c JOIN tgt t ON c.order_id = t.order_id WHERE t.eval_set = 'test'""")
 SELECT p.product_id, coalesce(s.n >= 5, FALSE) AS has_vector
 FROM r_products p LEFT JOIN (SELECT product_id, count(*) AS n FROM r_lines WHERE eval_set IN ('prior', 'train') GROUP BY 1) s
   ON s.product_id = p.product_id""")
+    files = {"orders": ("r_orders", ["order_id", "user_id", "eval_set", "order_number", "order_dow", "order_hour_of_day", "days_since_prior_order"]),
+             "prior": ("r_lines WHERE eval_set = 'prior'", ["order_id", "product_id", "add_to_cart_order", "reordered"]),
+             "train": ("r_lines WHERE eval_set = 'train'", ["order_id", "product_id", "add_to_cart_order", "reordered"]),
+             "products": ("r_products", ["product_id", "product_name", "aisle_id", "department_id"]),
+             "aisles": ("(SELECT DISTINCT aisle_id, 'aisle ' || aisle_id AS aisle FROM r_products)", ["aisle_id", "aisle"]),
+             "departments": ("(SELECT DISTINCT department_id, 'department ' || department_id AS department FROM r_products)", ["department_id", "department"])}
+    fields = "\nUNION ALL ".join(f"SELECT '{name}' AS file, '{c}' AS \"column\", CAST({c} AS VARCHAR) AS v FROM {table}"
+                                 for name, (table, columns) in files.items() for c in columns)
+    q["s_csv_inferred"] = with_ctes(VIEW, f"""SELECT file, "column", CASE WHEN bool_and(regexp_full_match(v, '-?[0-9]+')) THEN
+    CASE WHEN max(abs(TRY_CAST(v AS BIGINT))) < 2147483648 THEN 'int' ELSE 'bigint' END
+    WHEN bool_and(regexp_full_match(v, '-?[0-9]+[.][0-9]+')) THEN 'double' ELSE 'string' END AS type,
+  count(v) AS n_values, count(*) - count(v) AS n_nulls FROM ({fields}) GROUP BY 1, 2""")
+    q["s_csv_history"] = with_ctes(VIEW, """
+SELECT order_id, product_id, add_to_cart_order, reordered, eval_set, user_id, order_number FROM r_lines WHERE eval_set <> 'test'""")
     q["m_ppmi"] = rounded(with_ctes(VIEW, """
 SELECT c.a, c.b, c.n, ln(c.n * CAST(t.n AS DOUBLE) / (CAST(x.n AS DOUBLE) * CAST(y.n AS DOUBLE))) AS value
 FROM c JOIN marg x ON x.a = c.a JOIN marg y ON y.a = c.b, (SELECT sum(n) AS n FROM c) t

@@ -64,6 +64,60 @@ def test_nmf_one_iteration_matches_numpy(spark):
     assert np.allclose(np.array([got[u] for u in (1, 2, 3)]), w1)
 
 
+def planted_counts(spark, users=60, products=40, k=5, seed=3):
+    rng = np.random.default_rng(seed)
+    m = rng.poisson((rng.random((users, k)) ** 3 * 3) @ (rng.random((k, products)) ** 3 * 3)).astype(float)
+    rows = [(u, p, float(m[u, p])) for u in range(users) for p in range(products) if m[u, p]]
+    return m, spark.createDataFrame(rows, "user_id long, product_id int, cnt double")
+
+
+def test_coordinate_descent_sweep_matches_numpy(spark):
+    m, x = planted_counts(spark)
+    rng = np.random.default_rng(1)
+    users, products = sorted({r.user_id for r in x.collect()}), sorted({r.product_id for r in x.collect()})
+    w0, h0 = rng.random((len(users), 3)), rng.random((len(products), 3))
+    w, h, losses = fa.user_factors(x, k=3, iterations=1, solver="cd", w_init=spark.createDataFrame(list(zip(users, w0.tolist())), "user_id long, w array<double>"),
+                                   h_init=spark.createDataFrame(list(zip(products, h0.tolist())), "product_id int, h array<double>"))
+    m = m[users][:, products]
+
+    def sweep(v, numerator, gram):
+        v = v.copy()
+        for i in range(len(v)):
+            for t in range(v.shape[1]):
+                v[i, t] = max(0.0, v[i, t] + (numerator[i, t] - v[i] @ gram[:, t]) / gram[t, t])
+        return v
+
+    h1 = sweep(h0, m.T @ w0, w0.T @ w0)
+    w1 = sweep(w0, m @ h1, h1.T @ h1)
+    assert np.allclose([r.h for r in h.orderBy("product_id").collect()], h1) and np.allclose([r.w for r in w.orderBy("user_id").collect()], w1)
+    assert np.isclose(losses[0], ((m - w1 @ h1.T) ** 2).sum())
+
+
+def test_coordinate_descent_takes_a_third_of_the_rounds(spark):
+    _, x = planted_counts(spark)
+    _, _, slow = fa.user_factors(x, k=5, iterations=12, tolerance=0.0)
+    w, h, fast = fa.user_factors(x, k=5, iterations=4, tolerance=0.0, solver="cd")
+    assert fast[-1] <= slow[-1] and all(b <= a * (1 + 1e-9) for a, b in zip(fast, fast[1:]))
+    assert all(v >= 0 for r in w.collect() for v in r.w) and all(v >= 0 for r in h.collect() for v in r.h)
+
+
+def test_svd_start_matches_numpy(spark):
+    """At full rank of the block the start equals the definition on numpy's singular vectors."""
+    m, x = planted_counts(spark, users=30, products=12, k=12, seed=5)
+    w, h, _ = fa.user_factors(x, k=4, iterations=0, solver="cd")
+    users, products = [r.user_id for r in w.orderBy("user_id").collect()], [r.product_id for r in h.orderBy("product_id").collect()]
+    m = m[users][:, products]
+    u, s, vt = np.linalg.svd(m, full_matrices=False)
+    got_w, got_h = np.array([r.w for r in w.orderBy("user_id").collect()]), np.array([r.h for r in h.orderBy("product_id").collect()])
+    for j in range(4):
+        parts = []
+        for sign in (1, -1):
+            a, b = np.maximum(sign * u[:, j], 0), np.maximum(sign * vt[j], 0)
+            parts.append((np.linalg.norm(a) * np.linalg.norm(b), a / np.linalg.norm(a), b / np.linalg.norm(b) if b.any() else b))
+        size, a, b = max(parts, key=lambda p: p[0])
+        assert np.allclose(got_w[:, j], np.sqrt(s[j] * size) * a, atol=1e-8) and np.allclose(got_h[:, j], np.sqrt(s[j] * size) * b, atol=1e-8)
+
+
 def test_gbt_train_score_metrics(spark, retail):
     m = feature_matrix(retail).checkpoint()
     preset = md.quick(md.PRESET_B, max_iter=3, max_depth=3)

@@ -363,3 +363,23 @@ def test_expected_f1_property(p):
     """Any probability list (ties, zeros, ones) equals full enumeration."""
     p = np.sort(np.array(p))[::-1]
     assert np.allclose(dc.expected_f1_table(p), _enumerate(p))
+
+
+def test_expected_f1_of_a_very_long_order():
+    """50,000 equal candidates: sum over the other n - 1 items of 2 k p / (k + 1 + Bin(n - 1, p))."""
+    import math
+    import time
+    n, q = 50_000, .003
+    began = time.time()
+    table = dc.expected_f1_table(np.full(n, q))
+    assert time.time() - began < 30 and table.shape == (2, n + 1)
+    log_c = [math.lgamma(n) - math.lgamma(j + 1) - math.lgamma(n - j) + j * math.log(q) + (n - 1 - j) * math.log1p(-q) for j in range(1500)]
+    for k in (1, 150, 5_000, n):
+        want = sum(math.exp(c) / (k + 1 + j) for j, c in enumerate(log_c)) * 2 * k * q
+        assert math.isclose(table[1, k], want, rel_tol=1e-9)
+
+
+def test_expected_f1_with_certain_and_impossible_items():
+    p = np.array([1.0, 1.0, .4, .1, 0.0])
+    assert np.allclose(dc.expected_f1_table(p), _enumerate(p))
+    assert dc.expected_f1_table(np.array([])).tolist() == [[1.0], [0.0]]
