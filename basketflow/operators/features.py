@@ -154,11 +154,13 @@ def lines_with_days_ago(lines: DataFrame, orders_days_ago: DataFrame) -> DataFra
                       "order_id")
 
 
-def _pair_gaps(lines_da: DataFrame) -> DataFrame:
-    """Gap in days to the previous purchase of the same pair (NULL on the first one).
+def pair_gaps(lines_da: DataFrame) -> DataFrame:
+    """Gap in days to the previous purchase of the same pair (NULL on the first one), as column ``gap``.
 
-    A blocked lag: a (user, product) pair bought
-    in a large share of all orders is still spread over bounded partitions."""
+    A blocked lag: a (user, product) pair bought in a large share of all orders is still spread over bounded
+    partitions. Lines that have the column already, such as a stage table of them, are returned as they are."""
+    if "gap" in lines_da.columns:
+        return lines_da
     x = seq.lag(lines_da, ["user_id", "product_id"], "order_number", "days_ago_since_last", "_prev_da")
     return x.withColumn("gap", F.col("_prev_da") - F.col("days_ago_since_last")).drop("_prev_da")
 
@@ -170,7 +172,7 @@ def product_gaps(lines_da: DataFrame) -> DataFrame:
     aggregates. Products without any repeat purchase have no row; zero variance gives NULL
     skewness / kurtosis.
     """
-    g = _pair_gaps(lines_da).where(F.col("gap").isNotNull())
+    g = pair_gaps(lines_da).where(F.col("gap").isNotNull())
     return g.groupBy("product_id").agg(
         F.avg("gap").alias("frequency_mean"),
         F.stddev_pop("gap").alias("frequency_std"),
@@ -182,7 +184,7 @@ def product_gaps(lines_da: DataFrame) -> DataFrame:
 def pair_history(lines_da: DataFrame) -> DataFrame:
     """One pass over each (user, product) purchase sequence: the accumulators of A13 and the
     gap statistics of A16-A18 share the lag window and a single aggregation."""
-    g = _pair_gaps(lines_da)
+    g = pair_gaps(lines_da)
     return g.groupBy("user_id", "product_id").agg(
         F.count(F.lit(1)).alias("UP_orders"),
         # max_by keeps numeric aggregation buffers, so the aggregate stays a HashAggregate.

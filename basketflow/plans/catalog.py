@@ -130,6 +130,18 @@ def s_csv_history(spark, sf_dir):
     return cs.load_csv(spark, folder).lines.select("order_id", "product_id", "add_to_cart_order", "reordered", "eval_set", "user_id", "order_number")
 
 
+@query("s_snapshots")
+def s_snapshots(spark, sf_dir):
+    """A snapshot of the orders by eval_set, one partition replaced, both versions read."""
+    from basketflow.sources.snapshots import Snapshots
+    table = Snapshots(spark, stage_path(spark, "snapshots", uuid.uuid4().hex[:12]))
+    orders = _retail(spark, sf_dir).orders.select("order_id", "order_number", "eval_set")
+    first = table.replace(orders, "eval_set")
+    second = table.replace_partitions(orders.where(F.col("eval_set") == "train").withColumn("order_number", -F.col("order_number")), "eval_set")
+    both = table.read(first).withColumn("version", F.lit(1)).unionByName(table.read(second).withColumn("version", F.lit(2)))
+    return both.groupBy("version", "eval_set").agg(F.count(F.lit(1)).alias("n_orders"), F.sum("order_number").alias("sum_number"))
+
+
 # ---------------------------------------------------------------- filters
 
 @query("p_eval_set_filter")
@@ -181,6 +193,46 @@ def a_product_gaps(spark, sf_dir):
     return _out(ft.product_gaps(_lines_da(r)))
 
 
+# Loads of an incremental run: ranges of order numbers.
+LOADS = ((1, 4), (5, 9), (10, 2 ** 31 - 1))
+
+
+@query("a_incremental_gaps")
+def a_incremental_gaps(spark, sf_dir):
+    """A12 from three loads: each adds its gaps to the stored last purchases, and its moment state to the stored ones."""
+    from basketflow.operators import incremental as inc
+    r = _retail(spark, sf_dir)
+    root = stage_path(spark, "incremental", uuid.uuid4().hex[:12])
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        st.save(df, f"{root}/{name}")
+        return st.load(spark, f"{root}/{name}")
+
+    lines = stored(_prior(r).join(inc.elapsed_days(r.orders), "order_id"), "lines")
+    last, states = None, []
+    for i, (low, high) in enumerate(LOADS):
+        load = lines.where(F.col("order_number").between(low, high))
+        states.append(stored(inc.moment_state(inc.load_gaps(load, last), ["product_id"], "gap"), f"state-{i}"))
+        last = stored(inc.last_purchases(load, last), f"last-{i}")
+    return _out(inc.finish_moments(inc.merge_moments(states, ["product_id"]), ["product_id"], "frequency"))
+
+
+@query("a_sketched_users")
+def a_sketched_users(spark, sf_dir):
+    """A2 by sketches: the union of two stored loads (which share users) against the exact count of each product."""
+    from basketflow.operators import incremental as inc
+    lines = _prior(_retail(spark, sf_dir))
+    root = stage_path(spark, "incremental", uuid.uuid4().hex[:12])
+    states = []
+    for i in (0, 1):
+        st.save(inc.distinct_sketch(lines.where(F.col("order_id") % 2 == i), ["product_id"], "user_id"), f"{root}/sketch-{i}")
+        states.append(st.load(spark, f"{root}/sketch-{i}"))
+    found = inc.distinct_estimate(inc.merge_sketches(states, ["product_id"]), ["product_id"])
+    exact = ft.pair_counts(lines).groupBy("product_id").agg(F.count(F.lit(1)).alias("n_users"))
+    near = F.abs(F.col("estimate") - F.col("n_users")) <= 4 * inc.standard_error() * F.col("n_users") + 0.5
+    return exact.join(found, "product_id", "left").select("product_id", "n_users", F.coalesce(near, F.lit(False)).alias("within_error"))
+
+
 @query("a_user_product")
 def a_user_product(spark, sf_dir):
     r = _retail(spark, sf_dir)
@@ -436,5 +488,13 @@ def e_mean_f1(spark, sf_dir):
 
 @query("f_feature_matrix")
 def f_feature_matrix(spark, sf_dir):
-    m = mx.feature_matrix(_retail(spark, sf_dir))
+    """what several feature groups read (pair counts, users, days ago, lines with gaps) is written once."""
+    r = _retail(spark, sf_dir)
+    root = stage_path(spark, "features", uuid.uuid4().hex[:12])
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        st.save(df, f"{root}/{name}")
+        return st.load(spark, f"{root}/{name}")
+
+    m = mx.feature_matrix(r, mx.feature_tables(r, keep))
     return _out(m.select(*mx.KEY_COLUMNS, *mx.RELATIONAL_COLUMNS))

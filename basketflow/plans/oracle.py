@@ -458,6 +458,11 @@ FROM r_products p LEFT JOIN (SELECT product_id, count(*) AS n FROM r_lines WHERE
   count(v) AS n_values, count(*) - count(v) AS n_nulls FROM ({fields}) GROUP BY 1, 2""")
     q["s_csv_history"] = with_ctes(VIEW, """
 SELECT order_id, product_id, add_to_cart_order, reordered, eval_set, user_id, order_number FROM r_lines WHERE eval_set <> 'test'""")
+    q["a_incremental_gaps"] = q["a_product_gaps"]
+    q["a_sketched_users"] = with_ctes(PRIOR, "SELECT product_id, count(DISTINCT user_id) AS n_users, TRUE AS within_error FROM prior_l GROUP BY 1")
+    q["s_snapshots"] = with_ctes(VIEW, """
+SELECT version, eval_set, count(*) AS n_orders, CAST(sum(CASE WHEN version = 2 AND eval_set = 'train' THEN -order_number ELSE order_number END) AS BIGINT) AS sum_number
+FROM r_orders, (VALUES (1), (2)) v(version) GROUP BY 1, 2""")
     q["m_ppmi"] = rounded(with_ctes(VIEW, """
 SELECT c.a, c.b, c.n, ln(c.n * CAST(t.n AS DOUBLE) / (CAST(x.n AS DOUBLE) * CAST(y.n AS DOUBLE))) AS value
 FROM c JOIN marg x ON x.a = c.a JOIN marg y ON y.a = c.b, (SELECT sum(n) AS n FROM c) t
