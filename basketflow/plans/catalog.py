@@ -476,14 +476,19 @@ def m_nmf_sweep(spark, sf_dir):
     return _formula_factors(spark, sf_dir, "cd")
 
 
+def _baselines(r: Retail) -> dict[str, DataFrame]:
+    prior = _prior(r)
+    return {"repeat_last_order": dc.repeat_last_order(prior, r.orders), "top_k_products": dc.top_k_products(prior, r.orders)}
+
+
+def _test_truth(r: Retail) -> DataFrame:
+    return dc.ground_truth(r.test, r.orders.where(F.col("eval_set") == "test"))
+
+
 @query("e_mean_f1")
 def e_mean_f1(spark, sf_dir):
     r = _retail(spark, sf_dir)
-    test_orders = r.orders.where(F.col("eval_set") == "test")
-    truth = dc.ground_truth(r.test, test_orders)
-    rows = [dc.mean_f1(dc.repeat_last_order(_prior(r), r.orders), truth).withColumn("method", F.lit("repeat_last_order")),
-            dc.mean_f1(dc.top_k_products(_prior(r), r.orders), truth).withColumn("method", F.lit("top_k_products"))]
-    return _out(rows[0].unionByName(rows[1]).select("method", "mean_f1", "n_orders"))
+    return _out(dc.mean_f1_by_method(_baselines(r), _test_truth(r)))
 
 
 @query("f_feature_matrix")

@@ -26,7 +26,7 @@ from basketflow.operators import factors as fa
 from basketflow.operators import matrix as mx
 from basketflow.operators import model as md
 from basketflow.operators import ranking as rk
-from basketflow.plans.catalog import FORMULA_A, FORMULA_B, _out, _retail, candidates, formula_scores, query
+from basketflow.plans.catalog import FORMULA_A, FORMULA_B, _baselines, _out, _retail, _test_truth, candidates, formula_scores, query
 from basketflow.session import stage_path
 from basketflow.sources import stage as st
 from basketflow.sources.retail_view import Retail
@@ -269,13 +269,4 @@ def e_model_mean_f1(spark, sf_dir):
     """E5 on the full path: mean F1 of the model decisions against the hidden test orders,
     next to the two baselines on the same orders."""
     r = _retail(spark, sf_dir)
-    test_orders = r.orders.where(F.col("eval_set") == "test")
-    truth = dc.ground_truth(r.test, test_orders)
-    prior = r.lines_of("prior", with_header=True)
-    rows = [dc.mean_f1(_model_decisions(spark, sf_dir), truth).withColumn("method", F.lit("models")),
-            dc.mean_f1(dc.repeat_last_order(prior, r.orders), truth).withColumn("method", F.lit("repeat_last_order")),
-            dc.mean_f1(dc.top_k_products(prior, r.orders), truth).withColumn("method", F.lit("top_k_products"))]
-    out = rows[0]
-    for more in rows[1:]:
-        out = out.unionByName(more)
-    return out.select("method", "mean_f1", "n_orders")
+    return dc.mean_f1_by_method({"models": _model_decisions(spark, sf_dir), **_baselines(r)}, _test_truth(r))

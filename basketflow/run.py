@@ -115,12 +115,8 @@ def run_all(spark: SparkSession, input_dir: str, output_dir: str | None = None,
         return _staged(spark, spark.createDataFrame([], "method string, mean_f1 double, n_orders long"), j("evaluation"))
     truth = dc.ground_truth(retail.test, retail.orders.where(F.col("eval_set") == "test"))
     read_back = st.read_decisions_csv(spark, j("decisions.csv"))
-    rows = [dc.mean_f1(read_back, truth).withColumn("method", F.lit("models")),
-            dc.mean_f1(st.read_decisions_csv(spark, j("baseline_repeat_last_order.csv")), truth)
-            .withColumn("method", F.lit("repeat_last_order")),
-            dc.mean_f1(st.read_decisions_csv(spark, j("baseline_top_k_products.csv")), truth)
-            .withColumn("method", F.lit("top_k_products"))]
-    ev = rows[0].unionByName(rows[1]).unionByName(rows[2]).select("method", "mean_f1", "n_orders")
+    named = {"models": read_back, **{n: st.read_decisions_csv(spark, j(f"baseline_{n}.csv")) for n in ("repeat_last_order", "top_k_products")}}
+    ev = dc.mean_f1_by_method(named, truth)
     return _staged(spark, ev, j("evaluation"))
 
 

@@ -383,3 +383,23 @@ def test_expected_f1_with_certain_and_impossible_items():
     p = np.array([1.0, 1.0, .4, .1, 0.0])
     assert np.allclose(dc.expected_f1_table(p), _enumerate(p))
     assert dc.expected_f1_table(np.array([])).tolist() == [[1.0], [0.0]]
+
+
+def test_mean_f1_by_method_equals_the_method_by_itself(spark):
+    truth = spark.createDataFrame([(1, "5 6 7"), (2, "None"), (3, "8"), (4, "None"), (5, " ")], "order_id long, products string")
+    a = spark.createDataFrame([(1, "5 7 9"), (2, "None 4"), (3, "8 8"), (9, "1")], "order_id long, products string")
+    b = spark.createDataFrame([(1, "None"), (4, "3")], "order_id long, products string")
+    empty = a.where("false")
+    got = {r.method: r for r in dc.mean_f1_by_method({"a": a, "b": b, "empty": empty}, truth.where("order_id < 5")).collect()}
+    for name, df in (("a", a), ("b", b), ("empty", empty)):
+        want = dc.mean_f1(df, truth.where("order_id < 5")).first()
+        assert got[name].n_orders == want.n_orders == 4 and abs(got[name].mean_f1 - want.mean_f1) < 1e-12, name
+    assert dc.mean_f1_by_method({"a": a}, truth.where("false")).collect() == []
+
+
+def test_a_decision_for_every_order_on_request(spark):
+    scores = spark.createDataFrame([(1, 10, .9), (2, 11, .001)], "order_id long, product_id long, prediction double")
+    orders = spark.createDataFrame([(1,), (2,), (3,)], "order_id long")
+    assert [r.order_id for r in dc.select_max_f1(scores).collect()] == [1]
+    got = {r.order_id: (r.products, r.best_k, r.pred_none) for r in dc.select_max_f1(scores, orders=orders).collect()}
+    assert got == {1: ("10", 1, False), 2: ("None", 0, True), 3: ("None", 0, True)}
