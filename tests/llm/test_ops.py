@@ -5,7 +5,9 @@ from __future__ import annotations
 import base64
 import math
 import random
+import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,25 +126,48 @@ def test_quality_rules(spark):
     labels = [(i, 1, 0 if i % 5 else None) for i in range(0, 60, 2)] + [(1, 1, 1), (3, 0, 0), (None, 1, 0)]
     good = {i for i, q, t in labels if q == 1 and t != 1 and i is not None}
     labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
-    weights = ql.fit(df, labels)
+    model = ql.fit(df, labels)
     buckets = {x: (b := brute.quality_buckets(x[1], ql.BUCKETS))[:len(b) // 2] for x in rows}
-    raw, target = [0] * ql.BUCKETS, [0] * ql.BUCKETS
+    raw, halves = [0] * ql.BUCKETS, [[0] * ql.BUCKETS, [0] * ql.BUCKETS]
+    in_half = lambda i: zlib.crc32(str(i).encode()) % 2
     for x in rows:
         for k in buckets[x]:
             raw[k] += 1
-            target[k] += x[0] in good
-    n, t = sum(raw) + ql.BUCKETS, sum(target)
-    assert weights == [round(math.log((a + ql.PRIOR * ((b + 1) / n)) / (t + ql.PRIOR) / ((b + 1) / n)), 6) for a, b in zip(target, raw)]
-    out = ql.judge(df, weights).collect()
+            if x[0] in good:
+                halves[in_half(x[0])][k] += 1
+    n = sum(raw) + ql.BUCKETS
+
+    def ratios(target):
+        t = sum(target)
+        return [round(math.log((a / t + (b + 1) / n) / 2 / ((b + 1) / n)), 6) for a, b in zip(target, raw)]
+
+    assert model.ratios == ratios([a + b for a, b in zip(*halves)])
+    measures = {x: brute.quality_measures(x[1]) for x in rows}
+    by_half = [ratios(halves[0]), ratios(halves[1])]
+    held_out = [sum(by_half[1 - in_half(x[0])][k] for k in buckets[x]) / len(buckets[x]) for x in rows if x[0] in good and not measures[x][5]]
+    assert len(held_out) > 5 and math.isclose(model.threshold, np.quantile(held_out, ql.QUANTILE), abs_tol=2e-6)
+    out = ql.judge(df, model).collect()
     want = []
     for x in rows:
-        m = brute.quality_measures(x[1])
-        score = None if m[5] else round(sum(weights[k] for k in buckets[x]) / len(buckets[x]), 9)
-        want.append((x[0], *m, score, score is not None and score >= ql.THRESHOLD))
+        score = None if measures[x][5] else round(sum(model.ratios[k] for k in buckets[x]) / len(buckets[x]), 9)
+        want.append((x[0], *measures[x], score, score is not None and score >= model.threshold))
     assert by_text((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed,
                     None if r.score is None else round(r.score, 9), r.kept) for r in out) == by_text(want)
     none = ql.fit(df, labels.where("false"))
-    assert set(none) == {0.0} and all(r.kept != r.base_failed for r in ql.judge(df, none).collect())
+    assert set(none.ratios) == {0.0} and all(r.kept != r.base_failed for r in ql.judge(df, none).collect())
+    # Trusted text in one half only: no score is held out, the base rules decide.
+    one = ql.fit(df, labels.where(f"doc_id = {min(good)}"))
+    assert one.threshold == -math.inf and all(r.kept != r.base_failed for r in ql.judge(df, one).collect())
+
+
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01"])
+def test_quality_rejects_junk_and_keeps_trusted_documents_at_any_size(spark, size):
+    from basketflow.llm import queries
+    folder = f"/root/testdata/{size}"
+    quality = {r.doc_id: r.quality for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    judged = [r for r in queries.QUERIES["op4_quality_llr"](spark, folder).collect() if not r.base_failed]
+    rate = {q: np.mean([r.kept for r in judged if quality.get(r.doc_id) == q]) for q in (0, 1)}
+    assert rate[1] >= .99 and rate[0] <= .35
 
 
 def test_perspectives(spark):

@@ -77,7 +77,7 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     from basketflow.llm import quality as ql
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     labels = spark.read.parquet(f"{SF}/labels.parquet")
-    weights = ql.fit(docs, labels)
+    model = ql.fit(docs, labels)
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     stage = []
     for k, (_, f) in enumerate(p.STAGES):
@@ -87,7 +87,7 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     kept = []
     for d, t in rows:
         n = len(b := brute.quality_buckets(t, ql.BUCKETS)) // 2
-        if not brute.quality_measures(t)[5] and round(sum(weights[x] for x in b[:n]) / n, 9) >= ql.THRESHOLD:
+        if not brute.quality_measures(t)[5] and round(sum(model.ratios[x] for x in b[:n]) / n, 9) >= model.threshold:
             kept.append((d, t))
     assert sorted((r.doc_id, r.text) for r in stage[0]) == kept
     cut = [(d, t) for d, t, _, _ in brute.line_dedup(kept)]
