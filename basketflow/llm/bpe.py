@@ -32,7 +32,7 @@ _WHITE = r"\t-\r \x85\xa0  -     　"
 
 # Rank files and patterns are read on the driver and broadcast: refuse anything beyond this size.
 MAX_VOCAB_BYTES = 64 << 20
-CACHE_PIECES = 1_200_000
+CACHE_PIECES = 500_000  # about 80 MB in a worker; an executor has one per core
 CACHE_PIECE_BYTES = 64
 _SHIFT = 20  # bits for a rank in a pair's key
 
