@@ -10,20 +10,36 @@ from basketflow.llm.common import Stages
 
 
 class LocalRoots:
-    """Components among n local nodes; every node's root is the smallest node of its component."""
+    """Components among n local nodes; every node's root is the smallest node of its component.
+
+    Union-find over whole rows of links: a link walks and shortens the paths of its own nodes only.
+    """
 
     def __init__(self, n: int):
-        self.root = np.arange(n)
+        self.parent = np.arange(n)
+
+    def _roots_of(self, nodes: np.ndarray) -> np.ndarray:
+        up = self.parent[nodes]
+        while True:
+            higher = self.parent[up]
+            if np.array_equal(higher, up):
+                return up
+            self.parent[nodes] = up = higher
 
     def link(self, node: int, others: np.ndarray) -> None:
-        roots = np.unique(np.append(self.root[others], self.root[node]))
-        if len(roots) > 1:
-            self.root[np.isin(self.root, roots[1:])] = roots[0]
+        nodes = np.append(others, node)
+        roots = self._roots_of(nodes)
+        self.parent[roots] = self.parent[nodes] = roots.min()
+
+    @property
+    def root(self) -> np.ndarray:
+        return self._roots_of(np.arange(len(self.parent)))
 
     def edges(self) -> tuple[np.ndarray, np.ndarray]:
         """A spanning star of every component: (node, root)."""
-        nodes = np.flatnonzero(self.root != np.arange(len(self.root)))
-        return nodes, self.root[nodes]
+        root = self.root
+        nodes = np.flatnonzero(root != np.arange(len(root)))
+        return nodes, root[nodes]
 
 
 def components(edges: DataFrame, stages: Stages, name: str = "components") -> DataFrame:

@@ -13,14 +13,17 @@ is larger.
 *Verification.* In a cell all visitors are compared with the residents by the dot product of unit
 vectors in double precision: no pair below the threshold links. A pair that only one of the two finds
 counts for both. Large cells are dealt out in blocks of queries against blocks of residents; a block
-returns counts and a spanning star, not pairs.
+returns counts and a spanning star, not pairs. Cells visited are written once, as ids; the vectors join them last.
+
+*Lengths.* Vectors of different lengths never link, so every length has an index of its own: MAX_LENGTHS lengths at
+most, the most frequent ones, each with two codebooks. A rarer length, or one that a single cell holds, is one cell:
+all its vectors are compared, in blocks, which is exact.
 
 Equal vectors meet first in an aggregate and are one class; their links among each other are counted
 from the class size.
 
 Results for odd input: vectors that are null, zero, or hold null or non-finite components link with
-nothing (no links, a component of their own); so do vectors whose length differs from the most common
-one. A null id never gives its name to a component. Repeated rows are equal vectors. An empty table gives
+nothing (no links, a component of their own). A null id never gives its name to a component. Repeated rows are equal vectors. An empty table gives
 an empty result; other columns are not read.
 """
 
@@ -39,10 +42,11 @@ from basketflow.llm.graph import LocalRoots, components
 SAMPLE = 20_000
 MAX_WORDS = 256
 CELL_TARGET = 1_024  # vectors in a cell, if the codebooks' bound allows it
+MAX_LENGTHS = 16  # lengths with codebooks; bounds what is broadcast
 RECALL = 0.995
 BLOCK_RESIDENTS = 4_096
 BLOCK_QUERIES = 16_384
-_CLASS = "node binary, unit array<double>, n long, first long"
+_VISIT = "size int, cell int, home int, node binary, n long"
 
 
 def _prepare(batches):
@@ -142,33 +146,47 @@ class Index:
         return out
 
 
+class OneCell(Index):
+    """No codebooks: all vectors share a cell, and all pairs are compared."""
+
+    def __init__(self):
+        self.k, self.slack = 1, 0.0
+
+    def costs(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return np.zeros((len(x), 1)), np.zeros((len(x), 1))
+
+
 def _matrix(column) -> np.ndarray:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     flat = column.flatten().to_numpy(zero_copy_only=False)
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
 
 
-def _cells(index):
+def _cells(indexes):
+    """The cells that each vector visits, without the vector."""
     def run(batches):
-        names = ["cell", "home", "node", "unit", "n"]
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            costs = index.value.costs(_matrix(batch.column("unit")))
-            home, cells = index.value.home(costs), index.value.visited(costs)
-            at = np.repeat(np.arange(len(cells)), [len(c) for c in cells])
-            flat = np.array([c for own in cells for c in own], np.int32)
-            rows = batch.take(pa.array(at))
-            yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(home[at].astype(np.int32)), *(rows.column(c) for c in names[2:])], names=names)
+            lengths = batch.column("size").to_numpy()
+            for size in np.unique(lengths).tolist():
+                part = batch.take(pa.array(np.flatnonzero(lengths == size)))
+                index = indexes.value.get(size) or OneCell()
+                costs = index.costs(_matrix(part.column("unit")))
+                home, cells = index.home(costs), index.visited(costs)
+                at = np.repeat(np.arange(len(cells)), [len(c) for c in cells])
+                flat = np.array([c for own in cells for c in own], np.int32)
+                rows = part.take(pa.array(at))
+                yield pa.RecordBatch.from_arrays([rows.column("size"), pa.array(flat), pa.array(home[at].astype(np.int32)), rows.column("node"), rows.column("n")],
+                                                 names=["size", "cell", "home", "node", "n"])
     return run
 
 
-def _verify(index, threshold: float):
+def _verify(indexes, threshold: float):
     types = {"a": pa.binary(), "b": pa.binary(), "n": pa.int64()}
 
     def run(table):
         """A row (node, root, links) for each node with links found here."""
         cell = table.column("cell")[0].as_py()
+        index = indexes.value.get(table.column("size")[0].as_py()) or OneCell()
         lives = table.column("resident").to_numpy(zero_copy_only=False).astype(bool)
         names, at = np.unique(np.array(table.column("node").to_pylist(), "S16"), return_inverse=True)
         names = np.frombuffer(names.tobytes(), "S16") if len(names) else names
@@ -176,7 +194,7 @@ def _verify(index, threshold: float):
         data, mine = unit[lives], at[lives]
         ask, theirs, ask_n, ask_home = unit[~lives], at[~lives], n[~lives], home[~lives]
         found, roots = np.zeros(len(names), np.int64), LocalRoots(len(names))
-        costs = index.value.costs(data) if len(data) else None
+        costs = index.costs(data) if len(data) else None
         for start in range(0, len(ask) if len(data) else 0, 1024):
             part = slice(start, start + 1024)
             near = (ask[part] @ data.T >= threshold) & (theirs[part, None] != mine[None, :])
@@ -186,13 +204,14 @@ def _verify(index, threshold: float):
             if len(asked):
                 away = ask_home[part][asked] != cell
                 a, h = asked[away], hit[away]
-                blind = index.value.excess((costs[0][h], costs[1][h]), ask_home[part][a]) > index.value.slack
+                blind = index.excess((costs[0][h], costs[1][h]), ask_home[part][a]) > index.slack
                 np.add.at(found, mine[h[blind]], ask_n[part][a[blind]])
             for row in np.unique(asked).tolist():
                 roots.link(int(theirs[start + row]), mine[near[row]])
-        some = np.flatnonzero((found > 0) | (roots.root != np.arange(len(names))))
+        root = roots.root
+        some = np.flatnonzero((found > 0) | (root != np.arange(len(names))))
         pick = lambda idx: pa.array([bytes(names[i]).ljust(16, b"\0") for i in idx.tolist()], pa.binary())
-        return pa.table([pick(some), pick(roots.root[some]), pa.array(found[some])], schema=pa.schema(list(types.items())))
+        return pa.table([pick(some), pick(root[some]), pa.array(found[some])], schema=pa.schema(list(types.items())))
 
     return run
 
@@ -204,27 +223,29 @@ def near_duplicates(vectors: DataFrame, stages: Stages, threshold: float = 0.9,
     spark = vectors.sparkSession
     prepared = stages.write(vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector))
                             .mapInArrow(_prepare, "vec_id long, size int, node binary, unit array<double>"), "prepared")
-    common = prepared.where("size is not null").groupBy("size").count().orderBy(F.desc("count"), "size").limit(1).collect()
-    size = common[0]["size"] if common else 0
-    node = F.when(F.col("size") == size, F.col("node"))
-    classes = stages.write(prepared.where(F.col("size") == size).groupBy("node", "unit")
-                           .agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("first")).select("node", "unit", "n", "first"), "classes")
-    rows = classes.count()
-    if rows:
-        sample = classes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("unit").toArrow()
-        k = int(min(MAX_WORDS, max(1, round((rows / cell_target) ** 0.5)), rows))
-        index = spark.sparkContext.broadcast(Index(_matrix(sample.column("unit")), k, threshold, recall))
-        visits = classes.select("node", "unit", "n").mapInArrow(_cells(index), "cell int, home int, node binary, unit array<double>, n long")
-        counts = visits.groupBy("cell").agg(F.count(F.lit(1)).alias("visits"), F.sum((F.col("cell") == F.col("home")).cast("long")).alias("lives"))
-        counts = stages.write(counts.select("cell", F.ceil(F.col("visits") / block_queries).cast("int").alias("qs"),
-                                            F.greatest(F.lit(1), F.ceil(F.col("lives") / block_residents)).cast("int").alias("ds")), "cells")
-        dealt = visits.join(counts, "cell")
+    classes = stages.write(prepared.where("node is not null").groupBy("size", "node", "unit")
+                           .agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("first")), "classes")
+    lengths = classes.groupBy("size").count().orderBy(F.desc("count"), "size").limit(MAX_LENGTHS).collect()
+    if lengths:
+        books = {}
+        for size, rows in lengths:
+            k = int(min(MAX_WORDS, round((rows / cell_target) ** 0.5)))
+            if k > 1:
+                sample = classes.where(F.col("size") == size).orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("unit").toArrow()
+                books[size] = Index(_matrix(sample.column("unit")), min(k, rows), threshold, recall)
+        indexes = spark.sparkContext.broadcast(books)
+        visits = stages.write(classes.select("size", "node", "unit", "n").mapInArrow(_cells(indexes), _VISIT), "visits")
+        counts = visits.groupBy("size", "cell").agg(F.count(F.lit(1)).alias("visits"), F.sum((F.col("cell") == F.col("home")).cast("long")).alias("lives"))
+        counts = stages.write(counts.where("lives > 0").select("size", "cell", F.ceil(F.col("visits") / block_queries).cast("int").alias("qs"),
+                                                               F.ceil(F.col("lives") / block_residents).cast("int").alias("ds")), "cells")
+        dealt = visits.join(counts, ["size", "cell"])
         every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
         own = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
-        ask = dealt.select("cell", own(F.col("qs")).alias("q"), every(F.col("ds")).alias("d"), F.lit(False).alias("resident"), "home", "node", "unit", "n")
-        live = (dealt.where("cell = home").select("cell", every(F.col("qs")).alias("q"), own(F.col("ds")).alias("d"), F.lit(True).alias("resident"),
-                                                  "home", "node", "unit", "n"))
-        found = ask.union(live).groupBy("cell", "q", "d").applyInArrow(_verify(index, threshold), "a binary, b binary, n long")
+        ask = dealt.select("size", "cell", own(F.col("qs")).alias("q"), every(F.col("ds")).alias("d"), F.lit(False).alias("resident"), "home", "node", "n")
+        live = (dealt.where("cell = home").select("size", "cell", every(F.col("qs")).alias("q"), own(F.col("ds")).alias("d"), F.lit(True).alias("resident"),
+                                                  "home", "node", "n"))
+        blocks = ask.union(live).join(classes.select("node", "unit"), "node")
+        found = blocks.groupBy("size", "cell", "q", "d").applyInArrow(_verify(indexes, threshold), "a binary, b binary, n long")
         found = stages.write(found, "found")
         rooted = components(found.select("a", "b"), stages)
         linked = found.groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("links"))
@@ -234,7 +255,7 @@ def near_duplicates(vectors: DataFrame, stages: Stages, threshold: float = 0.9,
         classes = classes.join(names, "root").select("node", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id")
     else:
         classes = classes.select("node", F.lit(0).cast("long").alias("n_links"), F.col("first").alias("component_id"))
-    named = prepared.select("vec_id", node.alias("node")).join(classes, "node", "left")
+    named = prepared.select("vec_id", "node").join(classes, "node", "left")
     return named.select("vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
                         F.when(F.col("node").isNull(), F.col("vec_id")).otherwise(F.col("component_id")).alias("component_id")) \
         .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
