@@ -6,7 +6,7 @@ the pairs that the ledger has not seen: one copy of each new blob with all rules
 just the rules whose version is new. ``findings`` joins the ledger's findings back to all paths.
 
 Hot content (one text under a third of all paths) costs one scan: copies meet in a map-side combined
-aggregate of digests, and only one row of a blob takes its text along.
+aggregate of digests, and only one row of a blob, chosen by a row number, takes its text along.
 
 Results for odd input: a null text is an empty blob and has no findings; null paths are kept as a path
 of their own; repeated rows give repeated results; an empty table gives an empty result.
@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketflow.llm.common import Stages
+from basketflow.llm.common import Stages, keyed
 
 FOUND = "blob binary, rule string, rule_version int, start long, end long"
 
@@ -113,20 +113,19 @@ def update(versions: DataFrame, ledger: Ledger, stages: Stages, rules=RULES, pat
 
     Findings are appended before the scanned pairs, so a run that dies in between loses nothing.
     """
-    keyed = versions.select(F.col(path).alias("path"), F.col(text).alias("text"), blob_of(F.col(text)).alias("blob"))
-    paths = stages.write(keyed.select("path", "blob"), "paths")
+    rows = keyed(versions.select(F.col(path).alias("path"), F.col(text).alias("text")), stages)
+    numbered = stages.write(rows.select(F.col("_row.path").alias("path"), blob_of(F.col("_row.text")).alias("blob"), "_n"), "paths")
     all_keys = F.array(*[F.lit(r.key) for r in rules])
     done = ledger.scanned().groupBy("blob").agg(F.collect_set("rule_key").alias("done"))
-    todo = (paths.groupBy("blob").agg(F.min(F.xxhash64("path")).alias("copy")).join(done, "blob", "left")
-            .select("blob", "copy", F.coalesce(F.array_except(all_keys, "done"), all_keys).alias("todo"))
+    todo = (numbered.groupBy("blob").agg(F.min("_n").alias("_n")).join(done, "blob", "left")
+            .select("blob", "_n", F.coalesce(F.array_except(all_keys, "done"), all_keys).alias("todo"))
             .where(F.size("todo") > 0))
     todo = stages.write(todo, "todo")
-    # One row per unseen blob brings its text: the copy with the smallest path digest.
-    texts = (keyed.withColumn("copy", F.xxhash64("path")).join(todo.hint("merge"), ["blob", "copy"])
-             .select("blob", "text", "todo"))
+    # One row per unseen blob brings its text, whatever the paths of its copies.
+    texts = rows.select("_n", F.col("_row.text").alias("text")).join(todo.hint("merge"), "_n").select("blob", "text", "todo")
     texts.mapInArrow(_scan(rules), FOUND).write.mode("append").parquet(f"{ledger.path}/found")
     todo.select("blob", F.explode("todo").alias("rule_key")).write.mode("append").parquet(f"{ledger.path}/scanned")
-    return paths
+    return numbered.select("path", "blob")
 
 
 def findings(paths: DataFrame, ledger: Ledger, rules=RULES) -> DataFrame:
