@@ -42,6 +42,7 @@ MIN_WORDS = 50
 PREFIX = 12
 MAX_LEAVES = 20_000
 BATCH_LEAVES = 20_000
+MASK_BITS = 64  # of the offsets in a context at which a window may start
 _LAST = 2 ** 63 - 1  # stands for a null id
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -299,13 +300,15 @@ def dedup(docs: DataFrame, stages: Stages, window: int = MIN_WORDS, prefix: int
 
     ``with_text`` adds ``kept``: the kept words joined by one space (null where nothing was removed).
     """
+    if not 0 <= window - prefix < MASK_BITS:
+        raise ValueError(f"a window has from prefix to prefix + {MASK_BITS - 1} words, not {window} with a prefix of {prefix}")
     rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST)).alias("ord"), text_digest(F.col(text)).alias("dk"),
                        F.col(text).cast("binary").alias("text"))
     sampled = stages.write(rows.mapInArrow(_sample_rows(window, prefix), "h long, ord long, dk long, pos int, sha binary"), "samples")
     every = sampled.where("pos < 0").select("ord", "dk", F.col("h").alias("n_words"), F.col("sha").alias("whole"))
     # All words of a later copy go, and a copy is never the first to have a window: copies need no tree.
-    copies = (every.join(every.groupBy("whole").agg(F.min("ord").alias("lowest")), "whole")
-              .where((F.col("ord") > F.col("lowest")) & (F.col("n_words") >= window)).select("ord", "dk"))
+    whole = every.where(F.col("n_words") >= window)
+    copies = whole.join(whole.groupBy("whole").agg(F.min("ord").alias("lowest")), "whole").where("ord > lowest").select("ord", "dk")
     copies = stages.write(copies, "copies")
     suffixes = sampled.where("pos >= 0").select("h", "ord", "dk", "pos")
     shared = suffixes.groupBy("h").agg(F.min("dk").alias("a"), F.max("dk").alias("b")).where("a < b").select("h")
