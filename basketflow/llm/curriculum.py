@@ -41,8 +41,11 @@ ROWS_PER_BLOCK = 50_000
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, max_repeat: float = MAX_REPEAT,
-            schedules=SCHEDULES) -> DataFrame:
-    """source, source_size, target, start, end from rows (source, size)."""
+            schedules=SCHEDULES, stages: Stages | None = None) -> DataFrame:
+    """source, source_size, target, start, end from rows (source, size).
+
+    With ``stages`` the sums by source are written once, and the rounds read them instead of the rows.
+    """
     # One row per source: the number of sources, not of documents, bounds this window.
     by_source = (sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
                  .withColumn("turn", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1))
@@ -53,6 +56,7 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, max_repeat:
     by_source = by_source.select("source", "source_size", in_turn(weights).alias("weight"),
                                  in_turn([a for a, _ in schedules]).alias("start"),
                                  in_turn([b for _, b in schedules]).alias("end"))
+    by_source = stages.write(by_source, "by_source") if stages else by_source
     cap = F.lit(float(max_repeat)) * F.col("source_size")
     total, weight = by_source.agg(F.sum("source_size"), F.sum("weight")).first()
     wanted = share * (total or 0)
@@ -82,7 +86,7 @@ def plan(sizes: DataFrame, stages: Stages, rows_per_block: int = ROWS_PER_BLOCK,
     keep = [c for c in sizes.columns if c not in ("doc_id", "source", "size")]
     shuffled = F.coalesce(F.col("doc_id").cast("string"), F.xxhash64("size", *keep).cast("string"))
     sizes = stages.write(sizes.withColumn("_order", F.md5(shuffled.cast("binary"))), "sizes")
-    goals = stages.write(targets(sizes, **options), "targets")
+    goals = stages.write(targets(sizes, stages=stages, **options), "targets")
     digits = max(1, math.ceil(math.log(max(1, sizes.count() / rows_per_block), 16)))
     sizes = sizes.withColumn("_block", F.substring("_order", 1, digits))
     blocks = (sizes.groupBy("source", "_block").agg(F.sum("size").alias("_words"))

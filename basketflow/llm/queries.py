@@ -143,7 +143,9 @@ placed as (select s.doc_id, s.size, s.source, g.source_size, g.target, g.a, g.b,
            from sizes s join goals g on s.source is not distinct from g.source),
 taken as (select *, case when size = 0 then 0 else floor(target / source_size)::bigint
             + (middle < target - floor(target / source_size) * source_size)::bigint end copies from placed)
-select doc_id, size, source_size, target, (copies * size)::bigint taken, copies::bigint copies from taken
+select doc_id, size, source_size, target, (copies * size)::bigint taken, copies::bigint copies,
+  case when copies > 0 then case when a = b then u else (sqrt(a * a + (b - a) * (a + b) * u) - a) / (b - a) end end first_position
+from (select *, case when copies > 0 then least(1.0::double, middle / target) end u from taken)
 """
 
 
@@ -151,7 +153,7 @@ select doc_id, size, source_size, target, (copies * size)::bigint taken, copies:
 def op7_curriculum_mix(spark, sf_dir):
     from basketflow.llm import curriculum as cu
     planned = cu.plan(cu.doc_sizes(_table(spark, sf_dir, "documents")), Stages(spark, "op7"))
-    return planned.select("doc_id", "size", "source_size", "target", "taken", "copies")
+    return planned.select("doc_id", "size", "source_size", "target", "taken", "copies", F.get("positions", F.lit(0)).alias("first_position"))
 
 
 _OP7_ORDER = f"""
@@ -181,8 +183,8 @@ with recursive v as (
   select vec_id, embedding::double[] e, sqrt(list_sum([x * x for x in embedding::double[]])) n from embeddings
   where embedding is not null and len([1 for x in embedding if x is null or not isfinite(x)]) = 0),
 unit as (select vec_id, e, n from v where n > 0),
-link as (select a.vec_id a, b.vec_id b from unit a join unit b on a.vec_id <> b.vec_id
-         where list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.9),
+link as (select a.vec_id a, b.vec_id b from unit a join unit b on a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+         where case when len(a.e) = len(b.e) then list_dot_product(a.e, b.e) / (a.n * b.n) end >= 0.9),
 reach(v, r) as (select vec_id, vec_id from embeddings union select reach.v, link.b from reach join link on link.a = reach.r),
 comp as (select v, min(r) c from reach group by v),
 n as (select a, count(*) n from link group by a)
