@@ -34,6 +34,48 @@ def substring_dedup(rows, window=50):
     return out
 
 
+def secrets(text):
+    """(kind, start, end) of all base secrets, found by walking the characters; sorted by start, then kind as listed."""
+    t, found = text or "", []
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t)
+    upper, digits, hexes = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "0123456789abcdef"
+    value = set(upper + upper.lower() + digits + "+/_.=-")
+
+    def run(i, chars):
+        while i < len(t) and t[i] in chars:
+            i += 1
+        return i
+
+    i = 0
+    while i < len(t):
+        key = next((k for k in ("password", "passwd", "secret", "token", "api_key", "apikey") if low.startswith(k, i)), None)
+        end = i + 1
+        if key:
+            j = i + len(key)
+            j = run(j + (t[j:j + 1] in ('"', "'")), " ")
+            if t[j:j + 1] in (":", "="):
+                j = run(j + 1, " ")
+                j += t[j:j + 1] in ('"', "'")
+                if run(j, value) > j:
+                    end = run(j, value)
+                    if end - j >= 8:
+                        found.append((i, 0, "assign", end))
+        i = end
+    i = 0
+    while i < len(t):
+        j = run(i + 4, upper + digits) if t.startswith("AKIA", i) else i
+        if j - i >= 16:
+            found.append((i, 1, "access", j))
+        i = max(i + 1, j if j > i + 4 else i + 1)
+    i = 0
+    while i < len(t):
+        j = run(i, hexes)
+        if j - i >= 32:
+            found.append((i, 2, "hex", j))
+        i = max(i + 1, j)
+    return [(kind, a, b) for a, _, kind, b in sorted(found)]
+
+
 def simhash(text, shingle=3):
     import xxhash
     ws = ["".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in w) for w in words_of(text)]
