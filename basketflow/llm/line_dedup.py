@@ -1,18 +1,22 @@
 r"""Line dedup with content-defined line chunks.
 
-A document's lines (split at \n) are hashed; a chunk ends after a line where the rolling hash over the last
-three line hashes is divisible by EVERY, so an inserted or lost line moves the next boundary or two and no
-more. A chunk with two or more lines that hold a word is removed if the same bytes stand earlier: in a
-document with a smaller id, or earlier in the document itself. Shorter chunks stay.
-
-Only digests and places are gathered for all chunks (combined map-side, so a chunk under a third of all
+Every run of two or more worded lines (split at \n; blank lines inside the run belong to it) goes where the same bytes stand
+earlier: in a document with a smaller id, or earlier in the document itself without overlapping. Unit of this rule is the pair
+of neighbouring worded lines; a pair that overlaps the first occurrence of its bytes stays.
+
+The worded lines of a document are hashed; a chunk ends after a line where the rolling hash over the last three line hashes
+is divisible by EVERY, so an inserted or lost line moves the next boundary or two and no more. Chunks of two or more worded lines
+are counted by digest, and all but the first of each are taken out whole. Repeats rarely begin and end at boundaries, so they
+are then followed line by line: the pairs of neighbouring lines in the chunks that are left, and those across the edges of the
+chunks taken out, are counted in the same way. A pair inside a chunk taken out needs no look: it stands in the first
+chunk too. The result therefore does not depend on where chunks end; EVERY decides only how much the first step spares the second.
+
+Only digests and places are gathered for all chunks and pairs (combined map-side, so a chunk under a third of all
 documents is one small row per task). The first occurrence of each repeated digest is fetched, and every
-other is removed only where its bytes equal those. The documents are shuffled by row, never by
-chunk, and joins by chunk have one row per digest on one side.
+other is removed only where its bytes equal those. (Of two different chunks with one MD5 the later one would stay, its inner
+pairs unseen.) The documents are shuffled by row, never by chunk, and joins by digest have one row per digest on one side.
 
-``passages`` does the same with every pair of neighbouring worded lines (and the blank lines between them) as a
-unit instead of every chunk, so each repeated run of two or more worded lines goes, wherever chunks
-would end. A pair that overlaps the first occurrence of its bytes stays.
+``passages`` finds the same runs without chunks: all pairs are counted at once.
 
 Everything is DataFrame functions. Results for odd input: a null text stays null, an empty one empty; a null
 id counts as larger than any other; rows that agree in id and text are one document and stay alike; rows
@@ -27,8 +31,7 @@ from pyspark.sql import functions as F
 
 from basketflow.llm.common import Stages, text_digest
 
-EVERY = 4  # expected lines in a chunk
-MIN_LINES = 2
+EVERY = 4  # expected worded lines in a chunk
 _LAST = 2 ** 63 - 1
 _BLANKS = " \t\n\x0b\f\r"
 
@@ -41,56 +44,93 @@ def _part(lines: Column, start: Column, end: Column) -> Column:
     return F.array_join(F.slice(lines, start + 1, end - start), "\n")
 
 
-def chunks(rows: DataFrame, every: int = EVERY, min_lines: int = MIN_LINES) -> DataFrame:
-    """(ord, dk, start, end, digest) of all removable chunks of rows (ord, dk, text); lines from 0."""
+def _units(rows: DataFrame) -> DataFrame:
+    """rows with l (lines), w (places of worded lines) and p (start, end and digest of each pair of neighbours in w)."""
     df = rows.select("ord", "dk", _lines(F.col("text")).alias("l"))
-    df = df.withColumn("v", F.transform("l", lambda x: F.conv(F.substring(F.md5(x.cast("binary")), 1, 7), 16, 10).cast("long")))
+    df = df.withColumn("w", F.filter(F.transform("l", lambda x, i: F.when(F.length(F.translate(x, _BLANKS, "")) > 0, i)), lambda i: i.isNotNull()))
+    df = df.where(F.size("w") > 1)
+    # The digests are taken before an explode, which then copies no lines.
+    return df.withColumn("p", F.transform(F.slice("w", F.lit(1), F.greatest(F.size("w") - 1, F.lit(0))), lambda a, j: _unit(a, F.get("w", j + 1) + 1)))
+
+
+def _unit(start: Column, end: Column) -> Column:
+    return F.struct(start.alias("start"), end.alias("end"), F.unhex(F.md5(_part(F.col("l"), start, end).cast("binary"))).alias("digest"))
+
+
+def chunks(rows: DataFrame, every: int = EVERY) -> DataFrame:
+    """(ord, dk, c, pairs) of all chunks of rows (ord, dk, text).
+
+    c is (start, end, digest), lines from 0; the digest of a chunk of one worded line is null. pairs are the pairs that begin in
+    the chunk, the last of them across its end.
+    """
+    df = _units(rows).withColumn("v", F.transform("w", lambda i: F.conv(F.substring(F.md5(F.get("l", i).cast("binary")), 1, 7), 16, 10).cast("long")))
     back = lambda i, k: F.when(i >= k, F.get("v", F.greatest(i - k, F.lit(0)))).otherwise(F.lit(0))
     roll = lambda x, i: x + 31 * back(i, 1) + 961 * back(i, 2)
     ends = F.filter(F.transform("v", lambda x, i: F.when(roll(x, i) % every == 0, i + 1)), lambda x: x.isNotNull())
-    df = df.withColumn("ends", F.array_union(ends, F.array(F.size("l"))))
-    cut = F.transform("ends", lambda e, j: F.struct(F.when(j > 0, F.get("ends", F.greatest(j - 1, F.lit(0)))).otherwise(F.lit(0)).alias("start"), e.alias("end")))
-    df = df.select("ord", "dk", "l", F.explode(cut).alias("c")).select("ord", "dk", "l", "c.start", "c.end").where(F.col("end") - F.col("start") >= min_lines)
-    part = F.slice("l", F.col("start") + 1, F.col("end") - F.col("start"))
-    df = df.select("ord", "dk", "start", "end", part.alias("p"))
-    worded = F.size(F.filter("p", lambda x: F.length(F.translate(x, _BLANKS, "")) > 0))
-    return df.where(worded >= min_lines).select("ord", "dk", "start", "end", F.unhex(F.md5(F.array_join("p", "\n").cast("binary"))).alias("digest"))
+    df = df.withColumn("ends", F.array_union(ends, F.array(F.size("w"))))
+
+    def chunk(b: Column, j: Column) -> Column:
+        a = F.when(j > 0, F.get("ends", F.greatest(j - 1, F.lit(0)))).otherwise(F.lit(0))
+        unit = _unit(F.get("w", a), F.get("w", b - 1) + 1)
+        return F.struct(unit.withField("digest", F.when(b - a > 1, unit["digest"])).alias("c"), F.slice("p", a + 1, b - a).alias("pairs"))
+
+    return df.select("ord", "dk", F.explode(F.transform("ends", chunk)).alias("x")).select("ord", "dk", "x.*")
 
 
 def pairs(rows: DataFrame) -> DataFrame:
     """(ord, dk, start, end, digest) of all pairs of neighbouring worded lines of rows (ord, dk, text)."""
-    df = rows.select("ord", "dk", _lines(F.col("text")).alias("l"))
-    df = df.withColumn("w", F.filter(F.transform("l", lambda x, i: F.when(F.length(F.translate(x, _BLANKS, "")) > 0, i)), lambda i: i.isNotNull()))
-    df = df.where(F.size("w") > 1)
-    # The digests are taken before the explode, which then copies no lines.
-    unit = lambda a, e: F.struct(a.alias("start"), e.alias("end"), F.unhex(F.md5(_part(F.col("l"), a, e).cast("binary"))).alias("digest"))
-    each = F.transform(F.slice("w", F.lit(1), F.size("w") - 1), lambda a, j: unit(a, F.get("w", j + 1) + 1))
-    return df.select("ord", "dk", F.explode(each).alias("p")).select("ord", "dk", "p.*")
+    return _units(rows).select("ord", "dk", F.explode("p").alias("p")).select("ord", "dk", "p.*")
+
 
+def _firsts(units: DataFrame) -> DataFrame:
+    """(digest, first) of the digests that stand more than once."""
+    return (units.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("ord", "dk", "start", "end")).alias("first"))
+            .where("n > 1").select("digest", "first"))
 
-def dedup(docs: DataFrame, stages: Stages, every: int = EVERY, min_lines: int = MIN_LINES, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``docs`` with the repeated chunks cut from ``text``, n_lines and n_removed (lines).
+
+_LATER = "(struct(ord, dk) <> struct(first.ord, first.dk) or start >= first.end)"
+_PLACE = ["digest", "ord", "dk", "start", "end"]
+
+
+def dedup(docs: DataFrame, stages: Stages, every: int = EVERY, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """``docs`` with the repeated runs of lines cut from ``text``, n_lines and n_removed (lines).
 
     The two counts replace columns of those names. A document whose lines all go keeps an empty text.
     """
-    return _cut(docs, stages, lambda rows: chunks(rows, every, min_lines), text, doc_id)
+    def find(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        found = stages.write(chunks(rows, every), "chunks")
+        several = found.where("c.digest is not null").select("ord", "dk", "c.*", "pairs")
+        firsts = stages.write(_firsts(several), "firsts")
+        copies = several.join(firsts, "digest").where(_LATER).select(*_PLACE)
+        gone = F.coalesce(F.col("first").isNotNull() & F.expr(_LATER), F.lit(False))
+        left = F.when(gone, F.filter("pairs", lambda p: p["end"] > F.col("end"))).otherwise(F.col("pairs"))
+        left = several.join(firsts, "digest", "left").select("ord", "dk", left.alias("pairs"))
+        left = left.unionByName(found.where("c.digest is null").select("ord", "dk", "pairs"))
+        edges = stages.write(left.select("ord", "dk", F.explode("pairs").alias("p")).select("ord", "dk", "p.*"), "edges")
+        more = stages.write(_firsts(edges), "edge-firsts")
+        later = copies.unionByName(edges.join(more, "digest").where(_LATER).select(*_PLACE))
+        later = stages.write(later, "later")
+        stages.drop("chunks", "edges")
+        return later, firsts.unionByName(more)
+
+    return _cut(docs, stages, find, text, doc_id)
 
 
 def passages(docs: DataFrame, stages: Stages, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """Like ``dedup``, with every repeated run of two or more worded lines cut."""
-    return _cut(docs, stages, pairs, text, doc_id)
+    """Like ``dedup``, all pairs of neighbouring worded lines counted at once."""
+    def find(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        found = stages.write(pairs(rows), "chunks")
+        firsts = stages.write(_firsts(found), "firsts")
+        return found.join(firsts, "digest").where(_LATER).select(*_PLACE), firsts
+
+    return _cut(docs, stages, find, text, doc_id)
 
 
-def _cut(docs: DataFrame, stages: Stages, units, text: str, doc_id: str) -> DataFrame:
+def _cut(docs: DataFrame, stages: Stages, find, text: str, doc_id: str) -> DataFrame:
     columns = [c for c in docs.columns if c not in (text, "n_lines", "n_removed")]
     rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST)).alias("ord"), text_digest(F.col(text)).alias("dk"),
                        F.col(text).alias("text"), F.struct(*[F.col(f"`{c}`") for c in columns]).alias("rest") if columns else F.lit(None).alias("rest"))
-    found = stages.write(units(rows.where("text is not null")), "chunks")
-    firsts = (found.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("ord", "dk", "start", "end")).alias("first"))
-              .where("n > 1").select("digest", "first"))
-    firsts = stages.write(firsts, "firsts")
-    later = (found.join(firsts, "digest").where((F.struct("ord", "dk") != F.struct("first.ord", "first.dk")) | (F.col("start") >= F.col("first.end")))
-             .select("digest", "ord", "dk", "start", "end"))
+    later, firsts = find(rows.where("text is not null"))
     wanted = (firsts.select("digest", "first.*").groupBy("ord", "dk").agg(F.collect_list(F.struct("digest", "start", "end")).alias("wanted")))
     # The condition on "rest" always holds. It makes this side ask for the same columns as the join at the
     # end, so that both read one shuffle of the documents (the planner reuses equal exchanges).
@@ -101,15 +141,12 @@ def _cut(docs: DataFrame, stages: Stages, units, text: str, doc_id: str) -> Data
     marks = (later.join(texts, "digest").groupBy("ord", "dk").agg(F.sort_array(F.collect_set(F.struct("start", "end", "bytes"))).alias("marks")))
     marked = rows.join(marks, ["ord", "dk"], "left").withColumn("l", _lines(F.col("text")))
     same = F.filter("marks", lambda m: _part(F.col("l"), m["start"], m["end"]) == m["bytes"])
-    marked = marked.withColumn("gone", F.coalesce(F.transform(same, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"))),
-                                                  F.array().cast("array<struct<start:int,end:int>>")))
+    # Units overlap, so lines are cut by number.
+    gone = F.array_distinct(F.flatten(F.transform(same, lambda m: F.sequence(m["start"], m["end"] - 1))))
+    marked = marked.withColumn("gone", F.coalesce(gone, F.array().cast("array<int>")))
     n, size = F.size("gone"), F.size("l")
-    # The runs of lines between the removed units, in order. Units may overlap; later ones then end later.
-    upto = lambda j: F.when(j > 0, F.get("gone", F.greatest(j - 1, F.lit(0)))["end"]).otherwise(F.lit(0))
-    runs = F.transform(F.sequence(F.lit(0), n), lambda j: F.struct(upto(j).alias("a"), F.coalesce(F.get("gone", j)["start"], size).alias("b")))
-    kept = F.array_join(F.flatten(F.transform(runs, lambda r: F.slice("l", r["a"] + 1, F.greatest(r["b"] - r["a"], F.lit(0))))), "\n")
-    removed = F.aggregate(F.transform("gone", lambda m, j: m["end"] - F.greatest(m["start"], upto(j))), F.lit(0), lambda a, x: a + x)
+    kept = F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), size - 1), F.col("gone")), lambda i: F.get("l", i)), "\n")
     out = marked.withColumn("kept", F.when(n == 0, F.col("text")).otherwise(kept))
     order = [F.col("kept").alias(c) if c == text else F.col(f"rest.`{c}`").alias(c) for c in docs.columns if c not in ("n_lines", "n_removed")]
     lines = F.when(F.col("text").isNull(), F.lit(0)).otherwise(size)
-    return out.select(*order, lines.cast("long").alias("n_lines"), removed.cast("long").alias("n_removed"))
+    return out.select(*order, lines.cast("long").alias("n_lines"), n.cast("long").alias("n_removed"))

@@ -216,29 +216,6 @@ def op9_byte_bpe(spark, sf_dir, vocab_path: str | None = None, pattern: str | No
 _OP10 = r"""
 with l as (select doc_id, text, string_split(text, chr(10)) l from documents),
 line as (select doc_id, unnest(range(1, len(l) + 1)) i, unnest(l) x from l),
-v as (select *, ('0x' || substr(md5(x), 1, 7))::bigint v from line),
-roll as (select *, (v + 31 * coalesce(lag(v, 1) over d, 0) + 961 * coalesce(lag(v, 2) over d, 0)) % 4 = 0 stop
-         from v window d as (partition by doc_id order by i)),
-part as (select *, coalesce(sum(stop::int) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0) c from roll),
-chunk as (select doc_id, c, min(i) a, count(*) n, count(*) filter (regexp_matches(x, '[^\x20\x09-\x0D]')) worded,
-            string_agg(x, chr(10) order by i) bytes from part group by doc_id, c),
-judged as (select *, n >= 2 and worded >= 2 and row_number() over (partition by bytes order by doc_id, a) > 1 gone from chunk),
-kept as (select doc_id, string_agg(bytes, chr(10) order by a) filter (not gone) t, sum(n) n, coalesce(sum(n) filter (gone), 0) r
-         from judged group by doc_id)
-select doc_id, case when text is not null then coalesce(t, '') end as text, coalesce(n, 0)::bigint n_lines, coalesce(r, 0)::bigint n_removed
-from documents left join kept using (doc_id)
-"""
-
-
-@query("op10_line_chunks", _OP10)
-def op10_line_chunks(spark, sf_dir):
-    from basketflow.llm import line_dedup as ld
-    return ld.dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"), Stages(spark, "op10"))
-
-
-_OP10_PASSAGES = r"""
-with l as (select doc_id, text, string_split(text, chr(10)) l from documents),
-line as (select doc_id, unnest(range(1, len(l) + 1)) i, unnest(l) x from l),
 worded as (select doc_id, i, lead(i) over (partition by doc_id order by i) j from line where regexp_matches(x, '[^\x20\x09-\x0D]')),
 pair as (select doc_id, i, j, array_to_string(l[i : j], chr(10)) bytes from worded join l using (doc_id) where j is not null),
 marked as (select *, first_value(doc_id) over f fd, first_value(j) over f fj from pair window f as (partition by bytes order by doc_id, i)),
@@ -250,7 +227,13 @@ from documents left join kept using (doc_id)
 """
 
 
-@query("op10_line_passages", _OP10_PASSAGES)
+@query("op10_line_chunks", _OP10)
+def op10_line_chunks(spark, sf_dir):
+    from basketflow.llm import line_dedup as ld
+    return ld.dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"), Stages(spark, "op10"))
+
+
+@query("op10_line_passages", _OP10)
 def op10_line_passages(spark, sf_dir):
     from basketflow.llm import line_dedup as ld
     return ld.passages(_table(spark, sf_dir, "documents").select("doc_id", "text"), Stages(spark, "op10p"))

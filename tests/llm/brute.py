@@ -169,28 +169,20 @@ def quality_buckets(text, buckets):
     return [h % buckets for h in hs] + [_spark_hash(h, n) % buckets for h, n in zip(hs, [*hs[1:], None])]
 
 
-def line_dedup(rows, every=4, min_lines=2):
+def line_dedup(rows):
     """rows of (doc_id, text) -> list of (doc_id, text, n_lines, n_removed); ids distinct."""
-    seen: set = set()
+    first: dict = {}
     out = []
     for d, t in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
         if t is None:
             out.append((d, None, 0, 0))
             continue
         lines = t.split("\n")
-        v = [int(hashlib.md5(x.encode()).hexdigest()[:7], 16) for x in lines]
-        kept, start, removed = [], 0, 0
-        for i in range(len(lines)):
-            roll = v[i] + 31 * (v[i - 1] if i > 0 else 0) + 961 * (v[i - 2] if i > 1 else 0)
-            if roll % every == 0 or i == len(lines) - 1:
-                part = lines[start:i + 1]
-                key = tuple(part)
-                if len(part) >= min_lines and sum(bool(words_of(x)) for x in part) >= min_lines:
-                    if key in seen:
-                        removed += len(part)
-                        part = []
-                    seen.add(key)
-                kept += part
-                start = i + 1
-        out.append((d, "\n".join(kept), len(lines), removed))
+        worded = [i for i, x in enumerate(lines) if words_of(x)]
+        gone = set()
+        for a, b in zip(worded, worded[1:]):
+            where, until = first.setdefault("\n".join(lines[a:b + 1]), (len(out), b))
+            if where != len(out) or a > until:
+                gone.update(range(a, b + 1))
+        out.append((d, "\n".join(x for i, x in enumerate(lines) if i not in gone), len(lines), len(gone)))
     return out

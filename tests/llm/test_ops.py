@@ -386,9 +386,9 @@ def test_line_chunks(spark):
     rows = [(i, "\n".join(x if r.random() > .1 else r.choice(lines) for x in lines[r.randint(0, 15):r.randint(16, 40)])) for i in range(80)]
     rows += [(900, None), (901, ""), (902, "\n\n\n"), (903, "x\n" * 5_000), (904, "x\n" * 5_000), (905, "\n".join(lines)), (None, "\n".join(lines))]
     df = spark.createDataFrame(rows, DOCS)
-    for every in (2, 4):
+    for every in (1, 2, 4, 1_000):
         out = ld.dedup(df, Stages(spark, "t"), every=every).collect()
-        want = brute.line_dedup(rows, every=every)
+        want = brute.line_dedup(rows)
         assert by_text((r.doc_id, r.text, r.n_lines, r.n_removed) for r in out) == by_text(want)
         assert sum(w[3] for w in want) > 100
     twice = spark.createDataFrame([rows[0], rows[0]], DOCS)
@@ -408,7 +408,7 @@ def test_line_passages(spark):
             lines += planted[p] + own(f"{d}/{at}", r.randint(1, 5))
         rows.append((d, "\n".join(lines)))
     rows += [(None, "\n".join(planted[0])), (500, "a\na\na"), (501, "b\nb\nb\nb"), (502, None), (503, ""), (504, "\n \n")]
-    out = {(x.doc_id, x.n_lines): x for x in ld.passages(spark.createDataFrame(rows, DOCS), Stages(spark, "t")).collect()}
+    out = {(x.doc_id, x.n_lines): x for x in ld.dedup(spark.createDataFrame(rows, DOCS), Stages(spark, "t")).collect()}
     seen: set = set()
     for d, t in rows[:160]:
         got = next(x for x in out.values() if x.doc_id == d)
@@ -421,8 +421,8 @@ def test_line_passages(spark):
         assert got.n_removed == len(t.split("\n")) - len(got.text.split("\n"))
     assert [(out[k].text, out[k].n_removed) for k in [(None, 2), (500, 3), (501, 4), (502, 0), (503, 1), (504, 3)]] == [
         ("", 2), ("a\na\na", 0), ("b\nb", 2), (None, 0), ("", 0), ("\n \n", 0)]
-    chunked = ld.dedup(spark.createDataFrame(rows, DOCS), Stages(spark, "t")).collect()
-    assert sum(x.n_removed for x in chunked) < sum(x.n_removed for x in out.values())
+    paired = ld.passages(spark.createDataFrame(rows, DOCS), Stages(spark, "t")).collect()
+    assert by_text(paired) == by_text(out.values())
 
 
 def test_mix_handles_equal_rows_one_by_one(spark):
