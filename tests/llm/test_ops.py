@@ -437,3 +437,28 @@ def test_mix_handles_equal_rows_one_by_one(spark):
     share = {s: sum(len((x[1] or "").split()) for x in rows if x[2] == s) for s in "abc"}
     assert sum(took.values()) == pytest.approx(1.5 * sum(share.values()), abs=10) and all(took[s] <= 2 * share[s] for s in "abc")
     assert [x for x in out if x.source is None] == []
+
+
+def test_multi_index_recall_over_a_grid(spark):
+    """Links at cosine 0.90 to 0.95 over the given vectors, copies of them and vectors between them, in many cells: no link too many, 0.9 found."""
+    import numpy as np
+
+    from basketflow.llm import imi
+    base = np.array([r.embedding for r in spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").select("embedding").collect()][:500])
+    rng = np.random.default_rng(7)
+
+    def near(u, lo, hi):
+        w = rng.standard_normal(u.shape)
+        w -= (w * u).sum(1)[:, None] * u
+        c = rng.uniform(lo, hi, (len(u), 1))
+        return c * u + np.sqrt(1 - c * c) * w / np.linalg.norm(w, axis=1)[:, None]
+
+    unit = base / np.linalg.norm(base, axis=1)[:, None]
+    x = np.concatenate([unit, near(np.repeat(unit, 3, 0), .9, .95), near(np.repeat(unit, 4000 // len(unit), 0), .3, .8)])
+    want = ((x / np.linalg.norm(x, axis=1)[:, None]) @ (x / np.linalg.norm(x, axis=1)[:, None]).T >= .9).sum(1) - 1
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    stages = Stages(spark, "t")
+    got = {r.vec_id: r.n_links for r in imi.near_duplicates(df, stages, cell_target=64).collect()}
+    found = np.array([got[i] for i in range(len(x))])
+    assert spark.read.parquet(stages.path("cells")).count() > 30
+    assert (found <= want).all() and want.sum() > 1000 and found.sum() >= .9 * want.sum()
