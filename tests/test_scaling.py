@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import numpy as np
+
+from basketflow.operators import boosting as bo
+from basketflow.operators import factors as fa
 from basketflow.sources import retail_view as rv
 
 SF = "/root/testdata/sf0.001"
@@ -17,3 +21,35 @@ def test_view_partitions_go_by_rows(spark, monkeypatch):
     plan = lines._jdf.queryExecution().executedPlan().toString()
     assert f"hashpartitioning(order_id" in plan and f", {-(-n_lines // 100)}), REPARTITION_BY_NUM" in plan
     assert {tuple(r) for r in lines.collect()} == plain
+
+
+def test_tiles_multiply_as_numpy(spark, monkeypatch):
+    """The product and its transpose, a tile of many steps and a hot row; a tile sends one sum per row, not one per coordinate."""
+    monkeypatch.setattr(fa, "BAND_ROWS", 40)
+    rng = np.random.default_rng(1)
+    m = (rng.random((100, 90)) < 0.2) * rng.random((100, 90))
+    m[7] = 1.0
+    m[13] = 0.0
+    x = spark.createDataFrame([(int(i), int(j), float(m[i, j])) for i, j in zip(*np.nonzero(m))], "row long, col int, value double")
+    tiles = fa.Tiles(x, 100, 90)
+    assert (fa.bands(100), fa.bands(90)) == (3, 3)
+    for on, a in (("col", m), ("row", m.T)):
+        v = rng.random((a.shape[1], 5))
+        block = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(v)], f"key {tiles.types[on]}, v array<double>")
+        got = {r.key: r.v for r in tiles.times(block, on, 5).collect()}
+        assert set(got) == set(np.flatnonzero(a.any(axis=1)))
+        assert all(np.allclose(got[i], a[i] @ v) for i in got)
+
+
+def test_a_split_knows_the_rows_it_sends_left(spark):
+    """Numbers, categories and NULLs: the children's rows come with the split, without a pass over the rows."""
+    rows = [(1, 0, 0, 5, 9, 30), (1, 0, 1, -40, 20, 50), (1, 0, 2, 35, 21, 20), (2, 1, 0, 1, 1, 2), (2, 1, 1, 30, 9, 11), (2, 1, 2, -31, 8, 17)]
+    unit = int(bo.UNIT)
+    sums = spark.createDataFrame([(a, f, b, g * unit, h * unit, n) for a, f, b, g, h, n in rows], "node long, feature int, bin int, g long, h long, n long")
+    rules = bo.Rules(0.0, 1, 0.0, 1.0, 5, (0, 1), (3, 3), (False, True))
+    got = {r.node: r for r in bo.split_table(sums, rules).collect()}
+    for node, r in got.items():
+        left = {r.bin} if r.cats is None else set(r.cats)
+        upto = {b for _, f, b, *_ in rows if f == r.feature and (b in left if r.cats is not None else 0 < b <= r.bin)} | ({0} if r.missing_left else set())
+        assert r.n_left == sum(n for a, f, b, _, _, n in rows if a == node and f == r.feature and b in upto)
+    assert set(got) == {1, 2}
