@@ -25,3 +25,22 @@ def test_quantile_as_percentile(spark):
     for share in (0.0, 0.005, 0.37, 0.5, 1.0):
         assert abs(ql.quantile(scores, share) - scores.agg(F.percentile("score", share)).first()[0]) < 1e-12
     assert ql.quantile(scores.where("false"), 0.5) is None
+
+
+def test_no_text_meets_the_trusted_ids(spark, monkeypatch):
+    """Whatever the number of ids, only ids, measures and buckets are shuffled."""
+    docs = spark.createDataFrame([(i, "a b c " * (20 + i)) for i in range(8)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(6)], "doc_id long, quality int, toxic int")
+    plans, write = {}, ql.Stages.write
+
+    def spy(self, df, table):
+        plans[table] = df._jdf.queryExecution().optimizedPlan().toString()
+        return write(self, df, table)
+
+    monkeypatch.setattr(ql.Stages, "write", spy)
+    model = ql.fit(docs, labels)
+    join = plans["grams"][plans["grams"].index("Join LeftSemi"):].splitlines()
+    assert "rightHint=(strategy=merge)" in join[0]
+    sent = next(line.lstrip("+-: ") for line in join[1:] if "Project" in line)
+    assert sent.startswith("Project [doc_id") and "AS _b#" in sent and "AS _text#" not in sent
+    assert any(model.ratios) and model.threshold > -1
