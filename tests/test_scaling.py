@@ -53,3 +53,27 @@ def test_a_split_knows_the_rows_it_sends_left(spark):
         upto = {b for _, f, b, *_ in rows if f == r.feature and (b in left if r.cats is not None else 0 < b <= r.bin)} | ({0} if r.missing_left else set())
         assert r.n_left == sum(n for a, f, b, _, _, n in rows if a == node and f == r.feature and b in upto)
     assert set(got) == {1, 2}
+
+
+def test_parts_of_a_bin_add_up_in_one_shuffle_by_feature(spark):
+    """Sums as tasks send them: no step before the splits has to add them up, and no window orders the bins."""
+    unit = int(bo.UNIT)
+    rows = [(1, 0, b, g * unit, h * unit, n) for b, g, h, n in ((0, 5, 9, 30), (2, -40, 20, 50), (7, 35, 21, 20))]
+    rules = bo.Rules(0.0, 1, 0.0, 1.0, 5, (0,), (9,), (False,))
+    halves = [(a, f, b, g // 2, h // 2, n // 2) for a, f, b, g, h, n in rows]
+    found = bo.split_table(spark.createDataFrame(halves * 2, "node long, feature int, bin int, g long, h long, n long"), rules)
+    assert "Window" not in found._jdf.queryExecution().executedPlan().toString()
+    r = found.first()
+    assert (r.feature, r.bin, r.missing_left, r.g, r.h, r.n, r.n_left) == (0, 2, False, 0, 50 * unit, 100, 50)
+
+
+def test_a_subtree_grows_as_far_as_its_leaves_reach():
+    """The nodes that best-first growth keeps, without the others of a fully grown tree."""
+    rng = np.random.default_rng(5)
+    codes = rng.integers(0, 40, (6000, 3)).astype(np.uint8)
+    g, h = np.rint(rng.normal(0, 1, 6000) * bo.UNIT), np.full(6000, bo.UNIT / 4)
+    rules = lambda leaves: bo.Rules(1.0, 1, 0.0, 1.0, 11, (0, 1, 2), (40, 40, 40), (False, True, False), leaves)
+    whole, some = (bo._grow(1, codes, g, h, rules(leaves)) for leaves in (0, 12))
+    assert len(some) < len(whole) / 4
+    assert bo._best_first(some, 12, 0.0) == bo._best_first(whole, 12, 0.0)
+    assert all(some[i] == whole[i] for i in some)
