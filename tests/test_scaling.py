@@ -23,6 +23,15 @@ def test_view_partitions_go_by_rows(spark, monkeypatch):
     assert {tuple(r) for r in lines.collect()} == plain
 
 
+def test_lines_meet_their_first_order_in_partitions_by_rows(spark, monkeypatch):
+    """Neither side of the last join is in the session's few partitions."""
+    monkeypatch.setattr(rv, "ROWS_PER_TASK", 100)
+    n = rv._parts(spark, SF, "lineitem")
+    plan = rv.build_lines(spark, SF, rv.build_orders(spark, SF))._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning(user_id" in line and ", product_id" in line]
+    assert dealt and all(f", {n})" in line for line in dealt)
+
+
 def test_tiles_multiply_as_numpy(spark, monkeypatch):
     """The product and its transpose, a tile of many steps and a hot row; a tile sends one sum per row, not one per coordinate."""
     monkeypatch.setattr(fa, "BAND_ROWS", 40)
