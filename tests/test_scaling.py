@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 
 from basketflow.operators import boosting as bo
 from basketflow.operators import factors as fa
@@ -32,6 +33,28 @@ def test_lines_meet_their_first_order_in_partitions_by_rows(spark, monkeypatch):
     assert dealt and all(f", {n})" in line for line in dealt)
 
 
+def test_the_lines_are_derived_once(spark, monkeypatch):
+    """The pair's first order takes no second reading, grouping and shuffle of the lines."""
+    monkeypatch.setattr(rv, "ROWS_PER_TASK", 100)
+    plan = rv.build_lines(spark, SF, rv.build_orders(spark, SF))._jdf.queryExecution().executedPlan().toString()
+    assert sum("FileScan parquet [l_orderkey" in line for line in plan.splitlines()) == 1
+
+
+@pytest.mark.parametrize("rows_per_task", [100_000, 2])
+def test_a_line_without_a_product_keeps_its_place(spark, tmp_path, monkeypatch, rows_per_task):
+    """NULL keys: such a line counts in the cart and is no line of the view; a customer without a key has no lines."""
+    monkeypatch.setattr(rv, "ROWS_PER_TASK", rows_per_task)
+    day = "timestamp'2020-01-0{} 00:00:00'".format
+    spark.sql(f"""select * from values (1L, 2L, {day(1)}), (2L, 2L, {day(2)}), (3L, cast(null as long), {day(3)}), (4L, 2L, {day(4)})
+                  as t(o_orderkey, o_custkey, o_orderdate)""").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql("""select * from values (1L, cast(null as long), 1), (1L, 5L, 2), (1L, 5L, 3), (2L, 5L, 1), (2L, 6L, 2), (3L, 5L, 1), (4L, 6L, 1),
+                 (cast(null as long), 5L, 1), (2L, cast(null as long), 3) as t(l_orderkey, l_partkey, l_linenumber)""").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(50).withColumnRenamed("id", "p_partkey").write.parquet(f"{tmp_path}/part.parquet")
+    lines = rv.build_lines(spark, str(tmp_path), rv.build_orders(spark, str(tmp_path)))
+    got = sorted((r.order_id, r.product_id, r.add_to_cart_order, r.reordered, r.order_number) for r in lines.collect())
+    assert got == [(1, 6, 2, 0, 1), (2, 6, 1, 1, 2), (2, 7, 2, 0, 2), (4, 7, 1, 1, 3)]
+
+
 def test_tiles_multiply_as_numpy(spark, monkeypatch):
     """The product and its transpose, a tile of many steps and a hot row; a tile sends one sum per row, not one per coordinate."""
     monkeypatch.setattr(fa, "BAND_ROWS", 40)
