@@ -7,6 +7,7 @@ import pytest
 
 from basketflow.operators import boosting as bo
 from basketflow.operators import factors as fa
+from basketflow.operators import model as md
 from basketflow.sources import retail_view as rv
 
 SF = "/root/testdata/sf0.001"
@@ -109,3 +110,18 @@ def test_a_subtree_grows_as_far_as_its_leaves_reach():
     assert len(some) < len(whole) / 4
     assert bo._best_first(some, 12, 0.0) == bo._best_first(whole, 12, 0.0)
     assert all(some[i] == whole[i] for i in some)
+
+
+def test_metrics_score_their_rows_once(spark):
+    """AUC and log-loss are several jobs over rows that are computed in one."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def scored(batches):
+        for pdf in batches:
+            seen.add(len(pdf))
+            yield pdf
+
+    rows = spark.createDataFrame([(1, 0.8), (0, 0.4), (1, 0.3), (0, 0.1)], "label int, prediction double")
+    got = md.metrics_of(rows.mapInPandas(scored, rows.schema)).first()
+    assert seen.value == 4
+    assert got.auc == 0.75 and np.isclose(got.logloss, -np.log([0.8, 0.6, 0.3, 0.9]).mean())
