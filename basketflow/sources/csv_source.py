@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketflow.sources.retail_view import Retail
+from basketflow.sources.retail_view import Retail, dealt, parts_for
 from basketflow.sources.tables import SCHEMAS
 
 # Names of the files of an order history.
@@ -91,25 +91,32 @@ def load_csv(spark: SparkSession, folder: str) -> Retail:
 
     A file may be a folder of part files of that name. Rows with a field that does not parse are refused with their
     number, since a history without them would be another one; ``rescued`` shows them. Test orders have no lines.
+    The pass that looks for them counts the rows too, by which lines and orders are dealt out to meet.
     """
     at = lambda name: os.path.join(folder, FILES[name])
-    bad = rescued(spark, folder)
-    counts = {r.file: r["count"] for r in bad.groupBy("file").count().collect()}
+    found = _each_file(spark, folder).groupBy("file").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size(F.coalesce(RESCUED, F.create_map()))).alias("bad")).collect()
+    counts = {r.file: r.bad for r in found if r.bad}
     if counts:
         raise ValueError(f"rows that do not parse: {counts}")
+    n = parts_for(spark, sum(r.rows for r in found if r.file in (FILES["prior"], FILES["train"])))
     orders = read_declared(spark, at("orders"), "orders").drop(RESCUED)
     lines = read_declared(spark, at("prior"), "lines").unionByName(read_declared(spark, at("train"), "lines")).drop(RESCUED)
-    lines = lines.join(orders.select("order_id", "eval_set", "user_id", "order_number"), "order_id")
+    header = orders.select("order_id", "eval_set", "user_id", "order_number")
+    lines = dealt(lines, n, "order_id").join(dealt(header, n, "order_id"), "order_id")
     products = read_declared(spark, at("products"), "products").drop(RESCUED)
-    return Retail(orders, lines, products)
+    return Retail(orders, lines, products, n)
 
 
 def rescued(spark: SparkSession, folder: str) -> DataFrame:
     """(file, field, value): every field and row of the history that does not parse."""
+    return _each_file(spark, folder).where(F.col(RESCUED).isNotNull()).select("file", F.explode(RESCUED).alias("field", "value"))
+
+
+def _each_file(spark: SparkSession, folder: str) -> DataFrame:
+    """(file, _rescued): every row of the history."""
     out = None
     for name, kind in (("orders", "orders"), ("prior", "lines"), ("train", "lines"), ("products", "products")):
-        df = read_declared(spark, os.path.join(folder, FILES[name]), kind).where(F.col(RESCUED).isNotNull())
-        part = df.select(F.lit(FILES[name]).alias("file"), F.explode(RESCUED).alias("field", "value"))
+        part = read_declared(spark, os.path.join(folder, FILES[name]), kind).select(F.lit(FILES[name]).alias("file"), RESCUED)
         out = part if out is None else out.unionByName(part)
     return out
 

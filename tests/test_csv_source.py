@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from basketflow.operators import model as md
 from basketflow.sources import csv_source as cs
+from basketflow.sources import retail_view as rv
 from basketflow.sources.retail_view import load_retail
 from tests.conftest import SF001
 
@@ -54,6 +55,21 @@ def test_a_history_with_a_bad_row_is_refused_and_shown(spark, tmp_path):
         cs.load_csv(spark, folder)
 
 
+def test_lines_of_a_history_meet_their_orders_in_partitions_by_rows(spark, tmp_path, monkeypatch):
+    """Neither side of the join is in the session's few partitions, and the rows are the same."""
+    folder = str(tmp_path / "history")
+    retail = load_retail(spark, SF001)
+    cs.write_history(retail, folder)
+    plain = {tuple(r) for r in cs.load_csv(spark, folder).lines.collect()}
+    monkeypatch.setattr(rv, "ROWS_PER_TASK", 100)
+    monkeypatch.setattr(rv, "ROWS_WORTH_A_TASK", 100)
+    lines = cs.load_csv(spark, folder).lines
+    n = -(-retail.lines.where("eval_set != 'test'").count() // 100)
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(f", {n}), REPARTITION_BY_NUM") == 2
+    assert {tuple(r) for r in lines.collect()} == plain
+
+
 def test_the_flow_from_six_csv_files(spark, tmp_path):
     from basketflow.run import PRESETS, run_all
     folder, out = str(tmp_path / "history"), str(tmp_path / "run")
