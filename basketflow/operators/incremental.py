@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketflow.operators import sequences as seq
+from basketflow.sources.retail_view import dealt
 
 LG_K = 12
 
@@ -72,22 +73,25 @@ def elapsed_days(orders: DataFrame) -> DataFrame:
     return x.select("order_id", F.when(missing, 0.0).otherwise(F.col("_cum")).cast("int").alias("elapsed"))
 
 
-def load_gaps(lines: DataFrame, last: DataFrame | None = None) -> DataFrame:
+def load_gaps(lines: DataFrame, last: DataFrame | None = None, parts: int = 0) -> DataFrame:
     """(user_id, product_id, gap): the gaps that a load adds, from lines (user_id, product_id, order_number, elapsed).
 
-    ``last`` (from ``last_purchases``) is each pair's last purchase before the load; without it the load is the first.
+    ``last`` (from ``last_purchases``) is each pair's last purchase before the load; without it the load is the first. Rows
+    are dealt out in ``parts`` partitions (0: the session's).
     """
-    x = seq.lag(lines.select("user_id", "product_id", "order_number", "elapsed"), ["user_id", "product_id"], "order_number", "elapsed", "_before")
+    pair = ["user_id", "product_id"]
+    x = seq.lag(lines.select("user_id", "product_id", "order_number", "elapsed"), pair, "order_number", "elapsed", "_before", parts=parts)
     if last is not None:
-        x = x.join(last, ["user_id", "product_id"], "left").withColumn("_before", F.coalesce("_before", "last_elapsed"))
+        x = dealt(x, parts, *pair).join(dealt(last, parts, *pair), pair, "left").withColumn("_before", F.coalesce("_before", "last_elapsed"))
     return x.select("user_id", "product_id", (F.col("elapsed") - F.col("_before")).alias("gap")).where("gap is not null")
 
 
-def last_purchases(lines: DataFrame, before: DataFrame | None = None) -> DataFrame:
-    """(user_id, product_id, last_order, last_elapsed) after the load: each pair's newest purchase."""
+def last_purchases(lines: DataFrame, before: DataFrame | None = None, parts: int = 0) -> DataFrame:
+    """(user_id, product_id, last_order, last_elapsed) after the load: each pair's newest purchase; rows are dealt out in
+    ``parts`` partitions (0: the session's)."""
     now = lines.select("user_id", "product_id", F.col("order_number").alias("last_order"), F.col("elapsed").alias("last_elapsed"))
     rows = now if before is None else now.unionByName(before)
-    return rows.groupBy("user_id", "product_id").agg(F.max("last_order").alias("last_order"), F.max_by("last_elapsed", "last_order").alias("last_elapsed"))
+    return dealt(rows, parts, "user_id", "product_id").groupBy("user_id", "product_id").agg(F.max("last_order").alias("last_order"), F.max_by("last_elapsed", "last_order").alias("last_elapsed"))
 
 
 # ---------------------------------------------------------------- distinct counts
