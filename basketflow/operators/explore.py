@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketflow.functions.exprs import ratio
+from basketflow.sources.retail_view import dealt
 
 # Fixed values of the notebook: histogram cut-off, cart-position clip, support threshold,
 # report lengths.
@@ -45,9 +46,10 @@ def history_histogram(orders: DataFrame, top: int = HISTORY_TOP) -> DataFrame:
     return hist.orderBy(F.col("n_users").desc(), F.col("history_len")).limit(top)
 
 
-def basket_histogram(lines: DataFrame) -> DataFrame:
-    """Orders per basket size (max add_to_cart_order), with the mean basket size."""
-    per_order = lines.groupBy("order_id").agg(F.max("add_to_cart_order").alias("basket_size"))
+def basket_histogram(lines: DataFrame, parts: int = 0) -> DataFrame:
+    """Orders per basket size (max add_to_cart_order), with the mean basket size; the lines meet in ``parts``
+    partitions (0: the session's)."""
+    per_order = dealt(lines, parts, "order_id").groupBy("order_id").agg(F.max("add_to_cart_order").alias("basket_size"))
     hist = per_order.groupBy("basket_size").agg(F.count(F.lit(1)).alias("n_orders"))
     mean = hist.agg(F.sum(F.col("basket_size") * F.col("n_orders")) / F.sum("n_orders")).scalar()
     return hist.select("basket_size", "n_orders", mean.alias("avg_basket_size"))

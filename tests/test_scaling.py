@@ -11,6 +11,7 @@ from basketflow.operators import decisions as dc
 from basketflow.operators import factors as fa
 from basketflow.operators import incremental as inc
 from basketflow.operators import model as md
+from basketflow.plans import catalog
 from basketflow.sources import retail_view as rv
 
 SF = "/root/testdata/sf0.001"
@@ -159,3 +160,17 @@ def test_loads_meet_what_is_stored_in_partitions_by_rows(spark):
         plans = "".join(df._jdf.queryExecution().executedPlan().toString() for df in dfs)
         assert (session in plans) == (parts == 0) and (", 37)" in plans) == (parts == 37)
     assert found[0] == found[1] and all(found[0])
+
+
+def _order_exchanges(df):
+    return [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning(order_id" in line]
+
+
+def test_baskets_are_counted_in_partitions_by_rows(spark, monkeypatch):
+    """No lines of an order meet in the session's few partitions, and the counts are the same."""
+    plain = {tuple(r) for r in catalog.a_basket_histogram(spark, SF).collect()}
+    monkeypatch.setattr(rv, "ROWS_PER_TASK", 100)
+    got = catalog.a_basket_histogram(spark, SF)
+    found = _order_exchanges(got)
+    assert found and all(f", {rv._parts(spark, SF, 'lineitem')})" in line for line in found)
+    assert {tuple(r) for r in got.collect()} == plain
