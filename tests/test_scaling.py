@@ -174,3 +174,13 @@ def test_baskets_are_counted_in_partitions_by_rows(spark, monkeypatch):
     found = _order_exchanges(got)
     assert found and all(f", {rv._parts(spark, SF, 'lineitem')})" in line for line in found)
     assert {tuple(r) for r in got.collect()} == plain
+
+
+def test_sentences_are_made_in_partitions_by_rows(spark, monkeypatch):
+    """No lines of an order are collected in the session's few partitions, and the sentences are the same."""
+    plain = {tuple(r) for r in catalog.u_basket_sentences(spark, SF).collect()}
+    monkeypatch.setattr(rv, "ROWS_PER_TASK", 100)
+    got = catalog.u_basket_sentences(spark, SF)
+    found = _order_exchanges(got)
+    assert found and all(f", {rv._parts(spark, SF, 'lineitem')})" in line for line in found)
+    assert {tuple(r) for r in got.collect()} == plain
