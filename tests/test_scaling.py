@@ -184,3 +184,22 @@ def test_sentences_are_made_in_partitions_by_rows(spark, monkeypatch):
     found = _order_exchanges(got)
     assert found and all(f", {rv._parts(spark, SF, 'lineitem')})" in line for line in found)
     assert {tuple(r) for r in got.collect()} == plain
+
+
+def test_truth_is_made_in_partitions_by_rows(spark, monkeypatch):
+    """Neither the lines of an order nor the orders are in the session's few partitions, and the rows are the same; so through the CSV sink."""
+    plain = {tuple(r) for r in catalog.e_ground_truth(spark, SF).collect()}
+    monkeypatch.setattr(rv, "ROWS_PER_TASK", 100)
+    got = catalog.e_ground_truth(spark, SF)
+    found = _order_exchanges(got)
+    assert found and all(f", {rv._parts(spark, SF, 'lineitem')})" in line for line in found)
+    assert {tuple(r) for r in got.collect()} == plain == {tuple(r) for r in catalog.s_csv_sink_roundtrip(spark, SF).collect()}
+
+
+@pytest.mark.parametrize("parts", [0, 37])
+def test_orders_without_lines_read_none(spark, parts):
+    """An order that repeats is there as often, and a key that is NULL meets no lines."""
+    lines = spark.createDataFrame([(1, 7, 2, 1), (1, 5, 1, 1), (2, 7, 1, 0), (None, 9, 1, 1)], "order_id long, product_id int, add_to_cart_order int, reordered int")
+    orders = spark.createDataFrame([(1,), (2,), (3,), (3,), (None,)], "order_id long")
+    got = sorted(((r.order_id or 0, r.products) for r in dc.ground_truth(lines, orders, parts).collect()))
+    assert got == [(0, "None"), (1, "5 7"), (2, "None"), (3, "None"), (3, "None")]
