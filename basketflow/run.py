@@ -63,12 +63,12 @@ def run_all(spark: SparkSession, input_dir: str, output_dir: str | None = None,
     if source == "csv":
         read = load_csv(spark, input_dir)
         retail = Retail(_staged(spark, read.orders, j("view", "orders")), _staged(spark, read.lines, j("view", "lines"), ["eval_set"]),
-                        _staged(spark, read.products, j("view", "products")))
+                        _staged(spark, read.products, j("view", "products")), read.parts)
     else:
         orders = _staged(spark, rv.build_orders(spark, input_dir), j("view", "orders"))
         retail = Retail(orders,
                         _staged(spark, rv.build_lines(spark, input_dir, orders), j("view", "lines"), ["eval_set"]),
-                        _staged(spark, rv.build_products(spark, input_dir), j("view", "products")))
+                        _staged(spark, rv.build_products(spark, input_dir), j("view", "products")), rv._parts(spark, input_dir, "lineitem"))
 
     # 2. feature groups; the intermediates several groups read are staged first
     staged = set()

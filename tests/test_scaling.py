@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
+from basketflow import run
 from basketflow.operators import boosting as bo
 from basketflow.operators import cooccurrence as co
 from basketflow.operators import decisions as dc
@@ -203,3 +204,18 @@ def test_orders_without_lines_read_none(spark, parts):
     orders = spark.createDataFrame([(1,), (2,), (3,), (3,), (None,)], "order_id long")
     got = sorted(((r.order_id or 0, r.products) for r in dc.ground_truth(lines, orders, parts).collect()))
     assert got == [(0, "None"), (1, "5 7"), (2, "None"), (3, "None"), (3, "None")]
+
+
+def test_the_job_deals_out_by_the_rows_of_its_tables(spark, tmp_path, monkeypatch):
+    """The view of a whole job carries the number of partitions its truth goes by."""
+    class Built(Exception):
+        pass
+
+    def retail(*args, **named):
+        raise Built(rv.Retail(*args, **named).parts)
+
+    monkeypatch.setattr(rv, "ROWS_PER_TASK", 100)
+    monkeypatch.setattr(run, "Retail", retail)
+    with pytest.raises(Built) as found:
+        run.run_all(spark, SF, str(tmp_path))
+    assert found.value.args == (rv._parts(spark, SF, "lineitem"),) and found.value.args[0] > 1
