@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from basketflow import run
 from basketflow.operators import boosting as bo
@@ -14,6 +15,7 @@ from basketflow.operators import incremental as inc
 from basketflow.operators import model as md
 from basketflow.plans import catalog
 from basketflow.sources import retail_view as rv
+from basketflow.sources import stage as st
 
 SF = "/root/testdata/sf0.001"
 
@@ -79,6 +81,59 @@ def test_tiles_multiply_as_numpy(spark, monkeypatch):
         assert all(np.allclose(got[i], a[i] @ v) for i in got)
 
 
+def _shuffled(spark):
+    """Shuffles whose files are on disk."""
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    return {str(blocks.apply(i)).split("_")[1] for i in range(blocks.size()) if str(blocks.apply(i)).startswith("shuffle_")}
+
+
+def test_a_block_is_multiplied_in_slices_of_its_columns(spark, monkeypatch):
+    """Slices, the last one narrower, give what the whole gives; none leaves its shuffle or its table on disk."""
+    monkeypatch.setattr(fa, "PASS_BYTES", 8_000)
+    rng = np.random.default_rng(2)
+    m = (rng.random((60, 50)) < 0.2) * rng.random((60, 50))
+    m[13] = 0.0
+    x = spark.createDataFrame([(int(i), int(j), float(m[i, j])) for i, j in zip(*np.nonzero(m))], "row long, col int, value double")
+    tiles = fa.Tiles(x, 60, 50, 11)
+    assert tiles.slices == 5
+    for on, a in (("col", m), ("row", m.T)):
+        v = rng.random((a.shape[1], 11))
+        scratch = st.Scratch(spark, "test")
+        block = scratch.keep(spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(v)], f"key {tiles.types[on]}, v array<double>"))
+        before = _shuffled(spark)
+        with tiles.product(block, on, 11, scratch, spent=True) as product:
+            assert _shuffled(spark) <= before and len(scratch.tables) == 1
+            image = scratch.keep(product)
+        assert _shuffled(spark) <= before and [t for t, _ in scratch.tables] == [image]
+        got = {r.key: r.v for r in image.collect()}
+        assert set(got) == set(np.flatnonzero(a.any(axis=1))) and all(np.allclose(got[i], a[i] @ v) for i in got)
+        scratch.close()
+
+
+def test_factors_and_vectors_leave_their_result_only(spark, monkeypatch):
+    """However many steps, neither their stage tables nor their shuffles stay; slices change nothing but the rounding."""
+    rng = np.random.default_rng(3)
+    counts = spark.createDataFrame([(int(u), int(p), float(rng.integers(1, 5))) for u in range(50) for p in rng.choice(40, 6, False)],
+                                   "user_id long, product_id int, cnt double")
+    m = rng.random((30, 30))
+    values = spark.createDataFrame([(a, b, float(m[a, b] + m[b, a])) for a in range(30) for b in range(30) if (a + b) % 3], "a int, b int, value double")
+    keys = spark.range(32).select(F.col("id").cast("int").alias("product_id"))
+    found = []
+    for size in (2 ** 29, 10_000):
+        monkeypatch.setattr(fa, "PASS_BYTES", size)
+        spark.sparkContext._jvm.System.gc()
+        before, scratch, other = _shuffled(spark), st.Scratch(spark, "test"), st.Scratch(spark, "test")
+        w, h, losses = fa.user_factors(counts, k=5, iterations=2, tolerance=0.0, solver="cd", scratch=scratch)
+        vectors = co.svd_vectors(values, keys, size=4, scratch=other)
+        assert len(scratch.tables) == 3 and len(other.tables) == 2  # counts, W, H; keys, vectors
+        assert len(_shuffled(spark) - before) <= 2 * len(losses) + 14  # sums that end in one row, and the coordinates that are held
+        found.append((losses, np.array([r.vector for r in vectors.orderBy("product_id").collect()])))
+        assert found[-1][1].shape == (32, 4)
+        scratch.close()
+        other.close()
+    assert np.allclose(found[0][0], found[1][0]) and np.allclose(found[0][1], found[1][1], atol=1e-8)
+
+
 def test_a_split_knows_the_rows_it_sends_left(spark):
     """Numbers, categories and NULLs: the children's rows come with the split, without a pass over the rows."""
     rows = [(1, 0, 0, 5, 9, 30), (1, 0, 1, -40, 20, 50), (1, 0, 2, 35, 21, 20), (2, 1, 0, 1, 1, 2), (2, 1, 1, 30, 9, 11), (2, 1, 2, -31, 8, 17)]
