@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from basketflow.operators import cooccurrence as co
 from basketflow.operators import decisions as dc
 from basketflow.operators import factors as fa
 from basketflow.operators import incremental as inc
+from basketflow.operators import matrix as mx
 from basketflow.operators import model as md
 from basketflow.plans import catalog
 from basketflow.sources import retail_view as rv
@@ -274,3 +277,23 @@ def test_the_job_deals_out_by_the_rows_of_its_tables(spark, tmp_path, monkeypatc
     with pytest.raises(Built) as found:
         run.run_all(spark, SF, str(tmp_path))
     assert found.value.args == (rv._parts(spark, SF, "lineitem"),) and found.value.args[0] > 1
+
+
+def test_the_matrix_is_made_in_passes_over_the_users(spark, monkeypatch):
+    """Passes give the rows of the one plan; pair counts, lines with their gaps and all shuffles are gone."""
+    kept = []
+    keep = st.Scratch.keep
+    monkeypatch.setattr(st.Scratch, "keep", lambda self, df, *more: kept.append((self, len(more))) or keep(self, df, *more))
+    monkeypatch.setattr(catalog, "PAIRS_PER_PASS", 700)
+    r = rv.load_retail(spark, SF, stage=True)
+    want = catalog._out(mx.feature_matrix(r).select(*mx.KEY_COLUMNS, *mx.RELATIONAL_COLUMNS))
+    n = want.count()
+    spark.sparkContext._jvm.System.gc()
+    before = _shuffled(spark)
+    got = catalog.f_feature_matrix(spark, SF)
+    assert kept[-1][1] == -(-n // 700) - 1 >= 2
+    assert _shuffled(spark) <= before
+    tables = {path for _, path in kept[-1][0].tables}
+    assert len(tables) == 7 and all(os.path.exists(path) for path in tables)  # users, days ago, four groups, the matrix
+    assert len(os.listdir(kept[-1][0].root)) == 7
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
